@@ -30,7 +30,7 @@ SELECT model, repeat, round(t, 6) AS threshold, round(f1, 6) AS f1 FROM r WHERE
 """
 
 
-def metrics_sql(pred_cte: str, ypred_expr: str) -> str:
+def metrics_sql(pred_cte: str, ypred_expr: str, digits: int | None = 6) -> str:
     """Nine metrics from textbook definitions: confusion sums, mid-rank AUC,
     average precision over distinct scores."""
     return f"""
@@ -73,14 +73,18 @@ m AS (
      / ((CASE WHEN tp+fn > 0 THEN 1 ELSE 0 END) + (CASE WHEN tn+fp > 0 THEN 1 ELSE 0 END)) AS balanced_accuracy,
     brier
   FROM conf c JOIN auc a USING (model, repeat) JOIN ap USING (model, repeat))
-SELECT model, repeat, round(accuracy, 6) AS accuracy, round(precision, 6) AS precision,
-       round(recall, 6) AS recall, round(f1, 6) AS f1, round(macro_f1, 6) AS macro_f1,
-       round(roc_auc, 6) AS roc_auc, round(pr_auc, 6) AS pr_auc,
-       round(balanced_accuracy, 6) AS balanced_accuracy, round(brier, 6) AS brier
+SELECT model, repeat, {_r("accuracy", digits)}, {_r("precision", digits)},
+       {_r("recall", digits)}, {_r("f1", digits)}, {_r("macro_f1", digits)},
+       {_r("roc_auc", digits)}, {_r("pr_auc", digits)},
+       {_r("balanced_accuracy", digits)}, {_r("brier", digits)}
 FROM m
 """
 
 
+def _r(c: str, digits: int | None) -> str:
+    return f"round({c}, {digits}) AS {c}" if digits is not None else c
+
+
 NINE_METRICS = metrics_sql(PRED, "CASE WHEN cast(round(proba*1000) AS bigint) >= 500 THEN 1 ELSE 0 END")
 
 # Metrics at each cell's best threshold (threshold chosen on the same cell)
@@ -97,3 +101,181 @@ SQL = {
     "best_threshold": BEST_THRESHOLD,
     "metrics_long": METRICS_LONG,
 }
+
+# ---------------------------------------------------------------- report / stats
+METRICS = "(" + metrics_sql(
+    PRED_AT_BEST, "CASE WHEN cast(round(proba*1000) AS bigint) >= cast(round(threshold*1000) AS bigint) THEN 1 ELSE 0 END",
+    digits=None) + ")"
+_MCOLS = "accuracy, precision, recall, f1, macro_f1, roc_auc, pr_auc, balanced_accuracy, brier"
+PRED_MODELS = [f"M{i}" for i in range(1, 8)]
+
+METRIC_SUMMARY = f"""
+WITH u AS (UNPIVOT {METRICS} ON {_MCOLS} INTO NAME metric VALUE value),
+s AS (SELECT model, metric, avg(value) AS mean, stddev_samp(value) AS std,
+             count(DISTINCT repeat) AS n_repeats FROM u GROUP BY model, metric)
+SELECT model, metric, round(mean, 6) AS mean, round(std, 6) AS std, n_repeats,
+       printf('%.3f ± %.3f', mean, std) AS display FROM s
+"""
+
+METRIC_PIVOT = "SELECT repeat, " + ", ".join(
+    f"round(max(CASE WHEN model = '{m}' THEN macro_f1 END), 6) AS {m}" for m in PRED_MODELS
+) + f" FROM {METRICS} t GROUP BY repeat"
+
+BEST_RUN = f"""
+SELECT model, repeat, macro_f1 FROM {METRICS} t ORDER BY macro_f1 DESC, repeat, model LIMIT 1
+"""
+
+# explicit ordinal form (ties → first model by name)
+BEST_WORST = f"""
+WITH u AS (UNPIVOT {METRICS} ON {_MCOLS} INTO NAME metric VALUE value),
+s AS (SELECT model, metric, avg(value) AS mean FROM u GROUP BY model, metric),
+g AS (SELECT *, CASE WHEN metric = 'brier' THEN -mean ELSE mean END AS good FROM s),
+r AS (SELECT *, row_number() OVER (PARTITION BY metric ORDER BY good DESC, model) AS rb,
+                row_number() OVER (PARTITION BY metric ORDER BY good ASC, model) AS rw FROM g)
+SELECT metric,
+       max(CASE WHEN rb = 1 THEN model END) AS best_model, round(max(CASE WHEN rb = 1 THEN mean END), 6) AS best_mean,
+       max(CASE WHEN rw = 1 THEN model END) AS worst_model, round(max(CASE WHEN rw = 1 THEN mean END), 6) AS worst_mean
+FROM r GROUP BY metric
+"""
+
+MODEL_RANKING = f"""
+WITH s AS (SELECT model, avg(macro_f1) AS mean, stddev_samp(macro_f1) AS std FROM {METRICS} t GROUP BY model)
+SELECT model, round(mean, 6) AS mean, round(std, 6) AS std,
+       row_number() OVER (ORDER BY mean DESC, model) AS rank,
+       round(greatest(0.0, min(mean) OVER () - 0.1), 6) AS axis_min,
+       round(least(1.0, max(mean) OVER () + 0.1), 6) AS axis_max
+FROM s
+"""
+
+LEARNING_CURVE = f"""
+SELECT model, repeat,
+  round(avg(macro_f1) OVER (PARTITION BY model ORDER BY repeat ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 6) AS running_mean,
+  round(stddev_samp(macro_f1) OVER (PARTITION BY model ORDER BY repeat ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 6) AS running_std
+FROM {METRICS} t
+"""
+
+BOX_STATS = f"""
+WITH q AS (SELECT model, quantile_cont(macro_f1, 0.25) AS q1, quantile_cont(macro_f1, 0.5) AS median,
+                  quantile_cont(macro_f1, 0.75) AS q3, avg(macro_f1) AS mean,
+                  min(macro_f1) AS min, max(macro_f1) AS max FROM {METRICS} t GROUP BY model)
+SELECT q.model, round(q1, 6) AS q1, round(median, 6) AS median, round(q3, 6) AS q3, round(mean, 6) AS mean,
+       round(min, 6) AS min, round(max, 6) AS max,
+       round(min(CASE WHEN macro_f1 >= q1 - 1.5*(q3-q1) THEN macro_f1 END), 6) AS whisker_lo,
+       round(max(CASE WHEN macro_f1 <= q3 + 1.5*(q3-q1) THEN macro_f1 END), 6) AS whisker_hi,
+       count(CASE WHEN macro_f1 < q1 - 1.5*(q3-q1) OR macro_f1 > q3 + 1.5*(q3-q1) THEN 1 END) AS n_outliers
+FROM {METRICS} t JOIN q USING (model)
+GROUP BY q.model, q1, median, q3, mean, min, max
+"""
+
+IDEAL_QUADRANT = f"""
+WITH s AS (SELECT model, avg(macro_f1) AS mean, stddev_samp(macro_f1) AS std FROM {METRICS} t GROUP BY model),
+m AS (SELECT median(mean) AS mm, median(std) AS ms FROM s),
+f AS (SELECT s.*, (mean >= mm AND std <= ms) AS ideal,
+             row_number() OVER (ORDER BY std, model) AS rs FROM s, m)
+SELECT model, round(mean, 6) AS mean, round(std, 6) AS std, ideal FROM f
+WHERE CASE WHEN (SELECT bool_or(ideal) FROM f) THEN ideal ELSE rs <= 4 END
+"""
+
+TOP3_PLUS_NAMED = f"""
+WITH s AS (SELECT model, avg(macro_f1) AS mean FROM {METRICS} t GROUP BY model),
+r AS (SELECT *, row_number() OVER (ORDER BY mean DESC, model) AS rank FROM s)
+SELECT model, round(mean, 6) AS mean, rank FROM r WHERE rank <= 3 OR model = 'M1'
+"""
+
+RANK_SLICES = f"""
+WITH s AS (SELECT model, avg(roc_auc) AS auc, avg(macro_f1) AS mf1, stddev_samp(macro_f1) AS sd FROM {METRICS} t GROUP BY model),
+r AS (SELECT model,
+        row_number() OVER (ORDER BY auc DESC, model) AS auc_desc, row_number() OVER (ORDER BY auc ASC, model) AS auc_asc,
+        row_number() OVER (ORDER BY sd ASC, model) AS sd_asc, row_number() OVER (ORDER BY sd DESC, model) AS sd_desc,
+        row_number() OVER (ORDER BY mf1 DESC, model) AS f1_desc, row_number() OVER (ORDER BY mf1 ASC, model) AS f1_asc FROM s)
+SELECT model, 'top3_auc' AS slice FROM r WHERE auc_desc <= 3
+UNION ALL SELECT model, 'bottom2_auc' FROM r WHERE auc_asc <= 2
+UNION ALL SELECT model, 'most_stable4' FROM r WHERE sd_asc <= 4
+UNION ALL SELECT model, 'least_stable4' FROM r WHERE sd_desc <= 4
+UNION ALL SELECT model, 'runners_up' FROM r WHERE f1_desc BETWEEN 2 AND 4
+UNION ALL SELECT model, 'second_worst' FROM r WHERE f1_asc = 2
+"""
+
+AUC_LEGEND = f"""
+SELECT model, round(avg(roc_auc), 6) AS auc_mean, round(stddev_pop(roc_auc), 6) AS auc_std,
+       round(avg(pr_auc), 6) AS ap_mean, round(stddev_pop(pr_auc), 6) AS ap_std
+FROM {METRICS} t GROUP BY model
+"""
+
+FRIEDMAN = f"""
+WITH v AS (SELECT repeat, model, macro_f1 AS v FROM {METRICS} t),
+r AS (SELECT *, rank() OVER (PARTITION BY repeat ORDER BY v) + (count(*) OVER (PARTITION BY repeat, v) - 1) / 2.0 AS r FROM v),
+rs AS (SELECT model, sum(r) AS R, count(*) AS nb FROM r GROUP BY model),
+s AS (SELECT sum(R*R) AS ssbn, count(*) AS k, max(nb) AS n FROM rs),
+ti AS (SELECT sum(t*t*t - t) AS tie_sum FROM (SELECT count(*) AS t FROM v GROUP BY repeat, v)),
+x AS (SELECT (12.0/(k*n*(k+1)) * ssbn - 3.0*n*(k+1)) / (1 - tie_sum / (k*(k*k-1)*n)) AS statistic,
+             k - 1 AS df, k, n, cast(tie_sum AS double) AS tie_sum FROM s, ti)
+SELECT round(statistic, 6) AS statistic, df, k, n, round(tie_sum, 6) AS tie_sum,
+       round(exp(-statistic/2) * list_sum(list_transform(range(0, df // 2),
+             lambda i: pow(statistic/2, i) / cast(factorial(cast(i AS integer)) AS double))), 6) AS p_value
+FROM x
+"""
+
+_WILCOXON_BASE = f"""
+WITH RECURSIVE dp(k, c) AS (
+  SELECT 0, [1.0::DOUBLE]
+  UNION ALL
+  SELECT k + 1, list_transform(range(0, (k+1)*(k+2)//2 + 1),
+           lambda s: coalesce(c[s+1], 0) + CASE WHEN s >= k+1 THEN coalesce(c[s-k], 0) ELSE 0 END)
+  FROM dp WHERE k < 50),
+m AS (SELECT * FROM {METRICS} t),
+d AS (SELECT a.model AS model_a, b.model AS model_b, a.repeat, round(a.macro_f1 - b.macro_f1, 12) AS d
+      FROM m a JOIN m b ON a.repeat = b.repeat AND a.model < b.model),
+nz AS (SELECT *, abs(d) AS ad FROM d WHERE d <> 0),
+rk AS (SELECT *, rank() OVER (PARTITION BY model_a, model_b ORDER BY ad)
+                 + (count(*) OVER (PARTITION BY model_a, model_b, ad) - 1) / 2.0 AS r FROM nz),
+sums AS (SELECT model_a, model_b, count(*) AS n,
+                sum(CASE WHEN d > 0 THEN r ELSE 0 END) AS w_plus, sum(CASE WHEN d < 0 THEN r ELSE 0 END) AS w_minus
+         FROM rk GROUP BY model_a, model_b),
+ties AS (SELECT model_a, model_b, cast(sum(t*t*t - t) AS double) AS tie_sum, max(t) AS max_tie
+         FROM (SELECT model_a, model_b, ad, count(*) AS t FROM nz GROUP BY ALL) GROUP BY model_a, model_b),
+zer AS (SELECT model_a, model_b, cast(sum(CASE WHEN d = 0 THEN 1 ELSE 0 END) AS bigint) AS n_zero FROM d GROUP BY model_a, model_b),
+tst AS (SELECT z.model_a, z.model_b, coalesce(n, 0) AS n, z.n_zero,
+               CASE WHEN coalesce(n, 0) = 0 THEN NULL ELSE least(w_plus, w_minus) END AS statistic,
+               (z.n_zero = 0 AND coalesce(max_tie, 0) <= 1 AND coalesce(n, 0) <= 50) AS exact,
+               coalesce(tie_sum, 0) AS tie_sum
+        FROM zer z LEFT JOIN sums USING (model_a, model_b) LEFT JOIN ties USING (model_a, model_b)),
+zz AS (SELECT *, CASE WHEN n*(n+1)*(2*n+1)/24.0 - tie_sum/48.0 > 0
+                      THEN (statistic - n*(n+1)/4.0) / sqrt(n*(n+1)*(2*n+1)/24.0 - tie_sum/48.0) ELSE 0 END AS z FROM tst),
+apx AS (SELECT model_a, model_b,
+               2 * sum(CASE WHEN i = 0 OR i = 24000 THEN 1 WHEN i % 2 = 1 THEN 4 ELSE 2 END
+                       * exp(-0.5 * (abs(z) + i*0.0005) * (abs(z) + i*0.0005))) * 0.0005 / 3 / sqrt(2*pi()) AS p
+        FROM zz CROSS JOIN range(0, 24001) g(i) WHERE NOT exact AND n > 0 GROUP BY model_a, model_b),
+pv AS (SELECT zz.model_a, zz.model_b, zz.n, zz.n_zero, zz.statistic, zz.exact,
+              CASE WHEN zz.n = 0 THEN 1.0
+                   WHEN zz.exact THEN least(1.0, 2 * list_sum(list_slice(dp.c, 1, cast(floor(zz.statistic) AS bigint) + 1)) / pow(2, zz.n))
+                   ELSE apx.p END AS p_value
+       FROM zz LEFT JOIN dp ON dp.k = zz.n LEFT JOIN apx USING (model_a, model_b)),
+bf AS (SELECT *, least(1.0, p_value * count(*) OVER ()) AS p_bonferroni FROM pv)
+"""
+
+WILCOXON_PAIRS = _WILCOXON_BASE + """
+SELECT model_a, model_b, n, n_zero, round(statistic, 6) AS statistic, exact, round(p_value, 6) AS p_value,
+       round(p_bonferroni, 6) AS p_bonferroni, p_bonferroni < 0.05 AS significant FROM bf
+"""
+
+SIGNIFICANT_PAIRS = _WILCOXON_BASE + """
+SELECT count(*) AS n_pairs, cast(sum(CASE WHEN p_bonferroni < 0.05 THEN 1 ELSE 0 END) AS bigint) AS n_significant FROM bf
+"""
+
+SQL.update({
+    "metric_summary": METRIC_SUMMARY,
+    "metric_pivot": METRIC_PIVOT,
+    "best_run": BEST_RUN,
+    "best_worst_per_metric": BEST_WORST,
+    "model_ranking": MODEL_RANKING,
+    "learning_curve": LEARNING_CURVE,
+    "box_stats": BOX_STATS,
+    "ideal_quadrant": IDEAL_QUADRANT,
+    "top3_plus_named": TOP3_PLUS_NAMED,
+    "rank_slices": RANK_SLICES,
+    "auc_legend": AUC_LEGEND,
+    "friedman": FRIEDMAN,
+    "wilcoxon_pairs": WILCOXON_PAIRS,
+    "significant_pairs": SIGNIFICANT_PAIRS,
+})

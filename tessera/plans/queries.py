@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from tessera.functions.exprs import round_doubles
 from tessera.operators import metrics as M
+from tessera.operators import report as R
+from tessera.operators import stats as S
 from tessera.sources import bindings as B
 
 CELL = ["model", "repeat"]
@@ -34,8 +36,88 @@ def q_metrics_long(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_doubles(metrics_long(spark, sf_dir))
 
 
+PRED_MODELS = [f"M{i}" for i in range(1, 8)]
+
+
+def _m(spark, sf_dir):
+    """The metric table (full precision) — input of every report query."""
+    return metrics_long(spark, sf_dir)
+
+
+def q_metric_summary(spark, sf_dir):
+    return round_doubles(R.metric_summary(_m(spark, sf_dir)))
+
+
+def q_metric_pivot(spark, sf_dir):
+    return round_doubles(R.metric_pivot(_m(spark, sf_dir), "macro_f1", PRED_MODELS))
+
+
+def q_best_run(spark, sf_dir):
+    return round_doubles(R.best_run(_m(spark, sf_dir), "macro_f1"))
+
+
+def q_best_worst(spark, sf_dir):
+    return round_doubles(R.best_worst_per_metric(R.metric_summary(_m(spark, sf_dir))))
+
+
+def q_model_ranking(spark, sf_dir):
+    return round_doubles(R.model_ranking(_m(spark, sf_dir)))
+
+
+def q_learning_curve(spark, sf_dir):
+    return round_doubles(R.learning_curve(_m(spark, sf_dir)))
+
+
+def q_box_stats(spark, sf_dir):
+    return round_doubles(R.box_stats(_m(spark, sf_dir)))
+
+
+def q_ideal_quadrant(spark, sf_dir):
+    return round_doubles(R.ideal_quadrant(_m(spark, sf_dir)))
+
+
+def q_top3_plus_named(spark, sf_dir):
+    return round_doubles(R.top_plus_named(_m(spark, sf_dir), named="M1"))
+
+
+def q_rank_slices(spark, sf_dir):
+    return R.rank_slices(_m(spark, sf_dir))
+
+
+def q_auc_legend(spark, sf_dir):
+    return round_doubles(R.auc_legend(_m(spark, sf_dir)))
+
+
+def q_friedman(spark, sf_dir):
+    return round_doubles(S.friedman(_m(spark, sf_dir)))
+
+
+def q_wilcoxon_pairs(spark, sf_dir):
+    return round_doubles(S.wilcoxon_pairs(_m(spark, sf_dir)))
+
+
+def q_significant_pairs(spark, sf_dir):
+    w = S.wilcoxon_pairs(_m(spark, sf_dir))
+    return w.agg(F.count(F.lit(1)).alias("n_pairs"),
+                 F.sum(F.col("significant").cast("long")).alias("n_significant"))
+
+
 REGISTRY = {
     "nine_metrics": q_nine_metrics,
     "best_threshold": q_best_threshold,
     "metrics_long": q_metrics_long,
+    "metric_summary": q_metric_summary,
+    "metric_pivot": q_metric_pivot,
+    "best_run": q_best_run,
+    "best_worst_per_metric": q_best_worst,
+    "model_ranking": q_model_ranking,
+    "learning_curve": q_learning_curve,
+    "box_stats": q_box_stats,
+    "ideal_quadrant": q_ideal_quadrant,
+    "top3_plus_named": q_top3_plus_named,
+    "rank_slices": q_rank_slices,
+    "auc_legend": q_auc_legend,
+    "friedman": q_friedman,
+    "wilcoxon_pairs": q_wilcoxon_pairs,
+    "significant_pairs": q_significant_pairs,
 }
