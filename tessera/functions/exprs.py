@@ -122,3 +122,11 @@ def round_doubles(df, digits: int = 6):
         else:
             out.append(F.col(f.name))
     return df.select(*out)
+
+
+def attach_scalar(df, scalar_df):
+    """Attach the columns of a one-row aggregate (no grouping keys, so exactly
+    one row by construction) to every row of ``df`` via a broadcast hash join
+    on a constant key."""
+    return (df.withColumn("_one", F.lit(1))
+            .join(F.broadcast(scalar_df.withColumn("_one", F.lit(1))), "_one").drop("_one"))

@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.functions import pandas_udf
 
+from tessera.functions.exprs import attach_scalar
+
 EXACT_MAX_N = 50
 
 
@@ -92,7 +94,7 @@ def friedman(metrics: DataFrame, metric: str = "macro_f1", block: str = "repeat"
     k, n = F.col("k"), F.col("n")
     c = F.lit(1.0) - F.col("tie_sum") / (k * (k * k - 1) * n)
     stat = (F.lit(12.0) / (k * n * (k + 1)) * F.col("ssbn") - 3.0 * n * (k + 1)) / c
-    out = s.crossJoin(ties).select(stat.alias("statistic"), (k - 1).alias("df"), "k", "n",
+    out = attach_scalar(s, ties).select(stat.alias("statistic"), (k - 1).alias("df"), "k", "n",
                                    F.col("tie_sum").cast("double").alias("tie_sum"))
     return out.withColumn("p_value", chi2_sf("statistic", "df"))
 

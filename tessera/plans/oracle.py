@@ -279,3 +279,148 @@ SQL.update({
     "wilcoxon_pairs": WILCOXON_PAIRS,
     "significant_pairs": SIGNIFICANT_PAIRS,
 })
+
+# ---------------------------------------------------------------- data + splits
+WIDE = """(SELECT vec_id AS row_id, CASE WHEN label < 3 THEN 1 ELSE 0 END AS label,
+  concat(CASE WHEN label < 3 THEN 'P_' ELSE 'N_' END, cast(vec_id % 23 AS varchar)) AS patient_id,
+  CASE WHEN (vec_id // 23) % 2 = 0 THEN 'Right' ELSE 'Left' END AS side FROM embeddings)"""
+
+WIDE_LONG = """(SELECT vec_id AS row_id, CASE WHEN label < 3 THEN 1 ELSE 0 END AS label,
+       concat(CASE WHEN label < 3 THEN 'P_' ELSE 'N_' END, cast(vec_id % 23 AS varchar)) AS patient_id,
+       CASE WHEN (vec_id // 23) % 2 = 0 THEN 'Right' ELSE 'Left' END AS side,
+       j AS feature_idx,
+       CASE WHEN (vec_id*31+j) % 97 = 0 THEN NULL
+            WHEN (vec_id*17+j) % 211 = 0 THEN cast('Infinity' AS double)
+            ELSE cast(embedding[j] AS double) END AS value
+FROM embeddings CROSS JOIN (SELECT unnest(range(1, 65)) j))"""
+
+UNION_SOURCES = f"""
+SELECT row_id, patient_id, label, side FROM {WIDE} w
+"""
+
+INF_TO_NULL = f"""
+SELECT cast(feature_idx AS integer) AS feature_idx,
+       count(*) FILTER (WHERE value IS NULL OR isinf(value)) AS n_missing,
+       count(*) FILTER (WHERE isinf(value)) AS n_replaced,
+       round(sum(CASE WHEN isinf(value) THEN NULL ELSE value END), 6) AS finite_sum
+FROM {WIDE_LONG} l GROUP BY feature_idx
+"""
+
+ONE_HOT_SIDE = f"""
+SELECT row_id, CASE WHEN side = 'Left' THEN 1 ELSE 0 END AS side_Left,
+       CASE WHEN side = 'Right' THEN 1 ELSE 0 END AS side_Right FROM {WIDE} w
+"""
+
+MIXED = "(SELECT cast(user_id AS varchar) AS group_id, CASE WHEN event_type = 'purchase' THEN 1 ELSE 0 END AS label FROM events)"
+
+INTEGRITY_OVERLAP = f"""
+SELECT group_id FROM {MIXED} a WHERE label = 0
+INTERSECT
+SELECT group_id FROM {MIXED} b WHERE label = 1
+"""
+
+INTEGRITY_MIXED = f"""
+SELECT group_id, count(DISTINCT label) AS n_labels FROM {MIXED} m GROUP BY group_id HAVING count(DISTINCT label) > 1
+"""
+
+GROUP_SIZE_DEVIANTS = f"""
+WITH s AS (SELECT patient_id, count(*) AS n_rows FROM {WIDE} w GROUP BY patient_id),
+f AS (SELECT n_rows, count(*) AS f FROM s GROUP BY n_rows),
+m AS (SELECT n_rows AS mode_size FROM f ORDER BY f DESC, n_rows LIMIT 1)
+SELECT patient_id, n_rows, mode_size FROM s, m WHERE n_rows <> mode_size
+"""
+
+CLASS_DISTRIBUTION = f"""
+SELECT label, count(*) AS n, count(DISTINCT patient_id) AS n_groups,
+       round(count(*) * 100.0 / sum(count(*)) OVER (), 6) AS pct
+FROM {WIDE} w GROUP BY label
+"""
+
+
+def split_sql(groups_sql: str, group: str = "patient_id", repeats: int = 20) -> str:
+    return f"""
+WITH g AS (SELECT DISTINCT {group} FROM {groups_sql} src),
+r AS (SELECT {group}, cast(repeat AS integer) AS repeat FROM g CROSS JOIN range(0, {repeats}) t(repeat)),
+k1 AS (SELECT *, row_number() OVER (PARTITION BY repeat
+                   ORDER BY md5(concat('42', ':', cast(repeat AS varchar), ':', {group})), {group}) AS pos1,
+                 count(*) OVER (PARTITION BY repeat) AS gn FROM r),
+t AS (SELECT repeat, {group}, pos1 <= ceil(0.2::DOUBLE * gn) AS is_test FROM k1),
+k2 AS (SELECT repeat, {group}, row_number() OVER (PARTITION BY repeat
+                   ORDER BY md5(concat(cast(42 + repeat AS varchar), ':', cast(repeat AS varchar), ':', {group})), {group}) AS pos2,
+              count(*) OVER (PARTITION BY repeat) AS rn FROM t WHERE NOT is_test)
+SELECT repeat, {group}, 'test' AS split FROM t WHERE is_test
+UNION ALL
+SELECT repeat, {group}, CASE WHEN pos2 <= ceil(0.125::DOUBLE * rn) THEN 'val' ELSE 'train' END FROM k2
+"""
+
+
+GROUP_SPLIT = split_sql(WIDE)
+
+NESTED_VAL_SPLIT = f"""
+SELECT repeat, split, count(*) AS n_groups FROM ({GROUP_SPLIT}) s GROUP BY repeat, split
+"""
+
+GROUPS_TALL = "(SELECT cast(l_suppkey AS varchar) AS group_id, CASE WHEN l_quantity > 35 THEN 1 ELSE 0 END AS label FROM lineitem)"
+
+GROUPS_TALL_SPLIT = f"""
+WITH a AS ({split_sql(GROUPS_TALL, 'group_id')})
+SELECT a.repeat, a.split, count(DISTINCT a.group_id) AS n_groups, count(*) AS n_rows,
+       cast(sum(t.label) AS bigint) AS n_pos
+FROM a JOIN {GROUPS_TALL} t USING (group_id) GROUP BY a.repeat, a.split
+"""
+
+LEAKAGE_CHECK = f"""
+WITH a AS ({split_sql(GROUPS_TALL, 'group_id')}),
+grp AS (SELECT a.repeat, group_id, count(DISTINCT a.split) AS ns FROM a JOIN {GROUPS_TALL} t USING (group_id)
+        GROUP BY a.repeat, group_id),
+li AS (SELECT cast(l_suppkey AS varchar) AS group_id, l_orderkey, l_linenumber, l_partkey FROM lineitem),
+rowsplit AS (SELECT group_id, cast(repeat AS integer) AS repeat,
+                    CASE WHEN substr(md5(concat('42:', cast(repeat AS varchar), ':', cast(l_orderkey AS varchar), ':',
+                              cast(l_linenumber AS varchar), ':', cast(l_partkey AS varchar))), 1, 1) IN ('0', '1', '2')
+                         THEN 'test' ELSE 'train' END AS split
+             FROM li CROSS JOIN range(0, 20) t(repeat)),
+rv AS (SELECT repeat, group_id, count(DISTINCT split) AS ns FROM rowsplit GROUP BY repeat, group_id)
+SELECT 'group' AS kind, count(*) FILTER (WHERE ns > 1) AS n_violations FROM grp
+UNION ALL
+SELECT 'row' AS kind, count(*) FILTER (WHERE ns > 1) AS n_violations FROM rv
+"""
+
+STRATIFIED_KFOLD = f"""
+WITH a AS ({GROUP_SPLIT}),
+st AS (SELECT patient_id, CASE WHEN sum(label) * 2 >= count(*) THEN 1 ELSE 0 END AS stratum FROM {WIDE} w GROUP BY patient_id),
+tr AS (SELECT a.repeat, a.patient_id, st.stratum FROM a JOIN st USING (patient_id) WHERE a.split = 'train'),
+k AS (SELECT *, row_number() OVER (PARTITION BY repeat, stratum
+                 ORDER BY md5(concat('42', ':', cast(repeat AS varchar), ':', patient_id)), patient_id) AS pos FROM tr)
+SELECT repeat, patient_id, cast((pos - 1) % 5 AS integer) AS fold FROM k
+"""
+
+CLASS_WEIGHTS = f"""
+WITH a AS ({GROUP_SPLIT}),
+tr AS (SELECT a.repeat, w.label FROM {WIDE} w JOIN a USING (patient_id) WHERE a.split = 'train'),
+c AS (SELECT repeat, label, count(*) AS n FROM tr GROUP BY repeat, label)
+SELECT repeat, label, n, round(sum(n) OVER (PARTITION BY repeat) / (2.0 * n), 6) AS weight FROM c
+"""
+
+PENDING_CELLS = f"""
+WITH grid AS (SELECT cast(r AS integer) AS repeat, m AS model
+              FROM range(0, 20) a(r) CROSS JOIN (VALUES ('M1'),('M2'),('M3'),('M4'),('M5'),('M6'),('M7'),('Ensemble')) b(m)),
+done AS (SELECT DISTINCT model, repeat FROM ({PRED}) p)
+SELECT g.repeat, g.model FROM grid g ANTI JOIN done d ON g.repeat = d.repeat AND g.model = d.model
+"""
+
+SQL.update({
+    "union_sources": UNION_SOURCES,
+    "inf_to_null": INF_TO_NULL,
+    "one_hot_side": ONE_HOT_SIDE,
+    "integrity_overlap": INTEGRITY_OVERLAP,
+    "integrity_mixed_label": INTEGRITY_MIXED,
+    "group_size_deviants": GROUP_SIZE_DEVIANTS,
+    "class_distribution": CLASS_DISTRIBUTION,
+    "group_split": GROUP_SPLIT,
+    "nested_val_split": NESTED_VAL_SPLIT,
+    "groups_tall_split": GROUPS_TALL_SPLIT,
+    "leakage_check": LEAKAGE_CHECK,
+    "stratified_group_kfold": STRATIFIED_KFOLD,
+    "class_weights": CLASS_WEIGHTS,
+    "pending_cells": PENDING_CELLS,
+})

@@ -121,3 +121,127 @@ REGISTRY = {
     "wilcoxon_pairs": q_wilcoxon_pairs,
     "significant_pairs": q_significant_pairs,
 }
+
+
+# ---------------------------------------------------------------- data + splits
+from tessera.operators import data as D  # noqa: E402
+from tessera.operators import splits as SP  # noqa: E402
+from tessera.sources.tables import read_table  # noqa: E402
+
+
+def _wide(spark, sf_dir, derived=False):
+    return B.wide_samples(spark, sf_dir, derived)
+
+
+def q_union_sources(spark, sf_dir):
+    w = _wide(spark, sf_dir).withColumn("PatientIndex", (F.col("row_id") % B.WIDE_GROUPS).cast("int"))
+    srcs = {"N": (w.filter("label = 0").drop("label", "patient_id"), 0),
+            "P": (w.filter("label = 1").drop("label", "patient_id"), 1)}
+    return D.union_sources(srcs).select("row_id", "patient_id", "label", "side")
+
+
+def q_inf_to_null(spark, sf_dir):
+    raw = _wide(spark, sf_dir).select("row_id", F.posexplode("features").alias("pos", "raw"))
+    clean = D.inf_to_null(_wide(spark, sf_dir)).select("row_id", F.posexplode("features").alias("pos", "value"))
+    j = raw.join(clean, ["row_id", "pos"])
+    out = j.groupBy((F.col("pos") + 1).alias("feature_idx")).agg(
+        F.count(F.when(F.col("value").isNull(), 1)).alias("n_missing"),
+        F.count(F.when(F.col("raw").isNotNull() & F.col("value").isNull(), 1)).alias("n_replaced"),
+        F.sum("value").alias("finite_sum"))
+    return round_doubles(out)
+
+
+def q_one_hot_side(spark, sf_dir):
+    df, names = D.one_hot(_wide(spark, sf_dir), "side", ["Left", "Right"])
+    return df.select("row_id", *names)
+
+
+def q_integrity_overlap(spark, sf_dir):
+    return D.label_overlap(B.mixed_events(spark, sf_dir), "group_id")
+
+
+def q_integrity_mixed_label(spark, sf_dir):
+    return D.mixed_label_groups(B.mixed_events(spark, sf_dir), "group_id")
+
+
+def q_group_size_deviants(spark, sf_dir):
+    return D.group_size_deviants(_wide(spark, sf_dir))
+
+
+def q_class_distribution(spark, sf_dir):
+    return round_doubles(D.class_distribution(_wide(spark, sf_dir)))
+
+
+def wide_split(spark, sf_dir):
+    return SP.group_split(_wide(spark, sf_dir))
+
+
+def q_group_split(spark, sf_dir):
+    return wide_split(spark, sf_dir)
+
+
+def q_nested_val_split(spark, sf_dir):
+    return wide_split(spark, sf_dir).groupBy("repeat", "split").agg(F.count(F.lit(1)).alias("n_groups"))
+
+
+def q_groups_tall_split(spark, sf_dir):
+    tall = B.groups_tall(spark, sf_dir)
+    a = SP.group_split(tall, "group_id")
+    return SP.assign_rows(tall, a, "group_id").groupBy("repeat", "split").agg(
+        F.countDistinct("group_id").alias("n_groups"), F.count(F.lit(1)).alias("n_rows"),
+        F.sum(F.col("label").cast("long")).alias("n_pos"))
+
+
+def q_leakage_check(spark, sf_dir):
+    tall = B.groups_tall(spark, sf_dir)
+    grp = SP.assign_rows(tall, SP.group_split(tall, "group_id"), "group_id")
+    v_grp = SP.leakage_violations(grp, "group_id")
+    li = read_table(spark, sf_dir, "lineitem").select(
+        F.col("l_suppkey").cast("string").alias("group_id"), "l_orderkey", "l_linenumber", "l_partkey")
+    rows = li.withColumn("repeat", F.explode(F.sequence(F.lit(0), F.lit(19))))
+    h = F.md5(F.concat_ws(":", F.lit("42"), F.col("repeat").cast("string"), F.col("l_orderkey").cast("string"),
+                          F.col("l_linenumber").cast("string"), F.col("l_partkey").cast("string")))
+    leaky = rows.withColumn("split", F.when(F.substring(h, 1, 1).isin("0", "1", "2"), F.lit("test"))
+                            .otherwise(F.lit("train")))
+    v_row = SP.leakage_violations(leaky, "group_id")
+    return (v_grp.agg(F.count(F.lit(1)).alias("n_violations")).select(F.lit("group").alias("kind"), "n_violations")
+            .unionByName(v_row.agg(F.count(F.lit(1)).alias("n_violations"))
+                         .select(F.lit("row").alias("kind"), "n_violations")))
+
+
+def q_stratified_group_kfold(spark, sf_dir):
+    w = _wide(spark, sf_dir)
+    return SP.stratified_group_kfold(w, SP.group_split(w), k=5)
+
+
+def q_class_weights(spark, sf_dir):
+    from tessera.operators.models import class_weights
+    w = _wide(spark, sf_dir)
+    tr = SP.assign_rows(w, SP.group_split(w)).filter(F.col("split") == "train")
+    return round_doubles(class_weights(tr, by=["repeat"]).groupBy("repeat", "label").agg(
+        F.count(F.lit(1)).alias("n"), F.first("weight").alias("weight")))
+
+
+def q_pending_cells(spark, sf_dir):
+    from tessera.plans.run import pending_cells, run_grid
+    done = B.pred_scores(spark, sf_dir).select("model", "repeat").distinct()
+    grid = run_grid(spark, 20, PRED_MODELS + ["Ensemble"])
+    return pending_cells(grid, done)
+
+
+REGISTRY.update({
+    "union_sources": q_union_sources,
+    "inf_to_null": q_inf_to_null,
+    "one_hot_side": q_one_hot_side,
+    "integrity_overlap": q_integrity_overlap,
+    "integrity_mixed_label": q_integrity_mixed_label,
+    "group_size_deviants": q_group_size_deviants,
+    "class_distribution": q_class_distribution,
+    "group_split": q_group_split,
+    "nested_val_split": q_nested_val_split,
+    "groups_tall_split": q_groups_tall_split,
+    "leakage_check": q_leakage_check,
+    "stratified_group_kfold": q_stratified_group_kfold,
+    "class_weights": q_class_weights,
+    "pending_cells": q_pending_cells,
+})
