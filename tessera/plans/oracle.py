@@ -424,3 +424,106 @@ SQL.update({
     "class_weights": CLASS_WEIGHTS,
     "pending_cells": PENDING_CELLS,
 })
+
+# ---------------------------------------------------------------- preparation
+_FEAT = """CASE WHEN (vec_id*31+j) % 97 = 0 THEN NULL
+                WHEN (vec_id*17+j) % 211 = 0 THEN cast('Infinity' AS double)
+                ELSE cast(embedding[j] AS double) END"""
+WIDE_ARR = f"""(SELECT vec_id, label, list_transform(range(1, 65), lambda j: {_FEAT}) AS f FROM embeddings)"""
+
+
+def _fin(k: int) -> str:
+    return f"(CASE WHEN isinf(f[{k}]) THEN NULL ELSE f[{k}] END)"
+
+
+WIDE_DERIVED_LONG = f"""(
+SELECT vec_id AS row_id, CASE WHEN label < 3 THEN 1 ELSE 0 END AS label,
+       concat(CASE WHEN label < 3 THEN 'P_' ELSE 'N_' END, cast(vec_id % 23 AS varchar)) AS patient_id,
+       cast(u.j AS integer) AS feature_idx,
+       CASE WHEN isinf(u.v) THEN NULL ELSE u.v END AS value
+FROM (SELECT vec_id, label, list_concat(f, [2.0*{_fin(1)} + 0.001*{_fin(2)}, 1.0, 0.5*{_fin(3)},
+                                            {_fin(1)} + 0.25*{_fin(2)}, {_fin(1)} + 0.25*{_fin(2)} + 0.28*{_fin(4)}]) AS g
+      FROM {WIDE_ARR} a) w,
+     LATERAL (SELECT unnest(range(1, 70)) AS j, unnest(g) AS v) u)"""
+
+PREP_BASE = f"""
+WITH sp AS ({GROUP_SPLIT}),
+lg AS (SELECT * FROM {WIDE_DERIVED_LONG} x),
+fit AS (SELECT sp.repeat, lg.row_id, lg.feature_idx, lg.value FROM lg JOIN sp USING (patient_id) WHERE sp.split = 'train'),
+med AS (SELECT repeat, feature_idx, quantile_cont(value, 0.5) AS median, count(value) AS n_present
+        FROM fit GROUP BY repeat, feature_idx),
+imp AS (SELECT fit.repeat, fit.row_id, fit.feature_idx, coalesce(fit.value, med.median) AS x
+        FROM fit JOIN med USING (repeat, feature_idx) WHERE med.median IS NOT NULL),
+vs AS (SELECT repeat, feature_idx, var_pop(x) AS var_pop, quantile_cont(x, 0.25) AS q1,
+              quantile_cont(x, 0.5) AS median, quantile_cont(x, 0.75) AS q3 FROM imp GROUP BY repeat, feature_idx),
+cand AS (SELECT repeat, feature_idx FROM vs WHERE var_pop > 0.01),
+ci AS (SELECT imp.* FROM imp JOIN cand USING (repeat, feature_idx)),
+cr AS (SELECT a.repeat, a.feature_idx AS i, b.feature_idx AS j, corr(a.x, b.x) AS r
+       FROM ci a JOIN ci b ON a.repeat = b.repeat AND a.row_id = b.row_id AND a.feature_idx < b.feature_idx
+       GROUP BY a.repeat, a.feature_idx, b.feature_idx),
+edges AS (SELECT repeat, i, j, r FROM cr WHERE abs(coalesce(CASE WHEN isnan(r) THEN 0 ELSE r END, 0)) > 0.95)
+"""
+
+MEDIAN_IMPUTE = PREP_BASE + """
+SELECT repeat, feature_idx, round(median, 6) AS median, n_present FROM med
+"""
+
+VARIANCE_FILTER = PREP_BASE + """
+SELECT repeat, feature_idx, round(var_pop, 6) AS var_pop, var_pop > 0.01 AS keep_var FROM vs
+"""
+
+CORR_EDGES = PREP_BASE + """
+SELECT repeat, i, j, round(r, 6) AS r FROM edges
+"""
+
+_KEPT = """,
+scan(repeat, i, kept) AS (
+  SELECT DISTINCT repeat, 0, []::INTEGER[] FROM cand
+  UNION ALL
+  SELECT s.repeat, s.i + 1,
+         CASE WHEN NOT EXISTS (SELECT 1 FROM cand c WHERE c.repeat = s.repeat AND c.feature_idx = s.i + 1) THEN s.kept
+              WHEN EXISTS (SELECT 1 FROM edges e WHERE e.repeat = s.repeat AND e.j = s.i + 1
+                                                   AND list_contains(s.kept, e.i)) THEN s.kept
+              ELSE list_append(s.kept, cast(s.i + 1 AS integer)) END
+  FROM scan s WHERE s.i < 69),
+kept AS (SELECT repeat, unnest(kept) AS feature_idx FROM scan WHERE i = 69)
+"""
+
+CORR_FILTER = PREP_BASE.replace("WITH sp AS", "WITH RECURSIVE sp AS") + _KEPT + """
+SELECT repeat, feature_idx FROM kept
+"""
+
+ROBUST_SCALE = PREP_BASE.replace("WITH sp AS", "WITH RECURSIVE sp AS") + _KEPT + """
+SELECT k.repeat, k.feature_idx, round(vs.median, 6) AS center,
+       round(CASE WHEN vs.q3 - vs.q1 < 2.220446049250313e-15 THEN 1.0 ELSE vs.q3 - vs.q1 END, 6) AS scale
+FROM kept k JOIN vs USING (repeat, feature_idx)
+"""
+
+PREP_TRANSFORM = PREP_BASE.replace("WITH sp AS", "WITH RECURSIVE sp AS") + _KEPT + """,
+sc AS (SELECT k.repeat, k.feature_idx, vs.median AS center,
+              CASE WHEN vs.q3 - vs.q1 < 2.220446049250313e-15 THEN 1.0 ELSE vs.q3 - vs.q1 END AS scale,
+              row_number() OVER (PARTITION BY k.repeat ORDER BY k.feature_idx) - 1 AS position
+       FROM kept k JOIN vs USING (repeat, feature_idx)),
+allrows AS (SELECT sp.repeat, sp.split, lg.row_id, lg.feature_idx, lg.value FROM lg JOIN sp USING (patient_id))
+SELECT a.repeat, a.split, cast(sc.position AS integer) AS position,
+       round(sum((coalesce(a.value, sc.center) - sc.center) / sc.scale), 6) AS x_sum, count(*) AS n
+FROM allrows a JOIN sc USING (repeat, feature_idx) GROUP BY a.repeat, a.split, sc.position
+"""
+
+FEATURE_LINEAGE = PREP_BASE.replace("WITH sp AS", "WITH RECURSIVE sp AS") + _KEPT + """
+SELECT repeat, cast(row_number() OVER (PARTITION BY repeat ORDER BY feature_idx) - 1 AS integer) AS position,
+       feature_idx,
+       CASE WHEN feature_idx <= 64 THEN 'Feature_' || lpad(cast(feature_idx AS varchar), 4, '0')
+            ELSE 'Derived_' || cast(feature_idx AS varchar) END AS feature_name
+FROM kept
+"""
+
+SQL.update({
+    "median_impute": MEDIAN_IMPUTE,
+    "variance_filter": VARIANCE_FILTER,
+    "corr_edges": CORR_EDGES,
+    "corr_filter": CORR_FILTER,
+    "robust_scale": ROBUST_SCALE,
+    "prep_transform": PREP_TRANSFORM,
+    "feature_lineage": FEATURE_LINEAGE,
+})

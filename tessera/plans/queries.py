@@ -245,3 +245,81 @@ REGISTRY.update({
     "class_weights": q_class_weights,
     "pending_cells": q_pending_cells,
 })
+
+
+# ---------------------------------------------------------------- preparation
+from tessera.operators import prep as P  # noqa: E402
+
+
+def prep_inputs(spark, sf_dir):
+    """WIDE with derived features, ±inf → NULL; group split; train cells."""
+    w = D.inf_to_null(B.wide_samples(spark, sf_dir, derived=True)).drop("n_nonfinite")
+    a = SP.group_split(w)
+    cells = a.filter(F.col("split") == "train").select("repeat", "patient_id")
+    return w, a, cells
+
+
+def _prep_stats(spark, sf_dir):
+    w, a, cells = prep_inputs(spark, sf_dir)
+    long = P.to_long(P.fit_rows(w, cells, ["repeat"]), ["repeat"])
+    med = P.medians(long, ["repeat"])
+    return med, P.variance_filter(P.imputed_stats(long, med, ["repeat"]))
+
+
+def q_median_impute(spark, sf_dir):
+    med, _ = _prep_stats(spark, sf_dir)
+    return round_doubles(med)
+
+
+def q_variance_filter(spark, sf_dir):
+    _, st = _prep_stats(spark, sf_dir)
+    return round_doubles(st.select("repeat", "feature_idx", "var_pop", "keep_var"))
+
+
+def q_corr_edges(spark, sf_dir):
+    w, a, cells = prep_inputs(spark, sf_dir)
+    _, st = _prep_stats(spark, sf_dir)
+    cand = st.filter("keep_var").select("repeat", "feature_idx", "median")
+    g = P.gram(P.fit_rows(w, cells, ["repeat"]), ["repeat"], cand)
+    return round_doubles(P.corr_edges(P.correlations(g, ["repeat"])))
+
+
+def _prep_model(spark, sf_dir):
+    w, a, cells = prep_inputs(spark, sf_dir)
+    return w, a, P.FeaturePrep(["repeat"]).fit(w, cells)
+
+
+def q_corr_filter(spark, sf_dir):
+    _, _, m = _prep_model(spark, sf_dir)
+    return m.params.filter("keep").select("repeat", "feature_idx")
+
+
+def q_robust_scale(spark, sf_dir):
+    _, _, m = _prep_model(spark, sf_dir)
+    return round_doubles(m.params.filter("keep").select("repeat", "feature_idx", "center", "scale"))
+
+
+def q_prep_transform(spark, sf_dir):
+    w, a, m = _prep_model(spark, sf_dir)
+    rows = SP.assign_rows(w, a)
+    x = m.transform(rows).select("repeat", "split", F.posexplode("x").alias("position", "v"))
+    return round_doubles(x.groupBy("repeat", "split", "position").agg(
+        F.sum("v").alias("x_sum"), F.count(F.lit(1)).alias("n")))
+
+
+def q_feature_lineage(spark, sf_dir):
+    _, _, m = _prep_model(spark, sf_dir)
+    names = B.wide_feature_names(spark, derived=True)
+    return m.support().join(F.broadcast(names), "feature_idx").select(
+        "repeat", "position", "feature_idx", "feature_name")
+
+
+REGISTRY.update({
+    "median_impute": q_median_impute,
+    "variance_filter": q_variance_filter,
+    "corr_edges": q_corr_edges,
+    "corr_filter": q_corr_filter,
+    "robust_scale": q_robust_scale,
+    "prep_transform": q_prep_transform,
+    "feature_lineage": q_feature_lineage,
+})

@@ -120,3 +120,14 @@ def doc_samples(spark: SparkSession, sf_dir: str, target: str = "toxic") -> Data
     return docs.join(labels, "doc_id").select(
         F.col("doc_id").alias("row_id"), "label", F.col("source").alias("patient_id"),
         F.lit("none").alias("side"), feats.alias("features"))
+
+
+def wide_feature_names(spark: SparkSession, derived: bool = False) -> DataFrame:
+    """Feature-name dimension ``(feature_idx, feature_name)`` of WIDE (64 or 69
+    rows; generated from the feature count, broadcast in lineage joins)."""
+    n = 69 if derived else 64
+    idx = F.col("id").cast("int")
+    return spark.range(1, n + 1).select(
+        idx.alias("feature_idx"),
+        F.when(idx <= 64, F.concat(F.lit("Feature_"), F.lpad(idx.cast("string"), 4, "0")))
+         .otherwise(F.concat(F.lit("Derived_"), idx.cast("string"))).alias("feature_name"))
