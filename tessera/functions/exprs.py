@@ -113,7 +113,7 @@ def fmt_mean_std(mean: str | Column, std: str | Column, digits: int = 3) -> Colu
     return F.format_string(pattern, col(mean), col(std))
 
 
-def round_doubles(df, digits: int = 6):
+def round_doubles(df, digits: int = 9):
     """Round every double column (for engine-neutral comparison)."""
     out = []
     for f in df.schema.fields:

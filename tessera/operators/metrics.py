@@ -209,3 +209,73 @@ def curve_points(pred: DataFrame, by, kind: str, y: str = "y_true", p: str = "pr
     else:
         raise ValueError(f"unknown curve kind: {kind}")
     return pts.unionByName(origin)
+
+
+def _grid_interval(x: F.Column, n: int) -> F.Column:
+    """Index k of the grid interval [k/(n-1), (k+1)/(n-1)) holding x (exact)."""
+    m = n - 1
+    k0 = F.least(F.lit(m), F.greatest(F.lit(0), F.floor(x * m))).cast("int")
+    up = F.when((k0 < m) & ((k0 + 1) / F.lit(float(m)) <= x), k0 + 1).otherwise(k0)
+    return F.when((up > 0) & (up / F.lit(float(m)) > x), up - 1).otherwise(up)
+
+
+def interpolate_on_grid(points: DataFrame, by, n: int = 200) -> DataFrame:
+    """Linear interpolation of per-cell curves ``(cell…, x, y)`` at x_k = k/(n-1).
+
+    Matches the library interpolation of a curve whose duplicated x values are
+    ordered by y: at an x hit exactly (or from the left) the largest y counts,
+    approaching from the right the smallest; outside the range the end values
+    hold.  Points are first reduced per (cell, grid interval) to at most three
+    (exact hit, first beyond the grid point, last), so the window over each
+    cell has n rows whatever the number of distinct scores."""
+    by = _by(by)
+    m = float(n - 1)
+    pts = points.groupBy(*by, "x").agg(F.min("y").alias("ylo"), F.max("y").alias("yhi"))
+    pts = pts.withColumn("k", _grid_interval(F.col("x"), n))
+    xk_of_k = F.col("k") / F.lit(m)
+    on_grid = F.col("x") == xk_of_k
+    per = pts.groupBy(*by, "k").agg(
+        F.max(F.when(on_grid, F.col("yhi"))).alias("exact_y"),
+        F.min(F.when(~on_grid, F.col("x"))).alias("gt_x"),
+        F.min_by(F.when(~on_grid, F.col("ylo")), F.when(~on_grid, F.col("x"))).alias("gt_y"),
+        F.max("x").alias("last_x"), F.max_by("yhi", "x").alias("last_y"),
+        F.min("x").alias("first_x"), F.min_by("ylo", "x").alias("first_y"))
+    grid = (points.select(*by).distinct()
+            .withColumn("k", F.explode(F.sequence(F.lit(0), F.lit(n - 1)))))
+    g = grid.join(per, [*by, "k"], "left")
+    w = Window.partitionBy(*by).orderBy("k")
+    before = w.rowsBetween(Window.unboundedPreceding, -1)
+    after = w.rowsBetween(1, Window.unboundedFollowing)
+    xk = F.col("k") / F.lit(m)
+    g = g.select(*by, "k", xk.alias("xk"), "exact_y", "gt_x", "gt_y",
+                 F.last("last_x", ignorenulls=True).over(before).alias("pl_x"),
+                 F.last("last_y", ignorenulls=True).over(before).alias("pl_y"),
+                 F.first("first_x", ignorenulls=True).over(after).alias("nf_x"),
+                 F.first("first_y", ignorenulls=True).over(after).alias("nf_y"))
+    xl = F.when(F.col("exact_y").isNotNull(), F.col("xk")).otherwise(F.col("pl_x"))
+    yl = F.coalesce(F.col("exact_y"), F.col("pl_y"))
+    xr = F.coalesce(F.col("gt_x"), F.col("nf_x"))
+    yr = F.when(F.col("gt_x").isNotNull(), F.col("gt_y")).otherwise(F.col("nf_y"))
+    y = (F.when(xl.isNull(), yr)
+          .when(xr.isNull() | (F.col("xk") == xl), yl)
+          .otherwise(yl + (F.col("xk") - xl) * (yr - yl) / (xr - xl)))
+    return g.select(*by, "k", "xk", y.alias("y"))
+
+
+def mean_curve(pred: DataFrame, kind: str, by=("model",), over=("repeat",), y: str = "y_true",
+               p: str = "proba", n: int = 200) -> DataFrame:
+    """Per-cell ROC (tpr at fpr grid) or PR (precision at recall grid),
+    interpolated on an n-point grid and averaged over the ``over`` cells.  ROC
+    pins the first point to 0 before and the last mean to 1 after averaging."""
+    by, over = _by(by), _by(over)
+    cell = by + over
+    pts = curve_points(pred, cell, kind, y, p)
+    if kind == "pr":   # one point per recall: the highest precision
+        pts = pts.groupBy(*cell, "x").agg(F.max("y").alias("y"))
+    curve = interpolate_on_grid(pts, cell, n)
+    if kind == "roc":
+        curve = curve.withColumn("y", F.when(F.col("k") == 0, F.lit(0.0)).otherwise(F.col("y")))
+    out = curve.groupBy(*by, "k").agg(F.first("xk").alias("x"), F.avg("y").alias("y"))
+    if kind == "roc":
+        out = out.withColumn("y", F.when(F.col("k") == n - 1, F.lit(1.0)).otherwise(F.col("y")))
+    return out

@@ -26,11 +26,11 @@ f AS (
 s AS (SELECT model, repeat, i, t,
              CASE WHEN 2*tp+fp+fn = 0 THEN 0.0 ELSE 2.0*tp/(2*tp+fp+fn) END AS f1 FROM f),
 r AS (SELECT *, row_number() OVER (PARTITION BY model, repeat ORDER BY f1 DESC, i) AS rn FROM s)
-SELECT model, repeat, round(t, 6) AS threshold, round(f1, 6) AS f1 FROM r WHERE rn = 1
+SELECT model, repeat, round(t, 9) AS threshold, round(f1, 9) AS f1 FROM r WHERE rn = 1
 """
 
 
-def metrics_sql(pred_cte: str, ypred_expr: str, digits: int | None = 6) -> str:
+def metrics_sql(pred_cte: str, ypred_expr: str, digits: int | None = 9) -> str:
     """Nine metrics from textbook definitions: confusion sums, mid-rank AUC,
     average precision over distinct scores."""
     return f"""
@@ -113,12 +113,12 @@ METRIC_SUMMARY = f"""
 WITH u AS (UNPIVOT {METRICS} ON {_MCOLS} INTO NAME metric VALUE value),
 s AS (SELECT model, metric, avg(value) AS mean, stddev_samp(value) AS std,
              count(DISTINCT repeat) AS n_repeats FROM u GROUP BY model, metric)
-SELECT model, metric, round(mean, 6) AS mean, round(std, 6) AS std, n_repeats,
+SELECT model, metric, round(mean, 9) AS mean, round(std, 9) AS std, n_repeats,
        printf('%.3f ± %.3f', mean, std) AS display FROM s
 """
 
 METRIC_PIVOT = "SELECT repeat, " + ", ".join(
-    f"round(max(CASE WHEN model = '{m}' THEN macro_f1 END), 6) AS {m}" for m in PRED_MODELS
+    f"round(max(CASE WHEN model = '{m}' THEN macro_f1 END), 9) AS {m}" for m in PRED_MODELS
 ) + f" FROM {METRICS} t GROUP BY repeat"
 
 BEST_RUN = f"""
@@ -133,24 +133,24 @@ g AS (SELECT *, CASE WHEN metric = 'brier' THEN -mean ELSE mean END AS good FROM
 r AS (SELECT *, row_number() OVER (PARTITION BY metric ORDER BY good DESC, model) AS rb,
                 row_number() OVER (PARTITION BY metric ORDER BY good ASC, model) AS rw FROM g)
 SELECT metric,
-       max(CASE WHEN rb = 1 THEN model END) AS best_model, round(max(CASE WHEN rb = 1 THEN mean END), 6) AS best_mean,
-       max(CASE WHEN rw = 1 THEN model END) AS worst_model, round(max(CASE WHEN rw = 1 THEN mean END), 6) AS worst_mean
+       max(CASE WHEN rb = 1 THEN model END) AS best_model, round(max(CASE WHEN rb = 1 THEN mean END), 9) AS best_mean,
+       max(CASE WHEN rw = 1 THEN model END) AS worst_model, round(max(CASE WHEN rw = 1 THEN mean END), 9) AS worst_mean
 FROM r GROUP BY metric
 """
 
 MODEL_RANKING = f"""
 WITH s AS (SELECT model, avg(macro_f1) AS mean, stddev_samp(macro_f1) AS std FROM {METRICS} t GROUP BY model)
-SELECT model, round(mean, 6) AS mean, round(std, 6) AS std,
+SELECT model, round(mean, 9) AS mean, round(std, 9) AS std,
        row_number() OVER (ORDER BY mean DESC, model) AS rank,
-       round(greatest(0.0, min(mean) OVER () - 0.1), 6) AS axis_min,
-       round(least(1.0, max(mean) OVER () + 0.1), 6) AS axis_max
+       round(greatest(0.0, min(mean) OVER () - 0.1), 9) AS axis_min,
+       round(least(1.0, max(mean) OVER () + 0.1), 9) AS axis_max
 FROM s
 """
 
 LEARNING_CURVE = f"""
 SELECT model, repeat,
-  round(avg(macro_f1) OVER (PARTITION BY model ORDER BY repeat ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 6) AS running_mean,
-  round(stddev_samp(macro_f1) OVER (PARTITION BY model ORDER BY repeat ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 6) AS running_std
+  round(avg(macro_f1) OVER (PARTITION BY model ORDER BY repeat ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 9) AS running_mean,
+  round(stddev_samp(macro_f1) OVER (PARTITION BY model ORDER BY repeat ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 9) AS running_std
 FROM {METRICS} t
 """
 
@@ -158,10 +158,10 @@ BOX_STATS = f"""
 WITH q AS (SELECT model, quantile_cont(macro_f1, 0.25) AS q1, quantile_cont(macro_f1, 0.5) AS median,
                   quantile_cont(macro_f1, 0.75) AS q3, avg(macro_f1) AS mean,
                   min(macro_f1) AS min, max(macro_f1) AS max FROM {METRICS} t GROUP BY model)
-SELECT q.model, round(q1, 6) AS q1, round(median, 6) AS median, round(q3, 6) AS q3, round(mean, 6) AS mean,
-       round(min, 6) AS min, round(max, 6) AS max,
-       round(min(CASE WHEN macro_f1 >= q1 - 1.5*(q3-q1) THEN macro_f1 END), 6) AS whisker_lo,
-       round(max(CASE WHEN macro_f1 <= q3 + 1.5*(q3-q1) THEN macro_f1 END), 6) AS whisker_hi,
+SELECT q.model, round(q1, 9) AS q1, round(median, 9) AS median, round(q3, 9) AS q3, round(mean, 9) AS mean,
+       round(min, 9) AS min, round(max, 9) AS max,
+       round(min(CASE WHEN macro_f1 >= q1 - 1.5*(q3-q1) THEN macro_f1 END), 9) AS whisker_lo,
+       round(max(CASE WHEN macro_f1 <= q3 + 1.5*(q3-q1) THEN macro_f1 END), 9) AS whisker_hi,
        count(CASE WHEN macro_f1 < q1 - 1.5*(q3-q1) OR macro_f1 > q3 + 1.5*(q3-q1) THEN 1 END) AS n_outliers
 FROM {METRICS} t JOIN q USING (model)
 GROUP BY q.model, q1, median, q3, mean, min, max
@@ -172,14 +172,14 @@ WITH s AS (SELECT model, avg(macro_f1) AS mean, stddev_samp(macro_f1) AS std FRO
 m AS (SELECT median(mean) AS mm, median(std) AS ms FROM s),
 f AS (SELECT s.*, (mean >= mm AND std <= ms) AS ideal,
              row_number() OVER (ORDER BY std, model) AS rs FROM s, m)
-SELECT model, round(mean, 6) AS mean, round(std, 6) AS std, ideal FROM f
+SELECT model, round(mean, 9) AS mean, round(std, 9) AS std, ideal FROM f
 WHERE CASE WHEN (SELECT bool_or(ideal) FROM f) THEN ideal ELSE rs <= 4 END
 """
 
 TOP3_PLUS_NAMED = f"""
 WITH s AS (SELECT model, avg(macro_f1) AS mean FROM {METRICS} t GROUP BY model),
 r AS (SELECT *, row_number() OVER (ORDER BY mean DESC, model) AS rank FROM s)
-SELECT model, round(mean, 6) AS mean, rank FROM r WHERE rank <= 3 OR model = 'M1'
+SELECT model, round(mean, 9) AS mean, rank FROM r WHERE rank <= 3 OR model = 'M1'
 """
 
 RANK_SLICES = f"""
@@ -197,8 +197,8 @@ UNION ALL SELECT model, 'second_worst' FROM r WHERE f1_asc = 2
 """
 
 AUC_LEGEND = f"""
-SELECT model, round(avg(roc_auc), 6) AS auc_mean, round(stddev_pop(roc_auc), 6) AS auc_std,
-       round(avg(pr_auc), 6) AS ap_mean, round(stddev_pop(pr_auc), 6) AS ap_std
+SELECT model, round(avg(roc_auc), 9) AS auc_mean, round(stddev_pop(roc_auc), 9) AS auc_std,
+       round(avg(pr_auc), 9) AS ap_mean, round(stddev_pop(pr_auc), 9) AS ap_std
 FROM {METRICS} t GROUP BY model
 """
 
@@ -210,9 +210,9 @@ s AS (SELECT sum(R*R) AS ssbn, count(*) AS k, max(nb) AS n FROM rs),
 ti AS (SELECT sum(t*t*t - t) AS tie_sum FROM (SELECT count(*) AS t FROM v GROUP BY repeat, v)),
 x AS (SELECT (12.0/(k*n*(k+1)) * ssbn - 3.0*n*(k+1)) / (1 - tie_sum / (k*(k*k-1)*n)) AS statistic,
              k - 1 AS df, k, n, cast(tie_sum AS double) AS tie_sum FROM s, ti)
-SELECT round(statistic, 6) AS statistic, df, k, n, round(tie_sum, 6) AS tie_sum,
+SELECT round(statistic, 9) AS statistic, df, k, n, round(tie_sum, 9) AS tie_sum,
        round(exp(-statistic/2) * list_sum(list_transform(range(0, df // 2),
-             lambda i: pow(statistic/2, i) / cast(factorial(cast(i AS integer)) AS double))), 6) AS p_value
+             lambda i: pow(statistic/2, i) / cast(factorial(cast(i AS integer)) AS double))), 9) AS p_value
 FROM x
 """
 
@@ -255,8 +255,8 @@ bf AS (SELECT *, least(1.0, p_value * count(*) OVER ()) AS p_bonferroni FROM pv)
 """
 
 WILCOXON_PAIRS = _WILCOXON_BASE + """
-SELECT model_a, model_b, n, n_zero, round(statistic, 6) AS statistic, exact, round(p_value, 6) AS p_value,
-       round(p_bonferroni, 6) AS p_bonferroni, p_bonferroni < 0.05 AS significant FROM bf
+SELECT model_a, model_b, n, n_zero, round(statistic, 9) AS statistic, exact, round(p_value, 9) AS p_value,
+       round(p_bonferroni, 9) AS p_bonferroni, p_bonferroni < 0.05 AS significant FROM bf
 """
 
 SIGNIFICANT_PAIRS = _WILCOXON_BASE + """
@@ -302,7 +302,7 @@ INF_TO_NULL = f"""
 SELECT cast(feature_idx AS integer) AS feature_idx,
        count(*) FILTER (WHERE value IS NULL OR isinf(value)) AS n_missing,
        count(*) FILTER (WHERE isinf(value)) AS n_replaced,
-       round(sum(CASE WHEN isinf(value) THEN NULL ELSE value END), 6) AS finite_sum
+       round(sum(CASE WHEN isinf(value) THEN NULL ELSE value END), 9) AS finite_sum
 FROM {WIDE_LONG} l GROUP BY feature_idx
 """
 
@@ -332,7 +332,7 @@ SELECT patient_id, n_rows, mode_size FROM s, m WHERE n_rows <> mode_size
 
 CLASS_DISTRIBUTION = f"""
 SELECT label, count(*) AS n, count(DISTINCT patient_id) AS n_groups,
-       round(count(*) * 100.0 / sum(count(*)) OVER (), 6) AS pct
+       round(count(*) * 100.0 / sum(count(*)) OVER (), 9) AS pct
 FROM {WIDE} w GROUP BY label
 """
 
@@ -398,7 +398,7 @@ CLASS_WEIGHTS = f"""
 WITH a AS ({GROUP_SPLIT}),
 tr AS (SELECT a.repeat, w.label FROM {WIDE} w JOIN a USING (patient_id) WHERE a.split = 'train'),
 c AS (SELECT repeat, label, count(*) AS n FROM tr GROUP BY repeat, label)
-SELECT repeat, label, n, round(sum(n) OVER (PARTITION BY repeat) / (2.0 * n), 6) AS weight FROM c
+SELECT repeat, label, n, round(sum(n) OVER (PARTITION BY repeat) / (2.0 * n), 9) AS weight FROM c
 """
 
 PENDING_CELLS = f"""
@@ -465,15 +465,15 @@ edges AS (SELECT repeat, i, j, r FROM cr WHERE abs(coalesce(CASE WHEN isnan(r) T
 """
 
 MEDIAN_IMPUTE = PREP_BASE + """
-SELECT repeat, feature_idx, round(median, 6) AS median, n_present FROM med
+SELECT repeat, feature_idx, round(median, 9) AS median, n_present FROM med
 """
 
 VARIANCE_FILTER = PREP_BASE + """
-SELECT repeat, feature_idx, round(var_pop, 6) AS var_pop, var_pop > 0.01 AS keep_var FROM vs
+SELECT repeat, feature_idx, round(var_pop, 9) AS var_pop, var_pop > 0.01 AS keep_var FROM vs
 """
 
 CORR_EDGES = PREP_BASE + """
-SELECT repeat, i, j, round(r, 6) AS r FROM edges
+SELECT repeat, i, j, round(r, 9) AS r FROM edges
 """
 
 _KEPT = """,
@@ -494,8 +494,8 @@ SELECT repeat, feature_idx FROM kept
 """
 
 ROBUST_SCALE = PREP_BASE.replace("WITH sp AS", "WITH RECURSIVE sp AS") + _KEPT + """
-SELECT k.repeat, k.feature_idx, round(vs.median, 6) AS center,
-       round(CASE WHEN vs.q3 - vs.q1 < 2.220446049250313e-15 THEN 1.0 ELSE vs.q3 - vs.q1 END, 6) AS scale
+SELECT k.repeat, k.feature_idx, round(vs.median, 9) AS center,
+       round(CASE WHEN vs.q3 - vs.q1 < 2.220446049250313e-15 THEN 1.0 ELSE vs.q3 - vs.q1 END, 9) AS scale
 FROM kept k JOIN vs USING (repeat, feature_idx)
 """
 
@@ -506,7 +506,7 @@ sc AS (SELECT k.repeat, k.feature_idx, vs.median AS center,
        FROM kept k JOIN vs USING (repeat, feature_idx)),
 allrows AS (SELECT sp.repeat, sp.split, lg.row_id, lg.feature_idx, lg.value FROM lg JOIN sp USING (patient_id))
 SELECT a.repeat, a.split, cast(sc.position AS integer) AS position,
-       round(sum((coalesce(a.value, sc.center) - sc.center) / sc.scale), 6) AS x_sum, count(*) AS n
+       round(sum((coalesce(a.value, sc.center) - sc.center) / sc.scale), 9) AS x_sum, count(*) AS n
 FROM allrows a JOIN sc USING (repeat, feature_idx) GROUP BY a.repeat, a.split, sc.position
 """
 
@@ -527,3 +527,71 @@ SQL.update({
     "prep_transform": PREP_TRANSFORM,
     "feature_lineage": FEATURE_LINEAGE,
 })
+
+# ---------------------------------------------------------------- curves
+BEST_PRED = f"""(SELECT p.*, CASE WHEN cast(round(p.proba*1000) AS bigint) >= cast(round(p.threshold*1000) AS bigint)
+                       THEN 1 ELSE 0 END AS y_pred FROM ({PRED_AT_BEST}) p)"""
+
+
+def _curve_sql(kind: str) -> str:
+    if kind == "roc":
+        pts = """SELECT model, repeat, CASE WHEN nn = 0 THEN NULL ELSE cn*1.0/nn END AS x,
+                        CASE WHEN np = 0 THEN NULL ELSE cp*1.0/np END AS y FROM cu
+                 UNION ALL SELECT DISTINCT model, repeat, 0.0, 0.0 FROM cu"""
+        reduce = "min(y) AS ylo, max(y) AS yhi"
+    else:
+        pts = """SELECT model, repeat, CASE WHEN np = 0 THEN 1.0 ELSE cp*1.0/np END AS x,
+                        CASE WHEN cp + cn = 0 THEN 0.0 ELSE cp*1.0/(cp+cn) END AS y FROM cu
+                 UNION ALL SELECT DISTINCT model, repeat, 0.0, 1.0 FROM cu"""
+        reduce = "max(y) AS ylo, max(y) AS yhi"
+    first = "CASE WHEN k = 0 THEN 0.0 ELSE yi END" if kind == "roc" else "yi"
+    last = "CASE WHEN k = 199 THEN 1.0 ELSE avg(yv) END" if kind == "roc" else "avg(yv)"
+    return f"""
+WITH pred AS ({PRED}),
+sc AS (SELECT model, repeat, proba, sum(y_true) AS pos, sum(1 - y_true) AS neg FROM pred GROUP BY model, repeat, proba),
+cu AS (SELECT *, sum(pos) OVER (PARTITION BY model, repeat ORDER BY proba DESC) AS cp,
+                 sum(neg) OVER (PARTITION BY model, repeat ORDER BY proba DESC) AS cn,
+                 sum(pos) OVER (PARTITION BY model, repeat) AS np, sum(neg) OVER (PARTITION BY model, repeat) AS nn FROM sc),
+raw AS ({pts}),
+pts AS (SELECT model, repeat, x, {reduce} FROM raw GROUP BY model, repeat, x),
+g AS (SELECT model, repeat, k, k / 199.0::DOUBLE AS xk FROM (SELECT DISTINCT model, repeat FROM pts) c CROSS JOIN range(0, 200) t(k)),
+l AS (SELECT g.model, g.repeat, g.k, g.xk, p.x AS xl, p.yhi AS yl
+      FROM g ASOF LEFT JOIN pts p ON g.model = p.model AND g.repeat = p.repeat AND g.xk >= p.x),
+r AS (SELECT g.model, g.repeat, g.k, p.x AS xr, p.ylo AS yr
+      FROM g ASOF LEFT JOIN pts p ON g.model = p.model AND g.repeat = p.repeat AND g.xk < p.x),
+i AS (SELECT l.model, l.repeat, l.k, l.xk,
+             CASE WHEN xl IS NULL THEN yr WHEN xr IS NULL OR l.xk = xl THEN yl
+                  ELSE yl + (l.xk - xl) * (yr - yl) / (xr - xl) END AS yi
+      FROM l JOIN r USING (model, repeat, k)),
+f AS (SELECT model, repeat, k, xk, {first} AS yv FROM i)
+SELECT model, cast(k AS integer) AS k, round(min(xk), 9) AS x, round({last}, 9) AS y FROM f GROUP BY model, k
+"""
+
+
+ROC_CURVE = _curve_sql("roc")
+PR_CURVE = _curve_sql("pr")
+
+CALIBRATION_CURVE = f"""
+WITH pred AS ({PRED}),
+e AS (SELECT model, quantile_cont(proba, [0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9]) AS edges FROM pred GROUP BY model),
+b AS (SELECT p.model, p.proba, p.y_true, len(list_filter(e.edges, lambda v: v < p.proba)) AS bin
+      FROM pred p JOIN e USING (model))
+SELECT model, cast(bin AS integer) AS bin, round(avg(proba), 9) AS prob_pred, round(avg(y_true), 9) AS prob_true,
+       count(*) AS n FROM b GROUP BY model, bin
+"""
+
+CONFUSION_MATRIX = f"""
+WITH d AS {BEST_PRED}
+SELECT model, repeat, t.y_true, t.y_pred, count(d.model) AS n
+FROM (SELECT DISTINCT model, repeat FROM d) c
+CROSS JOIN (VALUES (0, 0), (0, 1), (1, 0), (1, 1)) t(y_true, y_pred)
+LEFT JOIN d USING (model, repeat, y_true, y_pred)
+GROUP BY model, repeat, t.y_true, t.y_pred
+"""
+
+SQL.update({
+    "roc_curve": ROC_CURVE,
+    "pr_curve": PR_CURVE,
+    "calibration_curve": CALIBRATION_CURVE,
+    "confusion_matrix": CONFUSION_MATRIX,
+})

@@ -323,3 +323,33 @@ REGISTRY.update({
     "prep_transform": q_prep_transform,
     "feature_lineage": q_feature_lineage,
 })
+
+
+# ---------------------------------------------------------------- curves
+def q_roc_curve(spark, sf_dir):
+    c = M.mean_curve(B.pred_scores(spark, sf_dir), "roc")
+    return round_doubles(c.select("model", "k", "x", "y"))
+
+
+def q_pr_curve(spark, sf_dir):
+    c = M.mean_curve(B.pred_scores(spark, sf_dir), "pr")
+    return round_doubles(c.select("model", "k", "x", "y"))
+
+
+def q_calibration_curve(spark, sf_dir):
+    return round_doubles(M.calibration_curve(B.pred_scores(spark, sf_dir), ["model"]))
+
+
+def q_confusion_matrix(spark, sf_dir):
+    pred = B.pred_scores(spark, sf_dir)
+    best = M.best_threshold(pred, CELL)
+    cm = M.confusion_matrix(M.apply_threshold(pred, best, CELL), CELL)
+    return cm.select("model", "repeat", F.col("y_true").cast("int"), F.col("y_pred").cast("int"), "n")
+
+
+REGISTRY.update({
+    "roc_curve": q_roc_curve,
+    "pr_curve": q_pr_curve,
+    "calibration_curve": q_calibration_curve,
+    "confusion_matrix": q_confusion_matrix,
+})
