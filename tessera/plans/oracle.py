@@ -595,3 +595,45 @@ SQL.update({
     "calibration_curve": CALIBRATION_CURVE,
     "confusion_matrix": CONFUSION_MATRIX,
 })
+
+# ---------------------------------------------------------------- selection
+_PSI = "(coalesce(list_sum(list_transform(range(1, {n}), lambda t: 1.0 / t)), 0) - 0.5772156649015329)"
+
+MI_BASE = f"""
+WITH l AS (SELECT row_id, label, feature_idx, CASE WHEN isinf(value) THEN NULL ELSE value END AS v FROM {WIDE_LONG} w),
+med AS (SELECT feature_idx, quantile_cont(v, 0.5) AS m FROM l GROUP BY feature_idx),
+x AS (SELECT l.row_id, l.label, cast(l.feature_idx AS integer) AS feature_idx, coalesce(l.v, med.m) AS x
+      FROM l JOIN med USING (feature_idx))
+"""
+
+MI_KNN = MI_BASE + f""",
+nl AS (SELECT feature_idx, label, count(*) AS n_label FROM x GROUP BY feature_idx, label),
+xp AS (SELECT x.*, nl.n_label, least(3, nl.n_label - 1) AS k FROM x JOIN nl USING (feature_idx, label) WHERE nl.n_label > 1),
+dd AS (SELECT a.feature_idx, a.row_id, a.k, abs(b.x - a.x) AS dist,
+              row_number() OVER (PARTITION BY a.feature_idx, a.row_id ORDER BY abs(b.x - a.x)) AS rn
+       FROM xp a JOIN xp b ON a.feature_idx = b.feature_idx AND a.label = b.label AND a.row_id <> b.row_id),
+rr AS (SELECT feature_idx, row_id, dist AS r FROM dd WHERE rn = k),
+mm AS (SELECT a.feature_idx, a.row_id, a.k, a.n_label,
+              count(*) FILTER (WHERE CASE WHEN rr.r > 0 THEN abs(b.x - a.x) < rr.r ELSE b.x = a.x END) AS m
+       FROM xp a JOIN rr ON a.feature_idx = rr.feature_idx AND a.row_id = rr.row_id
+                 JOIN xp b ON a.feature_idx = b.feature_idx
+       GROUP BY a.feature_idx, a.row_id, a.k, a.n_label),
+agg AS (SELECT feature_idx, count(*) AS n, avg({_PSI.format(n='k')}) AS pk, avg({_PSI.format(n='n_label')}) AS pl,
+               avg({_PSI.format(n='m')}) AS pm FROM mm GROUP BY feature_idx)
+SELECT feature_idx, round(greatest(0.0, {_PSI.format(n='n')} + pk - pl - pm), 9) AS mi FROM agg
+"""
+
+MI_BINNED = MI_BASE + """,
+e AS (SELECT feature_idx, quantile_cont(x, [0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9]) AS edges, count(*) AS n
+      FROM x GROUP BY feature_idx),
+b AS (SELECT x.feature_idx, x.label AS y, len(list_filter(e.edges, lambda t: t < x.x)) AS bin, e.n
+      FROM x JOIN e USING (feature_idx)),
+c AS (SELECT feature_idx, bin, y, count(*) AS c, any_value(n) AS n FROM b GROUP BY feature_idx, bin, y),
+c2 AS (SELECT *, sum(c) OVER (PARTITION BY feature_idx, bin) AS cb, sum(c) OVER (PARTITION BY feature_idx, y) AS cy FROM c)
+SELECT feature_idx, round(sum(c * 1.0 / n * ln(c * n * 1.0 / (cb * cy))), 9) AS mi FROM c2 GROUP BY feature_idx
+"""
+
+SQL.update({
+    "mi_knn": MI_KNN,
+    "mi_binned": MI_BINNED,
+})

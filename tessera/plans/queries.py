@@ -353,3 +353,56 @@ REGISTRY.update({
     "calibration_curve": q_calibration_curve,
     "confusion_matrix": q_confusion_matrix,
 })
+
+
+# ---------------------------------------------------------------- selection
+from tessera.operators import select as SEL  # noqa: E402
+
+
+def imputed_long_whole(spark, sf_dir, derived=False):
+    """WIDE long view, ±inf → NULL, imputed with whole-table medians."""
+    lg = B.wide_long(spark, sf_dir, derived).withColumn(
+        "value", F.when(F.abs("value") == F.lit(float("inf")), F.lit(None).cast("double")).otherwise(F.col("value")))
+    med = lg.groupBy("feature_idx").agg(F.percentile("value", 0.5).alias("_m"))
+    return lg.join(med, "feature_idx").withColumn("x", F.coalesce("value", "_m")).drop("_m")
+
+
+def q_mi_knn(spark, sf_dir):
+    return round_doubles(SEL.mutual_info_knn(imputed_long_whole(spark, sf_dir), []))
+
+
+def q_mi_binned(spark, sf_dir):
+    return round_doubles(SEL.mutual_info_binned(imputed_long_whole(spark, sf_dir), []))
+
+
+def mrmr_selection(spark, sf_dir, k=20):
+    """Per repeat: fold-safe prep on train rows, MI relevance of the kept
+    features on imputed train values, MRMR over the kept set."""
+    w, a, cells = prep_inputs(spark, sf_dir)
+    m = P.FeaturePrep(["repeat"]).fit(w, cells)
+    kept = m.params.filter("keep").select("repeat", "feature_idx", "median")
+    long = P.to_long(P.fit_rows(w, cells, ["repeat"]), ["repeat"]).join(
+        B.wide_samples(spark, sf_dir).select(F.col("row_id"), F.col("label")), "row_id")
+    long = long.join(kept, ["repeat", "feature_idx"]).withColumn("x", F.coalesce("value", "median"))
+    rel = SEL.mutual_info_knn(long, ["repeat"])
+    corr = m.corr.join(kept.select("repeat", F.col("feature_idx").alias("i")), ["repeat", "i"]) \
+        .join(kept.select("repeat", F.col("feature_idx").alias("j")), ["repeat", "j"])
+    return SEL.mrmr(rel, corr, ["repeat"], k)
+
+
+def q_mrmr_topk(spark, sf_dir):
+    return round_doubles(mrmr_selection(spark, sf_dir))
+
+
+def q_selection_stability(spark, sf_dir):
+    sel = mrmr_selection(spark, sf_dir)
+    names = B.wide_feature_names(spark, derived=True)
+    return round_doubles(SEL.selection_stability(sel).join(F.broadcast(names), "feature_idx"))
+
+
+REGISTRY.update({
+    "mi_knn": q_mi_knn,
+    "mi_binned": q_mi_binned,
+    "mrmr_topk": q_mrmr_topk,
+    "selection_stability": q_selection_stability,
+})
