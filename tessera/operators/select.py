@@ -26,9 +26,14 @@ def mutual_info_knn(long: DataFrame, cell_cols: Sequence[str], n_neighbors: int
     with the k-nearest-neighbour estimator (Ross 2014), floored at 0.
 
     Per point: k = min(n_neighbors, N_label − 1); r = distance to the k-th
-    nearest same-label point; m = points of any label with |x_j − x_i| < r
-    (or equal to x_i when r = 0), self included; labels with one point are
-    ignored.  MI = ψ(N) + ⟨ψ(k)⟩ − ⟨ψ(N_label)⟩ − ⟨ψ(m)⟩.
+    nearest same-label point; m = points of any label strictly inside the
+    interval (x_i − r, x_i + r) (or equal to x_i when r = 0), self included;
+    labels with one point are ignored.  MI = ψ(N) + ⟨ψ(k)⟩ − ⟨ψ(N_label)⟩ − ⟨ψ(m)⟩.
+    An interval end that coincides with a same-label neighbour is that
+    neighbour's exact value, so the neighbour at distance r is never counted.
+    (The interval and |x_j − x_i| < r agree except for values within one
+    rounding step of an end; the library adds 1e-10 noise to break such ties,
+    which no deterministic engine reproduces.)
 
     r and the same-label part of m come from a ±k row frame in sorted order
     (the k nearest in 1-D are within k positions); the other-label part of m
@@ -51,9 +56,9 @@ def mutual_info_knn(long: DataFrame, cell_cols: Sequence[str], n_neighbors: int
     r = F.col("r")
     hi_snap = F.array_min(F.filter("_fr", lambda v: (v > xc) & ((v - xc) == r)))
     lo_snap = F.array_max(F.filter("_fr", lambda v: (v < xc) & ((xc - v) == r)))
-    d = d.select(*cf, "row_id", "y", "x", "n_label", "k", "r", "eq_all",
-                 F.size(F.filter("_fr", lambda v: F.abs(v - xc) < r)).alias("m_same"),
-                 F.coalesce(hi_snap, xc + r).alias("hi"), F.coalesce(lo_snap, xc - r).alias("lo"))
+    d = d.withColumn("hi", F.coalesce(hi_snap, xc + r)).withColumn("lo", F.coalesce(lo_snap, xc - r))
+    d = d.select(*cf, "row_id", "y", "x", "n_label", "k", "r", "eq_all", "hi", "lo",
+                 F.size(F.filter("_fr", lambda v: (v > F.col("lo")) & (v < F.col("hi")))).alias("m_same"))
     d = d.cache()
     # sweep: type 0 counts points strictly below (hi), type 2 counts points at or below (lo)
     pts = d.select(*cf, F.col("x").alias("v"), F.lit(1).alias("t"), F.lit(None).cast("long").alias("row_id"),
