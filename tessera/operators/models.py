@@ -1,12 +1,44 @@
-"""Model estimators over the grouped sample table (see module functions)."""
+"""Model estimators over the grouped sample table.
+
+Built-in Spark ML estimators do the distributed fitting (logistic regression,
+random forest, gradient-boosted trees, linear SVM); this module adds the
+evaluation-protocol pieces around them: balanced class weights, the seeded
+hyper-parameter trial table, the model registry, random Fourier features for
+the RBF-kernel SVM, and probability/score extraction.
+"""
 from __future__ import annotations
 
-from collections.abc import Sequence
+import math
+from collections.abc import Mapping, Sequence
+from typing import Any
 
-from pyspark.sql import DataFrame
+import numpy as np
+import pandas as pd
+from pyspark.ml.classification import (GBTClassifier, LinearSVC, LogisticRegression,
+                                       RandomForestClassifier)
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.functions import pandas_udf
+
+from tessera.functions.exprs import DEFAULT_SEED, attach_scalar, seeded_uniform
 
-from tessera.functions.exprs import attach_scalar
+# Hyper-parameter search space per model (kind, low, high, step/choices).
+MRMR_K_CHOICES = (20, 50, 100)
+SEARCH_SPACE: dict[str, dict[str, tuple]] = {
+    "LR": {"C": ("log", 1e-3, 1e2), "penalty": ("cat", ("l1", "l2"))},
+    "SVM": {"C": ("log", 1e-2, 1e2), "gamma": ("log", 1e-4, 1e0)},
+    "RF": {"n_estimators": ("int", 100, 500, 50), "max_depth": ("int", 3, 20, 1),
+           "min_samples_leaf": ("int", 1, 10, 1), "max_features": ("cat", ("sqrt", "log2"))},
+    "ET": {"n_estimators": ("int", 100, 500, 50), "max_depth": ("int", 3, 20, 1),
+           "min_samples_leaf": ("int", 1, 10, 1), "max_features": ("cat", ("sqrt", "log2"))},
+    "GB": {"n_estimators": ("int", 100, 500, 50), "learning_rate": ("log", 1e-3, 3e-1),
+           "max_depth": ("int", 2, 8, 1), "subsample": ("float", 0.5, 1.0)},
+    "KNN": {"n_neighbors": ("int", 3, 25, 1), "weights": ("cat", ("uniform", "distance")),
+            "metric": ("cat", ("euclidean", "manhattan"))},
+}
+RFF_DIM = 256
 
 
 def class_weights(df: DataFrame, by: Sequence[str] = (), label: str = "label",
@@ -21,3 +53,110 @@ def class_weights(df: DataFrame, by: Sequence[str] = (), label: str = "label",
     w = (c.join(t, by) if by else attach_scalar(c, t)).select(
         *by, label, (F.col("_n") / (F.col("_k") * F.col("_nc"))).alias(out))
     return df.join(w, [*by, label])
+
+
+def trial_table(spark: SparkSession, models: Sequence[str], n_trials: int,
+                seed: int = DEFAULT_SEED) -> DataFrame:
+    """M9: seeded random trials ``(model, trial, param, value, choice)``.
+
+    Each parameter draws u ~ U[0,1) from md5(seed:model:trial:param):
+    log-uniform floats, uniform floats, stepped ints and categoricals; every
+    trial also draws ``mrmr_k``.  Generated with ``range`` + ``explode``."""
+    rows = []
+    for m in models:
+        space = {"mrmr_k": ("cat", tuple(str(k) for k in MRMR_K_CHOICES)), **SEARCH_SPACE[m]}
+        for name, spec in space.items():
+            rows.append((m, name, spec[0], float(spec[1]) if spec[0] != "cat" else 0.0,
+                         float(spec[2]) if spec[0] != "cat" else 0.0,
+                         float(spec[3]) if spec[0] == "int" else 1.0,
+                         list(spec[1]) if spec[0] == "cat" else []))
+    space_df = spark.createDataFrame(rows, "model string, param string, kind string, lo double, hi double, "
+                                           "step double, choices array<string>")
+    u = seeded_uniform(seed, "model", "trial", "param")
+    t = space_df.withColumn("trial", F.explode(F.sequence(F.lit(0), F.lit(n_trials - 1)))).withColumn("_u", u)
+    lo, hi, step = F.col("lo"), F.col("hi"), F.col("step")
+    value = (F.when(F.col("kind") == "log", F.exp(F.log(lo) + F.col("_u") * (F.log(hi) - F.log(lo))))
+              .when(F.col("kind") == "float", lo + F.col("_u") * (hi - lo))
+              .when(F.col("kind") == "int", lo + F.floor(F.col("_u") * (F.floor((hi - lo) / step) + 1)) * step))
+    choice = F.when(F.col("kind") == "cat",
+                    F.element_at("choices", (F.floor(F.col("_u") * F.size("choices")) + 1).cast("int")))
+    return t.select("model", "trial", "param", value.alias("value"), choice.alias("choice"))
+
+
+def trial_params(trials: DataFrame) -> dict[tuple[str, int], dict[str, Any]]:
+    """The (models × trials)-sized parameter table as dicts for the fit loop."""
+    out: dict[tuple[str, int], dict[str, Any]] = {}
+    for r in trials.collect():
+        d = out.setdefault((r.model, r.trial), {})
+        if r.choice is not None:
+            d[r.param] = int(r.choice) if r.param == "mrmr_k" else r.choice
+        else:
+            v = r.value
+            d[r.param] = int(round(v)) if SEARCH_SPACE[r.model][r.param][0] == "int" else float(v)
+    return out
+
+
+def rff_weights(dim_in: int, gamma: float, dim_out: int = RFF_DIM, seed: int = DEFAULT_SEED):
+    """Random Fourier features for exp(-γ‖x−y‖²): W ~ N(0, 2γ), b ~ U[0, 2π)."""
+    rng = np.random.default_rng(seed)
+    return rng.normal(0.0, math.sqrt(2.0 * gamma), size=(dim_in, dim_out)), rng.uniform(0, 2 * math.pi, dim_out)
+
+
+def random_fourier(df: DataFrame, col: str, gamma: float, dim_out: int = RFF_DIM,
+                   seed: int = DEFAULT_SEED, out: str = "rff") -> DataFrame:
+    """M2 feature map ``sqrt(2/D)·cos(xW + b)`` as an Arrow-batched UDF
+    (one matrix product per batch; W and b are small and captured once)."""
+    first = df.select(F.size(col).alias("d")).first()
+    dim_in = int(first.d) if first else 0
+    W, b = rff_weights(dim_in, gamma, dim_out, seed)
+    scale = math.sqrt(2.0 / dim_out)
+
+    @pandas_udf(T.ArrayType(T.DoubleType()))
+    def rff(xs: pd.Series) -> pd.Series:
+        if len(xs) == 0:
+            return pd.Series([], dtype=object)
+        X = np.vstack(xs.to_numpy()).astype(np.float64)
+        Z = scale * np.cos(X @ W + b)
+        return pd.Series(list(Z))
+
+    return df.withColumn(out, rff(F.col(col)))
+
+
+def build_estimator(model: str, params: Mapping[str, Any], n_weight: float, features: str = "fv",
+                    label: str = "label", weight: str = "weight", seed: int = DEFAULT_SEED):
+    """M7: registry name → unfitted Spark ML estimator (unknown name → error).
+
+    ``n_weight`` is the total class weight of the fit rows: penalised
+    objectives are rescaled so C·Σw·loss + penalty matches the library's."""
+    if model == "LR":
+        return LogisticRegression(featuresCol=features, labelCol=label, weightCol=weight,
+                                  regParam=1.0 / (params["C"] * n_weight),
+                                  elasticNetParam=1.0 if params["penalty"] == "l1" else 0.0,
+                                  standardization=False, maxIter=200, tol=1e-6)
+    if model == "SVM":
+        return LinearSVC(featuresCol=features, labelCol=label, weightCol=weight,
+                         regParam=1.0 / (params["C"] * n_weight), standardization=False, maxIter=200)
+    if model == "RF":
+        return RandomForestClassifier(featuresCol=features, labelCol=label, weightCol=weight,
+                                      numTrees=int(params["n_estimators"]), maxDepth=int(params["max_depth"]),
+                                      minInstancesPerNode=int(params["min_samples_leaf"]),
+                                      featureSubsetStrategy=params["max_features"], seed=seed)
+    if model == "GB":
+        return GBTClassifier(featuresCol=features, labelCol=label, maxIter=int(params["n_estimators"]),
+                             stepSize=float(params["learning_rate"]), maxDepth=int(params["max_depth"]),
+                             subsamplingRate=float(params["subsample"]), seed=seed)
+    if model in SEARCH_SPACE:
+        raise NotImplementedError(f"model {model} has no Spark ML estimator here")
+    raise ValueError(f"Unknown model: {model}")
+
+
+def score_column(model: str) -> F.Column:
+    """Positive-class score of a fitted model's output: P(y=1) for
+    probabilistic models, the margin for the linear SVM (calibrated later)."""
+    if model == "SVM":
+        return vector_to_array("rawPrediction")[1]
+    return vector_to_array("probability")[1]
+
+
+def to_vector(df: DataFrame, arr: str, out: str = "fv") -> DataFrame:
+    return df.withColumn(out, array_to_vector(F.col(arr)))

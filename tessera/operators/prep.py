@@ -193,16 +193,18 @@ class FeaturePrep:
         rows = fit_rows(samples, cells, cc, self.group)
         long = to_long(rows, cc)
         med = medians(long, cc)
-        stats = variance_filter(imputed_stats(long, med, cc), self.var_threshold).cache()
+        # fitted state is materialised (reliable checkpoint in the session's
+        # checkpoint dir): it is small (cells × features) and reused many times
+        stats = variance_filter(imputed_stats(long, med, cc), self.var_threshold).checkpoint()
         cand = stats.filter("keep_var")
         g = gram(rows, cc, cand.select(*cc, "feature_idx", "median"))
-        corr = correlations(g, cc).cache()
+        corr = correlations(g, cc).checkpoint()
         edges = corr_edges(corr, self.corr_threshold)
         kept = ordered_independent_set(cand.select(*cc, "feature_idx"), edges, cc)
         params = robust_scale_params(stats.join(kept.withColumn("keep", F.lit(True)),
                                                 [*cc, "feature_idx"], "left")
-                                     .withColumn("keep", F.coalesce("keep", F.lit(False))))
-        return FeaturePrepModel(cc, params.cache(), med, corr, edges)
+                                     .withColumn("keep", F.coalesce("keep", F.lit(False)))).checkpoint()
+        return FeaturePrepModel(cc, params, stats.select(*cc, "feature_idx", "median"), corr, edges)
 
 
 class FeaturePrepModel:
