@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from tessera.functions.exprs import clip01
 
 PLATT_MAX_ITER = 50
-PLATT_TOL = 1e-12
+PLATT_TOL = 1e-13
 
 
 def _targets(scores: DataFrame, by: Sequence[str], y: str) -> DataFrame:
@@ -69,36 +69,40 @@ def platt_fit(scores: DataFrame, by: Sequence[str], y: str = "y_true", s: str =
     for it in range(max_iter):
         if not active:
             break
-        step = {}
+        pending = {}
         for k in active:
             st = cur[k]
             det = st.haa * st.hbb - st.hab * st.hab
             if det <= 0:
-                da, db = 0.0, -st.gb / st.hbb if st.hbb > 0 else 0.0
-            else:
+                da, db = 0.0, (st.gb / st.hbb if st.hbb > 0 else 0.0)
+            else:                       # Newton direction −H⁻¹g
                 da = -(st.hbb * st.ga - st.hab * st.gb) / det
                 db = -(-st.hab * st.ga + st.haa * st.gb) / det
-            step[k] = (da, db, 1.0)
+            pending[k] = (da, db, 1.0)
             params[k]["g"] = math.hypot(st.ga, st.gb)
-        # step halving until the loss does not increase (all cells in one pass per trial)
-        pending = dict(step)
-        for _ in range(30):
+        finished = set()
+        for _ in range(8):              # step halving, all cells in one pass per try
             if not pending:
                 break
-            cands = {k: (params[k]["a"] + pending[k][2] * pending[k][0],
-                         params[k]["b"] + pending[k][2] * pending[k][1]) for k in pending}
+            cands = {k: (params[k]["a"] + lam * da, params[k]["b"] + lam * db)
+                     for k, (da, db, lam) in pending.items()}
             new = stats(cands)
             nxt = {}
             for k, (a2, b2) in cands.items():
-                if new[k].loss <= params[k]["loss"] + 1e-15 * abs(params[k]["loss"]):
+                old_loss = params[k]["loss"]
+                if new[k].loss <= old_loss:
+                    moved = abs(a2 - params[k]["a"]) + abs(b2 - params[k]["b"])
                     params[k].update(a=a2, b=b2, loss=new[k].loss, it=it + 1)
                     cur[k] = new[k]
+                    if old_loss - new[k].loss <= tol * max(1.0, abs(old_loss)) or \
+                            moved <= tol * (1.0 + abs(a2) + abs(b2)):
+                        finished.add(k)
                 else:
                     da, db, lam = pending[k]
                     nxt[k] = (da, db, lam / 2)
             pending = nxt
-        done = {k for k in active if k in step and (abs(step[k][0]) + abs(step[k][1]) < tol or k in pending)}
-        active -= done
+        finished |= set(pending)        # no descent left: at the optimum to working precision
+        active -= finished
     data.unpersist()
     rows = [(*k, v["a"], v["b"], v["it"], v["g"]) for k, v in params.items()]
     return spark.createDataFrame(rows, ", ".join(f"`{c}` {dict(scores.dtypes)[c]}" for c in by)

@@ -637,3 +637,24 @@ SQL.update({
     "mi_knn": MI_KNN,
     "mi_binned": MI_BINNED,
 })
+
+# ---------------------------------------------------------------- ensemble
+PRED_KEYED = """
+SELECT concat('M', cast(m AS varchar)) AS model, cast(l_suppkey % 20 AS int) AS repeat,
+       l_suppkey AS group_id, y AS y_true,
+       cast(w*10*y + floor(cast((100-w)*h AS double)/100) AS bigint) / cast(1000 AS double) AS proba,
+       l_orderkey, l_linenumber, l_partkey, l_quantity, l_extendedprice
+FROM (SELECT m, 10+5*m AS w, l_suppkey, l_orderkey, l_linenumber, l_partkey, l_quantity, l_extendedprice,
+             CASE WHEN l_quantity > 35 THEN 1 ELSE 0 END AS y,
+             (l_orderkey*7919 + l_linenumber*104729 + l_partkey*31 + m*15485863) % 1000 AS h
+      FROM lineitem CROSS JOIN (VALUES (1),(2),(3),(4),(5),(6),(7)) AS v(m)) q
+"""
+
+SOFT_VOTE = metrics_sql(f"""
+SELECT 'Ensemble' AS model, repeat, group_id, y_true, round(avg(proba), 12) AS proba
+FROM ({PRED_KEYED}) p WHERE model IN ('M5', 'M6', 'M7')
+GROUP BY repeat, group_id, y_true, l_orderkey, l_linenumber, l_partkey, l_quantity, l_extendedprice
+HAVING count(*) = 3
+""", "CASE WHEN proba >= 0.5 THEN 1 ELSE 0 END")
+
+SQL.update({"soft_vote": SOFT_VOTE})

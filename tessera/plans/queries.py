@@ -406,3 +406,63 @@ REGISTRY.update({
     "mrmr_topk": q_mrmr_topk,
     "selection_stability": q_selection_stability,
 })
+
+
+# ---------------------------------------------------------------- models, calibration, run
+from tessera.operators import calibrate as CAL  # noqa: E402
+from tessera.operators import models as MD  # noqa: E402
+
+
+def q_soft_vote(spark, sf_dir):
+    """C4 + C5: soft vote of M5..M7 per scored row (rows aligned on the
+    lineitem key, no join), then the nine metrics of the ensemble."""
+    pred = B.pred_scores(spark, sf_dir, row_key=True)
+    ens = CAL.soft_vote(pred, ["M5", "M6", "M7"], ["repeat", "group_id", "y_true", *B.ROW_KEY])
+    # the mean of three scores is stored at 1e-12 resolution, so equal means tie exactly
+    ens = ens.withColumn("proba", F.round("proba", 12)).withColumn("y_pred", (F.col("proba") >= 0.5).cast("int"))
+    return round_doubles(M.binary_metrics(ens, CELL))
+
+
+def q_platt_fit(spark, sf_dir):
+    """Platt parameters per (model, repeat) on the PRED scores."""
+    pred = B.pred_scores(spark, sf_dir).withColumnRenamed("proba", "score")
+    return round_doubles(CAL.platt_fit(pred, CELL).drop("n_iter", "grad_norm"))
+
+
+def q_sigmoid_apply(spark, sf_dir):
+    """C3 (+ P9/P10): calibrated probabilities; summary per cell."""
+    pred = B.pred_scores(spark, sf_dir).withColumnRenamed("proba", "score")
+    cal = CAL.platt_apply(pred, CAL.platt_fit(pred, CELL), CELL, s="score")
+    return round_doubles(cal.groupBy(*CELL).agg(
+        F.avg("proba").alias("mean_proba"), F.min("proba").alias("min_proba"),
+        F.max("proba").alias("max_proba"),
+        F.max(F.abs(F.col("proba_pair")[0] + F.col("proba_pair")[1] - 1)).alias("pair_err")))
+
+
+def q_random_search(spark, sf_dir):
+    """M9: the seeded trial table (50 trials × 6 models), with the number of
+    WIDE training rows it will be fitted on per repeat."""
+    w = B.wide_samples(spark, sf_dir)
+    n = w.agg(F.count(F.lit(1)).alias("n_rows"))
+    from tessera.functions.exprs import attach_scalar
+    t = MD.trial_table(spark, ["LR", "SVM", "RF", "ET", "GB", "KNN"], 50)
+    return round_doubles(attach_scalar(t, n))
+
+
+def q_full_run(spark, sf_dir):
+    """The grouped evaluation at the reference's smoke configuration
+    (2 repeats, 3 trials, 3 inner folds) on the whole WIDE table; test
+    metrics per (model, repeat) including the soft-vote ensemble."""
+    from tessera.plans.run import RunConfig, run_evaluation
+    w, _, _ = prep_inputs(spark, sf_dir)
+    res = run_evaluation(spark, w, RunConfig.smoke(models=("LR", "SVM", "RF")))
+    return round_doubles(res["metrics"])
+
+
+REGISTRY.update({
+    "soft_vote": q_soft_vote,
+    "platt_fit": q_platt_fit,
+    "sigmoid_apply": q_sigmoid_apply,
+    "random_search": q_random_search,
+    "full_run": q_full_run,
+})

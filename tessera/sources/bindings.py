@@ -23,13 +23,18 @@ WIDE_GROUPS = 23
 WIDE_NULL_MOD, WIDE_INF_MOD = 97, 211
 
 
-def pred_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+ROW_KEY = ("l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_extendedprice")
+
+
+def pred_scores(spark: SparkSession, sf_dir: str, row_key: bool = False) -> DataFrame:
     """PRED: every lineitem scored by 7 models; repeat = supplier mod 20.
 
     The 7 models are an ``explode`` of a literal array (a Generate node, no join).
+    ``row_key`` keeps the lineitem columns that identify a scored row (with
+    the supplier), for row-aligned operators such as the soft vote.
     """
     li = read_table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity")
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice")
     m = F.col("m")
     w = F.lit(10) + F.lit(5) * m
     y = (F.col("l_quantity") > 35).cast("int")
@@ -43,7 +48,8 @@ def pred_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
                     (F.col("l_suppkey") % PRED_REPEATS).cast("int").alias("repeat"),
                     F.col("l_suppkey").alias("group_id"),
                     y.alias("y_true"),
-                    proba.alias("proba")))
+                    proba.alias("proba"),
+                    *([F.col(c) for c in ROW_KEY] if row_key else [])))
 
 
 def _wide_value(vec_id, j, raw):
