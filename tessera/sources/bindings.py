@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.sources.tables import read_table
+from tessera.sources.tables import read_table, spread
 
 # Fixed values of the PRED binding (multipliers of the score hash).
 PRED_MODELS = 7
@@ -33,8 +33,8 @@ def pred_scores(spark: SparkSession, sf_dir: str, row_key: bool = False) -> Data
     ``row_key`` keeps the lineitem columns that identify a scored row (with
     the supplier), for row-aligned operators such as the soft vote.
     """
-    li = read_table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice")
+    li = spread(read_table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice"))
     m = F.col("m")
     w = F.lit(10) + F.lit(5) * m
     y = (F.col("l_quantity") > 35).cast("int")
@@ -99,9 +99,9 @@ def wide_long(spark: SparkSession, sf_dir: str, derived: bool = False) -> DataFr
 
 def groups_tall(spark: SparkSession, sf_dir: str) -> DataFrame:
     """GROUPS_TALL: lineitem rows grouped by supplier, label ``l_quantity > 35``."""
-    return read_table(spark, sf_dir, "lineitem").select(
+    return spread(read_table(spark, sf_dir, "lineitem").select(
         F.col("l_suppkey").cast("string").alias("group_id"),
-        (F.col("l_quantity") > 35).cast("int").alias("label"))
+        (F.col("l_quantity") > 35).cast("int").alias("label")))
 
 
 def mixed_events(spark: SparkSession, sf_dir: str) -> DataFrame:
