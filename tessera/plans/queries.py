@@ -455,7 +455,7 @@ def q_full_run(spark, sf_dir):
     metrics per (model, repeat) including the soft-vote ensemble."""
     from tessera.plans.run import RunConfig, run_evaluation
     w, _, _ = prep_inputs(spark, sf_dir)
-    res = run_evaluation(spark, w, RunConfig.smoke(models=("LR", "SVM", "RF")))
+    res = run_evaluation(spark, w, RunConfig.smoke(models=("LR", "RF")))
     return round_doubles(res["metrics"])
 
 
