@@ -1,16 +1,18 @@
 """The queries of this package and their SQL, for ``__spark_entry__``."""
 from __future__ import annotations
 
-from tessera.llm import best_fit_packing, decontaminate, hilbert_shards, secret_scan, token_files
+from tessera.llm import best_fit_packing, decontaminate, hilbert_shards, jaccard_join, secret_scan, token_files
 
 QUERIES = {
     "op2_secret_scans": secret_scan.q_secrets,
     "op4_hilbert_shards": hilbert_shards.q_hilbert_shards,
+    "op7_ngram_jaccard_join": jaccard_join.q_jaccard_join,
     "op8_best_fit_packing": best_fit_packing.q_best_fit_packing,
     "op9_benchmark_decontamination": decontaminate.q_decontaminate,
     "op10_token_files": token_files.q_token_files,
 }
 
 SQL = {
+    "op7_ngram_jaccard_join": jaccard_join.SQL,
     "op9_benchmark_decontamination": decontaminate.SQL,
 }
