@@ -1,11 +1,14 @@
 """The queries of this package and their SQL, for ``__spark_entry__``."""
 from __future__ import annotations
 
-from tessera.llm import best_fit_packing, decontaminate, hilbert_shards, jaccard_join, secret_scan, token_files
+from tessera.llm import best_fit_packing, decontaminate, hilbert_shards, jaccard_join, quality_rules, rule_ensemble, secret_scan, substring_dedup, token_files
 
 QUERIES = {
     "op2_secret_scans": secret_scan.q_secrets,
+    "op3_quality_rules": quality_rules.q_quality_rules,
     "op4_hilbert_shards": hilbert_shards.q_hilbert_shards,
+    "op5_rule_ensemble": rule_ensemble.q_rule_ensemble,
+    "op6_substring_dedup": substring_dedup.q_substring_dedup,
     "op7_ngram_jaccard_join": jaccard_join.q_jaccard_join,
     "op8_best_fit_packing": best_fit_packing.q_best_fit_packing,
     "op9_benchmark_decontamination": decontaminate.q_decontaminate,
@@ -13,6 +16,7 @@ QUERIES = {
 }
 
 SQL = {
+    "op6_substring_dedup": substring_dedup.SQL,
     "op7_ngram_jaccard_join": jaccard_join.SQL,
     "op9_benchmark_decontamination": decontaminate.SQL,
 }
