@@ -135,6 +135,7 @@ def _index(texts: list[bytes], n: int, counts: dict[int, int]):
 
 
 def _scan(docs: DataFrame, sent, ids: list[str], n: int, counts: dict[int, int]) -> DataFrame:
+    """Findings of one slice added to ``id, text, n_words, spans, items`` and whatever follows."""
     kept = docs.sparkSession.sparkContext.broadcast(counts)
     schema = docs.schema
 
@@ -170,7 +171,7 @@ def _scan(docs: DataFrame, sent, ids: list[str], n: int, counts: dict[int, int])
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(sizes, pa.int64()),
                  pa.array(rows, pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))),
-                 pa.array(items, pa.list_(pa.string()))], ["id", "text", "n_words", "spans", "items"])
+                 pa.array(items, pa.list_(pa.string())), *batch.columns[5:]], batch.schema.names)
 
     return docs.mapInArrow(scan, schema)
 
@@ -185,23 +186,12 @@ def _merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def find_items(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-               item_col: str = "item_id", item_text_col: str = "text", n: int = 10,
-               slice_bytes: int = 8 << 20) -> DataFrame:
-    """For each row of ``docs``: ``id, text, n_words, spans, items``.
-
-    ``spans`` are the merged word ranges (end exclusive) that lie inside an
-    occurrence of a window; ``items`` the ids, as sorted strings, of the items
-    that have an occurring window.
-    """
-    spark = docs.sparkSession
+def _find(state: DataFrame, items: DataFrame, item_col: str, item_text_col: str, n: int, slice_bytes: int) -> DataFrame:
+    spark = state.sparkSession
     own = keyed_texts(items, item_col, item_text_col)
     size = F.coalesce(F.octet_length("text"), F.lit(0)) + 16
     slices = max(1, -(-int(own.agg(F.sum(size)).first()[0] or 0) // slice_bytes))
     of = F.pmod(F.xxhash64(F.col("id").cast("string"), "text"), F.lit(slices))
-    state = keyed_texts(docs, id_col, text_col).select(
-        "id", "text", F.lit(0).cast("long").alias("n_words"), F.array().cast(FOUND).alias("spans"),
-        F.array().cast("array<string>").alias("items"))
     for k in range(slices):
         part = own.where(of == k).collect()  # one slice: about slice_bytes of text
         sent = spark.sparkContext.broadcast([(r[1] or "").encode() for r in part])
@@ -213,6 +203,31 @@ def find_items(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_c
     return state
 
 
+def _empty():
+    return [F.lit(0).cast("long").alias("n_words"), F.array().cast(FOUND).alias("spans"), F.array().cast("array<string>").alias("items")]
+
+
+def find_items(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+               item_col: str = "item_id", item_text_col: str = "text", n: int = 10,
+               slice_bytes: int = 8 << 20) -> DataFrame:
+    """For each row of ``docs``: ``id, text, n_words, spans, items``.
+
+    ``spans`` are the merged word ranges (end exclusive) that lie inside an
+    occurrence of a window; ``items`` the ids, as sorted strings, of the items
+    that have an occurring window.
+    """
+    state = keyed_texts(docs, id_col, text_col).select("id", "text", *_empty())
+    return _find(state, items, item_col, item_text_col, n, slice_bytes)
+
+
+def clean_rows(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+               item_col: str = "item_id", item_text_col: str = "text", n: int = 10, slice_bytes: int = 8 << 20) -> DataFrame:
+    """The rows of ``docs``, with all their columns, that hold no window of any item."""
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    state = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"), *_empty(), row)
+    return _find(state, items, item_col, item_text_col, n, slice_bytes).where(F.size("spans") == 0).select("row.*")
+
+
 def n_hit(spans: str = "spans"):
     return F.aggregate(spans, F.lit(0).cast("long"), lambda acc, s: acc + (s["end"] - s["start"]))
 

@@ -1,9 +1,11 @@
 """The queries of this package and their SQL, for ``__spark_entry__``."""
 from __future__ import annotations
 
-from tessera.llm import best_fit_packing, decontaminate, hilbert_shards, jaccard_join, quality_rules, rule_ensemble, secret_scan, substring_dedup, token_files
+import corpus_pipeline
+from tessera.llm import best_fit_packing, decontaminate, hilbert_shards, jaccard_join, language_id, quality_rules, rule_ensemble, secret_scan, substring_dedup, token_files
 
 QUERIES = {
+    "op1_language_id": language_id.q_language_id,
     "op2_secret_scans": secret_scan.q_secrets,
     "op3_quality_rules": quality_rules.q_quality_rules,
     "op4_hilbert_shards": hilbert_shards.q_hilbert_shards,
@@ -13,6 +15,7 @@ QUERIES = {
     "op8_best_fit_packing": best_fit_packing.q_best_fit_packing,
     "op9_benchmark_decontamination": decontaminate.q_decontaminate,
     "op10_token_files": token_files.q_token_files,
+    "pipeline": corpus_pipeline.run,
 }
 
 SQL = {
