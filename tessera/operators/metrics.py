@@ -38,6 +38,46 @@ def score_histogram(pred: DataFrame, by, y: str = "y_true", p: str = "proba",
         F.sum((F.lit(1) - yc) * yp).alias("fp_s"))
 
 
+def label_histogram(pred: DataFrame, by, y: str = "y_true", p: str = "proba") -> DataFrame:
+    """(cell, score) → pos, neg: all that thresholds, metrics and matrices need."""
+    yc = F.col(y).cast("long")
+    return pred.groupBy(*_by(by), F.col(p).cast("double").alias("score")).agg(
+        F.sum(yc).alias("pos"), F.sum(F.lit(1) - yc).alias("neg"))
+
+
+def decided_histogram(hist: DataFrame, thresholds: DataFrame, by, t: str = "threshold") -> DataFrame:
+    """Predicted positives (tp_s, fp_s) of each score under its cell's inclusive
+    threshold.  One row per cell meets the histogram; scored rows never join."""
+    by = _by(by)
+    hit = F.col("score") >= F.col(t)
+    return hist.join(thresholds.select(*by, t), by).select(
+        *by, "score", "pos", "neg", F.when(hit, F.col("pos")).otherwise(F.lit(0).cast("long")).alias("tp_s"),
+        F.when(hit, F.col("neg")).otherwise(F.lit(0).cast("long")).alias("fp_s"))
+
+
+def metrics_at_best_threshold(pred: DataFrame, by=("model", "repeat"), y: str = "y_true", p: str = "proba",
+                              grid: tuple[float, float, int] = THRESHOLD_GRID) -> DataFrame:
+    """The nine metrics at each cell's F1-best threshold: one scan of the scored
+    rows and one histogram, which gives both the threshold and the metrics."""
+    hist = label_histogram(pred, by, y, p)
+    return metrics_of_histogram(decided_histogram(hist, best_threshold_of_histogram(hist, by, grid), by), by)
+
+
+def confusion_at_best_threshold(pred: DataFrame, by, y: str = "y_true", p: str = "proba",
+                                grid: tuple[float, float, int] = THRESHOLD_GRID) -> DataFrame:
+    """Long 2×2 confusion matrix per cell at its F1-best threshold, from the histogram."""
+    by = _by(by)
+    hist = label_histogram(pred, by, y, p)
+    c = decided_histogram(hist, best_threshold_of_histogram(hist, by, grid), by).groupBy(*by).agg(
+        F.sum("tp_s").alias("tp"), F.sum("fp_s").alias("fp"),
+        F.sum(F.col("pos") - F.col("tp_s")).alias("fn"), F.sum(F.col("neg") - F.col("fp_s")).alias("tn"))
+    return _long_matrix(c, by)
+
+
+def _long_matrix(counts: DataFrame, by: list[str]) -> DataFrame:
+    return counts.selectExpr(*by, "stack(4, 0, 0, tn, 0, 1, fp, 1, 0, fn, 1, 1, tp) as (y_true, y_pred, n)")
+
+
 def cumulative_desc(hist: DataFrame, by, score: str, values: Sequence[str],
                     buckets: int = SCORE_BUCKETS) -> DataFrame:
     """Inclusive running sums of ``values`` over ``score`` descending, per cell.
@@ -70,8 +110,12 @@ def binary_metrics(pred: DataFrame, by=("model", "repeat"), y: str = "y_true",
     macro-F1 averages over classes present in y_true ∪ y_pred; balanced
     accuracy over classes present in y_true.
     """
+    return metrics_of_histogram(score_histogram(pred, by, y, p, y_pred), by)
+
+
+def metrics_of_histogram(hist: DataFrame, by) -> DataFrame:
+    """The nine metrics from ``(cell, score) → pos, neg, tp_s, fp_s``."""
     by = _by(by)
-    hist = score_histogram(pred, by, y, p, y_pred)
     cum = cumulative_desc(hist, by, "score", ["pos", "neg"])
     s = F.col("score")
     agg = cum.groupBy(*by).agg(
@@ -119,8 +163,7 @@ def confusion_counts(pred: DataFrame, by, y: str = "y_true", y_pred: str = "y_pr
 def confusion_matrix(pred: DataFrame, by, y: str = "y_true", y_pred: str = "y_pred") -> DataFrame:
     """Long 2×2 confusion matrix per cell, zero cells included."""
     by = _by(by)
-    c = confusion_counts(pred, by, y, y_pred)
-    return c.selectExpr(*by, "stack(4, 0, 0, tn, 0, 1, fp, 1, 0, fn, 1, 1, tp) as (y_true, y_pred, n)")
+    return _long_matrix(confusion_counts(pred, by, y, y_pred), by)
 
 
 def best_threshold(pred: DataFrame, by, y: str = "y_true", p: str = "proba",
@@ -133,11 +176,20 @@ def best_threshold(pred: DataFrame, by, y: str = "y_true", p: str = "proba",
     and every threshold between two present bins shares one confusion matrix,
     so only the lowest threshold of each run is a candidate (no grid join).
     """
+    yc = F.col(y).cast("long")
+    return _best_of_bins(pred.groupBy(*_by(by), grid_count_le(p, *grid).alias("bin")).agg(
+        F.sum(yc).alias("pos"), F.sum(1 - yc).alias("neg")), by, grid)
+
+
+def best_threshold_of_histogram(hist: DataFrame, by, grid: tuple[float, float, int] = THRESHOLD_GRID) -> DataFrame:
+    """``best_threshold`` from ``(cell, score) → pos, neg``."""
+    return _best_of_bins(hist.groupBy(*_by(by), grid_count_le("score", *grid).alias("bin")).agg(
+        F.sum("pos").alias("pos"), F.sum("neg").alias("neg")), by, grid)
+
+
+def _best_of_bins(h: DataFrame, by, grid: tuple[float, float, int]) -> DataFrame:
     by = _by(by)
     lo, hi, n = grid
-    yc = F.col(y).cast("long")
-    h = pred.groupBy(*by, grid_count_le(p, lo, hi, n).alias("bin")).agg(
-        F.sum(yc).alias("pos"), F.sum(1 - yc).alias("neg"))
     cell = Window.partitionBy(*by)
     down = cell.orderBy(F.desc("bin")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     h = h.select(*by, "bin",
@@ -160,8 +212,8 @@ def apply_threshold(pred: DataFrame, thresholds: DataFrame, by, p: str = "proba"
                     t: str = "threshold", out: str = "y_pred") -> DataFrame:
     """Attach each cell's threshold and the inclusive decision ``p >= t``.
 
-    The threshold table has one row per cell; AQE turns the join into a
-    broadcast once the runtime size of that side is known to be small.
+    For rows that need the decision itself; metrics and matrices take it from
+    the histogram (``metrics_at_best_threshold``) without a join of the rows.
     """
     by = _by(by)
     return (pred.join(thresholds.select(*by, t), by)

@@ -20,7 +20,6 @@ from pyspark.sql import types as T
 from tessera.functions.exprs import CORRELATION_THRESHOLD, VARIANCE_THRESHOLD
 
 EPS_SCALE = 10 * np.finfo(np.float64).eps
-GRAM_MAX_PARTITIONS = 64
 
 
 def fit_rows(samples: DataFrame, cells: DataFrame, cell_cols: Sequence[str],
@@ -92,22 +91,16 @@ def gram(rows: DataFrame, cell_cols: Sequence[str], params: DataFrame, features:
                     - F.col("median")[p]).alias("x"))
     cell_fields = [f for f in data.schema.fields if f.name in cell_cols]
     schema = _gram_schema(cell_fields)
-    nparts = data.rdd.getNumPartitions()
-    if nparts > GRAM_MAX_PARTITIONS:
-        data = data.coalesce(GRAM_MAX_PARTITIONS)
 
     def partial(batches):
-        frames = [b for b in batches]
-        if not frames:
-            return
-        pdf = pd.concat(frames, ignore_index=True)
-        for key, g in pdf.groupby(cell_cols, sort=False):
-            key = key if isinstance(key, tuple) else (key,)
-            idx = np.asarray(g["_idx"].iloc[0], dtype=np.int32)
-            X = np.vstack(g["x"].to_numpy()).astype(np.float64)
-            n = X.shape[0]
-            s = X.sum(axis=0)
-            G = X.T @ X
+        sums = {}  # cell -> features, rows, sums, products: d + d*d numbers a cell, whatever the number of rows
+        for pdf in batches:
+            for key, g in pdf.groupby(cell_cols, sort=False):
+                key = key if isinstance(key, tuple) else (key,)
+                X = np.vstack(g["x"].to_numpy()).astype(np.float64)
+                idx, n, s, G = sums.get(key, (np.asarray(g["_idx"].iloc[0], dtype=np.int32), 0, 0.0, 0.0))
+                sums[key] = (idx, n + len(X), s + X.sum(axis=0), G + X.T @ X)
+        for key, (idx, n, s, G) in sums.items():
             iu, ju = np.triu_indices(len(idx))
             out = {c: [k] * len(iu) for c, k in zip(cell_cols, key)}
             out.update(i=idx[iu], j=idx[ju], n=np.full(len(iu), n, dtype=np.int64),

@@ -44,8 +44,8 @@ def metric_pivot(metrics: DataFrame, metric: str, models: Sequence[str]) -> Data
 def _order_pos(model_order: Sequence[str] | None) -> F.Column:
     if not model_order:
         return F.lit(0)
-    return F.coalesce(F.array_position(F.array(*[F.lit(m) for m in model_order]), F.col("model")),
-                      F.lit(len(model_order) + 1))
+    at = F.array_position(F.array(*[F.lit(m) for m in model_order]), F.col("model"))
+    return F.coalesce(F.nullif(at, F.lit(0).cast("long")), F.lit(len(model_order) + 1).cast("long"))  # unknown models come last
 
 
 def best_run(metrics: DataFrame, metric: str = "macro_f1",

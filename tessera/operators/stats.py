@@ -83,14 +83,21 @@ def friedman(metrics: DataFrame, metric: str = "macro_f1", block: str = "repeat"
              treatment: str = "model") -> DataFrame:
     """H1: Friedman χ² with tie correction and its p-value (k−1 df).
 
-    Blocks must be complete (every treatment in every block)."""
+    Blocks must be complete (every treatment in every block, once); a missing or
+    repeated run raises when the result is computed."""
     v = metrics.select(block, treatment, F.col(metric).cast("double").alias("v"))
     r = v.withColumn("r", midrank(F.col("v"), [block]))
     ties = (v.groupBy(block, "v").agg(F.count(F.lit(1)).alias("t"))
             .agg(F.sum(F.col("t") ** 3 - F.col("t")).alias("tie_sum")))
     rs = r.groupBy(treatment).agg(F.sum("r").alias("R"), F.count(F.lit(1)).alias("nb"))
     s = rs.agg(F.sum(F.col("R") ** 2).alias("ssbn"), F.count(F.lit(1)).alias("k"),
-               F.max("nb").alias("n"))
+               F.max("nb").alias("n"), F.min("nb").alias("_least"))
+    blocks = v.groupBy(block).agg(F.countDistinct(treatment).alias("_t"), F.count(F.lit(1)).alias("_c")).agg(
+        F.count(F.lit(1)).alias("_blocks"), F.min("_t").alias("_tmin"), F.max("_c").alias("_cmax"))
+    s = attach_scalar(s, blocks)
+    whole = (F.col("_least") == F.col("_blocks")) & (F.col("_tmin") == F.col("k")) & (F.col("_cmax") == F.col("k"))
+    s = s.withColumn("n", F.when(whole, F.col("n")).otherwise(
+        F.raise_error(F.lit("friedman: blocks are incomplete or repeated")).cast("long")))
     k, n = F.col("k"), F.col("n")
     c = F.lit(1.0) - F.col("tie_sum") / (k * (k * k - 1) * n)
     stat = (F.lit(12.0) / (k * n * (k + 1)) * F.col("ssbn") - 3.0 * n * (k + 1)) / c
@@ -100,16 +107,19 @@ def friedman(metrics: DataFrame, metric: str = "macro_f1", block: str = "repeat"
 
 
 def paired_differences(metrics: DataFrame, metric: str = "macro_f1", block: str = "repeat",
-                       treatment: str = "model") -> DataFrame:
+                       treatment: str = "model", tolerance_digits: int | None = 12) -> DataFrame:
     """All unordered treatment pairs aligned per block (a < b by name).
 
     Pairs range over the treatment dimension (models of the run grid), whose
-    size is set by configuration, not by data volume."""
+    size is set by configuration, not by data volume.  Differences are compared
+    at ``tolerance_digits`` decimals, so that sums taken in another order don't
+    turn ties into differences; ``None`` ranks the raw differences."""
     a = metrics.select(F.col(block), F.col(treatment).alias("model_a"), F.col(metric).alias("va"))
     b = metrics.select(F.col(block), F.col(treatment).alias("model_b"), F.col(metric).alias("vb"))
     j = a.join(b, [block]).filter(F.col("model_a") < F.col("model_b"))
+    d = F.col("va") - F.col("vb")
     return j.select("model_a", "model_b", block,
-                    F.round(F.col("va") - F.col("vb"), 12).alias("d"))
+                    (d if tolerance_digits is None else F.round(d, tolerance_digits)).alias("d"))
 
 
 def wilcoxon_pairs(metrics: DataFrame, metric: str = "macro_f1", block: str = "repeat",

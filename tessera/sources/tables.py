@@ -19,15 +19,6 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Round-robin the rows over the cluster when the scan produced fewer
-    splits than the default parallelism (a file with a single row group).
-    A large table already scans in many splits and is returned unchanged, so
-    no shuffle is added at scale."""
-    sc = df.sparkSession.sparkContext
-    return df.repartition(sc.defaultParallelism) if df.rdd.getNumPartitions() < sc.defaultParallelism else df
-
-
 def sample_csv_schema(n_features: int, index_col: str = "PatientIndex",
                       side_col: str = "SideStandard", prefix: str = "Feature_") -> T.StructType:
     """Explicit schema of a per-class sample CSV."""

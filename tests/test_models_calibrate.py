@@ -22,7 +22,9 @@ def test_platt_matches_newton_reference(spark):
         g = np.array([(r * s).sum(), r.sum()])
         H = np.array([[(h * s * s).sum(), (h * s).sum()], [(h * s).sum(), h.sum()]])
         d = np.linalg.solve(H, g); a, b = a - d[0], b - d[1]
-    assert got.a == pytest.approx(a, abs=1e-9) and got.b == pytest.approx(b, abs=1e-9)
+    assert got.a == pytest.approx(a, abs=1e-9) and got.b == pytest.approx(b, abs=1e-9) and got.converged
+    early = C.platt_fit(df, ["model", "repeat"], max_iter=1).first()
+    assert not early.converged
 
 
 def test_platt_apply_pairs_sum_to_one_and_stream_scoring(spark):
@@ -39,8 +41,13 @@ def test_platt_apply_pairs_sum_to_one_and_stream_scoring(spark):
 def test_soft_vote_mean_and_completeness(spark):
     rows = [("RF", 0, 1, 0.2), ("GB", 0, 1, 0.4), ("ET", 0, 1, 0.9), ("RF", 0, 2, 0.5)]
     df = spark.createDataFrame(rows, "model string, repeat int, row_id int, proba double")
-    out = C.soft_vote(df, ["RF", "ET", "GB"], ["repeat", "row_id"]).collect()
+    out = C.soft_vote(df.filter("row_id = 1"), ["RF", "ET", "GB"], ["repeat", "row_id"]).collect()
     assert len(out) == 1 and out[0].proba == pytest.approx(0.5)
+    with pytest.raises(Exception, match="lacks a member"):
+        C.soft_vote(df, ["RF", "ET", "GB"], ["repeat", "row_id"]).collect()
+    twice = df.filter("row_id = 1 and model <> 'ET'").union(df.filter("model = 'GB'"))
+    with pytest.raises(Exception, match="repeats one"):
+        C.soft_vote(twice, ["RF", "ET", "GB"], ["repeat", "row_id"]).collect()
 
 
 def test_class_weights_balanced(spark):

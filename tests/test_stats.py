@@ -47,3 +47,20 @@ def test_published_golden_values(spark):
     assert approx_pairs == sorted([("ET", "GB"), ("ET", "RF"), ("Ensemble", "GB"), ("Ensemble", "RF")])
     sig = sorted(k for k, r in w.items() if r.significant)
     assert sig == sorted([("ET", "LR"), ("Ensemble", "LR"), ("LR", "RF")])
+
+
+def test_friedman_refuses_incomplete_blocks(spark):
+    rows = [(m, r, 0.1 * k + 0.01 * r) for k, m in enumerate("ABC") for r in range(4)]
+    schema = "model string, repeat int, macro_f1 double"
+    assert S.friedman(spark.createDataFrame(rows, schema)).first()["n"] == 4
+    for broken in (rows[1:], rows + rows[:1], rows[:-1] + rows[:1]):
+        with pytest.raises(Exception, match="incomplete or repeated"):
+            S.friedman(spark.createDataFrame(broken, schema)).collect()
+
+
+def test_unknown_models_lose_ties(spark):
+    df = spark.createDataFrame([("zzz", 0, 0.9), ("RF", 0, 0.9), ("LR", 0, 0.9)], "model string, repeat int, macro_f1 double")
+    from tessera.functions.exprs import MODEL_ORDER
+    from tessera.operators.report import best_run
+    assert best_run(df, model_order=MODEL_ORDER).first()["model"] == "LR"
+    assert best_run(df.filter("model <> 'LR'"), model_order=("ET",)).first()["model"] == "RF"
