@@ -150,6 +150,52 @@ def build_estimator(model: str, params: Mapping[str, Any], n_weight: float, feat
     raise ValueError(f"Unknown model: {model}")
 
 
+KNN_TRAIN_ROWS = 20_000
+
+
+def knn_scores(train: DataFrame, queries: DataFrame, k: int, weights: str = "uniform", metric: str = "euclidean",
+               features: str = "xs", label: str = "label", key: str = "row_id", max_train_rows: int = KNN_TRAIN_ROWS,
+               exclude_self: bool = False, out: str = "score") -> DataFrame:
+    """M6: ``queries`` with the k-NN share of positive labels as ``out``.
+
+    At most ``max_train_rows`` training rows are used (beyond that, the ones
+    with the least md5 of their key), so the matrix that tasks receive is
+    bounded by rows × features.  Each Arrow batch compares its rows with the
+    matrix in blocks and keeps the k nearest; no pair leaves the task.  Ties in
+    distance go to the smaller key; ``distance`` weights are 1/d, and rows at
+    distance 0, if any, share the vote.  ``exclude_self`` skips the row with the
+    query's own key.  Features must not be missing.
+    """
+    if weights not in ("uniform", "distance") or metric not in ("euclidean", "manhattan"):
+        raise ValueError(f"unknown k-NN option: {weights}, {metric}")
+    rows = train.select(F.col(key).alias("k"), F.col(label).alias("y"), F.col(features).alias("x"))
+    rows = rows.orderBy(F.md5(F.col("k").cast("string"))).limit(max_train_rows).toPandas().sort_values("k")
+    x = np.vstack(rows["x"].to_numpy()).astype(float) if len(rows) else np.zeros((0, 0))
+    sent = queries.sparkSession.sparkContext.broadcast((rows["k"].to_numpy(), rows["y"].to_numpy(float), x))
+
+    @pandas_udf(T.DoubleType())
+    def vote(own: pd.Series, points: pd.Series) -> pd.Series:
+        keys, y, x = sent.value
+        result = np.full(len(points), np.nan)
+        step = max(1, 2_000_000 // max(1, x.size))
+        for lo in range(0, len(points) if len(y) else 0, step):
+            q = np.vstack(points.iloc[lo:lo + step].to_numpy()).astype(float)
+            apart = q[:, None, :] - x[None]
+            d = np.sqrt((apart ** 2).sum(-1)) if metric == "euclidean" else np.abs(apart).sum(-1)
+            if exclude_self:
+                d[own.iloc[lo:lo + step].to_numpy()[:, None] == keys[None]] = np.inf
+            near = np.argsort(d, axis=1, kind="stable")[:, :k]
+            dist = np.take_along_axis(d, near, 1)
+            w = np.isfinite(dist).astype(float)
+            if weights == "distance":
+                zero = (dist == 0).any(1, keepdims=True)
+                w = np.where(zero, dist == 0, w / np.where(dist == 0, 1, dist))
+            result[lo:lo + len(q)] = (w * y[near]).sum(1) / w.sum(1)
+        return pd.Series(result)
+
+    return queries.withColumn(out, vote(F.col(key), F.col(features)))
+
+
 def score_column(model: str) -> F.Column:
     """Positive-class score of a fitted model's output: P(y=1) for
     probabilistic models, the margin for the linear SVM (calibrated later)."""

@@ -673,3 +673,20 @@ FROM c GROUP BY model, repeat
 """
 
 SQL.update({"platt_fit": PLATT_FIT, "sigmoid_apply": SIGMOID_APPLY})
+
+KNN_SCORE = f"""
+WITH l AS (SELECT row_id, label, feature_idx, CASE WHEN value IS NULL OR isinf(value) THEN 0.0 ELSE value END AS v FROM {WIDE_LONG} w),
+d AS (SELECT a.row_id AS q, b.row_id AS t, min(b.label) AS y, sqrt(sum((a.v - b.v) * (a.v - b.v))) AS euclidean, sum(abs(a.v - b.v)) AS manhattan
+      FROM l a JOIN l b ON a.feature_idx = b.feature_idx AND a.row_id <> b.row_id GROUP BY a.row_id, b.row_id),
+r AS (SELECT *, row_number() OVER (PARTITION BY q ORDER BY euclidean, t) AS re, row_number() OVER (PARTITION BY q ORDER BY manhattan, t) AS rm FROM d),
+e AS (SELECT q, avg(y) AS u, CASE WHEN min(euclidean) = 0 THEN avg(y) FILTER (WHERE euclidean = 0) ELSE sum(y / euclidean) / sum(1 / euclidean) END AS w
+      FROM r WHERE re <= 5 GROUP BY q),
+m AS (SELECT q, avg(y) AS u, CASE WHEN min(manhattan) = 0 THEN avg(y) FILTER (WHERE manhattan = 0) ELSE sum(y / manhattan) / sum(1 / manhattan) END AS w
+      FROM r WHERE rm <= 5 GROUP BY q),
+lab AS (SELECT row_id, min(label) AS label FROM l GROUP BY row_id)
+SELECT lab.row_id, lab.label, round(e.u, 9) AS uniform_euclidean, round(m.u, 9) AS uniform_manhattan,
+       round(e.w, 9) AS distance_euclidean, round(m.w, 9) AS distance_manhattan
+FROM lab JOIN e ON e.q = lab.row_id JOIN m ON m.q = lab.row_id
+"""
+
+SQL["knn_score"] = KNN_SCORE

@@ -452,15 +452,32 @@ def q_random_search(spark, sf_dir):
 
 def q_full_run(spark, sf_dir):
     """The grouped evaluation at the reference's smoke configuration
-    (2 repeats, 3 trials, 3 inner folds) on the whole WIDE table; test
-    metrics per (model, repeat) including the soft-vote ensemble."""
+    (2 repeats, 3 trials, 3 inner folds) on the whole WIDE table; test metrics
+    per (model, repeat) of LR, RF and k-NN.  The ensemble needs RF, extra-trees
+    and boosting, so there are no ensemble rows here."""
     from tessera.plans.run import RunConfig, run_evaluation
     w, _, _ = prep_inputs(spark, sf_dir)
-    res = run_evaluation(spark, w, RunConfig.smoke(models=("LR", "RF")))
+    res = run_evaluation(spark, w, RunConfig.smoke(models=("LR", "RF", "KNN"), ensemble_members=()))
     return round_doubles(res["metrics"])
 
 
+KNN_QUERY_K = 5
+
+
+def q_knn_score(spark, sf_dir):
+    """M6: every WIDE row scored by its five nearest other rows, for both
+    weights and both metrics (missing and infinite values as 0)."""
+    w = B.wide_samples(spark, sf_dir)
+    finite = lambda v: F.coalesce(F.when(F.abs(v) == float("inf"), F.lit(None)).otherwise(v), F.lit(0.0))
+    w = w.select("row_id", "label", F.transform("features", finite).alias("xs"))
+    for weights in ("uniform", "distance"):
+        for metric in ("euclidean", "manhattan"):
+            w = MD.knn_scores(w, w, KNN_QUERY_K, weights, metric, exclude_self=True, out=f"{weights}_{metric}")
+    return round_doubles(w.drop("xs"))
+
+
 REGISTRY.update({
+    "knn_score": q_knn_score,
     "soft_vote": q_soft_vote,
     "platt_fit": q_platt_fit,
     "sigmoid_apply": q_sigmoid_apply,

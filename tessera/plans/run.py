@@ -5,18 +5,20 @@ Platt calibration → threshold on validation → test metrics → soft vote).
 Everything that touches rows is a batched DataFrame job over all cells; only
 model fits are submitted one per cell, from a bounded thread pool (the way
 ``CrossValidator(parallelism=…)`` does).  Every fit's scores are appended to
-a run directory, so a restarted run skips finished cells (anti-join).
+the run's directory, which is named by a fingerprint of configuration and input;
+a restarted run reads its tables and skips finished cells.
 """
 from __future__ import annotations
 
-import os
+import hashlib
+import json
 import time
-import uuid
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.exprs import DEFAULT_SEED, ENSEMBLE_MEMBERS
@@ -61,11 +63,43 @@ class RunConfig:
         return cls(n_repeats=2, n_trials=3, n_folds=3, **kw)
 
 
-def _run_dir(spark: SparkSession, cfg: RunConfig) -> str:
-    if cfg.out_dir:
-        return cfg.out_dir
-    base = ensure_checkpoint_dir(spark)
-    return f"{base.rstrip('/')}/run-{uuid.uuid4().hex[:12]}"
+def fingerprint(samples: DataFrame, cfg: RunConfig) -> str:
+    """Names a run by its configuration and its input rows (order-free)."""
+    knobs = {k: v for k, v in vars(cfg).items() if k not in ("out_dir", "parallelism", "extra")}
+    rows = samples.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64(*samples.columns).cast("decimal(38,0)")).alias("h")).first()
+    text = json.dumps([knobs, samples.dtypes, rows["n"], str(rows["h"])], sort_keys=True, default=list)
+    return hashlib.sha256(text.encode()).hexdigest()[:16]
+
+
+def _run_dir(spark: SparkSession, cfg: RunConfig, mark: str) -> str:
+    """The run's folder: below ``out_dir`` or the shared checkpoint folder, and
+    named by the fingerprint, so a changed input or configuration never meets
+    the tables of another run."""
+    base = cfg.out_dir or ensure_checkpoint_dir(spark)
+    return f"{base.rstrip('/')}/run-{mark}"
+
+
+def _table(spark: SparkSession, path: str) -> DataFrame | None:
+    """A table written before, or None if there is none; other errors are raised."""
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise
+
+
+def _kept(spark: SparkSession, path: str, make) -> DataFrame:
+    """The table at ``path``, made and written first unless it is there."""
+    if _table(spark, path) is None:
+        make().write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
+def _finished(spark: SparkSession, path: str, keys: Sequence[str]) -> set[tuple]:
+    """Cells with committed scores: one row per cell of the run's grid."""
+    done = _table(spark, path)
+    return set() if done is None else {tuple(r) for r in done.select(*keys).distinct().collect()}
 
 
 def design_table(samples: DataFrame, cfg: RunConfig):
@@ -109,6 +143,11 @@ def _fit_and_score(design: DataFrame, model: str, params: dict, repeat: int, fol
     d = design.filter((F.col("repeat") == repeat) & (F.col("fold") == fold))
     k = int(params.get("mrmr_k", 100))
     d = d.withColumn("xk", F.slice("xs", 1, k))
+    if model == "KNN":
+        held = d.filter(F.col("role").isin(*score_roles))
+        return MD.knn_scores(d.filter(F.col("role") == "fit"), held, int(params["n_neighbors"]), params["weights"],
+                             params["metric"], features="xk").select(
+            F.lit(model).alias("model"), "repeat", "fold", "role", "row_id", F.col("label").alias("y_true"), "score")
     if model == "SVM":
         d = MD.random_fourier(d, "xk", float(params["gamma"]), seed=seed, out="xk")
     d = MD.to_vector(d, "xk")
@@ -129,35 +168,34 @@ def run_evaluation(spark: SparkSession, samples: DataFrame, cfg: RunConfig) -> d
     ``samples``: ``(row_id, <group>, label, features array<double>)`` with
     missing values as NULL."""
     t0 = time.time()
-    out = _run_dir(spark, cfg)
-    a, roles, prep, sel, design = design_table(samples, cfg)
-    # cut the lineage: the design is written once to the run directory and
-    # every fit reads the written table (also what a resumed run reuses)
-    design_path = f"{out}/design"
-    try:
-        design = spark.read.parquet(design_path)
-    except Exception:
-        design.write.mode("overwrite").parquet(design_path)
-        design = spark.read.parquet(design_path)
-    design = design.cache()
-    sel_path = f"{out}/selections"
-    try:
-        sel = spark.read.parquet(sel_path)
-    except Exception:
-        sel.write.mode("overwrite").parquet(sel_path)
-        sel = spark.read.parquet(sel_path)
+    missing = [m for m in cfg.ensemble_members if m not in cfg.models]
+    if missing:
+        raise ValueError(f"ensemble members without a model in this run: {missing}")
+    out = _run_dir(spark, cfg, fingerprint(samples, cfg))
+    made: dict[str, DataFrame] = {}
+
+    def designed(name: str) -> DataFrame:
+        if not made:  # only a run that lacks one of its tables computes the design
+            a, _, _, sel, design = design_table(samples, cfg)
+            made.update(assignments=a, selections=sel, design=design)
+        return made[name]
+
+    # cut the lineage: these are written once to the run directory, and every
+    # fit and every resumed run reads the written tables
+    a = _kept(spark, f"{out}/assignments", lambda: designed("assignments"))
+    sel = _kept(spark, f"{out}/selections", lambda: designed("selections"))
+    path = f"{out}/design"  # a fit reads one (repeat, fold) partition
+    if _table(spark, path) is None:
+        designed("design").write.mode("overwrite").partitionBy("repeat", "fold").parquet(path)
+    if made:
+        made["design"].unpersist()
+    design = spark.read.parquet(path)
     trials = MD.trial_table(spark, cfg.models, cfg.n_trials, cfg.seed)
     params = MD.trial_params(trials)
 
     # ---- search: every (model, trial, repeat, fold) fit scores its held-out fold
     cv_path = f"{out}/cv_scores"
-    done = set()
-    if os.path.exists(cv_path.replace("file:", "")) or not cv_path.startswith(("/", "file:")):
-        try:
-            done = {(r.model, r.trial, r.repeat, r.fold) for r in
-                    spark.read.parquet(cv_path).select("model", "trial", "repeat", "fold").distinct().collect()}
-        except Exception:
-            done = set()
+    done = _finished(spark, cv_path, ["model", "trial", "repeat", "fold"])
     tasks = [(m, t, r, f) for (m, t) in sorted(params) for r in range(cfg.n_repeats) for f in range(cfg.n_folds)
              if (m, t, r, f) not in done]
 
@@ -175,7 +213,6 @@ def run_evaluation(spark: SparkSession, samples: DataFrame, cfg: RunConfig) -> d
     cvp = cv.withColumn("y_pred", (F.col("score") >= thr0).cast("int")).withColumn("proba", F.col("score"))
     fold_m = M.binary_metrics(cvp, ["model", "trial", "repeat", "fold"])
     trial_score = fold_m.groupBy("model", "trial", "repeat").agg(F.avg("macro_f1").alias("cv_macro_f1"))
-    from pyspark.sql import Window
     best = (trial_score.withColumn("_r", F.row_number().over(
         Window.partitionBy("model", "repeat").orderBy(F.desc("cv_macro_f1"), "trial")))
         .filter("_r = 1").drop("_r").cache())
@@ -194,12 +231,12 @@ def run_evaluation(spark: SparkSession, samples: DataFrame, cfg: RunConfig) -> d
         sc.drop("model", "repeat").write.mode("overwrite").parquet(
             f"{final_path}/model={row.model}/repeat={row.repeat}")
 
+    ready = _finished(spark, final_path, ["model", "repeat"])
     with ThreadPoolExecutor(cfg.parallelism) as ex:
-        list(ex.map(final_task, best_rows))
+        list(ex.map(final_task, [r for r in best_rows if (r.model, r.repeat) not in ready]))
     final = C.platt_apply(spark.read.parquet(final_path), platt, ["model", "repeat"], s="score")
-    members = [m for m in cfg.ensemble_members if m in cfg.models]
-    ens = C.soft_vote(final.select("model", "repeat", "role", "row_id", "y_true", "proba"), members,
-                      ["repeat", "role", "row_id", "y_true"]) if members else None
+    ens = C.soft_vote(final.select("model", "repeat", "role", "row_id", "y_true", "proba"), cfg.ensemble_members,
+                      ["repeat", "role", "row_id", "y_true"]) if cfg.ensemble_members else None
     allp = final.select("model", "repeat", "role", "row_id", "y_true", "proba")
     if ens is not None:
         allp = allp.unionByName(ens.select("model", "repeat", "role", "row_id", "y_true", "proba"))

@@ -7,6 +7,7 @@ directory, a cluster session names a shared one).
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -30,7 +31,7 @@ def get_spark(master: str | None = None, app: str = "tessera",
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-        .config("spark.driver.memory", os.environ.get("TESSERA_DRIVER_MEMORY", "16g"))
+        .config("spark.driver.memory", os.environ.get("TESSERA_DRIVER_MEMORY", "8g"))
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
@@ -39,14 +40,18 @@ def get_spark(master: str | None = None, app: str = "tessera",
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the cluster's shared ``spark.checkpoint.dir``; set a scratch one only
-    when the session has none (local tests)."""
+    """Use the cluster's shared ``spark.checkpoint.dir``.  A scratch folder is made
+    only for a single-process session (``local[…]``) that names none, as in
+    tests; a cluster session without the setting is refused, since executors
+    could not read each other's files."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if not conf_dir:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         conf_dir = tempfile.mkdtemp(prefix="tessera-ckpt-")
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir

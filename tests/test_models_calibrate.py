@@ -74,3 +74,17 @@ def test_trial_table_ranges_and_determinism(spark):
 def test_registry_rejects_unknown_model():
     with pytest.raises(ValueError):
         MD.build_estimator("XYZ", {}, 1.0)
+
+
+def test_knn_votes_and_ties(spark):
+    train = spark.createDataFrame([(1, 1, [0.0, 0.0]), (2, 0, [0.0, 2.0]), (3, 0, [3.0, 0.0]), (4, 1, [9.0, 9.0])],
+                                  "row_id int, label int, xs array<double>")
+    q = spark.createDataFrame([(10, [0.0, 1.0]), (11, [0.0, 0.0])], "row_id int, xs array<double>")
+    get = lambda **kw: {r.row_id: r.score for r in MD.knn_scores(train, q, **kw).collect()}
+    assert get(k=2) == {10: 0.5, 11: 0.5}
+    assert get(k=1) == {10: 1.0, 11: 1.0}  # rows 1 and 2 are equally near to row 10: the smaller key wins
+    assert get(k=2, weights="distance")[11] == 1.0
+    assert get(k=3, weights="distance", metric="manhattan")[10] == pytest.approx(1 / (1 + 1 + 0.25))
+    assert MD.knn_scores(train, train, 1, exclude_self=True).filter("row_id = 1").first().score == 0.0
+    with pytest.raises(ValueError):
+        MD.knn_scores(train, q, 1, metric="cosine")
