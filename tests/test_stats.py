@@ -1,11 +1,7 @@
-import os
-
 import numpy as np
 import pytest
 
-from conftest import REF_METRICS
 from tessera.operators import stats as S
-from tessera.sources.tables import read_metrics_long
 
 
 def test_signed_rank_exact_tail():
@@ -30,23 +26,23 @@ def test_separated_models(spark):
     assert len(w) == 3 and all(r.significant for r in w)
 
 
-@pytest.mark.skipif(not os.path.exists(REF_METRICS), reason="published metric table not present")
-def test_published_golden_values(spark):
-    m = read_metrics_long(spark, REF_METRICS)
-    f = S.friedman(m).first()
-    assert f.statistic == pytest.approx(22.621184919210055, abs=1e-9)
-    assert f.p_value == pytest.approx(0.000933805180673686, rel=1e-9)
-    assert f.tie_sum == 36
-    w = {(r.model_a, r.model_b): r for r in S.wilcoxon_pairs(m).collect()}
-    et_lr = w[("ET", "LR")]
-    assert et_lr.statistic == 17 and et_lr.exact and et_lr.p_value == pytest.approx(414 / 2 ** 20, rel=1e-12)
-    et_gb = w[("ET", "GB")]
-    assert et_gb.statistic == 69 and not et_gb.exact and et_gb.n == 19
-    assert et_gb.p_value == pytest.approx(0.29542405582364173, rel=1e-9)
-    approx_pairs = sorted(k for k, r in w.items() if not r.exact)
-    assert approx_pairs == sorted([("ET", "GB"), ("ET", "RF"), ("Ensemble", "GB"), ("Ensemble", "RF")])
-    sig = sorted(k for k, r in w.items() if r.significant)
-    assert sig == sorted([("ET", "LR"), ("Ensemble", "LR"), ("LR", "RF")])
+def test_golden_values_derived_by_hand(spark):
+    # ranks per block (1,2,3), (1,3,2), (1,2,3), (2,1,3): sums 5, 8, 11, so
+    # 12 / (4*3*4) * (25 + 64 + 121) - 3*4*4 = 4.5 and p = exp(-4.5 / 2)
+    blocks = [(.1, .2, .3), (.1, .3, .2), (.1, .2, .3), (.2, .1, .3)]
+    rows = [(m, r, v) for r, b in enumerate(blocks) for m, v in zip("ABC", b)]
+    f = S.friedman(spark.createDataFrame(rows, "model string, repeat int, macro_f1 double")).first()
+    assert f.statistic == pytest.approx(4.5) and f.p_value == pytest.approx(np.exp(-2.25)) and f.tie_sum == 0
+    # five positive differences: W = 0, two of the 32 sign patterns are as extreme;
+    # with one zero difference the approximation on n = 4 has W = 0, mean 5, variance 7.5
+    rows = [("A", r, .5 + .01 * (r + 1) * (r + 1)) for r in range(5)] + [("B", r, .5) for r in range(5)]
+    rows += [("C", r, .5 + (.01 * r * (r + 1))) for r in range(5)]
+    w = {(r.model_a, r.model_b): r for r in S.wilcoxon_pairs(spark.createDataFrame(rows, "model string, repeat int, macro_f1 double")).collect()}
+    ab, bc = w["A", "B"], w["B", "C"]
+    assert (ab.statistic, ab.exact, ab.n) == (0, True, 5) and ab.p_value == pytest.approx(2 / 32) and not ab.significant
+    assert (bc.statistic, bc.exact, bc.n) == (0, False, 4)
+    from math import erfc, sqrt
+    assert bc.p_value == pytest.approx(erfc(5 / sqrt(7.5) / sqrt(2)))
 
 
 def test_friedman_refuses_incomplete_blocks(spark):
