@@ -12,13 +12,14 @@ from __future__ import annotations
 import array
 import os
 import re
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
 import public_tokenizers
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 END = 2
-KEPT = 500_000
+KEPT, KEPT_MARKS = 400_000, 10_000
 PLAIN = re.compile(r"( ?[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+)([.,;:!?*#$%&|()-]*)")
 ODD = re.compile(r"\s\s")
 
@@ -43,18 +44,23 @@ class Encoder:
         self.size = self.tokenizer.get_vocab_size()
         self.model = self.tokenizer.model
         self.known: dict[str, bytes] = {}
-        self.pieces: dict[str, bytes] = {}
+        self.marks: dict[str, bytes] = {}
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         return [array.array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _piece(self, piece: str) -> bytes:
         """Ids of one piece of the splitting pattern."""
-        ids = self.pieces.get(piece)
+        byte_text = piece.encode().decode("latin-1").translate(BYTE_CHARS)
+        return array.array("I", [t.id for t in self.model.tokenize(byte_text)]).tobytes()
+
+    def _marks(self, piece: str) -> bytes:
+        """Ids of the marks behind a word; few differ."""
+        ids = self.marks.get(piece)
         if ids is None:
-            ids = array.array("I", [t.id for t in self.model.tokenize(piece.encode().decode("latin-1").translate(BYTE_CHARS))]).tobytes()
-            if len(self.pieces) < KEPT:
-                self.pieces[piece] = ids
+            ids = self._piece(piece)
+            if len(self.marks) < KEPT_MARKS:
+                self.marks[piece] = ids
         return ids
 
     def _chunks(self, chunks: list[str]) -> dict[str, bytes]:
@@ -63,7 +69,7 @@ class Encoder:
         for c in chunks:
             m = PLAIN.fullmatch(c)
             if m:
-                out[c] = self._piece(m[1]) + (self._piece(m[2]) if m[2] else b"")
+                out[c] = self._piece(m[1]) + (self._marks(m[2]) if m[2] else b"")
             else:
                 other.append(c)
         out.update(zip(other, self._ids(other)))
@@ -88,13 +94,14 @@ def encoder(file: str) -> Encoder:
     return Encoder(file)
 
 
-def encoded(texts: list[str | None], file: str = VOCABULARY, piece: int = 1 << 20) -> list[bytes]:
-    """Ids of all texts (null: of the empty text), worked on in pieces of about ``piece`` characters."""
-    enc, out, own, size = encoder(file), [], [], 0
+def encoded(texts: Iterable[str | None], file: str = VOCABULARY, piece: int = 1 << 20) -> Iterator[bytes]:
+    """Ids of each text (null: of the empty text), worked on in pieces of about
+    ``piece`` characters, so that only a piece is in memory at a time."""
+    enc, own, size = encoder(file), [], 0
     for t in texts:
         own.append(t or "")
         size += len(own[-1])
         if size >= piece:
-            out += enc.encode(own)
+            yield from enc.encode(own)
             own, size = [], 0
-    return out + enc.encode(own)
+    yield from enc.encode(own)
