@@ -16,7 +16,8 @@ from __future__ import annotations
 import re
 from dataclasses import dataclass, field
 
-from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
+import numpy as np
+from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -74,22 +75,45 @@ def fit(sample: DataFrame, trees: int = 24, depth: int = 4, lasso: float = 0.001
     counts = {r[0]: r[1] for r in sample.groupBy("label").count().collect()}
     if len(counts) < 2:
         share = (counts.get(1, 0) + 1) / (sum(counts.values()) + 2)
-        return RuleEnsemble(float(_logit(share)))
+        return RuleEnsemble(_logit(share))
     rows = sample.select(F.col("label").cast("double").alias("label"), "stats",
                          array_to_vector(F.array(*[F.col(f"stats.{c}").cast("double") for c in ALL])).alias("features")).coalesce(4).cache()
     forest = RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=seed, minInstancesPerNode=5, subsamplingRate=0.7,
                                     featureSubsetStrategy="onethird", maxBins=64).fit(rows)
     rules = sorted({p for t in forest.trees for p in tree_paths(t.toDebugString, ALL)})
-    flags = rows.select("label", array_to_vector(F.array(*[meets(r).cast("double") for r in rules])).alias("features"))
-    model = LogisticRegression(elasticNetParam=1.0, regParam=lasso, maxIter=100, standardization=False).fit(flags)
+    # texts that meet the same rules count as one weighted row; the sample bounds their number
+    flags = rows.select("label", F.array(*[meets(r).cast("double") for r in rules]).alias("met"))
+    seen = flags.groupBy("label", "met").agg(F.count(F.lit(1)).alias("n")).orderBy("label", "met").collect()
     rows.unpersist()
-    return RuleEnsemble(float(model.intercept), [(r, float(w)) for r, w in zip(rules, model.coefficients) if abs(w) > 1e-9])
+    x = np.array([r["met"] for r in seen], float).reshape(len(seen), len(rules))
+    weights, intercept = lasso_logistic(x, np.array([r["label"] for r in seen]), np.array([r["n"] for r in seen], float), lasso)
+    return RuleEnsemble(float(intercept), [(r, float(w)) for r, w in zip(rules, weights) if abs(w) > 1e-9])
+
+
+def lasso_logistic(x: np.ndarray, y: np.ndarray, n: np.ndarray, lasso: float, steps: int = 20_000, tol: float = 1e-9) -> tuple[np.ndarray, float]:
+    """Weights and intercept of least mean log-loss plus ``lasso`` times the sum of
+    absolute weights, for rows that count ``n`` times (accelerated proximal gradient)."""
+    share = n / n.sum()
+    full = np.hstack([x, np.ones((len(x), 1))])
+    rate = 1 / max(1e-12, 0.25 * np.linalg.eigvalsh((full * share[:, None]).T @ full)[-1])
+    shrink = np.append(np.full(x.shape[1], lasso * rate), 0.0)
+    w = ahead = np.zeros(full.shape[1])
+    pace = 1.0
+    for _ in range(steps):
+        z = ahead - rate * (full.T @ (share * (1 / (1 + np.exp(-full @ ahead)) - y)))
+        new = np.sign(z) * np.maximum(np.abs(z) - shrink, 0)
+        if (new - w) @ (ahead - new) > 0:  # the momentum overshoots: start it anew
+            pace = 1.0
+        faster = (1 + np.sqrt(1 + 4 * pace * pace)) / 2
+        ahead = new + (pace - 1) / faster * (new - w)
+        moved, w, pace = np.abs(new - w).max(), new, faster
+        if moved < tol:
+            break
+    return w[:-1], float(w[-1])
 
 
 def _logit(p: float) -> float:
-    import math
-
-    return math.log(p / (1 - p))
+    return float(np.log(p / (1 - p)))
 
 
 def score_texts(docs: DataFrame, model: RuleEnsemble, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -79,6 +79,18 @@ def test_tree_paths_and_empty_samples(spark):
         text_stats.with_stats(spark.createDataFrame([], "label int, text string"), keep_text=False)) == []
 
 
+def test_lasso_reaches_the_optimum():
+    rng = np.random.default_rng(1)
+    x = (rng.random((40, 6)) < 0.4).astype(float)
+    y = (x[:, 0] + 0.3 * rng.random(40) > 0.5).astype(float)
+    n = rng.integers(1, 9, 40).astype(float)
+    w, b = rule_ensemble.lasso_logistic(x, y, n, 0.02)
+    grad = x.T @ (n / n.sum() * (1 / (1 + np.exp(-(x @ w + b))) - y))
+    assert w[0] > 0.5 and (w == 0).sum() >= 2
+    assert np.allclose(grad[w != 0], -0.02 * np.sign(w[w != 0]), atol=1e-5) and (np.abs(grad[w == 0]) <= 0.02 + 1e-6).all()
+    assert abs((n * (1 / (1 + np.exp(-(x @ w + b))) - y)).sum()) / n.sum() < 1e-5
+
+
 @pytest.fixture(scope="module")
 def staged(spark):
     """The documents after each stage of the pipeline."""
