@@ -10,12 +10,18 @@ the threshold share a shingle in their prefixes, so only prefixes are indexed.
   What remains is compared in blocks of ``BLOCK`` entries.  A block knows its
   sizes and how many shingles lie behind its positions at most; pairs of blocks
   that cannot reach the threshold (length and positional bound) are skipped.
-* **Answer-level skipping.**  Each list is first compared with one leader only.
-  Sets found similar to it share its class, so what is linked to one of them
-  is reached through any, and no pair within the class is compared again.  For
-  other pairs the known overlaps with the leader bound theirs:
+* **Answer-level skipping.**  Each list is first compared with one leader only,
+  and a set that has several leaders with the likeliest of them; the others are
+  left out if that puts both in one class.  Sets found similar to a leader share
+  its class, so what is linked to one of them is reached through any, and no
+  pair within the class is compared again.  For other pairs what is known of
+  their overlaps with the leader bounds theirs:
   ``|x & y| <= min(|x & l|, |y & l|) + min(|x - l|, |y - l|)``; pairs below the
-  threshold are dropped, the rest is verified on whole sets.
+  threshold are dropped.
+
+A pair that remains must pass a parity signature of ``SIGNATURE`` bits (sets that
+differ in ``d`` shingles differ in at most ``d`` bits) before its whole sets are
+compared, so whole sets move for likely links only.
 
 So thousands of near copies cost one comparison each, and no link between
 different texts is lost; classes are the connected components.
@@ -42,6 +48,8 @@ from tessera.llm.components import components
 SEP = G.separators("space")
 SAMPLE_DOCS, SAMPLE_HITS = 4000, 8
 BLOCK = 64
+SENT_IDS = 500_000
+SIGNATURE = 1024
 
 
 def _nodes(texts: pa.Array, words: int) -> Iterator[tuple[int, int, np.ndarray]]:
@@ -58,18 +66,30 @@ def _nodes(texts: pa.Array, words: int) -> Iterator[tuple[int, int, np.ndarray]]
                 yield g.first + d, int(node[d]), node[d:d + 1].view(np.uint64)
 
 
-def text_nodes(own: DataFrame, words: int = 5) -> DataFrame:
-    """Add ``node`` and ``n_shingles`` (0 and a null node without words) to ``id, text`` rows."""
+def _signature(shingles: np.ndarray) -> np.ndarray:
+    """How often each of ``SIGNATURE`` buckets is met, modulo 2, as longs."""
+    odd = np.bincount((shingles >> np.uint64(20)).astype(np.int64) & (SIGNATURE - 1), minlength=SIGNATURE) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
+def text_nodes(own: DataFrame, words: int = 5, signed: bool = False) -> DataFrame:
+    """Add ``node`` and ``n_shingles`` (0 and a null node without words), and
+    ``sig`` if asked, to rows whose second column is the text."""
 
     def run(batches):
         for batch in batches:
             node, size = np.zeros(len(batch), np.int64), np.zeros(len(batch), np.int64)
+            sig = np.zeros((len(batch), SIGNATURE // 64), np.int64)
             for row, key, s in _nodes(batch.column(1), words):
                 node[row], size[row] = key, len(s)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(node, mask=size == 0), pa.array(size)], [*batch.schema.names, "node", "n_shingles"])
+                if signed:
+                    sig[row] = _signature(s)
+            more = [pa.array(sig.tolist(), pa.list_(pa.int64()))] if signed else []
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(node, mask=size == 0), pa.array(size), *more],
+                                             [*batch.schema.names, "node", "n_shingles", *(["sig"] if signed else [])])
 
     types = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in own.schema)
-    return own.mapInArrow(run, f"{types}, node long, n_shingles long")
+    return own.mapInArrow(run, f"{types}, node long, n_shingles long" + ", sig array<bigint>" * signed)
 
 
 def _frequent(own: DataFrame, words: int) -> np.ndarray:
@@ -144,52 +164,86 @@ def _possible(x, y, percent: int):
     return (high * percent <= low * 100) & (rest >= _needed(low + high, percent))
 
 
-def _sets(own: DataFrame, nodes: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
-    """``node, tokens`` (sorted 64-bit hashes) for the wanted nodes, from one row of each."""
-    one = nodes.join(wanted, "node", "left_semi").groupBy("node").agg(F.min("id").alias("rid"))
-    rows = own.join(one, own["id"].eqNullSafe(one["rid"])).select("text", "node")
+def _texts(own: DataFrame, nodes: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
+    """``node, text`` of one row of each wanted node (``node`` only).
+
+    Up to ``SENT_IDS`` ids are sent to the tasks, so the texts don't move;
+    more of them are joined by a shuffle.
+    """
+    one = written(nodes.join(wanted, "node", "left_semi").groupBy("node").agg(F.min("id").alias("rid")))
+    one = F.broadcast(one) if one.count() <= SENT_IDS else one
+    rows = own.join(one, own["id"].eqNullSafe(F.col("rid"))).select("id", "text", F.col("node").alias("wanted"))
+    return text_nodes(rows, words).where("node = wanted").select("node", "text").dropDuplicates(["node"])
 
-    def run(batches):
-        for batch in batches:
-            node = batch.column(1).to_numpy()
-            hit = [(key, s.tobytes()) for row, key, s in _nodes(batch.column(0), words) if key == node[row]]
-            yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in hit], pa.int64()), pa.array([t for _, t in hit], pa.binary())], ["node", "tokens"])
 
-    return rows.mapInArrow(run, "node long, tokens binary")
+def _weighed(pairs: DataFrame, signs: DataFrame, percent: int) -> DataFrame:
+    """``a, b, o, plausible``: a bound on the overlap from the signatures."""
+    left = signs.select(F.col("node").alias("a"), F.col("size").alias("na"), F.col("sig").alias("ga"))
+    right = signs.select(F.col("node").alias("b"), F.col("size").alias("nb"), F.col("sig").alias("gb"))
+    both = pairs.join(left, "a").join(right, "b")
+    apart = F.aggregate(F.zip_with("ga", "gb", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda t, v: t + v)
+    sizes = F.col("na") + F.col("nb")
+    most = F.least(F.floor((sizes - apart) / 2), F.col("na"), F.col("nb")).cast("int")
+    return both.select("a", "b", most.alias("o"), (most >= _needed(sizes, percent)).alias("plausible"))
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """``a, b, overlap, linked`` of pairs of nodes, from their whole sets."""
-    left = sets.select(F.col("node").alias("a"), F.col("tokens").alias("ta"))
-    right = sets.select(F.col("node").alias("b"), F.col("tokens").alias("tb"))
+def _verified(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
+    """``a, b, overlap, linked`` of pairs of nodes, from their whole sets.
+
+    Texts travel, being smaller than their sets; a task keeps the sets of the
+    last few nodes ``a``, whose pairs arrive together.
+    """
+    left = texts.select(F.col("node").alias("a"), F.col("text").alias("ta"))
+    right = texts.select(F.col("node").alias("b"), F.col("text").alias("tb"))
 
     def run(batches):
+        recent: dict[int, np.ndarray] = {}
         for batch in batches:
             overlap, linked = [], []
-            for x, y in zip(batch.column(2), batch.column(3)):
-                x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                x, y = (x, y) if len(x) <= len(y) else (y, x)
-                at = np.minimum(np.searchsorted(y, x), len(y) - 1)
-                n = int((y[at] == x).sum())
+            keys = batch.column(0).to_pylist()
+            for k, (_, _, y) in enumerate(_nodes(batch.column(3), words)):
+                x = recent.get(keys[k])
+                if x is None:
+                    if len(recent) >= 16:
+                        recent.pop(next(iter(recent)))
+                    recent[keys[k]] = x = next(_nodes(batch.column(2).slice(k, 1), words))[2]
+                small, large = (x, y) if len(x) <= len(y) else (y, x)
+                at = np.minimum(np.searchsorted(large, small), len(large) - 1)
+                n = int((large[at] == small).sum())
                 overlap.append(n)
                 linked.append(100 * n >= percent * (len(x) + len(y) - n))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(overlap, pa.int32()), pa.array(linked, pa.bool_())], ["a", "b", "overlap", "linked"])
 
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long, overlap int, linked boolean")
+    met = pairs.join(right, "b").join(left, "a").select("a", "b", "ta", "tb")
+    return met.mapInArrow(run, "a long, b long, overlap int, linked boolean")
+
+
+def _ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+
+
+def _apart(pairs: DataFrame, comps: DataFrame) -> DataFrame:
+    """Pairs whose nodes are not yet in one class."""
+    of_a = comps.select(F.col("node").alias("a"), F.col("comp").alias("ca"))
+    of_b = comps.select(F.col("node").alias("b"), F.col("comp").alias("cb"))
+    both = pairs.join(of_a, "a", "left").join(of_b, "b", "left")
+    return both.where(~F.col("ca").eqNullSafe(F.col("cb")) | F.col("ca").isNull()).select("a", "b")
 
 
-def _remaining(lists: DataFrame, comps: DataFrame, checked: DataFrame, percent: int) -> DataFrame:
+def _remaining(lists: DataFrame, comps: DataFrame, answers: DataFrame, percent: int) -> DataFrame:
     """Pairs of different classes that the leaders' answers don't settle."""
     own = lists.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node")).withColumn("first", F.col("leader.node"))
     lst = Window.partitionBy("token", "run")
     own = own.where(F.col("node") != F.col("first")).withColumn("_lo", F.min("comp").over(lst)).withColumn("_hi", F.max("comp").over(lst)).where("_lo != _hi")
-    with_leader = checked.select(F.col("a").alias("first"), F.col("b").alias("node"), F.col("overlap").alias("o"))
+    with_leader = answers.select(F.col("a").alias("first"), F.col("b").alias("node"), "o", "exact")
     own = own.join(with_leader, ["first", "node"], "left")
+    inside = F.coalesce("o", "size")  # most that the set shares with the leader
+    outside = F.when(F.col("exact"), F.col("size") - F.col("o")).otherwise(F.col("size"))  # most that it has beside
     by_size = Window.partitionBy("token", "run").orderBy("size", "node")
     blocks = (own.withColumn("block", F.floor((F.row_number().over(by_size) - 1) / BLOCK))
               .groupBy("token", "run", "block").agg(
                   F.min("size").alias("lo"), F.max("size").alias("hi"), F.max(F.col("size") - F.col("pos")).alias("rest"),
-                  F.collect_list(F.struct("node", "size", "pos", "comp", "o")).alias("entries")))  # at most BLOCK of them
+                  F.collect_list(F.struct("node", "size", "pos", "comp", inside.alias("inside"), outside.alias("outside"))).alias("entries")))  # at most BLOCK
     x, y = blocks.alias("x"), blocks.alias("y")
     met = x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.run") == F.col("y.run")) & (F.col("x.block") <= F.col("y.block"))
                  & (F.col("y.lo") * percent <= F.col("x.hi") * 100)
@@ -198,9 +252,8 @@ def _remaining(lists: DataFrame, comps: DataFrame, checked: DataFrame, percent:
 
     def open_pair(q):
         p = F.col("p")
-        bound = F.least(p["o"], q["o"]) + F.least(p["size"] - p["o"], q["size"] - q["o"])
-        settled = p["o"].isNotNull() & q["o"].isNotNull() & (bound < _needed(p["size"] + q["size"], percent))
-        return (p["comp"] != q["comp"]) & _possible(p, q, percent) & ~settled
+        bound = F.least(p["inside"], q["inside"]) + F.least(p["outside"], q["outside"])
+        return (p["comp"] != q["comp"]) & _possible(p, q, percent) & (bound >= _needed(p["size"] + q["size"], percent))
 
     two = one.select("p", F.explode(F.filter("others", open_pair)).alias("q"))
     return two.select(F.least("p.node", "q.node").alias("a"), F.greatest("p.node", "q.node").alias("b")).distinct()
@@ -213,18 +266,31 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     directly or through others, and ``component_id`` is their smallest id.
     """
     own = keyed_texts(docs, id_col, text_col)
-    nodes = written(text_nodes(own, words).drop("text"))
-    postings = _postings(own, words, percent, _frequent(own, words))
-    lists = written(_lists(postings, percent))
+    nodes = written(text_nodes(own, words, signed=True).drop("text"))
+    signs = nodes.where("n_shingles > 0").groupBy("node").agg(F.first("n_shingles").alias("size"), F.first("sig").alias("sig"))
+    lists = written(_lists(_postings(own, words, percent, _frequent(own, words)), percent))
+    # every list against its leader
     stars = lists.where((F.col("node") != F.col("leader.node")) & _possible(F.struct("size", "pos"), F.col("leader"), percent))
-    pairs = stars.select(F.col("leader.node").alias("a"), F.col("node").alias("b")).distinct()
-    sets = written(_sets(own, nodes, lists.select("node").distinct(), words))
-    checked = written(_verified(pairs, sets, percent))
+    weighed = written(_weighed(stars.select(F.col("leader.node").alias("a"), F.col("node").alias("b")).distinct(), signs, percent))
+    likely = weighed.where("plausible")
+    texts = written(_texts(own, nodes, _ends(likely), words))
+    # each set against its likeliest leader, then against those that this leaves in another class
+    best = likely.groupBy("b").agg(F.max(F.struct("o", "a")).alias("m")).select(F.col("m.a").alias("a"), "b")
+    checked = written(_verified(best, texts, words, percent))
     links = checked.where("linked").select("a", "b")
-    rest = _remaining(lists, components(links), checked, percent)
-    more = written(_verified(rest, sets, percent)).where("linked").select("a", "b")
+    comps = components(links)
+    apart = written(_apart(likely.select("a", "b").join(checked, ["a", "b"], "left_anti"), comps))
+    again = written(_verified(apart, texts, words, percent))
+    checked, links = checked.union(again), links.union(again.where("linked").select("a", "b"))
+    answers = weighed.join(checked.select("a", "b", "overlap"), ["a", "b"], "left").select(
+        "a", "b", F.coalesce("overlap", "o").alias("o"), F.col("overlap").isNotNull().alias("exact"))
+    # what the leaders' answers leave open
+    comps = components(links)
+    rest = written(_weighed(_remaining(lists, comps, answers, percent), signs, percent).where("plausible").select("a", "b"))
+    more_texts = written(_texts(own, nodes, _ends(rest).join(texts.select("node"), "node", "left_anti"), words))
+    more = written(_verified(rest, texts.union(more_texts), words, percent)).where("linked").select("a", "b")
     comps = components(links.union(more))
-    full = nodes.join(comps, "node", "left").withColumn("class", F.coalesce("comp", "node"))
+    full = nodes.drop("sig").join(comps, "node", "left").withColumn("class", F.coalesce("comp", "node"))
     smallest = full.where("n_shingles > 0").groupBy("class").agg(F.min("id").alias("component_id"))
     linked = full.where("n_shingles > 0").join(smallest, "class").select("id", "node", "n_shingles", "class", "component_id")
     alone = full.where("n_shingles = 0").select("id", "node", "n_shingles", "class", F.col("id").alias("component_id"))
