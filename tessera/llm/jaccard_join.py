@@ -190,9 +190,12 @@ def _weighed(pairs: DataFrame, signs: DataFrame, percent: int) -> DataFrame:
 def _verified(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
     """``a, b, overlap, linked`` of pairs of nodes, from their whole sets.
 
-    Texts travel, being smaller than their sets; a task keeps the sets of the
-    last few nodes ``a``, whose pairs arrive together.
+    Texts travel, being smaller than their sets, and only those of the pairs'
+    nodes if up to ``SENT_IDS`` of them can be sent to pick them out; a task
+    keeps the sets of the last few nodes ``a``, whose pairs arrive together.
     """
+    ends = written(_ends(pairs))
+    texts = texts.join(F.broadcast(ends) if ends.count() <= SENT_IDS else ends, "node", "left_semi")
     left = texts.select(F.col("node").alias("a"), F.col("text").alias("ta"))
     right = texts.select(F.col("node").alias("b"), F.col("text").alias("tb"))
 
@@ -275,7 +278,7 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     likely = weighed.where("plausible")
     texts = written(_texts(own, nodes, _ends(likely), words))
     # each set against its likeliest leader, then against those that this leaves in another class
-    best = likely.groupBy("b").agg(F.max(F.struct("o", "a")).alias("m")).select(F.col("m.a").alias("a"), "b")
+    best = written(likely.groupBy("b").agg(F.max(F.struct("o", "a")).alias("m")).select(F.col("m.a").alias("a"), "b"))
     checked = written(_verified(best, texts, words, percent))
     links = checked.where("linked").select("a", "b")
     comps = components(links)

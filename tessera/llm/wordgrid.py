@@ -1,6 +1,6 @@
 """Words of an Arrow batch of texts as numpy arrays: places, hashes, windows.
 
-Runs inside Spark tasks.  A batch is worked on in pieces of a few MB of text,
+Runs inside Spark tasks.  A batch is worked on in pieces of half a MB of text,
 so memory stays bounded by one piece or by the longest single text.
 """
 from __future__ import annotations
@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-PIECE_BYTES = 1 << 20
+PIECE_BYTES = 1 << 19
 MULTIPLIER = 0x9E3779B97F4A7C15 | 1
 
 
