@@ -39,6 +39,8 @@ SEARCH_SPACE: dict[str, dict[str, tuple]] = {
             "metric": ("cat", ("euclidean", "manhattan"))},
 }
 RFF_DIM = 256
+MODELS = ("LR", "SVM", "RF", "GB", "KNN")  # those that can be fitted here (no extra-trees)
+MAX_ITER = 10_000
 
 
 def class_weights(df: DataFrame, by: Sequence[str] = (), label: str = "label",
@@ -127,15 +129,18 @@ def build_estimator(model: str, params: Mapping[str, Any], n_weight: float, feat
     """M7: registry name → unfitted Spark ML estimator (unknown name → error).
 
     ``n_weight`` is the total class weight of the fit rows: penalised
-    objectives are rescaled so C·Σw·loss + penalty matches the library's."""
+    objectives are rescaled so C·Σw·loss + penalty matches the library's.
+    ``params["max_iter"]`` bounds the steps of LR and SVM; ``converged`` tells
+    whether a fit ended before."""
+    max_iter = int(params.get("max_iter", MAX_ITER))
     if model == "LR":
         return LogisticRegression(featuresCol=features, labelCol=label, weightCol=weight,
                                   regParam=1.0 / (params["C"] * n_weight),
                                   elasticNetParam=1.0 if params["penalty"] == "l1" else 0.0,
-                                  standardization=False, maxIter=200, tol=1e-6)
+                                  standardization=False, maxIter=max_iter, tol=1e-6)
     if model == "SVM":
         return LinearSVC(featuresCol=features, labelCol=label, weightCol=weight,
-                         regParam=1.0 / (params["C"] * n_weight), standardization=False, maxIter=200)
+                         regParam=1.0 / (params["C"] * n_weight), standardization=False, maxIter=max_iter)
     if model == "RF":
         return RandomForestClassifier(featuresCol=features, labelCol=label, weightCol=weight,
                                       numTrees=int(params["n_estimators"]), maxDepth=int(params["max_depth"]),
@@ -150,6 +155,15 @@ def build_estimator(model: str, params: Mapping[str, Any], n_weight: float, feat
     raise ValueError(f"Unknown model: {model}")
 
 
+def converged(model: str, fitted) -> bool | None:
+    """Whether an iterative fit (LR, SVM) ended by its own rule before its bound
+    on steps; None for models whose number of steps is a parameter."""
+    if model not in ("LR", "SVM"):
+        return None
+    summary = fitted.summary if model == "LR" else fitted.summary()
+    return summary.totalIterations < fitted.getMaxIter()
+
+
 KNN_TRAIN_ROWS = 20_000
 
 

@@ -49,11 +49,12 @@ class RunConfig:
     n_repeats: int = 20
     n_trials: int = 50
     n_folds: int = 5
-    models: tuple = ("LR", "SVM", "RF", "GB")
+    models: tuple = MD.MODELS
     ensemble_members: tuple = ENSEMBLE_MEMBERS
     seed: int = DEFAULT_SEED
     parallelism: int = 8
     mrmr_k_max: int = 100
+    max_iter: int = MD.MAX_ITER  # steps of LR and SVM; the results tell which fits needed more
     group: str = "patient_id"
     out_dir: str | None = None
     extra: dict = field(default_factory=dict)
@@ -147,7 +148,8 @@ def _fit_and_score(design: DataFrame, model: str, params: dict, repeat: int, fol
         held = d.filter(F.col("role").isin(*score_roles))
         return MD.knn_scores(d.filter(F.col("role") == "fit"), held, int(params["n_neighbors"]), params["weights"],
                              params["metric"], features="xk").select(
-            F.lit(model).alias("model"), "repeat", "fold", "role", "row_id", F.col("label").alias("y_true"), "score")
+            F.lit(model).alias("model"), "repeat", "fold", "role", "row_id", F.col("label").alias("y_true"), "score",
+            F.lit(None).cast("boolean").alias("converged"))
     if model == "SVM":
         d = MD.random_fourier(d, "xk", float(params["gamma"]), seed=seed, out="xk")
     d = MD.to_vector(d, "xk")
@@ -158,7 +160,8 @@ def _fit_and_score(design: DataFrame, model: str, params: dict, repeat: int, fol
     held = d.filter(F.col("role").isin(*score_roles))
     return fitted.transform(held).select(
         F.lit(model).alias("model"), "repeat", "fold", "role", "row_id",
-        F.col("label").alias("y_true"), MD.score_column(model).alias("score"))
+        F.col("label").alias("y_true"), MD.score_column(model).alias("score"),
+        F.lit(MD.converged(model, fitted)).cast("boolean").alias("converged"))
 
 
 def run_evaluation(spark: SparkSession, samples: DataFrame, cfg: RunConfig) -> dict[str, DataFrame]:
@@ -191,7 +194,7 @@ def run_evaluation(spark: SparkSession, samples: DataFrame, cfg: RunConfig) -> d
         made["design"].unpersist()
     design = spark.read.parquet(path)
     trials = MD.trial_table(spark, cfg.models, cfg.n_trials, cfg.seed)
-    params = MD.trial_params(trials)
+    params = {k: {**p, "max_iter": cfg.max_iter} for k, p in MD.trial_params(trials).items()}
 
     # ---- search: every (model, trial, repeat, fold) fit scores its held-out fold
     cv_path = f"{out}/cv_scores"
@@ -213,7 +216,9 @@ def run_evaluation(spark: SparkSession, samples: DataFrame, cfg: RunConfig) -> d
     cvp = cv.withColumn("y_pred", (F.col("score") >= thr0).cast("int")).withColumn("proba", F.col("score"))
     fold_m = M.binary_metrics(cvp, ["model", "trial", "repeat", "fold"])
     trial_score = fold_m.groupBy("model", "trial", "repeat").agg(F.avg("macro_f1").alias("cv_macro_f1"))
-    best = (trial_score.withColumn("_r", F.row_number().over(
+    # one flag per trial: all its folds converged (NULL: the model takes no such steps)
+    flags = cv.groupBy("model", "trial", "repeat").agg(F.bool_and("converged").alias("cv_converged"))
+    best = (trial_score.join(flags, ["model", "trial", "repeat"]).withColumn("_r", F.row_number().over(
         Window.partitionBy("model", "repeat").orderBy(F.desc("cv_macro_f1"), "trial")))
         .filter("_r = 1").drop("_r").cache())
     best_rows = best.collect()
@@ -243,7 +248,9 @@ def run_evaluation(spark: SparkSession, samples: DataFrame, cfg: RunConfig) -> d
     allp = allp.cache()
     thr = M.best_threshold(allp.filter(F.col("role") == "val"), ["model", "repeat"])
     test = M.apply_threshold(allp.filter(F.col("role") == "test"), thr, ["model", "repeat"])
-    metrics = M.binary_metrics(test, ["model", "repeat"])
+    # converged: the refit of the chosen trial; NULL for the ensemble and models that take no such steps
+    flags = final.groupBy("model", "repeat").agg(F.bool_and("converged").alias("converged"))
+    metrics = M.binary_metrics(test, ["model", "repeat"]).join(flags, ["model", "repeat"], "left")
     manifest = spark.createDataFrame(
         [(cfg.seed, cfg.n_repeats, cfg.n_trials, cfg.n_folds, ",".join(cfg.models), float(time.time() - t0), out)],
         "seed int, n_repeats int, n_trials int, n_folds int, models string, seconds double, run_dir string")

@@ -51,3 +51,31 @@ def test_resumed_run_skips_finished_cells(spark, samples, tmp_path, monkeypatch)
     calls.clear()
     monkeypatch.setattr(R, "design_table", lambda *a: pytest.fail("a finished run computes no design"))
     assert R.run_evaluation(spark, samples, cfg)["metrics"].collect() == first and not calls
+
+
+def test_registered_run_has_every_built_model(monkeypatch):
+    from types import SimpleNamespace
+
+    from tessera.plans import queries as Q
+
+    seen = []
+
+    def caught(spark, samples, cfg):
+        seen.append(cfg)
+        return {"metrics": None}
+
+    monkeypatch.setattr(R, "run_evaluation", caught)
+    monkeypatch.setattr(Q, "prep_inputs", lambda *a: (None, None, None))
+    monkeypatch.setattr(Q, "round_doubles", lambda df: df)
+    Q.REGISTRY["full_run"](SimpleNamespace(), "")
+    assert seen[0].models == ("LR", "SVM", "RF", "GB", "KNN")
+
+
+def test_fits_tell_whether_they_converged(spark):
+    rng = np.random.default_rng(6)
+    rows = [(0, 0, "fit" if k < 60 else "held", k, k % 2, 1.0, [float(v) for v in rng.normal(k % 2, 1, 3)]) for k in range(80)]
+    design = spark.createDataFrame(rows, "repeat int, fold int, role string, row_id int, label int, weight double, xs array<double>").coalesce(1).cache()
+    params = {"LR": {"C": 1.0, "penalty": "l2"}, "SVM": {"C": 1.0, "gamma": 0.1}, "KNN": {"n_neighbors": 3, "weights": "uniform", "metric": "euclidean"}}
+    got = {(m, steps): R._fit_and_score(design, m, {**params[m], "max_iter": steps}, 0, 0, ["held"], 1).first().converged
+           for m, steps in (("LR", 1), ("SVM", 1), ("KNN", 1), ("LR", 10_000))}
+    assert got == {("LR", 1): False, ("SVM", 1): False, ("KNN", 1): None, ("LR", 10_000): True}
