@@ -8,12 +8,17 @@ they decode to has the structure of a secret:
   an algorithm and whose second part decodes to a JSON object;
 * ``derkey``: base64 or hex (bare or in a PEM block) of a DER private key: a
   SEQUENCE whose nested lengths fill it exactly and whose fields are those of a
-  PKCS#1, PKCS#8 or SEC1 key;
+  PKCS#1, DSA, PKCS#8 (plain or encrypted) or SEC1 key; also a PEM block whose
+  DEK-Info header says that its whole cipher blocks are an encrypted key;
 * ``openssh``: base64 of the OpenSSH private key container, whose
   length-prefixed fields must nest and whose key count must be at least one;
 * ``encoded``: base64 or hex of printable text that itself holds an ``assign``
   or ``access`` match.
 
+Keys may be wrapped over lines (real or escaped line ends, in PEM with header
+lines) and start behind a sign such as ``/``, ``_`` or ``-``; the lengths in the
+key itself tell where it ends.  ``encoded`` runs may start behind such a sign.
+
 Places are code points, end exclusive.  A null text counts as empty and has no
 spans (``redact`` leaves it null); repeated rows get the same spans; an empty
 table gives no rows; other columns are not read, and ``redact`` hands them on.
@@ -40,10 +45,18 @@ MIN_ASSIGN, MIN_ACCESS = 12, 18
 KINDS = ("assign", "access", "hex", "jwt", "derkey", "openssh", "encoded")
 
 JWT = re.compile(rb"(?<![\w-])ey[\w-]+\.[\w-]+(?:\.[\w-]*)?", re.ASCII)
-PEM = re.compile(rb"-----BEGIN ([A-Z0-9 ]*PRIVATE KEY)-----([^-]*)-----END \1-----")
+PEM = re.compile(rb"-----BEGIN ([A-Z0-9 ]*PRIVATE KEY)-----")
+LINE_END = re.compile(rb"\\+[nrt]|\r")
+HEADER = re.compile(rb"^[\x20\t]*[A-Za-z][A-Za-z0-9-]*:[^\n]*$", re.M)
+CIPHER = re.compile(rb"DEK-Info:\s*[A-Za-z0-9-]+,\s*[0-9A-Fa-f]{16,}")
+KEY_START = re.compile(rb"M(?:(?<![A-Za-z0-9]M)|(?<=\\[nrt]M))[A-P][A-Za-z0-9+/_-]{2}")  # the first bytes of a SEQUENCE
+OPENSSH_START = re.compile(rb"b3BlbnNzaC1rZXktdjEA")
+RUN = re.compile(rb"[A-Za-z0-9+/_-]*")
+BREAK = re.compile(rb"\\+(?=/)|[\"',]*(?:\\+[nrt]|[\r\n])(?:\\+[nrt]|[\s\"'>])*")
 BASE64 = re.compile(rb"[A-Za-z0-9+/_-]{24,}={0,2}")
 HEX_RUN = re.compile(rb"[0-9A-Fa-f]{32,}")
 PRINTABLE = re.compile(rb"[\x09\x0a\x0d\x20-\x7e]+")
+PRINTABLE_BYTES = b"\t\n\r" + bytes(range(0x20, 0x7F))
 
 
 def _base_spans(raw: bytes) -> list[tuple[str, int, int]]:
@@ -103,10 +116,14 @@ def _is_der_key(data: bytes) -> bool:
         return False
     fields = _tlv(outer[0][1]) or []
     tags = [t for t, _ in fields]
+    if tags == [0x30, 0x04]:  # algorithm with its parameters, encrypted key
+        return [t for t, _ in _tlv(fields[0][1]) or []] == [0x06, 0x30] and len(fields[1][1]) >= 16
     if tags[:1] != [0x02] or fields[0][1] not in (b"\x00", b"\x01"):
         return False
     if len(tags) >= 9 and all(t == 0x02 for t in tags[:9]):  # version, modulus, exponents, primes, coefficients
         return True
+    if tags == [0x02] * 6:  # version, primes and generator, public and private number
+        return fields[0][1] == b"\x00" and all(len(x) >= 16 for _, x in fields[1:2] + fields[4:])
     if tags[1:3] == [0x30, 0x04]:  # version, algorithm, key
         algorithm = _tlv(fields[1][1])
         return bool(algorithm) and algorithm[0][0] == 0x06 and len(fields[2][1]) >= 16
@@ -143,22 +160,116 @@ def _confirmed(data: bytes | None) -> str | None:
     return None
 
 
+def _pem_kind(part: bytes) -> str | None:
+    """What the text between the BEGIN and END lines of a PEM block is."""
+    lines = LINE_END.sub(b"\n", part)
+    body = HEADER.sub(b"", lines).translate(None, b"\\\"',")
+    data = _base64(b"".join(body.split()))
+    if data and CIPHER.search(lines) and len(data) >= 16 and len(data) % 8 == 0:
+        return "derkey"
+    return kind if (kind := _confirmed(data)) in ("derkey", "openssh") else None
+
+
+def _pem_spans(raw: bytes) -> list[tuple[str, int, int]]:
+    out, begins = [], list(PEM.finditer(raw))
+    for m, after in zip(begins, [*[n.start() for n in begins[1:]], len(raw)]):
+        close = b"-----END " + m.group(1) + b"-----"
+        end = raw.find(close, m.end(), after)
+        if end >= 0 and (kind := _pem_kind(raw[m.end():end])):
+            out.append((kind, m.start(), end + len(close)))
+    return out
+
+
+def _gathered(raw: bytes, at: int, need: int | None) -> tuple[bytes, int] | None:
+    """The next ``need`` base64 characters, across line ends, and where they end
+    (None: all there are; no result if there are fewer)."""
+    out, have = [], 0
+    while True:
+        stop = RUN.match(raw, at).end()
+        if need is not None:
+            stop = min(stop, at + need - have)
+        out.append(raw[at:stop])
+        have += stop - at
+        more = None if have == need else BREAK.match(raw, stop)
+        if not more:
+            return (b"".join(out), stop) if need in (None, have) else None
+        at = more.end()
+
+
+def _der_size(head: bytes) -> int | None:
+    """Bytes of the SEQUENCE that starts with ``head``, if it may be a private key."""
+    width = head[1] & 0x7F if head[1] & 0x80 else 0
+    if width > 4 or head[1] == 0x80:
+        return None
+    inner = head[2 + width:5 + width]
+    if inner not in (b"\x02\x01\x00", b"\x02\x01\x01") and inner[:1] != b"\x30":
+        return None
+    return 2 + width + (int.from_bytes(head[2:2 + width], "big") if width else head[1])
+
+
+def _openssh_size(data: bytes) -> int | None:
+    """Bytes of the container at the start of ``data``, if all of it is there."""
+    at, left, first = len(b"openssh-key-v1\0"), 3, True
+    while left and at + 4 <= len(data):
+        at, left = at + 4 + int.from_bytes(data[at:at + 4], "big"), left - 1
+        if first and not left:  # the number of keys; each, and then all private ones
+            left, first, at = int.from_bytes(data[at:at + 4], "big") + 1, False, at + 4
+    return at if not left and not first and at <= len(data) else None
+
+
+def _key_spans(raw: bytes) -> list[tuple[str, int, int]]:
+    """Keys by the lengths they hold: wrapped, or with other text before or behind."""
+    out, last = [], 0
+    for starts, kind in ((KEY_START, "derkey"), (OPENSSH_START, "openssh")):
+        for m in starts.finditer(raw):
+            at = m.start()
+            if at < last and kind == "derkey":
+                continue
+            if kind == "derkey":
+                head = _gathered(raw, at, 16)
+                size = _der_size(_base64(head[0]) or b"\0\0") if head else None
+            else:
+                text = _gathered(raw, at, None)[0]
+                size = _openssh_size(_base64(text[:len(text) - (len(text) % 4 == 1)]) or b"")
+            if size and (part := _gathered(raw, at, -(-size * 8 // 6))) and _confirmed(_base64(part[0])) == kind:
+                last = part[1] + len(raw[part[1]:part[1] + 2]) - len(raw[part[1]:part[1] + 2].lstrip(b"="))
+                out.append((kind, at, last))
+    return out
+
+
+def _tail_start(run: bytes) -> int | None:
+    """Where text that holds a secret starts in a base64 run, behind a sign."""
+    body = run.rstrip(b"=")
+    for phase in range(4):
+        at = [k + 1 for k, c in enumerate(body) if c in b"/_-+" and (k + 1) % 4 == phase]
+        data = _base64(body[at[0]:]) if at else None
+        if data:
+            odd = len(data.rstrip(PRINTABLE_BYTES))
+            first = next((k for k in at if (k - at[0]) // 4 * 3 >= odd), None)
+            if first is not None and _confirmed(data[(first - at[0]) // 4 * 3:]) == "encoded":
+                return first
+    return None
+
+
 def _more_spans(raw: bytes) -> list[tuple[str, int, int]]:
     out = []
     for m in JWT.finditer(raw):
         if _is_jwt(m.group()):
             out.append(("jwt", m.start(), m.end()))
     if b"-----BEGIN" in raw:
-        for m in PEM.finditer(raw):
-            if (kind := _confirmed(_base64(b"".join(m.group(2).split())))) in ("derkey", "openssh"):
-                out.append((kind, m.start(), m.end()))
+        out += _pem_spans(raw)
+    out += _key_spans(raw)
     for m in HEX_RUN.finditer(raw):
         run = m.group()
         if len(run) % 2 == 0 and (kind := _confirmed(bytes.fromhex(run.decode()))):
             out.append((kind, m.start(), m.end()))
     for m in BASE64.finditer(raw):
-        if not HEX_RUN.fullmatch(m.group()) and (kind := _confirmed(_base64(m.group()))):
+        if HEX_RUN.fullmatch(m.group()):
+            continue
+        if kind := _confirmed(_base64(m.group())):
             out.append((kind, m.start(), m.end()))
+        elif (start := _tail_start(m.group())) is not None:
+            out.append(("encoded", m.start() + start, m.end()))
     pem = [s for s in out if raw.startswith(b"-----BEGIN", s[1])]
     return [s for s in out if s in pem or not any(p[1] <= s[1] and s[2] <= p[2] for p in pem)]
 
