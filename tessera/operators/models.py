@@ -210,6 +210,64 @@ def knn_scores(train: DataFrame, queries: DataFrame, k: int, weights: str = "uni
     return queries.withColumn(out, vote(F.col(key), F.col(features)))
 
 
+KNN_BLOCK_ROWS = 5_000
+
+
+def knn_scores_exact(train: DataFrame, queries: DataFrame, k: int, weights: str = "uniform", metric: str = "euclidean",
+                     features: str = "xs", label: str = "label", key: str = "row_id", block_rows: int = KNN_BLOCK_ROWS,
+                     exclude_self: bool = False, out: str = "score") -> DataFrame:
+    """M6 against every training row: ``knn_scores`` without its bound.
+
+    Rows of both sides are dealt by hash into blocks of about ``block_rows``;
+    each pair of blocks is one task's group, which keeps the k nearest of its
+    training block for each query, and a query's lists are merged.  All pairs
+    of rows are compared (that is the job), and each side travels once for
+    every block of the other.  Rules for ties, weights and ``exclude_self`` are
+    those of ``knn_scores``; a query without any neighbour gets NaN."""
+    if weights not in ("uniform", "distance") or metric not in ("euclidean", "manhattan"):
+        raise ValueError(f"unknown k-NN option: {weights}, {metric}")
+    rows = train.select(F.col(key).alias("k"), F.col(label).cast("double").alias("y"), F.col(features).alias("x"))
+    own = queries.select(F.col(key).alias("k"), F.col(features).alias("x")).distinct()
+    n_train, n_own = (max(1, math.ceil(d.count() / block_rows)) for d in (rows, own))
+    block = lambda n: F.pmod(F.xxhash64("k", "x"), F.lit(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    left = own.withColumn("qb", block(n_own)).withColumn("tb", every(n_train))
+    right = rows.withColumn("tb", block(n_train)).withColumn("qb", every(n_own))
+    kept = own.schema.fields + [T.StructField(c, T.ArrayType(t)) for c, t in (
+        ("d", T.DoubleType()), ("ks", rows.schema["k"].dataType), ("ys", T.DoubleType()))]
+
+    def nearest(q: pd.DataFrame, t: pd.DataFrame) -> pd.DataFrame:
+        if not len(q) or not len(t):
+            return pd.DataFrame({f.name: [] for f in kept})
+        t = t.sort_values("k")
+        keys, y, x = t["k"].to_numpy(), t["y"].to_numpy(float), np.vstack(t["x"].to_numpy()).astype(float)
+        step, lists = max(1, 2_000_000 // max(1, x.size)), []
+        for lo in range(0, len(q), step):
+            part = q.iloc[lo:lo + step]
+            apart = np.vstack(part["x"].to_numpy()).astype(float)[:, None, :] - x[None]
+            d = np.sqrt((apart ** 2).sum(-1)) if metric == "euclidean" else np.abs(apart).sum(-1)
+            if exclude_self:
+                d[part["k"].to_numpy()[:, None] == keys[None]] = np.inf
+            near = np.argsort(d, axis=1, kind="stable")[:, :k]
+            for n, dist in zip(near, np.take_along_axis(d, near, 1)):
+                n, dist = n[np.isfinite(dist)], dist[np.isfinite(dist)]
+                lists.append((dist, keys[n], y[n]))
+        return q[["k", "x"]].assign(**{c: [v[i] for v in lists] for i, c in enumerate(("d", "ks", "ys"))})
+
+    found = left.groupBy("qb", "tb").cogroup(right.groupBy("qb", "tb")).applyInPandas(nearest, T.StructType(kept))
+    merged = found.groupBy("k", "x").agg(F.flatten(F.collect_list(F.arrays_zip("d", "ks", "ys"))).alias("n"))
+    near = F.slice(F.array_sort("n"), 1, k)
+    zero = F.filter(near, lambda v: v["d"] == 0)
+    total = lambda a, f: F.aggregate(F.transform(a, f), F.lit(0.0), lambda s, v: s + v)
+    mean = lambda a: total(a, lambda v: v["ys"]) / F.size(a)
+    inverse = total(near, lambda v: v["ys"] / v["d"]) / total(near, lambda v: F.lit(1.0) / v["d"])
+    vote = mean(near) if weights == "uniform" else F.when(F.size(zero) > 0, mean(zero)).otherwise(inverse)
+    score = F.when(F.size("n") > 0, vote).otherwise(F.lit(float("nan")))
+    scored = merged.select(F.col("k").alias("_k"), F.col("x").alias("_x"), score.alias(out))
+    return (queries.join(scored, F.col(key).eqNullSafe(F.col("_k")) & F.col(features).eqNullSafe(F.col("_x")), "left")
+            .drop("_k", "_x").fillna(float("nan"), [out]))
+
+
 def score_column(model: str) -> F.Column:
     """Positive-class score of a fitted model's output: P(y=1) for
     probabilistic models, the margin for the linear SVM (calibrated later)."""

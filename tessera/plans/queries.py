@@ -473,7 +473,7 @@ def q_knn_score(spark, sf_dir):
     w = w.select("row_id", "label", F.transform("features", finite).alias("xs"))
     for weights in ("uniform", "distance"):
         for metric in ("euclidean", "manhattan"):
-            w = MD.knn_scores(w, w, KNN_QUERY_K, weights, metric, exclude_self=True, out=f"{weights}_{metric}")
+            w = MD.knn_scores_exact(w, w, KNN_QUERY_K, weights, metric, exclude_self=True, out=f"{weights}_{metric}")
     return round_doubles(w.drop("xs"))
 
 

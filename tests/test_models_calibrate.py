@@ -88,3 +88,23 @@ def test_knn_votes_and_ties(spark):
     assert MD.knn_scores(train, train, 1, exclude_self=True).filter("row_id = 1").first().score == 0.0
     with pytest.raises(ValueError):
         MD.knn_scores(train, q, 1, metric="cosine")
+
+
+def test_exact_knn_uses_every_row_whatever_the_blocks(spark):
+    rng = np.random.default_rng(8)
+    rows = [(i, i % 2, [float(v) for v in rng.integers(0, 6, 2)]) for i in range(60)]  # equal distances on purpose
+    df = spark.createDataFrame([*rows, rows[3]], "row_id int, label int, xs array<double>")
+    for weights, metric in (("uniform", "euclidean"), ("distance", "manhattan")):
+        get = lambda f, **kw: sorted((r.row_id, round(r.score, 9)) for r in f(df.limit(60), df, 5, weights, metric, exclude_self=True, **kw).collect())
+        whole = get(MD.knn_scores)
+        assert len(whole) == 61 and get(MD.knn_scores_exact, block_rows=7) == whole == get(MD.knn_scores_exact)
+        assert get(MD.knn_scores, max_train_rows=20) != whole
+
+
+def test_registered_knn_uses_every_row(spark, monkeypatch):
+    from tessera.plans import queries as Q
+    from tests.conftest import SF001
+
+    want = Q.REGISTRY["knn_score"](spark, SF001).orderBy("row_id").collect()
+    monkeypatch.setattr(MD.knn_scores, "__defaults__", tuple(10 if d == MD.KNN_TRAIN_ROWS else d for d in MD.knn_scores.__defaults__))
+    assert Q.REGISTRY["knn_score"](spark, SF001).orderBy("row_id").collect() == want
