@@ -352,6 +352,7 @@ REGISTRY.update({
 
 
 # ---------------------------------------------------------------- selection
+from tessera.operators import models as MD  # noqa: E402
 from tessera.operators import select as SEL  # noqa: E402
 
 
@@ -371,9 +372,14 @@ def q_mi_binned(spark, sf_dir):
     return round_doubles(SEL.mutual_info_binned(imputed_long_whole(spark, sf_dir), []))
 
 
-def mrmr_selection(spark, sf_dir, k=20):
+MRMR_QUERY_K = max(MD.MRMR_K_CHOICES)
+STABILITY_K = 20
+
+
+def mrmr_selection(spark, sf_dir, k=MRMR_QUERY_K):
     """Per repeat: fold-safe prep on train rows, MI relevance of the kept
-    features on imputed train values, MRMR over the kept set."""
+    features on imputed train values, MRMR over the kept set: the largest k of
+    the search space, capped at the kept features."""
     w, a, cells = prep_inputs(spark, sf_dir)
     m = P.FeaturePrep(["repeat"]).fit(w, cells)
     kept = m.params.filter("keep").select("repeat", "feature_idx", "median")
@@ -391,7 +397,7 @@ def q_mrmr_topk(spark, sf_dir):
 
 
 def q_selection_stability(spark, sf_dir):
-    sel = mrmr_selection(spark, sf_dir)
+    sel = mrmr_selection(spark, sf_dir).filter(F.col("step") < STABILITY_K)  # the prefix is the selection for STABILITY_K
     names = B.wide_feature_names(spark, derived=True)
     return round_doubles(SEL.selection_stability(sel).join(F.broadcast(names), "feature_idx"))
 
@@ -406,7 +412,6 @@ REGISTRY.update({
 
 # ---------------------------------------------------------------- models, calibration, run
 from tessera.operators import calibrate as CAL  # noqa: E402
-from tessera.operators import models as MD  # noqa: E402
 
 
 def q_soft_vote(spark, sf_dir):

@@ -136,3 +136,19 @@ def test_mrmr_prefix_property(spark):
     a = [r.feature_idx for r in SEL.mrmr(rel, corr, ["repeat"], 4).orderBy("step").collect()]
     b = [r.feature_idx for r in SEL.mrmr(rel, corr, ["repeat"], 9).orderBy("step").collect()]
     assert b[:4] == a
+
+
+def test_registered_selection_is_the_largest_k_and_stability_its_first_twenty(spark, monkeypatch):
+    import inspect
+
+    from pyspark.sql import functions as F
+
+    from tessera.plans import queries as Q
+
+    assert inspect.signature(Q.mrmr_selection).parameters["k"].default == 100
+    rows = [(r, s, s + 1 + (s >= 20) * r, 0.0) for r in range(2) for s in range(30)]
+    made = spark.createDataFrame(rows, "repeat int, step int, feature_idx int, score double")
+    monkeypatch.setattr(Q, "mrmr_selection", lambda *a: made)
+    got = Q.q_selection_stability(spark, "").agg(F.min("feature_idx"), F.max("feature_idx"), F.count("*")).first()
+    assert tuple(got) == (1, 20, 20)
+    assert Q.q_mrmr_topk(spark, "").count() == 60
