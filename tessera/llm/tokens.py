@@ -4,8 +4,8 @@ The file of the vocabulary is a parameter.  A text is cut where one plain space
 stands between two characters that are not white space: the vocabulary's own
 splitting pattern always starts a new piece there, so the ids of the chunks put
 together are the ids of the text.  Chunks recur, and each process keeps the ids
-of those it has met (a bounded number); texts with other spacing are encoded
-whole.
+of those it has met (a bounded number); texts with other spacing, and those that
+hold the string of an added token (which becomes its id), are encoded whole.
 """
 from __future__ import annotations
 
@@ -40,7 +40,7 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(file)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.size = self.tokenizer.get_vocab_size()
         self.model = self.tokenizer.model
         self.known: dict[str, bytes] = {}
@@ -77,7 +77,7 @@ class Encoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
-        chunks = [None if "\0" in t or ODD.search(t) else t.replace(" ", "\0 ").split("\0") for t in texts]
+        chunks = [None if "\0" in t or ODD.search(t) or any(a in t for a in self.added) else t.replace(" ", "\0 ").split("\0") for t in texts]
         met = set().union(*[x for x in chunks if x])
         own = self._chunks([c for c in met if c not in self.known])
         if len(self.known) + len(own) <= KEPT:

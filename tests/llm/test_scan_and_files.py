@@ -141,6 +141,16 @@ def test_chunked_encoding_equals_whole_texts(spark):
     assert list(tokens.encoded(texts)) == enc._ids(texts)
 
 
+def test_added_tokens_as_the_plain_tokenizer_has_them():
+    from tokenizers import Tokenizer
+
+    plain = Tokenizer.from_file(tokens.VOCABULARY)
+    texts = ["<|endoftext|>", "a <|endoftext|> b", "a b<|endoftext|>c d", "x <|endoftext| > y", "a <|endoftext|>"]
+    assert [np.frombuffer(x, "<u4").tolist() for x in tokens.encoded(texts)] == [plain.encode(t, add_special_tokens=False).ids for t in texts]
+    added = next(iter(plain.get_added_tokens_decoder()))
+    assert added in plain.encode(texts[1], add_special_tokens=False).ids
+
+
 @pytest.mark.parametrize("bits", [1, 7, 15, 16, 17, 31, 32])
 def test_packing_round_trip(bits):
     ids = np.random.default_rng(bits).integers(0, 1 << bits, 1001, dtype=np.uint64).astype("<u4")
