@@ -2,7 +2,7 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from tessera.llm import best_fit_packing, decontaminate, hilbert_shards, jaccard_join, language_id, quality_rules, rule_ensemble, secret_scan, simhash, substring_dedup, token_files
+from tessera.llm import best_fit_packing, decontaminate, hilbert_shards, jaccard_join, language_id, quality_rules, rule_ensemble, secret_scan, simhash, substring_dedup, token_files, whitening
 
 QUERIES = {
     "op1_language_id": language_id.q_language_id,
@@ -16,6 +16,7 @@ QUERIES = {
     "op9_benchmark_decontamination": decontaminate.q_decontaminate,
     "op10_token_files": token_files.q_token_files,
     "op12_simhash": simhash.q_simhash,
+    "op13_whitening": whitening.q_whitening,
     "pipeline": corpus_pipeline.run,
 }
 
