@@ -2,7 +2,7 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from tessera.llm import best_fit_packing, decontaminate, hilbert_shards, jaccard_join, language_id, quality_rules, rule_ensemble, secret_scan, simhash, substring_dedup, token_files, whitening
+from tessera.llm import alignment, best_fit_packing, decontaminate, hilbert_shards, jaccard_join, language_id, quality_rules, rule_ensemble, secret_scan, simhash, substring_dedup, token_files, whitening
 
 QUERIES = {
     "op1_language_id": language_id.q_language_id,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_best_fit_packing": best_fit_packing.q_best_fit_packing,
     "op9_benchmark_decontamination": decontaminate.q_decontaminate,
     "op10_token_files": token_files.q_token_files,
+    "op11_tokenizer_alignment": alignment.q_alignment,
     "op12_simhash": simhash.q_simhash,
     "op13_whitening": whitening.q_whitening,
     "pipeline": corpus_pipeline.run,
