@@ -14,6 +14,7 @@ Objective, as in Spark ML: ``mean weighted loss + reg * penalty`` with
 """
 from __future__ import annotations
 
+from collections import OrderedDict
 from collections.abc import Generator
 from functools import lru_cache
 
@@ -42,7 +43,8 @@ def fourier(x: np.ndarray, gamma: float, out: int, seed: int) -> np.ndarray:
 
 
 def _sums(loss: np.ndarray, slope: np.ndarray, curve: np.ndarray, x: np.ndarray) -> np.ndarray:
-    return np.concatenate([[loss.sum()], x.T @ slope, ((x * curve[:, None]).T @ x).ravel()])
+    bent = np.flatnonzero(curve)  # few rows of a hinge have curvature
+    return np.concatenate([[loss.sum()], x.T @ slope, ((x[bent] * curve[bent, None]).T @ x[bent]).ravel()])
 
 
 def _logistic(block: Block, beta: np.ndarray) -> np.ndarray:
@@ -53,9 +55,22 @@ def _logistic(block: Block, beta: np.ndarray) -> np.ndarray:
     return _sums(loss, block.w * (p - block.y), block.w * p * (1 - p), x)
 
 
+_MAPPED: OrderedDict = OrderedDict()
+
+
+def _mapped(block: Block, gamma: float, out: int, seed: int) -> np.ndarray:
+    """A block's Fourier features; those of the last few blocks are kept."""
+    name = (block.name, block.x.shape, block.key.tobytes(), block.x[:1].tobytes(), gamma, out, seed)
+    if name not in _MAPPED:
+        _MAPPED[name] = _with_one(fourier(block.x, gamma, out, seed))
+        if len(_MAPPED) > 4:
+            _MAPPED.popitem(last=False)
+    return _MAPPED[name]
+
+
 def _rounded_hinge(block: Block, beta: np.ndarray, width: float, gamma: float, out: int, seed: int) -> np.ndarray:
     """max(0, 1 - m), a parabola where 1 - m is between 0 and ``width``."""
-    x = _with_one(fourier(block.x, gamma, out, seed))
+    x = _mapped(block, gamma, out, seed)
     sign = 2 * block.y - 1
     short = 1 - sign * (x @ beta)
     inside = (short > 0) & (short < width)
@@ -68,9 +83,9 @@ def _weight(block: Block) -> np.ndarray:
     return np.array([block.w.sum()])
 
 
-def _direction(g: np.ndarray, h: np.ndarray, beta: np.ndarray, reg: float, l1: bool) -> np.ndarray:
+def _direction(g: np.ndarray, h: np.ndarray, beta: np.ndarray, reg: float, l1: bool, damping: float) -> np.ndarray:
     """Step to the minimum of the quadratic model (L1: with the penalty in it)."""
-    ridge = 1e-10 * max(1e-3, np.trace(h) / len(h))
+    ridge = damping * max(1e-3, np.trace(h) / len(h))
     if not l1:
         return -np.linalg.solve(h + ridge * np.eye(len(h)), g)
     step, slope, diagonal = np.zeros(len(g)), g.copy(), h.diagonal() + ridge
@@ -101,19 +116,22 @@ def _descend(ask, d: int, reg: float, l1: bool, beta: np.ndarray, total: float,
 
     value, g, h = read((yield ask(beta)), beta)
     for taken in range(steps):
-        step = _direction(g, h, beta, reg, l1)
-        promised = g @ step + (penalty(beta + step) - penalty(beta) if l1 else 0.0)
-        if -promised <= TOLERANCE * TOLERANCE + 1e-15 * abs(value):
-            return beta, taken, True
-        scale = 1.0
-        while True:
-            trial = beta + scale * step
-            new, new_g, new_h = read((yield ask(trial)), trial)
-            if new <= value + 1e-4 * scale * promised:
-                break
-            scale /= 2
-            if scale < 1e-12:  # no descent left in double precision
-                return beta, taken, -promised <= 1e-10 * max(1.0, abs(value))
+        damping, scale = 1e-12, 0.0
+        while scale < 1e-3:  # a step that has to be cut so far is taken again with more damping
+            step = _direction(g, h, beta, reg, l1, damping)
+            promised = g @ step + (penalty(beta + step) - penalty(beta) if l1 else 0.0)
+            if -promised <= TOLERANCE * TOLERANCE + 1e-15 * abs(value):
+                return beta, taken, True
+            scale = 1.0
+            while scale >= 1e-3:
+                trial = beta + scale * step
+                new, new_g, new_h = read((yield ask(trial)), trial)
+                if new <= value + 1e-4 * scale * promised:
+                    break
+                scale /= 4
+            damping *= 100
+            if scale < 1e-3 and damping > 1e6:  # no descent left in double precision
+                return beta, taken, -promised <= 1e-9 * max(1.0, abs(value))
         beta, value, g, h = trial, new, new_g, new_h
     return beta, steps, False
 
@@ -135,7 +153,7 @@ def svm(d: int, params: dict, seed: int) -> Generator[Ask, np.ndarray, dict]:
         ask = lambda b, width=width: Ask(_rounded_hinge, {"beta": b, "width": width, "gamma": gamma, "out": out, "seed": seed})
         beta, steps, converged = yield from _descend(ask, out, 1.0 / (params["C"] * total), False, beta, total, left)
         left -= max(1, steps)
-        if width <= ROUND or not converged:
+        if width <= ROUND:
             break
         width = max(ROUND, width / 4)
     return {"beta": beta, "gamma": np.float64(gamma), "out": np.int64(out), "seed": np.int64(seed),

@@ -23,6 +23,7 @@ from pyspark.sql import types as T
 from pyspark.sql.functions import pandas_udf
 
 from tessera.functions.exprs import DEFAULT_SEED, attach_scalar, seeded_uniform
+from tessera.operators import linear, trees
 
 # Hyper-parameter search space per model (kind, low, high, step/choices).
 MRMR_K_CHOICES = (20, 50, 100)
@@ -39,7 +40,10 @@ SEARCH_SPACE: dict[str, dict[str, tuple]] = {
             "metric": ("cat", ("euclidean", "manhattan"))},
 }
 RFF_DIM = 256
-MODELS = ("LR", "SVM", "RF", "GB", "KNN")  # those that can be fitted here (no extra-trees)
+MODELS = ("LR", "SVM", "RF", "ET", "GB", "KNN")
+#: fit programs (M1 to M5) and what gives a fitted one's score; k-NN keeps rows and is no program
+PROGRAMS = {"LR": linear.logistic, "SVM": linear.svm, "RF": trees.random_forest, "ET": trees.extra_trees, "GB": trees.boosting}
+SCORERS = {"LR": linear.logistic_score, "SVM": linear.svm_margin, "RF": trees.forest_score, "ET": trees.forest_score, "GB": trees.boosted_score}
 MAX_ITER = 10_000
 
 
@@ -151,7 +155,7 @@ def build_estimator(model: str, params: Mapping[str, Any], n_weight: float, feat
                              stepSize=float(params["learning_rate"]), maxDepth=int(params["max_depth"]),
                              subsamplingRate=float(params["subsample"]), seed=seed)
     if model in SEARCH_SPACE:
-        raise NotImplementedError(f"model {model} has no Spark ML estimator here")
+        raise NotImplementedError(f"model {model} has no Spark ML estimator; see PROGRAMS")
     raise ValueError(f"Unknown model: {model}")
 
 

@@ -193,7 +193,7 @@ _CODES: OrderedDict = OrderedDict()
 
 def _codes(block: Block, edges: np.ndarray) -> np.ndarray:
     """Bins of a block's values (up to edge b: bin b or less); the last few blocks' are kept."""
-    name = (block.name, block.x.shape, edges.tobytes())
+    name = (block.name, block.x.shape, block.key.tobytes(), edges.tobytes())
     if name not in _CODES:
         _CODES[name] = np.stack([np.searchsorted(edges[f], block.x[:, f]) for f in range(block.x.shape[1])], 1) if len(block.x) else np.zeros(block.x.shape, np.int64)
         if len(_CODES) > 16:

@@ -446,25 +446,24 @@ def q_sigmoid_apply(spark, sf_dir):
 
 
 def q_random_search(spark, sf_dir):
-    """M9: the seeded trial table (50 trials × 6 models), with the number of
-    WIDE training rows it will be fitted on per repeat."""
-    w = B.wide_samples(spark, sf_dir)
-    n = w.agg(F.count(F.lit(1)).alias("n_rows"))
-    from tessera.functions.exprs import attach_scalar
-    t = MD.trial_table(spark, ["LR", "SVM", "RF", "ET", "GB", "KNN"], 50)
-    return round_doubles(attach_scalar(t, n))
+    """LR, SVM and extra-trees searched on the whole WIDE table, five
+    trials on three grouped folds: the best trial of each model, its parameters,
+    its mean macro-F1 over the folds, and whether its fits converged."""
+    from tessera.plans.run import Run, RunConfig, best_parameters
+    w, _, _ = prep_inputs(spark, sf_dir)
+    run = Run(spark, w, RunConfig(n_repeats=1, n_trials=5, n_folds=3, models=("LR", "SVM", "ET"), ensemble_members=()))
+    run.prepare()
+    return round_doubles(best_parameters(run, run.search()))
 
 
 def q_full_run(spark, sf_dir):
     """The grouped evaluation at the reference's smoke configuration
-    (2 repeats, 3 trials, 3 inner folds) on the whole WIDE table; test metrics
-    per (model, repeat) of every model that is built, and whether its refit
-    converged.  The ensemble needs RF, extra-trees and boosting; extra-trees is
-    not built, so there are no extra-trees and no ensemble rows here."""
+    (2 repeats, 3 trials, 3 inner folds) on the whole WIDE table: test metrics per
+    (model, repeat) of the six models and the soft-voting ensemble of RF, ET and
+    GB at its own threshold (C5, U4), and whether the refit converged."""
     from tessera.plans.run import RunConfig, run_evaluation
     w, _, _ = prep_inputs(spark, sf_dir)
-    res = run_evaluation(spark, w, RunConfig.smoke(models=MD.MODELS, ensemble_members=()))
-    return round_doubles(res["metrics"])
+    return round_doubles(run_evaluation(spark, w, RunConfig.smoke())["metrics"])
 
 
 KNN_QUERY_K = 5

@@ -2,17 +2,19 @@
 grouped evaluation (split → fold-safe prep → MRMR → search → out-of-fold
 Platt calibration → threshold on validation → test metrics → soft vote).
 
-Everything that touches rows is a batched DataFrame job over all cells; only
-model fits are submitted one per cell, from a bounded thread pool (the way
-``CrossValidator(parallelism=…)`` does).  Every fit's scores are appended to
-the run's directory, which is named by a fingerprint of configuration and input;
-a restarted run reads its tables and skips finished cells.
+Everything that touches rows is a batched DataFrame job over all cells.  All
+fits of a model (trials × repeats × folds) are one step: fit programs over
+blocks of rows (``operators.cells``), whose number of jobs does not depend on the
+number of fits.  A step's scores and its seconds are committed to the run's
+directory, which is named by a fingerprint of configuration and input; a
+restarted run reads its tables and skips finished steps.
 """
 from __future__ import annotations
 
 import hashlib
 import json
 import time
+import uuid
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
@@ -21,14 +23,18 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tessera.functions.exprs import DEFAULT_SEED, ENSEMBLE_MEMBERS
+from tessera.functions.exprs import DEFAULT_SEED, ENSEMBLE_MEMBERS, MODEL_ORDER
 from tessera.operators import calibrate as C
+from tessera.operators import cells as CE
 from tessera.operators import metrics as M
 from tessera.operators import models as MD
 from tessera.operators import prep as P
+from tessera.operators import report as RP
 from tessera.operators import select as SEL
 from tessera.operators import splits as SP
+from tessera.operators import stats as ST
 from tessera.session import ensure_checkpoint_dir
+from tessera.sources.sinks import write_json_document
 
 
 def run_grid(spark: SparkSession, n_repeats: int, models: Sequence[str]) -> DataFrame:
@@ -53,6 +59,7 @@ class RunConfig:
     ensemble_members: tuple = ENSEMBLE_MEMBERS
     seed: int = DEFAULT_SEED
     parallelism: int = 8
+    block_rows: int = CE.BLOCK_ROWS  # rows of a block; fits of larger cells run in lockstep over their blocks
     mrmr_k_max: int = 100
     max_iter: int = MD.MAX_ITER  # steps of LR and SVM; the results tell which fits needed more
     group: str = "patient_id"
@@ -66,7 +73,7 @@ class RunConfig:
 
 def fingerprint(samples: DataFrame, cfg: RunConfig) -> str:
     """Names a run by its configuration and its input rows (order-free)."""
-    knobs = {k: v for k, v in vars(cfg).items() if k not in ("out_dir", "parallelism", "extra")}
+    knobs = {k: v for k, v in vars(cfg).items() if k not in ("out_dir", "parallelism", "block_rows", "extra")}
     rows = samples.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64(*samples.columns).cast("decimal(38,0)")).alias("h")).first()
     text = json.dumps([knobs, samples.dtypes, rows["n"], str(rows["h"])], sort_keys=True, default=list)
     return hashlib.sha256(text.encode()).hexdigest()[:16]
@@ -97,12 +104,6 @@ def _kept(spark: SparkSession, path: str, make) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def _finished(spark: SparkSession, path: str, keys: Sequence[str]) -> set[tuple]:
-    """Cells with committed scores: one row per cell of the run's grid."""
-    done = _table(spark, path)
-    return set() if done is None else {tuple(r) for r in done.select(*keys).distinct().collect()}
-
-
 def design_table(samples: DataFrame, cfg: RunConfig):
     """Splits, folds, fold-safe preparation and MRMR for every (repeat, fold)
     cell, and the design rows ``(repeat, fold, role, row_id, label, weight,
@@ -139,29 +140,96 @@ def design_table(samples: DataFrame, cfg: RunConfig):
     return a, roles, prep, sel, design
 
 
-def _fit_and_score(design: DataFrame, model: str, params: dict, repeat: int, fold: int,
-                   score_roles: Sequence[str], seed: int):
-    d = design.filter((F.col("repeat") == repeat) & (F.col("fold") == fold))
-    k = int(params.get("mrmr_k", 100))
-    d = d.withColumn("xk", F.slice("xs", 1, k))
-    if model == "KNN":
-        held = d.filter(F.col("role").isin(*score_roles))
-        return MD.knn_scores(d.filter(F.col("role") == "fit"), held, int(params["n_neighbors"]), params["weights"],
-                             params["metric"], features="xk").select(
-            F.lit(model).alias("model"), "repeat", "fold", "role", "row_id", F.col("label").alias("y_true"), "score",
-            F.lit(None).cast("boolean").alias("converged"))
-    if model == "SVM":
-        d = MD.random_fourier(d, "xk", float(params["gamma"]), seed=seed, out="xk")
-    d = MD.to_vector(d, "xk")
-    fit_rows = d.filter(F.col("role") == "fit")
-    n_w = fit_rows.agg(F.sum("weight")).first()[0] or 1.0
-    est = MD.build_estimator(model, params, float(n_w), seed=seed)
-    fitted = est.fit(fit_rows)
-    held = d.filter(F.col("role").isin(*score_roles))
-    return fitted.transform(held).select(
-        F.lit(model).alias("model"), "repeat", "fold", "role", "row_id",
-        F.col("label").alias("y_true"), MD.score_column(model).alias("score"),
-        F.lit(MD.converged(model, fitted)).cast("boolean").alias("converged"))
+class Run:
+    """The tables and the log of one run folder."""
+
+    def __init__(self, spark: SparkSession, samples: DataFrame, cfg: RunConfig):
+        self.spark, self.samples, self.cfg = spark, samples, cfg
+        self.out, self.attempt = _run_dir(spark, cfg, fingerprint(samples, cfg)), uuid.uuid4().hex
+        self._made: dict[str, DataFrame] = {}
+
+    def log(self, step: str, model: str, fits: int, seconds: float) -> None:
+        row = [(self.attempt, step, model, fits, float(seconds))]
+        self.spark.createDataFrame(row, "attempt string, step string, model string, fits int, seconds double").coalesce(1).write.mode("append").parquet(f"{self.out}/log")
+
+    def _design(self, name: str) -> DataFrame:
+        if not self._made:  # only a run that lacks one of its tables computes the design
+            a, _, _, sel, design = design_table(self.samples, self.cfg)
+            self._made.update(assignments=a, selections=sel, design=design)
+        return self._made[name]
+
+    def prepare(self) -> None:
+        """Assignments, selections, and the design rows and their blocks: written
+        once, read by every step and every resumed run."""
+        t0, cc, size = time.time(), ["repeat", "fold"], self.cfg.block_rows
+        self.assignments = _kept(self.spark, f"{self.out}/assignments", lambda: self._design("assignments"))
+        self.selections = _kept(self.spark, f"{self.out}/selections", lambda: self._design("selections"))
+        self.design = _kept(self.spark, f"{self.out}/design", lambda: self._design("design"))
+        fit = F.col("role") == "fit"
+        self.fit_blocks = _kept(self.spark, f"{self.out}/blocks-{size}/fit", lambda: CE.block_table(self.design.filter(fit), cc, block_rows=size))
+        self.out_blocks = _kept(self.spark, f"{self.out}/blocks-{size}/out", lambda: CE.block_table(self.design.filter(~fit), [*cc, "role"], block_rows=size))
+        if self._made:
+            self._made["design"].unpersist()
+            self.log("prepare", "", 0, time.time() - t0)
+
+    def _knn(self, task) -> DataFrame:
+        fit, repeat, fold, _, params = task
+        p = json.loads(params)
+        d = self.design.filter((F.col("repeat") == repeat) & (F.col("fold") == fold)).withColumn("xk", F.slice("xs", 1, int(p["mrmr_k"])))
+        scored = MD.knn_scores(d.filter("role = 'fit'"), d.filter("role != 'fit'"), int(p["n_neighbors"]), p["weights"], p["metric"], features="xk")
+        return scored.select(F.lit(fit).cast("int").alias("fit"), "repeat", "fold", "role", F.col("row_id").cast("long").alias("row_id"),
+                             F.col("label").cast("int").alias("y_true"), "score", F.lit(None).cast("boolean").alias("converged"))
+
+    def scores(self, step: str, model: str, tasks: list[tuple], roles: Sequence[str]) -> None:
+        """Fit and score ``tasks`` = (trial, repeat, fold) → params of one model, unless it is done."""
+        path = f"{self.out}/{step}_scores/model={model}"
+        if _table(self.spark, path) is not None:
+            return
+        t0 = time.time()
+        rows = [(k, repeat, fold, model, json.dumps(params)) for k, ((_, repeat, fold), params) in enumerate(tasks)]
+        fits = self.spark.createDataFrame(rows, "fit int, repeat int, fold int, program string, params string")
+        if model == "KNN":
+            with ThreadPoolExecutor(self.cfg.parallelism) as ex:  # one bounded matrix for each fit
+                parts = list(ex.map(self._knn, rows))
+            scored = parts[0]
+            for p in parts[1:]:
+                scored = scored.unionByName(p)
+        else:
+            models = CE.fit_cells(self.fit_blocks, fits, ["repeat", "fold"], MD.PROGRAMS, self.cfg.seed)
+            models.write.mode("overwrite").parquet(f"{self.out}/{step}_models/model={model}")
+            models = self.spark.read.parquet(f"{self.out}/{step}_models/model={model}")
+            scored = CE.score_cells(self.out_blocks, fits, models, ["repeat", "fold"], MD.SCORERS)
+        named = self.spark.createDataFrame([(k, trial) for k, ((trial, _, _), _) in enumerate(tasks)], "fit int, trial int")
+        out = scored.filter(F.col("role").isin(*roles)).join(F.broadcast(named), "fit")  # one row for each fit
+        out.select("trial", "repeat", "fold", "role", "row_id", "y_true", "score", "converged").write.mode("overwrite").parquet(path)
+        self.log(step, model, len(tasks), time.time() - t0)
+
+    def search(self) -> DataFrame:
+        """The trial table crossed with the grouped folds, scored by B1;
+        the best trial of every (model, repeat): ``model, repeat, trial,
+        cv_macro_f1, cv_converged``.  The smaller trial number wins ties."""
+        cfg = self.cfg
+        self.params = {k: {**p, "max_iter": cfg.max_iter} for k, p in MD.trial_params(MD.trial_table(self.spark, cfg.models, cfg.n_trials, cfg.seed)).items()}
+        for m in cfg.models:
+            tasks = [((t, r, f), self.params[(m, t)]) for t in range(cfg.n_trials) for r in range(cfg.n_repeats) for f in range(cfg.n_folds)]
+            self.scores("cv", m, tasks, ["held"])
+        cv = self.spark.read.parquet(f"{self.out}/cv_scores")
+        # an SVM margin is taken through the logistic curve: the same order, and 0.5 where the margin is 0
+        proba = F.when(F.col("model") == "SVM", 1.0 / (1.0 + F.exp(-F.col("score")))).otherwise(F.col("score"))
+        cvp = cv.withColumn("proba", proba).withColumn("y_pred", (F.col("proba") >= 0.5).cast("int"))
+        keys = ["model", "trial", "repeat"]
+        by_trial = M.binary_metrics(cvp, [*keys, "fold"]).groupBy(*keys).agg(F.avg("macro_f1").alias("cv_macro_f1"))
+        # one flag per trial: all its folds converged (NULL: the model takes no such steps)
+        flags = cv.groupBy(*keys).agg(F.bool_and("converged").alias("cv_converged"))
+        first = F.row_number().over(Window.partitionBy("model", "repeat").orderBy(F.desc("cv_macro_f1"), "trial"))
+        best = by_trial.join(flags, keys).withColumn("_r", first).filter("_r = 1").drop("_r")
+        return _kept(self.spark, f"{self.out}/best_trials", lambda: best)
+
+
+def best_parameters(run: Run, best: DataFrame) -> DataFrame:
+    """The best trials with their parameters as JSON (models × trials rows are joined)."""
+    rows = [(m, t, json.dumps({k: v for k, v in p.items() if k != "max_iter"}, sort_keys=True)) for (m, t), p in run.params.items()]
+    return best.join(F.broadcast(run.spark.createDataFrame(rows, "model string, trial int, params string")), ["model", "trial"])
 
 
 def run_evaluation(spark: SparkSession, samples: DataFrame, cfg: RunConfig) -> dict[str, DataFrame]:
@@ -169,90 +237,64 @@ def run_evaluation(spark: SparkSession, samples: DataFrame, cfg: RunConfig) -> d
     test predictions, chosen trials, thresholds, selections and a manifest.
 
     ``samples``: ``(row_id, <group>, label, features array<double>)`` with
-    missing values as NULL."""
-    t0 = time.time()
+    missing values as NULL and whole ``row_id``."""
     missing = [m for m in cfg.ensemble_members if m not in cfg.models]
     if missing:
         raise ValueError(f"ensemble members without a model in this run: {missing}")
-    out = _run_dir(spark, cfg, fingerprint(samples, cfg))
-    made: dict[str, DataFrame] = {}
-
-    def designed(name: str) -> DataFrame:
-        if not made:  # only a run that lacks one of its tables computes the design
-            a, _, _, sel, design = design_table(samples, cfg)
-            made.update(assignments=a, selections=sel, design=design)
-        return made[name]
-
-    # cut the lineage: these are written once to the run directory, and every
-    # fit and every resumed run reads the written tables
-    a = _kept(spark, f"{out}/assignments", lambda: designed("assignments"))
-    sel = _kept(spark, f"{out}/selections", lambda: designed("selections"))
-    path = f"{out}/design"  # a fit reads one (repeat, fold) partition
-    if _table(spark, path) is None:
-        designed("design").write.mode("overwrite").partitionBy("repeat", "fold").parquet(path)
-    if made:
-        made["design"].unpersist()
-    design = spark.read.parquet(path)
-    trials = MD.trial_table(spark, cfg.models, cfg.n_trials, cfg.seed)
-    params = {k: {**p, "max_iter": cfg.max_iter} for k, p in MD.trial_params(trials).items()}
-
-    # ---- search: every (model, trial, repeat, fold) fit scores its held-out fold
-    cv_path = f"{out}/cv_scores"
-    done = _finished(spark, cv_path, ["model", "trial", "repeat", "fold"])
-    tasks = [(m, t, r, f) for (m, t) in sorted(params) for r in range(cfg.n_repeats) for f in range(cfg.n_folds)
-             if (m, t, r, f) not in done]
-
-    def cv_task(task):
-        m, t, r, f = task
-        sc = _fit_and_score(design, m, params[(m, t)], r, f, ["held"], cfg.seed)
-        # one directory per fit: independent, idempotent commits (resume = skip present cells)
-        sc.drop("model", "repeat", "fold").write.mode("overwrite").parquet(
-            f"{cv_path}/model={m}/trial={t}/repeat={r}/fold={f}")
-
-    with ThreadPoolExecutor(cfg.parallelism) as ex:
-        list(ex.map(cv_task, tasks))
-    cv = spark.read.parquet(cv_path)
-    thr0 = F.when(F.col("model") == "SVM", F.lit(0.0)).otherwise(F.lit(0.5))
-    cvp = cv.withColumn("y_pred", (F.col("score") >= thr0).cast("int")).withColumn("proba", F.col("score"))
-    fold_m = M.binary_metrics(cvp, ["model", "trial", "repeat", "fold"])
-    trial_score = fold_m.groupBy("model", "trial", "repeat").agg(F.avg("macro_f1").alias("cv_macro_f1"))
-    # one flag per trial: all its folds converged (NULL: the model takes no such steps)
-    flags = cv.groupBy("model", "trial", "repeat").agg(F.bool_and("converged").alias("cv_converged"))
-    best = (trial_score.join(flags, ["model", "trial", "repeat"]).withColumn("_r", F.row_number().over(
-        Window.partitionBy("model", "repeat").orderBy(F.desc("cv_macro_f1"), "trial")))
-        .filter("_r = 1").drop("_r").cache())
-    best_rows = best.collect()
+    run = Run(spark, samples, cfg)
+    run.prepare()
+    best = run.search()
+    cell = ["model", "repeat"]
 
     # ---- out-of-fold scores of the chosen trial → Platt per (model, repeat)
-    oof = cv.join(best.select("model", "trial", "repeat"), ["model", "trial", "repeat"])
-    platt = C.platt_fit(oof, ["model", "repeat"], y="y_true", s="score")
+    oof = spark.read.parquet(f"{run.out}/cv_scores").join(best.select("model", "trial", "repeat"), ["model", "trial", "repeat"])
+    t0 = time.time()
+    platt = _kept(spark, f"{run.out}/platt", lambda: C.platt_fit(oof, cell, y="y_true", s="score"))
+    calibrated = time.time() - t0
 
     # ---- refit on the whole training part, score validation and test
-    final_path = f"{out}/final_scores"
-
-    def final_task(row):
-        sc = _fit_and_score(design, row.model, params[(row.model, row.trial)], row.repeat, -1,
-                            ["val", "test"], cfg.seed)
-        sc.drop("model", "repeat").write.mode("overwrite").parquet(
-            f"{final_path}/model={row.model}/repeat={row.repeat}")
-
-    ready = _finished(spark, final_path, ["model", "repeat"])
-    with ThreadPoolExecutor(cfg.parallelism) as ex:
-        list(ex.map(final_task, [r for r in best_rows if (r.model, r.repeat) not in ready]))
-    final = C.platt_apply(spark.read.parquet(final_path), platt, ["model", "repeat"], s="score")
-    ens = C.soft_vote(final.select("model", "repeat", "role", "row_id", "y_true", "proba"), cfg.ensemble_members,
-                      ["repeat", "role", "row_id", "y_true"]) if cfg.ensemble_members else None
-    allp = final.select("model", "repeat", "role", "row_id", "y_true", "proba")
-    if ens is not None:
-        allp = allp.unionByName(ens.select("model", "repeat", "role", "row_id", "y_true", "proba"))
-    allp = allp.cache()
-    thr = M.best_threshold(allp.filter(F.col("role") == "val"), ["model", "repeat"])
-    test = M.apply_threshold(allp.filter(F.col("role") == "test"), thr, ["model", "repeat"])
+    chosen = best.collect()  # one row for each model and repeat
+    for m in cfg.models:
+        run.scores("final", m, [((r.trial, r.repeat, -1), run.params[(m, r.trial)]) for r in chosen if r.model == m], ["val", "test"])
+    final = C.platt_apply(spark.read.parquet(f"{run.out}/final_scores"), platt, cell, s="score")
+    t0 = time.time() - calibrated
+    shape = ["model", "repeat", "role", "row_id", "y_true", "proba"]
+
+    def predictions() -> DataFrame:
+        own = final.select(*shape)
+        if not cfg.ensemble_members:
+            return own
+        return own.unionByName(C.soft_vote(own, cfg.ensemble_members, ["repeat", "role", "row_id", "y_true"]).select(*shape))  # U4
+
+    allp = _kept(spark, f"{run.out}/predictions", predictions)
+    thr = M.best_threshold(allp.filter(F.col("role") == "val"), cell)
+    test = M.apply_threshold(allp.filter(F.col("role") == "test"), thr, cell)
     # converged: the refit of the chosen trial; NULL for the ensemble and models that take no such steps
-    flags = final.groupBy("model", "repeat").agg(F.bool_and("converged").alias("converged"))
-    metrics = M.binary_metrics(test, ["model", "repeat"]).join(flags, ["model", "repeat"], "left")
-    manifest = spark.createDataFrame(
-        [(cfg.seed, cfg.n_repeats, cfg.n_trials, cfg.n_folds, ",".join(cfg.models), float(time.time() - t0), out)],
-        "seed int, n_repeats int, n_trials int, n_folds int, models string, seconds double, run_dir string")
-    return {"metrics": metrics, "predictions": test, "best_trials": best, "thresholds": thr,
-            "platt": platt, "selections": sel, "assignments": a, "manifest": manifest}
+    flags = final.groupBy(*cell).agg(F.bool_and("converged").alias("converged"))
+    if _table(spark, f"{run.out}/metrics") is None:
+        M.binary_metrics(test, cell).join(flags, cell, "left").write.mode("overwrite").parquet(f"{run.out}/metrics")
+        run.log("evaluate", "", 0, time.time() - t0)
+    metrics = spark.read.parquet(f"{run.out}/metrics")
+    if _table(spark, f"{run.out}/manifest_row") is None:
+        _manifest(run, metrics).write.mode("overwrite").parquet(f"{run.out}/manifest_row")
+    # the seconds of every step of every attempt
+    total = spark.read.parquet(f"{run.out}/log").agg(F.round(F.sum("seconds"), 3).alias("seconds"), F.countDistinct("attempt").alias("attempts"))
+    manifest = spark.read.parquet(f"{run.out}/manifest_row").crossJoin(total)  # one row each
+    write_json_document(manifest, f"{run.out}/manifest.json")
+    return {"metrics": metrics, "predictions": test, "best_trials": best_parameters(run, best), "thresholds": thr,
+            "platt": platt, "selections": run.selections, "assignments": run.assignments, "manifest": manifest}
+
+
+def _manifest(run: Run, metrics: DataFrame) -> DataFrame:
+    """The run's sizes, its best run and, over at least three models and two
+    repeats, the Friedman test of macro-F1."""
+    cfg = run.cfg
+    n_models = len(cfg.models) + bool(cfg.ensemble_members)
+    sizes = run.samples.agg(F.count(F.lit(1)).alias("n_rows"), F.countDistinct(cfg.group).alias("n_groups"), F.sum(F.col("label").cast("long")).alias("n_positive"))
+    order = [m for m in MODEL_ORDER if m in cfg.models or m == "Ensemble"]
+    best = RP.best_run(metrics, "macro_f1", order).select(F.col("model").alias("best_model"), F.col("repeat").alias("best_repeat"), F.col("macro_f1").alias("best_macro_f1"))
+    tested = n_models >= 3 and cfg.n_repeats >= 2
+    test = ST.friedman(metrics) if tested else run.spark.range(1).select(F.lit(None).cast("double").alias("statistic"), F.lit(None).cast("double").alias("p_value"))
+    facts = run.spark.range(1).select(F.lit(cfg.seed).alias("seed"), F.lit(cfg.n_repeats).alias("n_repeats"), F.lit(cfg.n_trials).alias("n_trials"),
+                                      F.lit(cfg.n_folds).alias("n_folds"), F.lit(",".join(cfg.models)).alias("models"), F.lit(run.out).alias("run_dir"))
+    return facts.crossJoin(sizes).crossJoin(best).crossJoin(test.select(F.col("statistic").alias("friedman_statistic"), F.col("p_value").alias("friedman_p")))  # one row each

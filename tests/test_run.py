@@ -2,6 +2,7 @@
 import numpy as np
 import pytest
 
+from tessera.operators import models as MD
 from tessera.plans import run as R
 
 
@@ -30,30 +31,77 @@ def test_missing_members_and_changed_inputs(spark, samples, tmp_path):
         R._table(spark, str(tmp_path / "broken")).count()
 
 
-def test_resumed_run_skips_finished_cells(spark, samples, tmp_path, monkeypatch):
-    cfg = R.RunConfig(n_repeats=1, n_trials=2, n_folds=2, models=("KNN",), ensemble_members=(), out_dir=str(tmp_path), parallelism=2)
-    real, calls = R._fit_and_score, []
-
-    def limited(design, model, params, repeat, fold, roles, seed):
-        calls.append((repeat, fold, tuple(sorted(params.items()))))
-        if limit and len(calls) > limit:
+@pytest.fixture(scope="module")
+def small_space():
+    """The models' spaces with small forests and no random-feature bound, restored afterwards."""
+    own = dict(MD.SEARCH_SPACE)
+    for m in ("RF", "ET"):
+        MD.SEARCH_SPACE[m] = {**own[m], "n_estimators": ("int", 10, 20, 10)}
+    MD.SEARCH_SPACE["GB"] = {**own["GB"], "n_estimators": ("int", 5, 10, 5), "max_depth": ("int", 2, 3, 1)}
+    yield
+    MD.SEARCH_SPACE.update(own)
+
+
+def test_whole_run_resumed(spark, samples, tmp_path, monkeypatch, small_space):
+    """All six models and the ensemble; killed in the search and in the refits, then resumed."""
+    cfg = R.RunConfig(n_repeats=2, n_trials=2, n_folds=2, out_dir=str(tmp_path))
+    real, done = R.Run.scores, []
+
+    def limited(self, step, model, tasks, roles):
+        if (step, model) == stop:
             raise RuntimeError("killed")
-        return real(design, model, params, repeat, fold, roles, seed)
-
-    monkeypatch.setattr(R, "_fit_and_score", limited)
-    limit = 2
-    with pytest.raises(RuntimeError):
-        R.run_evaluation(spark, samples, cfg)
-    limit = 0
-    calls.clear()
-    first = R.run_evaluation(spark, samples, cfg)["metrics"].collect()
-    assert 0 < len(calls) < 5  # 4 fits of the search and 1 final one, less those finished before
-    calls.clear()
+        real(self, step, model, tasks, roles)
+        done.append((step, model))
+
+    monkeypatch.setattr(R.Run, "scores", limited)
+    for stop in (("cv", "ET"), ("final", "SVM")):
+        with pytest.raises(RuntimeError):
+            R.run_evaluation(spark, samples, cfg)
+    stop = None
+    found = R.run_evaluation(spark, samples, cfg)
+    metrics = {(r.model, r.repeat): r for r in found["metrics"].collect()}
+    assert sorted(metrics) == sorted((m, r) for m in (*MD.MODELS, "Ensemble") for r in (0, 1))
+    assert all(metrics[(m, r)].converged is True for m in ("LR", "SVM") for r in (0, 1))
+    assert all(r.roc_auc is None or r.roc_auc > 0.6 for r in metrics.values())
+    manifest = found["manifest"].first()
+    log = spark.read.parquet(f"{manifest.run_dir}/log").collect()
+    # each step is logged once, whichever attempt ended it; the manifest adds up all attempts
+    assert sorted((r.step, r.model) for r in log) == sorted([("prepare", ""), ("evaluate", ""), *((s, m) for s in ("cv", "final") for m in MD.MODELS)])
+    assert manifest.attempts == 3 and manifest.seconds == pytest.approx(sum(r.seconds for r in log), abs=1e-2)
+    assert {r.fits for r in log if r.step == "cv"} == {8} and {r.fits for r in log if r.step == "final"} == {2}
+    top = max(metrics.values(), key=lambda r: r.macro_f1)
+    assert manifest.best_macro_f1 == top.macro_f1 and manifest.n_rows == 84 and 0 <= manifest.friedman_p <= 1
+    # out-of-fold scores: each training row once for each model, trial and repeat
+    cv = spark.read.parquet(f"{manifest.run_dir}/cv_scores")
+    assert cv.groupBy("model", "trial", "repeat", "row_id").count().filter("count != 1").isEmpty()
+    train = found["assignments"].filter("split = 'train'").join(samples, "patient_id").groupBy("repeat").count().collect()
+    assert {(r.repeat, r["count"]) for r in train} == {(r.repeat, r["count"]) for r in cv.filter("model = 'ET' and trial = 0").groupBy("repeat").count().collect()}
+    # the ensemble is the mean of its members at its own threshold
+    allp = spark.read.parquet(f"{manifest.run_dir}/predictions").toPandas()
+    wide = allp.pivot(index=["repeat", "role", "row_id"], columns="model", values="proba")
+    assert np.allclose(wide["Ensemble"], wide[["RF", "ET", "GB"]].mean(axis=1))
+    assert found["thresholds"].filter("model = 'Ensemble'").count() == 2
+    # best trials: the mean macro-F1 over the folds, recomputed
+    scores = cv.filter("model = 'ET' and repeat = 1").toPandas()
+    means = {}
+    for (trial, fold), g in scores.groupby(["trial", "fold"]):
+        means.setdefault(trial, []).append(macro_f1(g.y_true.to_numpy(), (g.score >= 0.5).to_numpy().astype(int)))
+    best = found["best_trials"].filter("model = 'ET' and repeat = 1").first()
+    assert best.cv_macro_f1 == pytest.approx(max(np.mean(v) for v in means.values())) and best.trial == max(means, key=lambda t: (np.mean(means[t]), -t))
+    assert "n_estimators" in best.params
     monkeypatch.setattr(R, "design_table", lambda *a: pytest.fail("a finished run computes no design"))
-    assert R.run_evaluation(spark, samples, cfg)["metrics"].collect() == first and not calls
+    assert {(r.model, r.repeat): r for r in R.run_evaluation(spark, samples, cfg)["metrics"].collect()} == metrics
+
 
+def macro_f1(y, p):
+    out = []
+    for c in sorted(set(y) | set(p)):
+        tp, fp, fn = ((p == c) & (y == c)).sum(), ((p == c) & (y != c)).sum(), ((p != c) & (y == c)).sum()
+        out.append(2 * tp / (2 * tp + fp + fn) if tp else 0.0)
+    return np.mean(out)
 
-def test_registered_run_has_every_built_model(monkeypatch):
+
+def test_registered_run_has_every_model(monkeypatch):
     from types import SimpleNamespace
 
     from tessera.plans import queries as Q
@@ -68,14 +116,5 @@ def test_registered_run_has_every_built_model(monkeypatch):
     monkeypatch.setattr(Q, "prep_inputs", lambda *a: (None, None, None))
     monkeypatch.setattr(Q, "round_doubles", lambda df: df)
     Q.REGISTRY["full_run"](SimpleNamespace(), "")
-    assert seen[0].models == ("LR", "SVM", "RF", "GB", "KNN")
-
-
-def test_fits_tell_whether_they_converged(spark):
-    rng = np.random.default_rng(6)
-    rows = [(0, 0, "fit" if k < 60 else "held", k, k % 2, 1.0, [float(v) for v in rng.normal(k % 2, 1, 3)]) for k in range(80)]
-    design = spark.createDataFrame(rows, "repeat int, fold int, role string, row_id int, label int, weight double, xs array<double>").coalesce(1).cache()
-    params = {"LR": {"C": 1.0, "penalty": "l2"}, "SVM": {"C": 1.0, "gamma": 0.1}, "KNN": {"n_neighbors": 3, "weights": "uniform", "metric": "euclidean"}}
-    got = {(m, steps): R._fit_and_score(design, m, {**params[m], "max_iter": steps}, 0, 0, ["held"], 1).first().converged
-           for m, steps in (("LR", 1), ("SVM", 1), ("KNN", 1), ("LR", 10_000))}
-    assert got == {("LR", 1): False, ("SVM", 1): False, ("KNN", 1): None, ("LR", 10_000): True}
+    assert seen[0].models == ("LR", "SVM", "RF", "ET", "GB", "KNN") and seen[0].ensemble_members == ("RF", "ET", "GB")
+    assert (seen[0].n_repeats, seen[0].n_trials, seen[0].n_folds) == (2, 3, 3)
