@@ -28,6 +28,9 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from tessera.operators.cells import _block, _width, unpacked
+from tessera.operators.trees import leaves
+
+PARTS = 16
 
 
 @lru_cache(maxsize=64)
@@ -101,28 +104,40 @@ def output_scale(model: dict) -> tuple[float, float]:
 def contributions(blocks: DataFrame, fits: DataFrame, models: DataFrame, cell: Sequence[str]) -> DataFrame:
     """``fit, <cell columns of blocks>, row_id, base, output, phi`` of every
     row for each fit of its cell; ``phi`` follows the order of the features, and
-    ``base`` plus its sum is ``output`` (P(class 1); the margin of a booster)."""
+    ``base`` plus its sum is ``output`` (P(class 1); the margin of a booster).
+    The trees of a fit are dealt into ``PARTS`` tasks for each block, and the
+    parts' sums meet by block."""
     own = [c for c in blocks.columns if c not in ("block", "blocks", "n", "x", "y", "w", "key")]
     work = blocks.join(fits.select("fit", *cell, "program", "params").join(models, "fit"), list(cell))
+    work = work.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1)))).repartition("fit", *own, "block", "part")
+    names = [*own, "fit", "block"]
+    parts = T.StructType([work.schema[c] for c in names] + [T.StructField(c, t) for c, t in (
+        ("key", T.BinaryType()), ("base", T.DoubleType()), ("output", T.BinaryType()), ("phi", T.BinaryType()))])
     schema = T.StructType([blocks.schema[c] for c in own] + [T.StructField(c, t) for c, t in (
         ("fit", T.IntegerType()), ("row_id", T.LongType()), ("base", T.DoubleType()), ("output", T.DoubleType()), ("phi", T.ArrayType(T.DoubleType())))])
-    arrow = to_arrow_schema(schema)
+    arrow_parts, arrow = to_arrow_schema(parts), to_arrow_schema(schema)
 
     def run(batches):
-        from tessera.operators.trees import boosted_margin, forest_score
-
         for batch in batches:
             for row in batch.to_pylist():
                 params, model = json.loads(row["params"]), unpacked(row["model"])
                 b = _block(row, (row["fit"], row["block"]), _width(params, len(row["x"]) // 8 // max(1, row["n"])))
                 scale, constant = output_scale(model)
-                phi, base = tree_contributions(model, b.x, scale)
-                told = boosted_margin(model, b.x) if "base" in model else forest_score(model, b.x)
-                out = {c: [row[c]] * row["n"] for c in own}
-                out.update(fit=[row["fit"]] * row["n"], row_id=b.key, base=[base + constant] * row["n"], output=told, phi=list(phi))
-                yield pa.RecordBatch.from_pydict(out, schema=arrow)
-
-    return work.mapInArrow(run, schema)
+                some = {**model, "roots": model["roots"][row["part"]::PARTS]}
+                phi, base = tree_contributions(some, b.x, scale)
+                told = model["value"][leaves(some, b.x)].sum(1) * scale + (constant if row["part"] == 0 else 0.0)
+                out = {c: [row[c]] for c in names}
+                out.update(key=[row["key"]], base=[base + (constant if row["part"] == 0 else 0.0)], output=[told.tobytes()], phi=[phi.tobytes()])
+                yield pa.RecordBatch.from_pydict(out, schema=arrow_parts)
+
+    def add(keys, table):
+        ids = np.frombuffer(table.column("key")[0].as_py(), "<i8")
+        output, phi = (sum(np.frombuffer(v.as_py(), "<f8") for v in table.column(c)) for c in ("output", "phi"))
+        out = {c: [k.as_py()] * len(ids) for c, k in zip([*own, "fit"], keys)}
+        out.update(row_id=ids, base=[sum(table.column("base").to_pylist())] * len(ids), output=output, phi=list(phi.reshape(len(ids), -1)))
+        return pa.table(out, schema=arrow)
+
+    return work.mapInArrow(run, parts).groupBy(*names).applyInArrow(add, schema)
 
 
 def mean_contributions(phi: DataFrame, by: Sequence[str], support: DataFrame) -> DataFrame:

@@ -466,6 +466,21 @@ def q_full_run(spark, sf_dir):
     return round_doubles(run_evaluation(spark, w, RunConfig.smoke())["metrics"])
 
 
+def q_shap_top10(spark, sf_dir):
+    """X2 / A18 / T4 (J8 for the names): the ten features of the largest mean
+    |contribution| over the test rows of the first split, and the largest gap
+    between a row's output and its base plus contributions."""
+    from tessera.plans.run import RunConfig, explain_run
+    w, _, _ = prep_inputs(spark, sf_dir)
+    found = explain_run(spark, w, RunConfig())
+    gap = F.abs(F.col("base") + F.aggregate("phi", F.lit(0.0), lambda t, v: t + v) - F.col("output"))
+    rows = found["contributions"].agg(F.count(F.lit(1)).alias("n_rows"), F.max(gap).alias("max_gap"))
+    names = B.wide_feature_names(spark, derived=True)
+    from tessera.functions.exprs import attach_scalar
+    top = found["top"].join(F.broadcast(names), "feature_idx").select("rank", "feature_idx", "feature_name", "mean_abs")
+    return round_doubles(attach_scalar(top, rows))
+
+
 KNN_QUERY_K = 5
 
 
@@ -487,5 +502,6 @@ REGISTRY.update({
     "platt_fit": q_platt_fit,
     "sigmoid_apply": q_sigmoid_apply,
     "random_search": q_random_search,
+    "shap_top10": q_shap_top10,
     "full_run": q_full_run,
 })

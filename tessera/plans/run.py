@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from tessera.functions.exprs import DEFAULT_SEED, ENSEMBLE_MEMBERS, MODEL_ORDER
 from tessera.operators import calibrate as C
 from tessera.operators import cells as CE
+from tessera.operators import explain as EX
 from tessera.operators import metrics as M
 from tessera.operators import models as MD
 from tessera.operators import prep as P
@@ -106,9 +107,8 @@ def _kept(spark: SparkSession, path: str, make) -> DataFrame:
 
 def design_table(samples: DataFrame, cfg: RunConfig):
     """Splits, folds, fold-safe preparation and MRMR for every (repeat, fold)
-    cell, and the design rows ``(repeat, fold, role, row_id, label, weight,
-    xs)`` with ``xs`` the prepared features in MRMR order.  fold = −1 is the
-    whole training part of a repeat (final refit)."""
+    cell, and the design rows.  fold = −1 is the whole training part of a repeat
+    (final refit)."""
     g = cfg.group
     samples = samples.checkpoint()
     a = SP.group_split(samples, g, cfg.n_repeats, seed=cfg.seed).checkpoint()
@@ -117,8 +117,16 @@ def design_table(samples: DataFrame, cfg: RunConfig):
     roles_full = a.select("repeat", g, F.lit(-1).alias("fold"),
                           F.when(F.col("split") == "train", F.lit("fit")).otherwise(F.col("split")).alias("role"))
     roles = roles_cv.unionByName(roles_full).checkpoint()
-    cells = roles.filter(F.col("role") == "fit").select("repeat", "fold", g)
-    cc = ["repeat", "fold"]
+    prep, sel, design = design_rows(samples, roles, cfg)
+    return a, roles, prep, sel, design
+
+
+def design_rows(samples: DataFrame, roles: DataFrame, cfg: RunConfig):
+    """Preparation, selections and design rows ``(repeat, fold, role, row_id,
+    label, weight, xs)`` of the cells in ``roles`` ``(repeat, fold, <group>, role)``;
+    all is fitted on role ``fit``, and ``xs`` are the prepared features in MRMR order."""
+    g, cc = cfg.group, ["repeat", "fold"]
+    cells = roles.filter(F.col("role") == "fit").select(*cc, g)
     prep = P.FeaturePrep(cc, g).fit(samples, cells)
     kept = prep.params.filter("keep").select(*cc, "feature_idx", "median")
     fit = P.fit_rows(samples, cells, cc, g)
@@ -137,7 +145,7 @@ def design_table(samples: DataFrame, cfg: RunConfig):
     design = t.select(*cc, "role", g, "row_id", "label", xs.alias("xs"))
     w = MD.class_weights(design.filter(F.col("role") == "fit"), cc, "label").select(*cc, "row_id", "weight")
     design = design.join(w, [*cc, "row_id"], "left").fillna({"weight": 1.0}).cache()
-    return a, roles, prep, sel, design
+    return prep, sel, design
 
 
 class Run:
@@ -285,6 +293,29 @@ def run_evaluation(spark: SparkSession, samples: DataFrame, cfg: RunConfig) -> d
             "platt": platt, "selections": run.selections, "assignments": run.assignments, "manifest": manifest}
 
 
+# The extra-trees that the explanation fits.
+EXPLAINED_MODEL = {"mrmr_k": 50, "n_estimators": 300, "max_depth": 12, "min_samples_leaf": 2, "max_features": "sqrt"}
+
+
+def explain_run(spark: SparkSession, samples: DataFrame, cfg: RunConfig, params: dict = EXPLAINED_MODEL, n: int = 10) -> dict[str, DataFrame]:
+    """X1 / X2 over the first split (G7): extra-trees fitted on its training and
+    validation groups together; contributions of its test rows, and the ``n``
+    features of the largest mean |contribution|."""
+    samples = samples.checkpoint()
+    a = SP.group_split(samples, cfg.group, 1, seed=cfg.seed)
+    roles = a.select("repeat", cfg.group, F.lit(-1).alias("fold"), F.when(F.col("split") == "test", F.lit("test")).otherwise(F.lit("fit")).alias("role")).checkpoint()
+    _, sel, design = design_rows(samples, roles, cfg)
+    cc, fit = ["repeat", "fold"], F.col("role") == "fit"
+    fits = spark.createDataFrame([(0, 0, -1, "ET", json.dumps(params))], "fit int, repeat int, fold int, program string, params string")
+    models = CE.fit_cells(CE.block_table(design.filter(fit), cc, block_rows=cfg.block_rows).checkpoint(), fits, cc, MD.PROGRAMS, cfg.seed).checkpoint()
+    held = CE.block_table(design.filter(~fit), [*cc, "role"], block_rows=cfg.block_rows)
+    phi = EX.contributions(held, fits, models, cc).checkpoint()
+    design.unpersist()
+    support = sel.groupBy(*cc).agg(F.array_sort(F.collect_list(F.struct("step", "feature_idx"))).alias("_s")).select(*cc, F.col("_s.feature_idx").alias("sel"))
+    importance = EX.mean_contributions(phi, cc, support)
+    return {"contributions": phi, "support": support, "importance": importance, "top": EX.top_features(importance, cc, n)}
+
+
 def _manifest(run: Run, metrics: DataFrame) -> DataFrame:
     """The run's sizes, its best run and, over at least three models and two
     repeats, the Friedman test of macro-F1."""

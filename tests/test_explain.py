@@ -76,3 +76,21 @@ def test_rows_of_many_cells_and_the_summary(spark):
     assert [means[(0, f)] for f in (7, 3, 5, 1)] == pytest.approx(want)
     top = X.top_features(X.mean_contributions(phi, ["repeat"], support), ["repeat"], 2).filter("repeat = 0").orderBy("rank").collect()
     assert [r.feature_idx for r in top] == [(7, 3, 5, 1)[k] for k in np.argsort(-want)[:2]]
+
+
+def test_registered_query_adds_up(spark):
+    """The whole query: ten ranked features, every row's contributions add up to its output, and the means are those of the rows."""
+    from tessera.plans import queries as Q
+    from tessera.plans.run import RunConfig, explain_run
+    from tests.conftest import SF001
+
+    w, _, _ = Q.prep_inputs(spark, SF001)
+    found = explain_run(spark, w, RunConfig(), {"mrmr_k": 20, "n_estimators": 8, "max_depth": 6, "min_samples_leaf": 2, "max_features": "sqrt"})
+    rows = found["contributions"].collect()
+    order = found["support"].first().sel
+    assert all(r.base + sum(r.phi) == pytest.approx(r.output, abs=1e-9) and len(r.phi) == 20 for r in rows)
+    means = np.abs(np.array([r.phi for r in rows])).mean(0)
+    want = sorted(((round(-m, 12), f) for m, f in zip(means, order)))[:10]
+    top = sorted((r["rank"], r.feature_idx, r.mean_abs) for r in found["top"].collect())
+    assert [t[1] for t in top] == [f for _, f in want] and [t[2] for t in top] == pytest.approx([-m for m, _ in want])
+    assert "shap_top10" in Q.REGISTRY
