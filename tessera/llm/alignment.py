@@ -57,7 +57,7 @@ SIDE_A = public_tokenizers.path("byte_bpe_50k.json")
 SIDE_B = public_tokenizers.path("piece_bpe_32k.model")
 KEPT = 300_000
 RADIX = 64
-BLOCK_DOCS, BLOCK_CHARS = 1 << 11, 1 << 22
+BLOCK_DOCS, BLOCK_CHARS = 1 << 11, 1 << 22  # a document's place in its block takes 11 bits, an id 21 at most
 GROUP_RECORDS = 2_000_000
 STEP = 1 << 12
 SHIFT = np.int64(32)  # a pair of ids as one long: A above B
@@ -80,8 +80,8 @@ class _Plain(Encoder):
 
 
 class Aligner:
-    """Aligned chunks: ``(pairs, n_a, n_b, n_groups, n_links, groups)`` each, or
-    None for a chunk that its tokens don't spell."""
+    """Aligned chunks: ``(pairs, n_a, groups)`` each, or None for a chunk that
+    its tokens don't spell."""
 
     def __init__(self, file_a: str, file_b: str):
         import sentencepiece
@@ -92,48 +92,63 @@ class Aligner:
             piece = self.b.id_to_piece(i)
             self.spelled.append(bytes([int(piece[3:5], 16)]) if self.b.is_byte(i) else piece.replace("▁", " ").encode())
         self.lengths = np.array([len(p) for p in self.spelled], np.int64)
+        # an id as text with what may follow it: inside a list, at the end of A's list, of B's
+        self.inner, self.end_a, self.end_b = ([b"%d%s" % (i, mark) for i in range(max(len(self.lengths), len(self.a.lengths)))] for mark in (b",", b"|", b";"))
         self.known: dict[str, tuple | None] = {}
 
-    def _aligned(self, chunk: str, ids_a: np.ndarray, ids_b: np.ndarray) -> tuple | None:
-        whole = chunk.encode()
-        if b"".join([self.a.spelled[i] for i in ids_a.tolist()]) != whole or b"".join([self.spelled[i] for i in ids_b.tolist()]) != whole:
-            return None
-        if len(ids_a) == 1 == len(ids_b):
-            return struct.pack("<II", ids_b[0], ids_a[0]), 1, 1, 1, 1, b"%d|%d" % (ids_a[0], ids_b[0])
-        ends_a, ends_b = self.a.lengths[ids_a].cumsum(), self.lengths[ids_b].cumsum()
-        ends = np.union1d(ends_a, ends_b)  # each piece between two ends lies in one token of each side
-        at_a, at_b = np.searchsorted(ends_a, ends), np.searchsorted(ends_b, ends)
-        pairs = np.stack([ids_b[at_b], ids_a[at_a]], 1).astype("<u4")
-        cuts = np.intersect1d(ends_a, ends_b)
-        last_a, last_b = np.searchsorted(ends_a, cuts) + 1, np.searchsorted(ends_b, cuts) + 1
-        text_a, text_b = [b"%d" % i for i in ids_a.tolist()], [b"%d" % i for i in ids_b.tolist()]
-        groups, pa_, pb_ = [], 0, 0
-        for x, y in zip(last_a.tolist(), last_b.tolist()):
-            groups.append(b",".join(text_a[pa_:x]) + b"|" + b",".join(text_b[pb_:y]))
-            pa_, pb_ = x, y
-        return pairs.tobytes(), len(ids_a), len(ids_b), len(cuts), len(pairs), b";".join(groups)
-
     def _chunks(self, chunks: list[str]) -> dict[str, tuple | None]:
         """Alignments of chunks; each begins with the space that B adds itself."""
-        encoded = self.a._chunks(chunks)
-        ids_a = [np.frombuffer(encoded[c], "<u4").astype(np.int64) for c in chunks]
-        ids_b = self.b.encode([c[1:] for c in chunks], num_threads=1)
-        return {c: self._aligned(c, x, np.array(y, np.int64)) for c, x, y in zip(chunks, ids_a, ids_b)}
+        out: dict[str, tuple | None] = {}
+        for lo in range(0, len(chunks), 1 << 15):
+            own = chunks[lo:lo + (1 << 15)]
+            encoded = self.a._chunks(own)
+            ids_a = [np.frombuffer(encoded[c], "<u4") for c in own]
+            ids_b = self.b.encode([c[1:] for c in own], num_threads=1)
+            good = [self._spells(c.encode(), x.tolist(), y) for c, x, y in zip(own, ids_a, ids_b)]
+            out.update((c, None) for c, g in zip(own, good) if not g)
+            if any(good):
+                out.update(self._aligned([c for c, g in zip(own, good) if g], [x for x, g in zip(ids_a, good) if g], [y for y, g in zip(ids_b, good) if g]))
+        return out
+
+    def _spells(self, whole: bytes, ids_a: list[int], ids_b: list[int]) -> bool:
+        a, b = self.a.spelled, self.spelled
+        return b"".join([a[i] for i in ids_a]) == whole == b"".join([b[i] for i in ids_b])
+
+    def _aligned(self, chunks: list[str], ids_a: list[np.ndarray], ids_b: list[list[int]]) -> Iterator[tuple[str, tuple]]:
+        """Chunks laid end to end are aligned at once: a chunk's end is a cut."""
+        n_a, n_b = np.array([len(x) for x in ids_a]), np.array([len(y) for y in ids_b])
+        a, b = np.concatenate(ids_a).astype(np.int64), np.fromiter((i for y in ids_b for i in y), np.int64, n_b.sum())
+        ends_a, ends_b = self.a.lengths[a].cumsum(), self.lengths[b].cumsum()
+        ends = np.union1d(ends_a, ends_b)  # each stretch between two ends lies in one token of each side
+        pairs = (a[np.searchsorted(ends_a, ends)] << SHIFT | b[np.searchsorted(ends_b, ends)]).astype("<i8").tobytes()
+        close = ends_a[n_a.cumsum() - 1]
+        links = np.searchsorted(ends, close, side="right")
+        cuts = ends_a[np.isin(ends_a, ends_b, assume_unique=True)]
+        last_a, last_b = np.isin(ends_a, cuts, assume_unique=True).tolist(), np.isin(ends_b, cuts, assume_unique=True).tolist()
+        # A's tokens of a group, then B's
+        order = np.argsort(np.concatenate([2 * np.searchsorted(cuts, ends_a), 2 * np.searchsorted(cuts, ends_b) + 1]), kind="stable")
+        words = [(self.end_a if e else self.inner)[i] for i, e in zip(a.tolist(), last_a)] + [(self.end_b if e else self.inner)[i] for i, e in zip(b.tolist(), last_b)]
+        words = [words[k] for k in order.tolist()]
+        tokens = (n_a + n_b).cumsum().tolist()
+        at, done = 0, 0
+        for c, n, link, token in zip(chunks, n_a.tolist(), links.tolist(), tokens):
+            yield c, (pairs[8 * at:8 * link], n, b"".join(words[done:token])[:-1])
+            at, done = link, token
 
     def texts(self, texts: list[str]) -> list[list[tuple]]:
         """The alignments of each text's chunks in order; empty without tokens."""
         parts = []
         for t in texts:
-            spaced = " " + t
             odd = not t or "\0" in t or t[0].isspace() or t[-1].isspace() or ODD.search(t)
-            parts.append(([spaced] if t else []) if odd else [" " + c for c in t.split(" ")])
-        met = {c for p in parts for c in p}
+            parts.append(([" " + t] if t else []) if odd else [" " + c for c in t.split(" ")])
+        met = set().union(*parts)
         own = self._chunks([c for c in met if c not in self.known])
         if len(self.known) + len(own) <= KEPT:
             self.known.update({c: v for c, v in own.items() if len(c) < 64})
+        own |= {c: self.known[c] for c in met if c not in own}
         out = []
         for t, p in zip(texts, parts):
-            found = [own[c] if c in own else self.known[c] for c in p]
+            found = [own[c] for c in p]
             if len(p) > 1 and None in found:  # the whole text decides
                 found = [self._chunks([" " + t])[" " + t]]
             out.append([] if None in found else found)
@@ -172,21 +187,20 @@ def _records_of(run: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndar
 
 def _runs(pairs: list[bytes]) -> Iterator[tuple[int, int, bytes]]:
     """(radix, records, run) of a block, given each document's linked pairs."""
-    sizes = [len(p) // 8 for p in pairs]
     keys = np.frombuffer(b"".join(pairs), "<i8")
-    doc = np.repeat(np.arange(len(pairs)), sizes)
-    order = np.lexsort((doc, keys, (keys >> SHIFT) % RADIX)) if len(pairs) > 1 else np.lexsort((keys, (keys >> SHIFT) % RADIX))
-    keys, doc = keys[order], doc[order]
-    new = np.ones(len(keys), bool)
-    new[1:] = (keys[1:] != keys[:-1]) | (doc[1:] != doc[:-1])
-    first = np.flatnonzero(new)
-    keys, doc, times = keys[first], doc[first], np.diff(first, append=len(keys))
-    radix = (keys >> SHIFT) % RADIX
+    docs = np.repeat(np.arange(len(pairs)), [len(p) // 8 for p in pairs])
+    # one long to sort by: radix, A id, B id, document
+    a = keys >> SHIFT
+    order = np.sort((a % RADIX << 52) | (a // RADIX << 32) | ((keys & 0xFFFFFFFF) << 11) | docs)
+    first = np.flatnonzero(np.diff(order, prepend=-1))
+    own = order[first]
+    times, docs, radix = np.diff(first, append=len(order)), own & (1 << 11) - 1, own >> 52
+    keys = ((own >> 32 & (1 << 20) - 1) * RADIX + radix) << SHIFT | own >> 11 & (1 << 21) - 1
     edges = np.searchsorted(radix, np.arange(RADIX + 1))
     for r in range(RADIX):
         lo, hi = int(edges[r]), int(edges[r + 1])
         if hi > lo:
-            yield r, hi - lo, _run(keys[lo:hi], doc[lo:hi], times[lo:hi])
+            yield r, hi - lo, _run(keys[lo:hi], docs[lo:hi], times[lo:hi])
 
 
 DIGESTS = "block long, place int, id {id}, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, radix int, records long, run binary"
@@ -201,9 +215,10 @@ def _mapped(docs: DataFrame, id_col: str, text_col: str, side_a: str, side_b: st
         pairs = []
         for place, (i, parts) in enumerate(zip(ids, aligner(side_a, side_b).texts(texts))):
             pairs.append(b"".join([p[0] for p in parts]))
-            yield {"block": number, "place": place, "id": i, "n_a": sum([p[1] for p in parts]), "n_b": sum([p[2] for p in parts]),
-                   "n_groups": sum([p[3] for p in parts]), "n_links": sum([p[4] for p in parts]),
-                   "groups_sha256": hashlib.sha256(b";".join([p[5] for p in parts])).hexdigest() if parts else ""}
+            groups, n_a, n_links = b";".join([p[2] for p in parts]), sum([p[1] for p in parts]), len(pairs[-1]) // 8
+            n_groups = groups.count(b"|")  # a group of x and y tokens has x + y - 1 links
+            yield {"block": number, "place": place, "id": i, "n_a": n_a, "n_b": n_links + n_groups - n_a, "n_groups": n_groups,
+                   "n_links": n_links, "groups_sha256": hashlib.sha256(groups).hexdigest() if parts else ""}
         for radix, records, run in _runs(pairs):
             yield {"block": number, "radix": radix, "records": records, "run": run}
 
