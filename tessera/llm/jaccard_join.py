@@ -1,30 +1,34 @@
 """Exact Jaccard self-join of shingle sets, with set-relation skipping.
 
 Texts with the same words are one node.  A node's set holds 64-bit hashes of
-its distinct shingles, in one order for all nodes: shingles that a bounded
-sample finds frequent come last, the others go by hash.  Two sets that reach
-the threshold share a shingle in their prefixes, so only prefixes are indexed.
-
-* **Index-level skipping.**  Each shingle's list is ordered by set size and cut
-  where neighbours' sizes are too far apart to link; entries left alone go.
-  What remains is compared in blocks of ``BLOCK`` entries.  A block knows its
-  sizes and how many shingles lie behind its positions at most; pairs of blocks
-  that cannot reach the threshold (length and positional bound) are skipped.
-* **Answer-level skipping.**  Each list is first compared with one leader only,
-  and a set that has several leaders with the likeliest of them; the others are
-  left out if that puts both in one class.  Sets found similar to a leader share
-  its class, so what is linked to one of them is reached through any, and no
-  pair within the class is compared again.  For other pairs what is known of
-  their overlaps with the leader bounds theirs:
-  ``|x & y| <= min(|x & l|, |y & l|) + min(|x - l|, |y - l|)``; pairs below the
-  threshold are dropped.
+its distinct shingles.
+
+* **Answer-level skipping, first.**  Texts whose smallest hash is equal meet in
+  one stream, in order of size, each text moving once.  Each is compared with
+  up to ``LEADERS`` sets kept from before; one that links to a leader shares its
+  class, so whatever is linked to one of them is reached through any, and no
+  pair within the class is compared again.  Groups that hold much of the corpus
+  are dealt into parts, whose first sets meet once more.
+* **Index-level skipping.**  All sets use one order of shingles: by a table of
+  ``COUNTERS`` counts over the whole corpus (rare ones first), then by hash.  Two
+  sets that reach the threshold share a shingle in their prefixes, so only
+  prefixes are indexed.  Each shingle's list is ordered by set size and cut where
+  neighbours' sizes are too far apart to link; lists within one class go.  In
+  two rounds the classes of a list are compared with that of its first entry,
+  one pair of sets for a pair of classes.  What is still open is compared in
+  blocks of ``BLOCK`` entries, by class: blocks of one class never meet, and pairs
+  of blocks that the length or positional bound excludes are skipped.
+* Known overlaps with a list's first set bound those of the other pairs:
+  ``|x & y| <= min(|x & l|, |y & l|) + min(|x - l|, |y - l|)``.
 
 A pair that remains must pass a parity signature of ``SIGNATURE`` bits (sets that
 differ in ``d`` shingles differ in at most ``d`` bits) before its whole sets are
 compared, so whole sets move for likely links only.
 
-So thousands of near copies cost one comparison each, and no link between
-different texts is lost; classes are the connected components.
+No link between classes is lost; classes are the connected components.  Tables
+sent to tasks have a fixed size: the counts (4 MB), bits of the ids or hashes
+that are wanted (2 MB each; when they fill, more texts move and none is lost)
+and at most ``SHARES`` hot hashes.
 
 Words: A-Z lower-cased, runs of anything but x20 and x09-x0D.  A text of fewer
 words than a shingle is one shingle; null, empty and blank texts have an empty
@@ -46,9 +50,11 @@ from tessera.llm.common import documents, keyed_texts, written
 from tessera.llm.components import components
 
 SEP = G.separators("space")
-SAMPLE_DOCS, SAMPLE_HITS = 4000, 8
 BLOCK = 64
-SENT_IDS = 500_000
+LEADERS = 8
+COUNTERS, PART = 1 << 20, 1 << 14
+BITS = 24
+HOT, SHARES = 2000, 16384
 SIGNATURE = 1024
 
 
@@ -72,62 +78,123 @@ def _signature(shingles: np.ndarray) -> np.ndarray:
     return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
 
-def text_nodes(own: DataFrame, words: int = 5, signed: bool = False) -> DataFrame:
-    """Add ``node`` and ``n_shingles`` (0 and a null node without words), and
-    ``sig`` if asked, to rows whose second column is the text."""
+def text_nodes(own: DataFrame, words: int = 5) -> DataFrame:
+    """Add ``node`` and ``n_shingles`` (0 and a null node without words) to rows
+    whose second column is the text."""
 
     def run(batches):
         for batch in batches:
             node, size = np.zeros(len(batch), np.int64), np.zeros(len(batch), np.int64)
-            sig = np.zeros((len(batch), SIGNATURE // 64), np.int64)
             for row, key, s in _nodes(batch.column(1), words):
                 node[row], size[row] = key, len(s)
-                if signed:
-                    sig[row] = _signature(s)
-            more = [pa.array(sig.tolist(), pa.list_(pa.int64()))] if signed else []
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(node, mask=size == 0), pa.array(size), *more],
-                                             [*batch.schema.names, "node", "n_shingles", *(["sig"] if signed else [])])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(node, mask=size == 0), pa.array(size)],
+                                             [*batch.schema.names, "node", "n_shingles"])
 
     types = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in own.schema)
-    return own.mapInArrow(run, f"{types}, node long, n_shingles long" + ", sig array<bigint>" * signed)
+    return own.mapInArrow(run, f"{types}, node long, n_shingles long")
 
 
-def _frequent(own: DataFrame, words: int) -> np.ndarray:
-    """Shingles of at least ``SAMPLE_HITS`` of about ``SAMPLE_DOCS`` hashed rows'
-    distinct texts.  They only shape the order; any choice gives the same links."""
-    share = min(1.0, SAMPLE_DOCS / max(1, own.count()))
-    spot = F.pmod(F.xxhash64(F.col("id").cast("string"), F.lit("sample")), F.lit(1 << 30))
+def _counter(shingles: np.ndarray) -> np.ndarray:
+    return (shingles >> np.uint64(40)).astype(np.int64) & (COUNTERS - 1)
 
-    def run(batches):
-        for batch in batches:
-            for _, node, s in _nodes(batch.column(0), words):
-                yield pa.RecordBatch.from_arrays([pa.array(s.view(np.int64)), pa.array(np.full(len(s), node))], ["token", "node"])
 
-    rows = own.where(spot < int(share * (1 << 30)) + 1).select("text").mapInArrow(run, "token long, node long").distinct()
-    hot = rows.groupBy("token").count().where(F.col("count") >= SAMPLE_HITS).collect()
-    return np.sort(np.array([r[0] for r in hot], np.int64).view(np.uint64))
+def _scanned(own: DataFrame, words: int) -> DataFrame:
+    """``id, node, n_shingles, least, sig`` of each row, ``least`` being its
+    smallest shingle; and from each task its counts of shingles, in rows of
+    ``part, counts`` with nothing else."""
+    names = ["id", "node", "n_shingles", "least", "sig", "part", "counts"]
 
+    def run(batches):
+        counts, seen, kind = np.zeros(COUNTERS, np.uint32), set(), None
+        for batch in batches:
+            kind, n = batch.column(0).type, len(batch)
+            node, size, least = (np.zeros(n, np.int64) for _ in range(3))
+            sig = np.zeros((n, SIGNATURE // 64), np.int64)
+            new, many = [], 0
+            for row, key, s in _nodes(batch.column(1), words):
+                node[row], size[row], least[row] = key, len(s), s[:1].view(np.int64)[0]
+                sig[row] = _signature(s)
+                if key not in seen:
+                    seen.add(key)
+                    new.append(_counter(s))
+                    many += len(s)
+                    if many > COUNTERS:
+                        counts += np.bincount(np.concatenate(new), minlength=COUNTERS).astype(np.uint32)
+                        new, many = [], 0
+            if new:
+                counts += np.bincount(np.concatenate(new), minlength=COUNTERS).astype(np.uint32)
+            sigs = pa.ListArray.from_arrays(np.arange(0, sig.size + 1, SIGNATURE // 64, dtype=np.int32), sig.ravel())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(node, mask=size == 0), pa.array(size), pa.array(least, mask=size == 0), sigs,
+                 pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())], names)
+        if seen:
+            parts = range(COUNTERS // PART)
+            yield pa.RecordBatch.from_arrays(
+                [pa.nulls(len(parts), kind), *(pa.nulls(len(parts), pa.int64()) for _ in range(3)), pa.nulls(len(parts), pa.list_(pa.int64())),
+                 pa.array(parts, pa.int32()), pa.array([counts[k * PART:(k + 1) * PART].tobytes() for k in parts])], names)
+
+    id_type = own.schema["id"].dataType.simpleString()
+    return own.mapInArrow(run, f"id {id_type}, node long, n_shingles long, least long, sig array<bigint>, part int, counts binary")
+
+
+def _counted(scan: DataFrame) -> np.ndarray:
+    """The tasks' counts added up: in the tasks that read them, then by part."""
 
-def _postings(own: DataFrame, words: int, percent: int, frequent: np.ndarray) -> DataFrame:
+    def run(batches):
+        total: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for part, data in zip(*(c.to_pylist() for c in batch.columns)):
+                new = np.frombuffer(data, np.uint32)
+                old = total.get(part)
+                # saturates: only the order of the counts matters
+                total[part] = new if old is None else np.minimum(old.astype(np.uint64) + new, 0xFFFFFFFF).astype(np.uint32)
+        for part, c in total.items():
+            yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([c.tobytes()])], ["part", "counts"])
+
+    types = "part int, counts binary"
+    rows = scan.where("part is not null").select("part", "counts").mapInArrow(run, types).repartition("part").mapInArrow(run, types)
+    table = np.zeros(COUNTERS, np.uint32)
+    for r in rows.collect():  # COUNTERS / PART rows
+        table[r["part"] * PART:(r["part"] + 1) * PART] = np.frombuffer(r["counts"], np.uint32)
+    return table
+
+
+def _bit_table(keys: DataFrame) -> np.ndarray:
+    """The longs of the only column as a table of ``1 << BITS`` bits."""
+    bit = F.col(keys.columns[0]).bitwiseAND(F.lit((1 << BITS) - 1))
+    parts = keys.select(bit.alias("bit")).groupBy(F.shiftright("bit", 15).alias("part")).agg(
+        F.bitmap_construct_agg(F.col("bit").bitwiseAND(F.lit(32767))).alias("bits")).collect()  # 2 ** (BITS - 15) rows at most
+    table = np.zeros(1 << (BITS - 3), np.uint8)
+    for r in parts:
+        table[r["part"] << 12:(r["part"] + 1) << 12] = np.frombuffer(r["bits"], np.uint8)
+    return table
+
+
+def _has_bit(table: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    at = keys & ((1 << BITS) - 1)
+    return (table[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)
+
+
+def _postings(own: DataFrame, words: int, percent: int, counts: np.ndarray) -> DataFrame:
     """``token, node, size, pos`` for each prefix shingle; equal texts of a task once."""
-    sent = own.sparkSession.sparkContext.broadcast(frequent)
+    sent = own.sparkSession.sparkContext.broadcast(counts)
 
     def run(batches):
-        hot, seen = sent.value, set()
+        often, seen = sent.value, set()
         for batch in batches:
-            out = []
+            out, many = [], 0
             for _, node, s in _nodes(batch.column(0), words):
                 if node in seen:
                     continue
                 seen.add(node)
                 n = len(s)
                 keep = n - -(-percent * n // 100) + 1
-                last = np.isin(s, hot, assume_unique=True) if len(hot) else np.zeros(n, bool)
-                s = np.concatenate([s[~last], s[last]])[:keep]
+                s = s[np.argsort(often[_counter(s)], kind="stable")[:keep]]
                 out.append((s.view(np.int64), np.full(keep, node), np.full(keep, n, np.int32), np.arange(keep, dtype=np.int32)))
-                if sum(len(x[0]) for x in out[-1:]) > 1 << 16 or len(out) >= 512:
+                many += keep
+                if many > 1 << 16:
                     yield _batch(out)
-                    out = []
+                    out, many = [], 0
             if out:
                 yield _batch(out)
 
@@ -137,8 +204,82 @@ def _postings(own: DataFrame, words: int, percent: int, frequent: np.ndarray) ->
     return own.select("text").mapInArrow(run, "token long, node long, size int, pos int")
 
 
+def _overlap(x: np.ndarray, y: np.ndarray) -> int:
+    small, large = (x, y) if len(x) <= len(y) else (y, x)
+    return int((large[np.minimum(np.searchsorted(large, small), len(large) - 1)] == small).sum())
+
+
+def _met(texts: DataFrame, words: int, percent: int) -> DataFrame:
+    """Stream ``least, part, size, node, text`` group by group, in order of size.
+
+    ``a, b, overlap, linked`` of each set ``b`` with the leaders ``a`` that it was
+    compared with; and the first set of each part of a group dealt out, in rows
+    of ``least, size, node, text``.
+    """
+    dealt = texts.repartition("least", "part").sortWithinPartitions("least", "part", "size", "node")
+    names = ["a", "b", "overlap", "linked", "least", "size", "node", "text"]
+    types = [pa.int64(), pa.int64(), pa.int32(), pa.bool_(), pa.int64(), pa.int32(), pa.int64(), pa.string()]
+
+    def run(batches):
+        group, leaders, last = None, [], None
+        for batch in batches:
+            least, part, _, nodes = (c.to_pylist() for c in batch.columns[:4])
+            out = []
+            for row, node, s in _nodes(batch.column(4), words):
+                if (least[row], part[row]) != group:
+                    group, leaders, last = (least[row], part[row]), [], None
+                    if part[row] >= 0:
+                        out.append((None, None, None, None, least[row], len(s), node, batch.column(4)[row].as_py()))
+                if node == last:
+                    continue
+                last = node
+                for other, x in reversed(leaders):
+                    if 100 * len(x) < percent * len(s):
+                        continue
+                    n = _overlap(x, s)
+                    linked = 100 * n >= percent * (len(x) + len(s) - n)
+                    out.append((other, node, n, linked, None, None, None, None))
+                    if linked:
+                        break
+                else:
+                    leaders = [*leaders[-(LEADERS - 1):], (node, s)] if LEADERS > 1 else [(node, s)]
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], names)
+
+    return dealt.mapInArrow(run, "a long, b long, overlap int, linked boolean, least long, size int, node long, text string")
+
+
+def _first_answers(own: DataFrame, nodes: DataFrame, words: int, percent: int) -> DataFrame:
+    """``a, b, overlap, linked``: sets of equal smallest shingle against leaders."""
+    sizes = written(nodes.where("n_shingles > 0").groupBy("least", "node").agg(F.lit(1)).groupBy("least").agg(F.count(F.lit(1)).alias("n")).where("n > 1"))
+    total = sizes.agg(F.sum("n")).first()[0] or 0
+    most = max(HOT, total // SHARES)
+    hot = {r["least"]: -(-r["n"] // most) for r in sizes.where(F.col("n") > most).collect()}  # SHARES rows at most
+    sent = own.sparkSession.sparkContext.broadcast((_bit_table(sizes.select("least")), hot))
+
+    def run(batches):
+        (bits, parts), seen = sent.value, set()
+        for batch in batches:
+            rows, out = [], []
+            for row, node, s in _nodes(batch.column(0), words):
+                least = int(s[:1].view(np.int64)[0])
+                if node not in seen and _has_bit(bits, np.array([least]))[0]:
+                    seen.add(node)
+                    rows.append(row)
+                    out.append((least, (node >> 20) % parts[least] if least in parts else -1, len(s), node))
+            if rows:
+                cols = [pa.array(c, t) for c, t in zip(zip(*out), (pa.int64(), pa.int32(), pa.int32(), pa.int64()))]
+                yield pa.RecordBatch.from_arrays([*cols, batch.column(0).take(pa.array(rows))], ["least", "part", "size", "node", "text"])
+
+    texts = own.select("text").mapInArrow(run, "least long, part int, size int, node long, text string")
+    found = written(_met(texts, words, percent))
+    firsts = found.where("a is null").select("least", F.lit(-1).alias("part"), "size", "node", "text")
+    again = written(_met(firsts, words, percent))
+    return found.union(again).where("a is not null").select("a", "b", "overlap", "linked")
+
+
 def _lists(postings: DataFrame, percent: int) -> DataFrame:
-    """Entries with a possible partner, and the leader of their run of sizes."""
+    """Entries with a possible partner, by runs of sizes."""
     by_size = Window.partitionBy("token").orderBy("size", "node")
     near = lambda small, large: F.col(large) * percent <= F.col(small) * 100
     rows = (postings.withColumn("_ps", F.lag("size").over(by_size)).withColumn("_pn", F.lag("node").over(by_size))
@@ -147,9 +288,7 @@ def _lists(postings: DataFrame, percent: int) -> DataFrame:
     followed = F.col("_ns").isNotNull() & (F.col("_ns") * percent <= F.col("size") * 100)
     rows = rows.withColumn("run", F.sum(F.when(joined, 0).otherwise(1)).over(by_size).cast("int"))
     rows = rows.where((joined & (F.col("_pn") != F.col("node"))) | (followed & (F.col("_nn") != F.col("node"))))
-    rows = rows.select("token", "node", "size", "pos", "run").dropDuplicates(["token", "node"])
-    lead = F.first(F.struct("node", "size", "pos")).over(Window.partitionBy("token", "run").orderBy("size", "node"))
-    return rows.withColumn("leader", lead)
+    return rows.select("token", "node", "size", "pos", "run").dropDuplicates(["token", "node"])
 
 
 def _needed(sizes, percent: int):
@@ -167,12 +306,21 @@ def _possible(x, y, percent: int):
 def _texts(own: DataFrame, nodes: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
     """``node, text`` of one row of each wanted node (``node`` only).
 
-    Up to ``SENT_IDS`` ids are sent to the tasks, so the texts don't move;
-    more of them are joined by a shuffle.
+    A table of bits of the wanted rows' ids goes to the tasks, so hardly any
+    other text moves.
     """
     one = written(nodes.join(wanted, "node", "left_semi").groupBy("node").agg(F.min("id").alias("rid")))
-    one = F.broadcast(one) if one.count() <= SENT_IDS else one
-    rows = own.join(one, own["id"].eqNullSafe(F.col("rid"))).select("id", "text", F.col("node").alias("wanted"))
+    spot = F.xxhash64(F.col("id").cast("string"))
+    sent = own.sparkSession.sparkContext.broadcast(_bit_table(one.select(F.xxhash64(F.col("rid").cast("string")))))
+
+    def run(batches):
+        for batch in batches:
+            hit = _has_bit(sent.value, batch.column(2).to_numpy())
+            if hit.any():
+                yield batch.filter(pa.array(hit)).select([0, 1])
+
+    few = own.select("id", "text", spot.alias("spot")).mapInArrow(run, f"id {own.schema['id'].dataType.simpleString()}, text string")
+    rows = few.join(one, few["id"].eqNullSafe(F.col("rid"))).select("id", "text", F.col("node").alias("wanted"))
     return text_nodes(rows, words).where("node = wanted").select("node", "text").dropDuplicates(["node"])
 
 
@@ -190,12 +338,9 @@ def _weighed(pairs: DataFrame, signs: DataFrame, percent: int) -> DataFrame:
 def _verified(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
     """``a, b, overlap, linked`` of pairs of nodes, from their whole sets.
 
-    Texts travel, being smaller than their sets, and only those of the pairs'
-    nodes if up to ``SENT_IDS`` of them can be sent to pick them out; a task
-    keeps the sets of the last few nodes ``a``, whose pairs arrive together.
+    Texts travel, being smaller than their sets; a task keeps the sets of the
+    last few nodes ``a``, whose pairs arrive together.
     """
-    ends = written(_ends(pairs))
-    texts = texts.join(F.broadcast(ends) if ends.count() <= SENT_IDS else ends, "node", "left_semi")
     left = texts.select(F.col("node").alias("a"), F.col("text").alias("ta"))
     right = texts.select(F.col("node").alias("b"), F.col("text").alias("tb"))
 
@@ -210,9 +355,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> D
                     if len(recent) >= 16:
                         recent.pop(next(iter(recent)))
                     recent[keys[k]] = x = next(_nodes(batch.column(2).slice(k, 1), words))[2]
-                small, large = (x, y) if len(x) <= len(y) else (y, x)
-                at = np.minimum(np.searchsorted(large, small), len(large) - 1)
-                n = int((large[at] == small).sum())
+                n = _overlap(x, y)
                 overlap.append(n)
                 linked.append(100 * n >= percent * (len(x) + len(y) - n))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(overlap, pa.int32()), pa.array(linked, pa.bool_())], ["a", "b", "overlap", "linked"])
@@ -225,31 +368,43 @@ def _ends(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
 
 
-def _apart(pairs: DataFrame, comps: DataFrame) -> DataFrame:
-    """Pairs whose nodes are not yet in one class."""
-    of_a = comps.select(F.col("node").alias("a"), F.col("comp").alias("ca"))
-    of_b = comps.select(F.col("node").alias("b"), F.col("comp").alias("cb"))
-    both = pairs.join(of_a, "a", "left").join(of_b, "b", "left")
-    return both.where(~F.col("ca").eqNullSafe(F.col("cb")) | F.col("ca").isNull()).select("a", "b")
-
-
-def _remaining(lists: DataFrame, comps: DataFrame, answers: DataFrame, percent: int) -> DataFrame:
-    """Pairs of different classes that the leaders' answers don't settle."""
-    own = lists.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node")).withColumn("first", F.col("leader.node"))
-    lst = Window.partitionBy("token", "run")
-    own = own.where(F.col("node") != F.col("first")).withColumn("_lo", F.min("comp").over(lst)).withColumn("_hi", F.max("comp").over(lst)).where("_lo != _hi")
-    with_leader = answers.select(F.col("a").alias("first"), F.col("b").alias("node"), "o", "exact")
-    own = own.join(with_leader, ["first", "node"], "left")
-    inside = F.coalesce("o", "size")  # most that the set shares with the leader
-    outside = F.when(F.col("exact"), F.col("size") - F.col("o")).otherwise(F.col("size"))  # most that it has beside
-    by_size = Window.partitionBy("token", "run").orderBy("size", "node")
-    blocks = (own.withColumn("block", F.floor((F.row_number().over(by_size) - 1) / BLOCK))
+def _open(lists: DataFrame, comps: DataFrame) -> DataFrame:
+    """Entries of the lists that hold several classes, with their class and
+    ``lead``, the first entry of the list."""
+    own = lists.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+    several = own.groupBy("token", "run").agg(
+        F.min("comp").alias("_lo"), F.max("comp").alias("_hi"), F.min(F.struct("size", "node", "pos", "comp")).alias("lead")).where("_lo != _hi")
+    return own.join(several.select("token", "run", "lead"), ["token", "run"])
+
+
+def _class_pairs(entries: DataFrame, percent: int) -> DataFrame:
+    """``a, b``: one pair of sets of each two classes that meet at the head of a list."""
+    far = entries.where((F.col("comp") != F.col("lead.comp")) & _possible(F.struct("size", "pos"), F.col("lead"), percent))
+    a_first = F.col("comp") > F.col("lead.comp")
+    return far.groupBy(F.least("comp", "lead.comp").alias("ca"), F.greatest("comp", "lead.comp").alias("cb")).agg(
+        F.min(F.struct(F.when(a_first, F.col("lead.node")).otherwise(F.col("node")).alias("a"),
+                       F.when(a_first, F.col("node")).otherwise(F.col("lead.node")).alias("b"))).alias("p")).select("p.a", "p.b")
+
+
+def _remaining(entries: DataFrame, answers: DataFrame, percent: int) -> DataFrame:
+    """Pairs of different classes that the answers of the lists' first sets don't settle."""
+    own = entries.withColumn("first", F.col("lead.node"))
+    both = answers.select("a", "b", "overlap").union(answers.select("b", "a", "overlap"))
+    with_first = both.groupBy(F.col("a").alias("first"), F.col("b").alias("node")).agg(F.max("overlap").alias("o"))
+    own = own.join(with_first, ["first", "node"], "left")
+    same = F.col("node") == F.col("first")
+    inside = F.when(same, F.col("size")).otherwise(F.coalesce("o", "size"))  # most that the set shares with the first
+    outside = F.when(same, F.lit(0)).otherwise(F.col("size") - F.coalesce("o", F.lit(0)))  # most that it has beside
+    by_class = Window.partitionBy("token", "run").orderBy("comp", "size", "node")
+    blocks = (own.withColumn("block", F.floor((F.row_number().over(by_class) - 1) / BLOCK))
               .groupBy("token", "run", "block").agg(
                   F.min("size").alias("lo"), F.max("size").alias("hi"), F.max(F.col("size") - F.col("pos")).alias("rest"),
+                  F.min("comp").alias("c0"), F.max("comp").alias("c1"),
                   F.collect_list(F.struct("node", "size", "pos", "comp", inside.alias("inside"), outside.alias("outside"))).alias("entries")))  # at most BLOCK
     x, y = blocks.alias("x"), blocks.alias("y")
-    met = x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.run") == F.col("y.run")) & (F.col("x.block") <= F.col("y.block"))
-                 & (F.col("y.lo") * percent <= F.col("x.hi") * 100)
+    one_class = (F.col("x.c0") == F.col("y.c1")) & (F.col("x.c1") == F.col("y.c0")) & (F.col("x.c0") == F.col("x.c1"))
+    met = x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.run") == F.col("y.run")) & (F.col("x.block") <= F.col("y.block")) & ~one_class
+                 & (F.col("y.lo") * percent <= F.col("x.hi") * 100) & (F.col("x.lo") * percent <= F.col("y.hi") * 100)
                  & (F.least("x.rest", "y.rest") >= _needed(F.col("x.lo") + F.col("y.lo"), percent)))
     one = met.select(F.explode("x.entries").alias("p"), F.col("y.entries").alias("others"))
 
@@ -269,31 +424,27 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     directly or through others, and ``component_id`` is their smallest id.
     """
     own = keyed_texts(docs, id_col, text_col)
-    nodes = written(text_nodes(own, words, signed=True).drop("text"))
+    scan = written(_scanned(own, words))
+    nodes = scan.where("part is null").drop("part", "counts")
     signs = nodes.where("n_shingles > 0").groupBy("node").agg(F.first("n_shingles").alias("size"), F.first("sig").alias("sig"))
-    lists = written(_lists(_postings(own, words, percent, _frequent(own, words)), percent))
-    # every list against its leader
-    stars = lists.where((F.col("node") != F.col("leader.node")) & _possible(F.struct("size", "pos"), F.col("leader"), percent))
-    weighed = written(_weighed(stars.select(F.col("leader.node").alias("a"), F.col("node").alias("b")).distinct(), signs, percent))
-    likely = weighed.where("plausible")
-    texts = written(_texts(own, nodes, _ends(likely), words))
-    # each set against its likeliest leader, then against those that this leaves in another class
-    best = written(likely.groupBy("b").agg(F.max(F.struct("o", "a")).alias("m")).select(F.col("m.a").alias("a"), "b"))
-    checked = written(_verified(best, texts, words, percent))
-    links = checked.where("linked").select("a", "b")
-    comps = components(links)
-    apart = written(_apart(likely.select("a", "b").join(checked, ["a", "b"], "left_anti"), comps))
-    again = written(_verified(apart, texts, words, percent))
-    checked, links = checked.union(again), links.union(again.where("linked").select("a", "b"))
-    answers = weighed.join(checked.select("a", "b", "overlap"), ["a", "b"], "left").select(
-        "a", "b", F.coalesce("overlap", "o").alias("o"), F.col("overlap").isNotNull().alias("exact"))
-    # what the leaders' answers leave open
-    comps = components(links)
-    rest = written(_weighed(_remaining(lists, comps, answers, percent), signs, percent).where("plausible").select("a", "b"))
-    more_texts = written(_texts(own, nodes, _ends(rest).join(texts.select("node"), "node", "left_anti"), words))
-    more = written(_verified(rest, texts.union(more_texts), words, percent)).where("linked").select("a", "b")
-    comps = components(links.union(more))
-    full = nodes.drop("sig").join(comps, "node", "left").withColumn("class", F.coalesce("comp", "node"))
+    answers = _first_answers(own, nodes, words, percent)
+    comps = components(answers.where("linked").select("a", "b"))
+    lists = written(_lists(_postings(own, words, percent, _counted(scan)), percent))
+
+    def settled(pairs: DataFrame) -> DataFrame:
+        likely = written(_weighed(pairs, signs, percent).where("plausible").select("a", "b"))
+        return written(_verified(likely, written(_texts(own, nodes, _ends(likely), words)), words, percent))
+
+    entries = lists
+    for _ in range(2):  # classes of a list against the class of its first entry
+        entries = written(_open(entries.select("token", "node", "size", "pos", "run"), comps))
+        answers = answers.union(settled(_class_pairs(entries, percent)))
+        comps = components(answers.where("linked").select("a", "b"))
+    entries = written(_open(entries.select("token", "node", "size", "pos", "run"), comps))
+    known = answers.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    more = settled(_remaining(entries, answers, percent).join(known, ["a", "b"], "left_anti"))
+    comps = components(answers.union(more).where("linked").select("a", "b"))
+    full = nodes.select("id", "node", "n_shingles").join(comps, "node", "left").withColumn("class", F.coalesce("comp", "node"))
     smallest = full.where("n_shingles > 0").groupBy("class").agg(F.min("id").alias("component_id"))
     linked = full.where("n_shingles > 0").join(smallest, "class").select("id", "node", "n_shingles", "class", "component_id")
     alone = full.where("n_shingles = 0").select("id", "node", "n_shingles", "class", F.col("id").alias("component_id"))

@@ -73,7 +73,8 @@ def test_classes_of_chains_passages_and_odd_rows(spark, docs_of):
 
 def test_small_blocks_give_the_same_classes(spark, docs_of, monkeypatch):
     monkeypatch.setattr(jaccard_join, "BLOCK", 2)
-    monkeypatch.setattr(jaccard_join, "SAMPLE_HITS", 10 ** 9)
+    monkeypatch.setattr(jaccard_join, "LEADERS", 1)
+    monkeypatch.setattr(jaccard_join, "HOT", 2)
     passage = " ".join(f"p{k}" for k in range(40))
     rows = [(k, passage + " " + " ".join(f"q{k // 2}_{j}" for j in range(20 + k % 2))) for k in range(20)]
     got = [(r["id"], r["n_shingles"], r["component_id"]) for r in jaccard_join.jaccard_classes(docs_of(rows)).collect()]
