@@ -338,30 +338,32 @@ def _weighed(pairs: DataFrame, signs: DataFrame, percent: int) -> DataFrame:
 def _verified(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
     """``a, b, overlap, linked`` of pairs of nodes, from their whole sets.
 
-    Texts travel, being smaller than their sets; a task keeps the sets of the
-    last few nodes ``a``, whose pairs arrive together.
+    Texts travel, being smaller than their sets, and one at a time: the text of
+    ``a`` comes first, then those of its nodes ``b``.  A node ``a`` of many pairs
+    has them dealt into parts of about ``HOT``, each with the text of ``a``.
     """
-    left = texts.select(F.col("node").alias("a"), F.col("text").alias("ta"))
-    right = texts.select(F.col("node").alias("b"), F.col("text").alias("tb"))
+    parts = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / F.lit(HOT)).cast("int").alias("parts"))
+    heads = parts.join(texts, F.col("a") == F.col("node")).select(
+        "a", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(None).cast("long").alias("b"), "text")
+    others = pairs.join(parts, "a").join(texts, F.col("b") == F.col("node")).select(
+        "a", F.pmod(F.xxhash64("b"), F.col("parts")).cast("int").alias("part"), "b", "text")
+    dealt = heads.union(others).repartition("a", "part").sortWithinPartitions("a", "part", F.col("b").asc_nulls_first())
+    types = [pa.int64(), pa.int64(), pa.int32(), pa.bool_()]
 
     def run(batches):
-        recent: dict[int, np.ndarray] = {}
+        x = None
         for batch in batches:
-            overlap, linked = [], []
-            keys = batch.column(0).to_pylist()
-            for k, (_, _, y) in enumerate(_nodes(batch.column(3), words)):
-                x = recent.get(keys[k])
-                if x is None:
-                    if len(recent) >= 16:
-                        recent.pop(next(iter(recent)))
-                    recent[keys[k]] = x = next(_nodes(batch.column(2).slice(k, 1), words))[2]
-                n = _overlap(x, y)
-                overlap.append(n)
-                linked.append(100 * n >= percent * (len(x) + len(y) - n))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(overlap, pa.int32()), pa.array(linked, pa.bool_())], ["a", "b", "overlap", "linked"])
-
-    met = pairs.join(right, "b").join(left, "a").select("a", "b", "ta", "tb")
-    return met.mapInArrow(run, "a long, b long, overlap int, linked boolean")
+            a, b, out = batch.column(0).to_pylist(), batch.column(2).to_pylist(), []
+            for row, _, s in _nodes(batch.column(3), words):
+                if b[row] is None:
+                    x = s
+                    continue
+                n = _overlap(x, s)
+                out.append((a[row], b[row], n, 100 * n >= percent * (len(x) + len(s) - n)))
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], ["a", "b", "overlap", "linked"])
+
+    return dealt.mapInArrow(run, "a long, b long, overlap int, linked boolean")
 
 
 def _ends(pairs: DataFrame) -> DataFrame:
