@@ -10,11 +10,15 @@ driver (``capacity`` numbers at most):
    rounded up to the largest of their group;
 3. the few rounded sizes form a cutting-stock problem, whose relaxation is
    solved over configurations by column generation; each configuration is used
-   its whole number of times;
-4. actual pieces take the places of the rounded ones of their group;
+   its whole number of times at most;
+4. actual pieces take the places of the rounded ones: at each place the longest
+   one left that keeps room for the places behind it.  A configuration is used
+   only while its actual pieces fill as much as its rounded ones would;
 5. what remains, small pieces above all, goes longest first into the sequences
    with the least sufficient room, or into new ones.
 
+The plan of fewest sequences over a few numbers of groups is taken.
+
 Sequences with the same filling are handled as one range, so the plan is a
 table of (length, first rank, count, first sequence, offset).  Its size depends
 on ``capacity`` and not on the documents, and it is broadcast.  Spark numbers
@@ -28,6 +32,8 @@ from __future__ import annotations
 
 import struct
 import zlib
+from collections import Counter
+from collections.abc import Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -37,7 +43,7 @@ from pyspark.sql import functions as F
 from tessera.llm.common import documents, exact_ranks, keyed_texts, written
 from tessera.llm.tokens import END, VOCABULARY, encoded
 
-CAPACITY, GROUPS, LARGE = 1024, 32, 1 / 8
+CAPACITY, GROUPS, LARGE = 1024, (8, 16, 32), 1 / 8
 
 
 def pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY,
@@ -109,8 +115,15 @@ def configurations(sizes: list[int], demand: list[int], capacity: int, rounds: i
     return plan
 
 
-def plan(counts: dict[int, int], capacity: int = CAPACITY, groups: int = GROUPS, large: float = LARGE) -> list[tuple[int, int, int, int, int]]:
-    """Rows (length, first rank, count, first sequence, offset) for all pieces."""
+def plan(counts: dict[int, int], capacity: int = CAPACITY, groups: Sequence[int] = GROUPS, large: float = LARGE) -> list[tuple[int, int, int, int, int]]:
+    """Rows (length, first rank, count, first sequence, offset) for all pieces: the
+    plan of fewest sequences over the numbers of groups tried (the first of equals)."""
+    tried = [grouped_plan(counts, capacity, g, large) for g in groups]
+    return min(tried, key=lambda rows: max((seq + n for _, _, n, seq, _ in rows), default=0))
+
+
+def grouped_plan(counts: dict[int, int], capacity: int, groups: int, large: float) -> list[tuple[int, int, int, int, int]]:
+    """The plan with the large lengths in ``groups`` groups of equal cardinality."""
     left, rank, rows = {k: v for k, v in counts.items() if v}, dict.fromkeys(counts, 0), []
     rooms: dict[int, list[tuple[int, int]]] = {}  # free room -> (first sequence, count)
     sequences = 0
@@ -140,31 +153,30 @@ def plan(counts: dict[int, int], capacity: int = CAPACITY, groups: int = GROUPS,
                 k = min(n, room)
                 members[-1].append([length, k])
                 n, room = n - k, room - k
-    by_size: dict[int, list[list[int]]] = {}
+    demand: dict[int, int] = {}
     for g in members:
-        by_size.setdefault(g[0][0], []).extend(g)
-    sizes = sorted(by_size, reverse=True)
-    demand = [sum(n for _, n in by_size[s]) for s in sizes]
-    for times, config in configurations(sizes, demand, capacity) if sizes else []:
-        ranges = [(sequences, times, capacity)]
-        sequences += times
-        for k, copies in enumerate(config):
-            queue = by_size[sizes[k]]
-            for _ in range(copies):
-                new = []
-                for seq, n, free in ranges:
-                    while n:  # actual pieces of the group take the rounded piece's place
-                        length, have = queue[0]
-                        m = min(n, have)
-                        put(length, seq, m, free)
-                        new.append((seq, m, free - length))
-                        seq, n = seq + m, n - m
-                        queue[0][1] -= m
-                        if not queue[0][1]:
-                            queue.pop(0)
-                ranges = new
-        for seq, n, free in ranges:
-            rooms.setdefault(free, []).append((seq, n))
+        demand[g[0][0]] = demand.get(g[0][0], 0) + sum(n for _, n in g)
+    sizes = sorted(demand, reverse=True)
+    for times, config in configurations(sizes, [demand[s] for s in sizes], capacity) if sizes else []:
+        slots = [sizes[k] for k, copies in enumerate(config) for _ in range(int(copies))]
+        while times:
+            own, free, after = Counter(), capacity, sum(slots)
+            for size in slots:  # the longest actual piece that leaves the places behind it their sizes
+                after -= size
+                length = next((k for k in range(free - after, int(large * capacity), -1) if left.get(k, 0) > own[k]), 0)
+                own[length] += 1
+                free -= length
+            del own[0]
+            if capacity - free < sum(slots):
+                break  # too few actual pieces are left to fill it as planned
+            n = min(times, *(left[k] // c for k, c in own.items()))
+            room = capacity
+            for length, copies in own.items():
+                for k in range(copies):
+                    put(length, sequences, n, room)
+                    room -= length
+            rooms.setdefault(free, []).append((sequences, n))
+            sequences, times = sequences + n, times - n
 
     for length in sorted((k for k, v in left.items() if v), reverse=True):  # best fit, longest first
         while left[length]:

@@ -1,3 +1,4 @@
+import bisect
 import struct
 import zlib
 from collections import defaultdict
@@ -58,6 +59,23 @@ def bins(rows, capacity):
     return len(at)
 
 
+def best_fit_decreasing(lengths, capacity):
+    """The number of sequences, piece by piece."""
+    rooms, used = [], 0
+    for length in sorted(lengths, reverse=True):
+        k = bisect.bisect_left(rooms, length)
+        if k < len(rooms):
+            free = rooms.pop(k)
+        else:
+            free, used = capacity, used + 1
+        bisect.insort(rooms, free - length)
+    return used
+
+
+def test_best_fit_decreasing():
+    assert best_fit_decreasing([6, 5, 5, 4], 10) == 2 and best_fit_decreasing([10, 10, 1], 10) == 3 and best_fit_decreasing([], 10) == 0
+
+
 @pytest.mark.parametrize("seed", range(6))
 def test_plan_places_each_piece_once(seed):
     rng = np.random.default_rng(seed)
@@ -66,10 +84,7 @@ def test_plan_places_each_piece_once(seed):
     for length, n in counts.items():
         own = sorted((a, k) for x, a, k, _, _ in rows if x == length)
         assert sum(k for _, k in own) == n and all(a + k == b for (a, k), (b, _) in zip(own, own[1:]))
-    if seed < 4:
-        total = sum(k * v for k, v in counts.items())
-        big = sum(v for k, v in counts.items() if k > 512)
-        assert bins(rows, 1024) <= 1.12 * max(-(-total // 1024), big) + 32
+    assert bins(rows, 1024) <= 1.002 * best_fit_decreasing([k for k, n in counts.items() for _ in range(n)], 1024)
     assert best_fit_packing.plan({}) == []
 
 
@@ -98,7 +113,8 @@ def test_packing(spark):
             assert offset == end
             end += length
         assert end <= 1024
-    assert len(seq) <= 1.05 * -(-sum(r["length"] for r in got) // 1024) + 1
+    assert len(seq) <= 1.002 * best_fit_decreasing([r["length"] for r in got], 1024)
+    assert best_fit_packing.grouped_plan({}, 1024, 8, 1 / 8) == []
 
 
 def test_packing_odd_rows(spark, docs_of):
