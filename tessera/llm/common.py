@@ -9,10 +9,21 @@ from pyspark.sql import functions as F
 from tessera.session import ensure_checkpoint_dir
 
 
+BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def bound_batches(spark: SparkSession) -> None:
+    """Bound the Arrow batches that texts go to the tasks in by bytes, unless the
+    session says how.  Spark bounds them by rows alone, and a batch of 10,000 long
+    texts lies whole in the JVM's and in the worker's memory."""
+    if spark.conf.get(BATCH_BYTES, None) is None:
+        spark.conf.set(BATCH_BYTES, "4m")
+
+
 def shared_folder(spark: SparkSession) -> str:
     """A new folder below ``spark.checkpoint.dir``, which all executors share."""
     base = spark.conf.get("spark.checkpoint.dir", None) or ensure_checkpoint_dir(spark)

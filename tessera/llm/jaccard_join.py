@@ -46,7 +46,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.llm import wordgrid as G
-from tessera.llm.common import documents, keyed_texts, written
+from tessera.llm.common import bound_batches, documents, keyed_texts, written
 from tessera.llm.components import components
 
 SEP = G.separators("space")
@@ -425,6 +425,7 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     Rows of one ``node`` have the same words; rows of one ``class`` are linked,
     directly or through others, and ``component_id`` is their smallest id.
     """
+    bound_batches(docs.sparkSession)
     own = keyed_texts(docs, id_col, text_col)
     scan = written(_scanned(own, words))
     nodes = scan.where("part is null").drop("part", "counts")
