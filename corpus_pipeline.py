@@ -10,7 +10,9 @@ Stages, each on all rows that the stage before it kept:
 
 Stages 1 to 4 return the columns of ``documents``.  Null texts count as empty and
 stay null; repeated rows are near duplicates of each other unless they have no
-words; an empty table passes through.
+words; an empty table passes through.  Very long texts are worked on whole; texts
+go to the tasks in Arrow batches of bounded bytes, a longer text in one of its own.
+Other columns than those of ``documents`` are dropped.
 """
 from __future__ import annotations
 
@@ -20,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm import best_fit_packing, decontaminate, jaccard_join, rule_ensemble, secret_scan
-from tessera.llm.common import documents, written
+from tessera.llm.common import bound_batches, documents, written
 from tessera.llm.text_stats import with_stats
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -34,6 +36,7 @@ def _rows(docs: DataFrame) -> DataFrame:
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Labels are those of the input's own documents."""
+    bound_batches(spark)
     model = rule_ensemble.trained(spark, docs, sf_dir)
     scored = with_stats(_rows(docs)).withColumn("_score", model.score())
     return scored.where(F.col("_score") >= rule_ensemble.THRESHOLD).select("row.*")
@@ -44,18 +47,21 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    bound_batches(spark)
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     return decontaminate.clean_rows(docs.select(*COLUMNS), items)
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """``n_chars`` follows the masked text."""
+    bound_batches(spark)
     masked = secret_scan.redact(docs.select(*COLUMNS, F.col("text").alias("_old")))
     changed = ~F.col("text").eqNullSafe(F.col("_old"))
     return masked.withColumn("n_chars", F.when(changed, F.char_length("text").cast("long")).otherwise(F.col("n_chars"))).select(*COLUMNS)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    bound_batches(spark)
     return best_fit_packing.pack(docs).withColumnRenamed("id", "doc_id")
 
 
