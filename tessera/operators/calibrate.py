@@ -95,12 +95,13 @@ def platt_fit(scores: DataFrame, by: Sequence[str], y: str = "y_true", s: str =
             nxt = {}
             for k, (a2, b2) in cands.items():
                 old_loss = params[k]["loss"]
-                if new[k].loss <= old_loss:
+                level = tol * max(1.0, abs(old_loss))   # below it the loss is rounding: the gradient decides
+                smaller = max(abs(new[k].ga), abs(new[k].gb)) < max(abs(cur[k].ga), abs(cur[k].gb))
+                if new[k].loss <= old_loss - level or (new[k].loss <= old_loss + level and smaller):
                     moved = abs(a2 - params[k]["a"]) + abs(b2 - params[k]["b"])
                     params[k].update(a=a2, b=b2, loss=new[k].loss, it=it + 1)
                     cur[k] = new[k]
-                    if old_loss - new[k].loss <= tol * max(1.0, abs(old_loss)) or \
-                            moved <= tol * (1.0 + abs(a2) + abs(b2)):
+                    if moved <= tol * (1.0 + abs(a2) + abs(b2)):
                         finished.add(k)
                 else:
                     da, db, lam = pending[k]

@@ -659,10 +659,28 @@ HAVING count(*) = 3
 
 SQL.update({"soft_vote": SOFT_VOTE})
 
-# the optimum is where the mean gradient vanishes, so the twin states zeros for every cell
+# full Newton steps for all cells from the prior's log odds; steps without halving reach the same optimum
 PLATT_FIT = f"""
-WITH pred AS ({PRED})
-SELECT DISTINCT model, repeat, 0.0::DOUBLE AS grad_a, 0.0::DOUBLE AS grad_b, true AS converged FROM pred
+WITH RECURSIVE pred AS ({PRED}),
+h AS (SELECT model, repeat, cast(proba AS double) AS s, sum(y_true)::DOUBLE AS n1, count(*)::DOUBLE AS n FROM pred GROUP BY 1, 2, 3),
+t AS (SELECT model, repeat, sum(n1) AS npos, sum(n - n1) AS nneg FROM h GROUP BY 1, 2),
+g AS (SELECT h.model, h.repeat, s, n, n1 * (npos + 1) / (npos + 2) + (n - n1) / (nneg + 2) AS hit
+      FROM h JOIN t ON h.model = t.model AND h.repeat = t.repeat),
+steps AS (
+  SELECT model, repeat, 0 AS k, 0.0::DOUBLE AS a, ln((nneg + 1) / (npos + 1))::DOUBLE AS b, 1.0::DOUBLE AS ga, 1.0::DOUBLE AS gb FROM t
+  UNION ALL
+  SELECT model, repeat, k + 1,
+         a - (hbb * da - hab * db) / (haa * hbb - hab * hab),
+         b - (haa * db - hab * da) / (haa * hbb - hab * hab),
+         da / n, db / n
+  FROM (SELECT model, repeat, k, a, b, sum(n) AS n, sum((hit - n * p) * s) AS da, sum(hit - n * p) AS db,
+               sum(n * p * (1 - p) * s * s) AS haa, sum(n * p * (1 - p) * s) AS hab, sum(n * p * (1 - p)) AS hbb
+        FROM (SELECT i.model, i.repeat, i.k, i.a, i.b, g.s, g.n, g.hit, 1 / (1 + exp(i.a * g.s + i.b)) AS p
+              FROM steps i JOIN g ON i.model = g.model AND i.repeat = g.repeat WHERE i.k < 30) q
+        GROUP BY model, repeat, k, a, b) z)
+SELECT model, repeat, round(a, 5) AS a, round(b, 5) AS b, round(ga, 9) + 0.0 AS grad_a, round(gb, 9) + 0.0 AS grad_b,
+       greatest(abs(ga), abs(gb)) < 1e-9 AS converged
+FROM steps WHERE k = 30
 """
 
 SIGMOID_APPLY = f"""

@@ -426,12 +426,12 @@ def q_soft_vote(spark, sf_dir):
 
 
 def q_platt_fit(spark, sf_dir):
-    """Platt fit per (model, repeat) on the PRED scores: the mean gradient at
-    the fitted (a, b), which is zero at the optimum, and the convergence flag."""
+    """Platt fit per (model, repeat) on the PRED scores: ``a`` and ``b``, the mean
+    gradient there, which is zero at the optimum, and the convergence flag."""
     pred = B.pred_scores(spark, sf_dir).withColumnRenamed("proba", "score")
-    fit = CAL.platt_fit(pred, CELL)
+    fit = CAL.platt_fit(pred, CELL, grad_tol=1e-9)  # nearly separable cells are flat: a looser end shows in a and b
     zero = lambda c: (F.round(c, 9) + F.lit(0.0)).alias(c)  # noqa: E731  (no negative zero)
-    return fit.select(*CELL, zero("grad_a"), zero("grad_b"), "converged")
+    return fit.select(*CELL, F.round("a", 5).alias("a"), F.round("b", 5).alias("b"), zero("grad_a"), zero("grad_b"), "converged")
 
 
 def q_sigmoid_apply(spark, sf_dir):
