@@ -108,3 +108,34 @@ def test_registered_knn_uses_every_row(spark, monkeypatch):
     want = Q.REGISTRY["knn_score"](spark, SF001).orderBy("row_id").collect()
     monkeypatch.setattr(MD.knn_scores, "__defaults__", tuple(10 if d == MD.KNN_TRAIN_ROWS else d for d in MD.knn_scores.__defaults__))
     assert Q.REGISTRY["knn_score"](spark, SF001).orderBy("row_id").collect() == want
+
+
+@pytest.mark.parametrize("metric", ["euclidean", "manhattan"])
+def test_nearest_rows_are_exact_from_few_candidates(metric):
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(3000, 16))
+    x[:300] = x[7]                                   # a large group of copies
+    for points in (x, x * 1e-25 + 1.0, np.round(x), x * 1e200, x * 1e25):
+        q, keys = points[:40], np.arange(3000)
+        apart = q[:, None] - points[None]
+        with np.errstate(over="ignore"):
+            d = np.sqrt((apart ** 2).sum(-1)) if metric == "euclidean" else np.abs(apart).sum(-1)
+        d[np.arange(40), np.arange(40)] = np.inf
+        want = np.argsort(d, axis=1, kind="stable")[:, :5]
+        with np.errstate(over="ignore"):
+            got = list(MD._nearest(q, keys[:40], points, keys, 5, metric, True))
+        for i, (dist, places) in enumerate(got):
+            n = int(np.isfinite(d[i, want[i]]).sum())
+            assert places.tolist() == want[i, :n].tolist() and dist.tolist() == d[i, want[i, :n]].tolist()
+    other = np.ones((100, 3000), bool)
+    assert MD._may_be_near(x[300:400], x, other, 5, metric).sum() < 100 * 20  # not all pairs are gone through exactly
+
+
+def test_registered_knn_searches_once_for_each_metric(spark, monkeypatch):
+    from tessera.plans import queries as Q
+    from tests.conftest import SF001
+
+    asked, search = [], MD.nearest_rows
+    monkeypatch.setattr(MD, "nearest_rows", lambda *a, **kw: asked.append(a[3]) or search(*a, **kw))
+    Q.REGISTRY["knn_score"](spark, SF001)
+    assert asked == ["euclidean", "manhattan"]
