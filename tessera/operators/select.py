@@ -2,8 +2,8 @@
 binary label, binned mutual information, greedy MRMR and selection stability.
 
 Inputs are long views ``(cell…, feature_idx, row_id, label, x)`` (imputed, no
-NULLs).  Every (cell, feature) is independent, so the windows below are
-partitioned by (cell, feature[, label]) and spread over the cluster.
+NULLs).  Every (cell, feature) is independent, so they are spread over the
+cluster.
 """
 from __future__ import annotations
 
@@ -15,7 +15,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.functions.exprs import attach_scalar, harmonic_digamma
+from tessera.functions.exprs import EULER_GAMMA, attach_scalar
+from tessera.operators.packed import by_key
 
 MI_NEIGHBORS = 3
 
@@ -35,61 +36,60 @@ def mutual_info_knn(long: DataFrame, cell_cols: Sequence[str], n_neighbors: int
     rounding step of an end; the library adds 1e-10 noise to break such ties,
     which no deterministic engine reproduces.)
 
-    r and the same-label part of m come from a ±k row frame in sorted order
-    (the k nearest in 1-D are within k positions); the other-label part of m
-    comes from a sweep over boundary events with running counts, with the
-    boundary snapped to the neighbour's exact value.
+    A (cell, feature)'s values and labels travel packed (``packed.by_key``) and
+    are worked on sorted; a null label is a label of its own, and the others of
+    a point are the points of label 1, or for those all the rest.
     """
-    cc = list(cell_cols)
-    cf = [*cc, "feature_idx"]
-    d = long.select(*cf, "row_id", F.col(label).cast("int").alias("y"), F.col(x).cast("double").alias("x"))
-    wl = Window.partitionBy(*cf, "y")
-    frame = wl.orderBy("x", "row_id").rowsBetween(-n_neighbors, n_neighbors)
-    d = (d.withColumn("n_label", F.count(F.lit(1)).over(wl))
-          .filter(F.col("n_label") > 1)
-          .withColumn("_fr", F.collect_list("x").over(frame))
-          .withColumn("eq_all", F.count(F.lit(1)).over(Window.partitionBy(*cf, "x"))))
-    k = F.least(F.lit(n_neighbors), F.col("n_label") - 1).cast("int")
-    xc = F.col("x")
-    d = d.withColumn("k", k).withColumn(
-        "r", F.element_at(F.array_sort(F.transform("_fr", lambda v: F.abs(v - xc))), F.col("k") + 1))
-    r = F.col("r")
-    hi_snap = F.array_min(F.filter("_fr", lambda v: (v > xc) & ((v - xc) == r)))
-    lo_snap = F.array_max(F.filter("_fr", lambda v: (v < xc) & ((xc - v) == r)))
-    d = d.withColumn("hi", F.coalesce(hi_snap, xc + r)).withColumn("lo", F.coalesce(lo_snap, xc - r))
-    d = d.select(*cf, "row_id", "y", "x", "n_label", "k", "r", "eq_all", "hi", "lo",
-                 F.size(F.filter("_fr", lambda v: (v > F.col("lo")) & (v < F.col("hi")))).alias("m_same"))
-    d = d.cache()
-    # sweep: type 0 counts points strictly below (hi), type 2 counts points at or below (lo)
-    pts = d.select(*cf, F.col("x").alias("v"), F.lit(1).alias("t"), F.lit(None).cast("long").alias("row_id"),
-                   F.lit(1).alias("is_pt"), F.col("y").alias("py"))
-    qh = d.filter(r > 0).select(*cf, F.col("hi").alias("v"), F.lit(0).alias("t"), "row_id",
-                                F.lit(0).alias("is_pt"), F.lit(None).cast("int").alias("py"))
-    ql = d.filter(r > 0).select(*cf, F.col("lo").alias("v"), F.lit(2).alias("t"), "row_id",
-                                F.lit(0).alias("is_pt"), F.lit(None).cast("int").alias("py"))
-    ev = pts.unionByName(qh).unionByName(ql)
-    run = Window.partitionBy(*cf).orderBy("v", "t").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ev = ev.select(*cf, "row_id", "t",
-                   F.sum("is_pt").over(run).alias("c_all"),
-                   F.sum(F.when(F.col("py") == 1, 1).otherwise(0)).over(run).alias("c_pos")).filter("t != 1")
-    q = ev.groupBy(*cf, "row_id").agg(
-        F.max(F.when(F.col("t") == 0, F.col("c_all"))).alias("hi_all"),
-        F.max(F.when(F.col("t") == 0, F.col("c_pos"))).alias("hi_pos"),
-        F.max(F.when(F.col("t") == 2, F.col("c_all"))).alias("lo_all"),
-        F.max(F.when(F.col("t") == 2, F.col("c_pos"))).alias("lo_pos"))
-    j = d.join(q, [*cf, "row_id"], "left")
-    in_all = F.col("hi_all") - F.col("lo_all")
-    in_pos = F.col("hi_pos") - F.col("lo_pos")
-    in_same = F.when(F.col("y") == 1, in_pos).otherwise(in_all - in_pos)
-    m = F.when(F.col("r") > 0, F.col("m_same") + in_all - in_same).otherwise(F.col("eq_all"))
-    j = j.withColumn("m", m)
-    agg = j.groupBy(*cf).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.avg(harmonic_digamma(F.col("k"))).alias("pk"),
-        F.avg(harmonic_digamma(F.col("n_label"))).alias("pl"),
-        F.avg(harmonic_digamma(F.col("m"))).alias("pm"))
-    mi = harmonic_digamma(F.col("n")) + F.col("pk") - F.col("pl") - F.col("pm")
-    return agg.select(*cf, F.greatest(F.lit(0.0), mi).alias("mi"))
+    d = long.select(*cell_cols, "feature_idx", F.coalesce(F.col(label).cast("int"), F.lit(NO_LABEL)).alias("y"), F.col(x).cast("double").alias("x"))
+    return by_key(d.filter(F.col("x").isNotNull()), [*cell_cols, "feature_idx"], {"x": "double", "y": "int"},
+                  lambda xs, ys: _knn_information(xs, ys, n_neighbors), "mi double")
+
+
+NO_LABEL = -(1 << 31)
+POINTS = 500_000  # points whose neighbours a task looks at together
+
+
+def _digamma(n: np.ndarray) -> np.ndarray:
+    """digamma of positive integers; the numpy form of ``harmonic_digamma``."""
+    x = np.maximum(np.asarray(n, float), 1.0)
+    small = np.concatenate([[0.0, 0.0], np.cumsum(1.0 / np.arange(1, 7))]) - EULER_GAMMA
+    inv2 = 1.0 / (x * x)
+    series = np.log(x) - 0.5 / x - inv2 * (1 / 12 - inv2 * (1 / 120 - inv2 * (1 / 252 - inv2 * (1 / 240 - inv2 / 132))))
+    return np.where(x < 8, small[np.minimum(x, 7).astype(int)], series)
+
+
+def _knn_information(x: np.ndarray, y: np.ndarray, n_neighbors: int) -> dict | None:
+    """The estimate of ``mutual_info_knn`` for the points of one (cell, feature)."""
+    labels, sizes = np.unique(y, return_counts=True)
+    kept = np.isin(y, labels[sizes > 1])
+    x, y = x[kept], y[kept]
+    n = len(x)
+    if not n:
+        return None
+    whole = np.sort(x)
+    ones, rest = np.sort(x[y == 1]), np.sort(x[y != 1])
+    pk = pl = pm = 0.0
+    for v in labels[sizes > 1]:
+        own = np.sort(x[y == v])
+        others, k = rest if v == 1 else ones, min(n_neighbors, len(own) - 1)
+        pk += len(own) * float(_digamma(k))
+        pl += len(own) * float(_digamma(len(own)))
+        edge = np.full(n_neighbors, np.nan)
+        padded = np.concatenate([edge, own, edge])
+        for lo in range(0, len(own), POINTS):
+            at = own[lo:lo + POINTS]
+            near = np.stack([padded[lo + s:lo + s + len(at)] for s in range(2 * n_neighbors + 1)])
+            apart = np.abs(near - at)
+            r = np.sort(apart, axis=0)[k]  # the point itself comes first, places without a neighbour last
+            far = apart == r
+            with np.errstate(invalid="ignore"):
+                up = np.where(far & (near > at), near, np.inf).min(0)
+                down = np.where(far & (near < at), near, -np.inf).max(0)
+                hi, low = np.where(np.isfinite(up), up, at + r), np.where(np.isfinite(down), down, at - r)
+                m = ((near > low) & (near < hi)).sum(0) + np.searchsorted(others, hi, "left") - np.searchsorted(others, low, "right")
+            same = np.searchsorted(whole, at, "right") - np.searchsorted(whole, at, "left")
+            pm += float(_digamma(np.where(r > 0, m, same)).sum())
+    return {"mi": max(0.0, float(_digamma(n)) + (pk - pl - pm) / n)}
 
 
 def mutual_info_binned(long: DataFrame, cell_cols: Sequence[str], n_bins: int = 10,

@@ -384,9 +384,10 @@ def mrmr_selection(spark, sf_dir, k=MRMR_QUERY_K):
     w, a, cells = prep_inputs(spark, sf_dir)
     m = P.FeaturePrep(["repeat"]).fit(w, cells)
     kept = m.params.filter("keep").select("repeat", "feature_idx", "median")
-    long = P.to_long(P.fit_rows(w, cells, ["repeat"]), ["repeat"]).join(
-        B.wide_samples(spark, sf_dir).select(F.col("row_id"), F.col("label")), "row_id")
-    long = long.join(kept, ["repeat", "feature_idx"]).withColumn("x", F.coalesce("value", "median"))
+    labels = B.wide_samples(spark, sf_dir).select("row_id", "label")
+    fit = P.fit_rows(w.drop("label").join(labels, "row_id"), cells, ["repeat"])
+    long = fit.select("repeat", "label", F.posexplode("features").alias("_p", "value")).withColumn("feature_idx", F.col("_p") + 1)
+    long = long.join(F.broadcast(kept), ["repeat", "feature_idx"]).withColumn("x", F.coalesce("value", "median"))  # cells x features rows
     rel = SEL.mutual_info_knn(long, ["repeat"])
     corr = m.corr.join(kept.select("repeat", F.col("feature_idx").alias("i")), ["repeat", "i"]) \
         .join(kept.select("repeat", F.col("feature_idx").alias("j")), ["repeat", "j"])

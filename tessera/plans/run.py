@@ -132,7 +132,7 @@ def design_rows(samples: DataFrame, roles: DataFrame, cfg: RunConfig):
     fit = P.fit_rows(samples, cells, cc, g)
     long = (fit.select(*cc, "row_id", "label", F.posexplode("features").alias("_p", "value"))
             .select(*cc, "row_id", "label", (F.col("_p") + 1).alias("feature_idx"), "value")
-            .join(kept, [*cc, "feature_idx"]).withColumn("x", F.coalesce("value", "median")))
+            .join(F.broadcast(kept), [*cc, "feature_idx"]).withColumn("x", F.coalesce("value", "median")))  # cells x features rows
     rel = SEL.mutual_info_knn(long, cc).checkpoint()
     corr = (prep.corr.join(kept.select(*cc, F.col("feature_idx").alias("i")), [*cc, "i"])
             .join(kept.select(*cc, F.col("feature_idx").alias("j")), [*cc, "j"]))
@@ -140,7 +140,7 @@ def design_rows(samples: DataFrame, roles: DataFrame, cfg: RunConfig):
     order = sel.groupBy(*cc).agg(F.array_sort(F.collect_list(F.struct("step", "feature_idx"))).alias("_s")) \
         .select(*cc, F.col("_s.feature_idx").alias("sel"))
     rows = samples.join(roles, g)
-    t = prep.transform(rows).join(order, cc)
+    t = prep.transform(rows).join(F.broadcast(order), cc)  # one row for each cell
     xs = F.transform("sel", lambda f: F.col("x")[F.array_position("support", f) - 1])
     design = t.select(*cc, "role", g, "row_id", "label", xs.alias("xs"))
     w = MD.class_weights(design.filter(F.col("role") == "fit"), cc, "label").select(*cc, "row_id", "weight")

@@ -152,3 +152,36 @@ def test_registered_selection_is_the_largest_k_and_stability_its_first_twenty(sp
     got = Q.q_selection_stability(spark, "").agg(F.min("feature_idx"), F.max("feature_idx"), F.count("*")).first()
     assert tuple(got) == (1, 20, 20)
     assert Q.q_mrmr_topk(spark, "").count() == 60
+
+
+def test_values_travel_packed_and_once(spark, monkeypatch):
+    """One exchange of binary runs for each statistic, whatever the number of rows and batches."""
+    from tessera.operators import packed
+
+    monkeypatch.setattr(packed, "PACKED_ROWS", 7)
+    rng = np.random.default_rng(6)
+    x, y = np.round(rng.normal(size=300), 1), rng.integers(0, 3, 300)
+    rows = [(c, f, int(i), None if y[i] == 2 else int(y[i]), float(x[i]) * f) for c in ("a", None) for f in (1, 2) for i in range(300)]
+    long = spark.createDataFrame(rows, "cell string, feature_idx int, row_id long, label int, x double").repartition(5)
+    mi, value = SEL.mutual_info_knn(long, ["cell"]), F.when(F.col("row_id") > 50, F.col("x"))
+    med = P.medians(long.withColumn("value", value), ["cell"])
+    st = P.imputed_stats(long.withColumn("value", value), med, ["cell"])
+    for df in (mi, med):
+        text = df._jdf.queryExecution().executedPlan().toString()
+        assert text.count("Exchange hashpartitioning(cell") == 1 and "Window" not in text and "ObjectHashAggregate" not in text
+    assert mi.count() == 4 and mi.select("mi").distinct().count() == 1  # both cells alike, whole multiples keep the order
+    present = x[51:]
+    want = np.concatenate([present, np.full(51, np.median(present))])
+    for r in st.collect():
+        f = r.feature_idx
+        assert r.n == 300 and r.median == pytest.approx(f * np.median(present)) and r.var_pop == pytest.approx(f * f * want.var())
+        assert (r.q1, r.q3) == pytest.approx(tuple(f * np.quantile(want, [0.25, 0.75])))
+    assert {r.n_present for r in med.collect()} == {249}
+
+
+def test_mi_knn_of_two_labels_matches_brute_force_in_pieces(spark, monkeypatch):
+    rng = np.random.default_rng(7)
+    y, x = (rng.random(90) < 0.03).astype(int), np.round(rng.normal(size=90), 1)
+    y[:2] = 1                                            # few positives: fewer than three neighbours
+    monkeypatch.setattr(SEL, "POINTS", 11)
+    assert SEL._knn_information(x, y.astype(np.int32), 3)["mi"] == pytest.approx(brute_mi(x, y), abs=1e-10)
