@@ -220,24 +220,55 @@ def apply_threshold(pred: DataFrame, thresholds: DataFrame, by, p: str = "proba"
             .withColumn(out, (F.col(p) >= F.col(t)).cast("int")))
 
 
+def _histogram_quantiles(hist: DataFrame, by, shares: Sequence[float], p: str, n: str) -> DataFrame:
+    """Interpolated quantiles of each cell, as ``percentile``, from one row for each
+    distinct ``p`` and how often it comes (``n``): ``by…, _edges`` (null without values).
+
+    The places of the values in their order come from running sums in two
+    levels, as in ``cumulative_desc``, so no cell is sorted in one task."""
+    k, times = F.col(p), F.when(F.col(p).isNotNull(), F.col(n)).otherwise(0)
+    bucket = F.when(F.isnan(k), SCORE_BUCKETS).otherwise(F.least(F.lit(SCORE_BUCKETS), F.greatest(F.lit(-1), F.floor(k * SCORE_BUCKETS))))
+    h = hist.select(*by, k.alias("_v"), times.alias("_c"), bucket.cast("int").alias("_bkt"))
+    before = Window.partitionBy(*by).orderBy("_bkt").rowsBetween(Window.unboundedPreceding, -1)
+    offs = h.groupBy(*by, "_bkt").agg(F.sum("_c").alias("_s")).select(
+        *by, "_bkt", F.coalesce(F.sum("_s").over(before), F.lit(0)).alias("_off"), F.sum("_s").over(Window.partitionBy(*by)).alias("_t"))
+    inner = Window.partitionBy(*by, "_bkt").orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    c = h.join(offs, [*by, "_bkt"]).withColumn("_to", F.col("_off") + F.sum("_c").over(inner))
+    at = [(F.col("_t") - 1) * F.lit(q) for q in shares]
+    there = lambda r: F.max(F.when((F.col("_to") - F.col("_c") <= r) & (r < F.col("_to")), F.col("_v")))
+    got = c.groupBy(*by, "_t").agg(*[there(f(a)).alias(f"_{w}{i}") for i, a in enumerate(at) for w, f in (("lo", F.floor), ("hi", F.ceil))])
+    edges = [F.when(F.col(f"_lo{i}") == F.col(f"_hi{i}"), F.col(f"_lo{i}")).otherwise(
+        (F.ceil(a) - a) * F.col(f"_lo{i}") + (a - F.floor(a)) * F.col(f"_hi{i}")) for i, a in enumerate(at)]
+    return got.select(*by, F.when(F.col("_t") > 0, F.array(*edges)).alias("_edges"))
+
+
 def calibration_curve(pred: DataFrame, by=("model",), y: str = "y_true", p: str = "proba",
                       n_bins: int = 10, approx: bool = False) -> DataFrame:
     """Reliability curve with quantile bins pooled over everything not in ``by``.
 
     Edges are the interpolated quantiles k/n_bins; a row's bin is the number
     of interior edges strictly below p; empty bins are omitted.  ``approx``
-    swaps the exact ``percentile`` for the mergeable ``percentile_approx``.
+    swaps the exact quantiles for the mergeable ``percentile_approx``.
+
+    Rows collapse map-side into one for each distinct score, and only those
+    meet their cell's edges.
     """
     by = _by(by)
     qs = [k / n_bins for k in range(1, n_bins)]
-    q = F.array(*[F.lit(x) for x in qs])
-    edge = (F.percentile_approx(F.col(p), q, 100000) if approx else F.percentile(F.col(p), q))
-    edges = pred.groupBy(*by).agg(edge.alias("_edges"))
-    binned = pred.join(edges, by).withColumn(
-        "bin", F.size(F.filter("_edges", lambda e: e < F.col(p))))
+    yd = F.col(y).cast("double")
+    hist = pred.groupBy(*by, F.col(p).alias("_p")).agg(
+        F.count(F.lit(1)).alias("_n"), F.count(yd).alias("_ny"), F.sum(yd).alias("_y"))
+    if approx:
+        q = F.array(*[F.lit(x) for x in qs])
+        edges = pred.groupBy(*by).agg(F.percentile_approx(F.col(p), q, 100000).alias("_edges"))
+    else:
+        edges = _histogram_quantiles(hist, by, qs, "_p", "_n")
+    binned = hist.join(F.broadcast(edges), by).withColumn(  # one row for each cell
+        "bin", F.size(F.filter("_edges", lambda e: e < F.col("_p"))))
+    present = F.when(F.col("_p").isNotNull(), F.col("_n"))
     return binned.groupBy(*by, "bin").agg(
-        F.avg(F.col(p)).alias("prob_pred"), F.avg(F.col(y).cast("double")).alias("prob_true"),
-        F.count(F.lit(1)).alias("n"))
+        (F.sum(F.col("_p") * F.col("_n")) / F.sum(present)).alias("prob_pred"),
+        F.when(F.sum("_ny") > 0, F.sum("_y") / F.sum("_ny")).alias("prob_true"), F.sum("_n").alias("n"))
 
 
 def curve_points(pred: DataFrame, by, kind: str, y: str = "y_true", p: str = "proba") -> DataFrame:

@@ -95,3 +95,23 @@ def test_determinism_under_repartition(spark):
     b = M.binary_metrics(df.repartition(13), ["model", "repeat"]).first().asDict()
     for k in a:
         assert a[k] == pytest.approx(b[k], abs=1e-12)
+
+
+def test_calibration_curve_bins_one_row_a_score(spark):
+    rng = np.random.default_rng(11)
+    p, y = np.round(rng.beta(0.4, 2, 900), 2), rng.integers(0, 2, 900)
+    rows = [("A", int(a), float(b)) for a, b in zip(y, p)] + [("A", None, 0.5), ("A", 1, None), ("B", 1, None), ("C", 0, float("nan")), ("C", 1, -3.5)]
+    df = spark.createDataFrame(rows, "model string, y_true int, proba double")
+    curve = M.calibration_curve(df, ["model"])
+    got = {(r["model"], r["bin"]): (r.prob_pred, r.prob_true, r.n) for r in curve.collect()}
+    p, y = np.append(p, 0.5), np.append(y.astype(float), np.nan)
+    bins = (np.quantile(p, np.arange(1, 10) / 10)[None] < p[:, None]).sum(1)
+    for b in np.unique(bins):
+        n_null = int(b == 0)  # the row without a score lies in the first bin
+        n = int((bins == b).sum())
+        want_y = np.append(y[bins == b], [1.0] * n_null)
+        assert got["A", b][2] == n + n_null and got["A", b][0] == pytest.approx(p[bins == b].mean()) and got["A", b][1] == pytest.approx(np.nanmean(want_y))
+    assert got["B", None] == (None, 1.0, 1) and got["C", 0][2] == 2  # edges beside a NaN are NaN
+    text = curve._jdf.queryExecution().executedPlan().toString()
+    # the exchange that deals by the model alone carries one row for each score: it follows a count by score
+    assert "percentile" not in text and "BroadcastHashJoin [model" in text
