@@ -191,17 +191,24 @@ def q_groups_tall_split(spark, sf_dir):
         F.count(F.lit(1)).alias("n_groups"), F.sum("n").alias("n_rows"), F.sum("pos").alias("n_pos"))
 
 
+LEAKY_REPEATS = 20
+
+
 def q_leakage_check(spark, sf_dir):
     groups = B.groups_tall(spark, sf_dir).select("group_id").distinct()
     grp = SP.assign_rows(groups, SP.group_split(groups, "group_id"), "group_id")
     v_grp = SP.leakage_violations(grp, "group_id")
-    li = read_table(spark, sf_dir, "lineitem").select(
-        F.col("l_suppkey").cast("string").alias("group_id"), "l_orderkey", "l_linenumber", "l_partkey")
-    rows = li.withColumn("repeat", F.explode(F.sequence(F.lit(0), F.lit(19))))
-    h = F.md5(F.concat_ws(":", F.lit("42"), F.col("repeat").cast("string"), F.col("l_orderkey").cast("string"),
-                          F.col("l_linenumber").cast("string"), F.col("l_partkey").cast("string")))
-    leaky = rows.withColumn("split", F.when(F.substring(h, 1, 1).isin("0", "1", "2"), F.lit("test"))
-                            .otherwise(F.lit("train")))
+    # what each row hashes besides the repeat is made once, and a group keeps the set of its repeats in each split
+    own = F.concat_ws(":", *[F.col(c).cast("string") for c in ("l_orderkey", "l_linenumber", "l_partkey")])
+    li = read_table(spark, sf_dir, "lineitem").select("l_suppkey", F.when(own != "", own).alias("own"))
+    rows = li.withColumn("repeat", F.explode(F.sequence(F.lit(0), F.lit(LEAKY_REPEATS - 1))))
+    h = F.md5(F.concat_ws(":", F.lit("42"), F.col("repeat").cast("string"), F.col("own")))
+    bit, in_test = F.expr("shiftleft(1L, repeat)"), F.substring(h, 1, 1).isin("0", "1", "2")
+    seen = rows.withColumn("in_test", in_test).groupBy("l_suppkey").agg(
+        F.bit_or(F.when(F.col("in_test"), bit)).alias("test"), F.bit_or(F.when(~F.col("in_test"), bit)).alias("train"))
+    leaky = seen.select(F.col("l_suppkey").cast("string").alias("group_id"), F.explode(F.create_map(
+        F.lit("test"), F.coalesce("test", F.lit(0)), F.lit("train"), F.coalesce("train", F.lit(0)))).alias("split", "repeats"))
+    leaky = leaky.withColumn("repeat", F.explode(F.sequence(F.lit(0), F.lit(LEAKY_REPEATS - 1)))).filter(F.expr("getbit(repeats, repeat) = 1"))
     v_row = SP.leakage_violations(leaky, "group_id")
     return (v_grp.agg(F.count(F.lit(1)).alias("n_violations")).select(F.lit("group").alias("kind"), "n_violations")
             .unionByName(v_row.agg(F.count(F.lit(1)).alias("n_violations"))

@@ -50,3 +50,21 @@ def test_prefix_ids_and_mixed_label_report(spark):
     assert D.label_overlap(u).count() == 0
     mixed = spark.createDataFrame([("u1", 0), ("u1", 1), ("u2", 0)], "patient_id string, label int")
     assert [r.patient_id for r in D.mixed_label_groups(mixed).collect()] == ["u1"]
+
+
+def test_leakage_check_hashes_every_row_and_keeps_sets_of_repeats(spark, tmp_path):
+    import hashlib
+
+    from tessera.plans import queries as Q
+
+    rows = [(o, i, 7 * o + i if o % 5 else None, None if o == 3 else o % 11) for o in range(1, 40) for i in range(1, 3)] + [(None, None, None, 30), (None, None, None, 30)]
+    df = spark.createDataFrame(rows, "l_orderkey long, l_linenumber int, l_partkey long, l_suppkey long").withColumn("l_quantity", F.lit(1.0))
+    df.repartition(3).write.parquet(f"{tmp_path}/lineitem.parquet")
+    seen = {}
+    for o, i, p, s in rows:
+        for r in range(20):
+            text = ":".join(["42", str(r)] + [str(v) for v in (o, i, p) if v is not None])
+            seen.setdefault((r, s), set()).add(hashlib.md5(text.encode()).hexdigest()[0] in "012")
+    out = Q.q_leakage_check(spark, str(tmp_path))
+    assert {r.kind: r.n_violations for r in out.collect()} == {"group": 0, "row": sum(len(v) == 2 for v in seen.values())}
+    assert "bit_or" in out._jdf.queryExecution().executedPlan().toString()
