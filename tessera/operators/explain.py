@@ -5,10 +5,12 @@ the coalition lets a row go both ways, by the share of the fit rows (``cover``).
 They are exact.  For one leaf, only the distinct features on its path matter:
 feature ``f`` passes a row on with ``one_f`` (1 if the row meets all its tests on
 the path, else 0) when it is in the coalition and with ``zero_f`` (the product of
-the cover shares) when it isn't.  With the polynomial ``prod (zero_f + one_f t)``
-over the path's features, the Shapley weight of each power of ``t`` gives the
-leaf's part, so a leaf of ``k`` features costs ``k**2`` for all rows at once,
-whatever the number of coalitions.
+the cover shares) when it isn't.  The Shapley weight of a coalition of ``s`` among
+``k - 1`` others is the integral of ``t**s (1 - t)**(k - 1 - s)`` over [0, 1], so
+the leaf's part is ``one_f - zero_f`` times the integral of the polynomial ``prod
+(zero_g (1 - t) + one_g t)`` over the path's other features.  Gauss-Legendre
+points give it exactly, so a leaf of ``k`` features costs ``k**2`` for each set
+of tests met, whatever the number of rows or coalitions.
 
 Models travel as flat arrays, one for each fit; rows come in blocks
 (``cells.block_table``), and each task works through its own blocks.
@@ -18,7 +20,6 @@ from __future__ import annotations
 import json
 from collections.abc import Sequence
 from functools import lru_cache
-from math import factorial
 
 import numpy as np
 import pyarrow as pa
@@ -34,9 +35,10 @@ PARTS = 16
 
 
 @lru_cache(maxsize=64)
-def _weights(k: int) -> np.ndarray:
-    """Shapley weight of a coalition of s among k - 1 other features."""
-    return np.array([factorial(s) * factorial(k - 1 - s) / factorial(k) for s in range(k)])
+def _nodes(k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Points and weights on [0, 1] that integrate polynomials of degree k - 1 exactly."""
+    t, w = np.polynomial.legendre.leggauss((k + 1) // 2)
+    return (t + 1) / 2, w / 2
 
 
 def _paths(model: dict):
@@ -57,43 +59,55 @@ def _paths(model: dict):
                 open_nodes.append((child, {**path, f: (*bounds, share * part)}))
 
 
+def _distinct(code: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct codes of ``k`` bits, and the place of each row's code among them."""
+    if 1 << k > 8 * len(code):
+        return np.unique(code, return_inverse=True)
+    there = np.zeros(1 << k, bool)
+    there[code] = True
+    place = np.cumsum(there) - 1
+    return np.flatnonzero(there), place[code]
+
+
 def tree_contributions(model: dict, x: np.ndarray, scale: float) -> tuple[np.ndarray, float]:
     """``phi`` (rows x features) and the base: the sum over trees times ``scale``.
-    ``phi`` of a row plus the base is the ensemble's output for it."""
-    phi, base = np.zeros(x.shape), 0.0
+    ``phi`` of a row plus the base is the ensemble's output for it.
+
+    A leaf works on the distinct sets of tests that rows meet, known by one bit
+    for each feature of the path; the products of the other features' factors,
+    from both ends, are polynomials in t, and ``_nodes`` integrates them exactly."""
+    phi, base, columns = np.zeros(x.shape[::-1]), 0.0, np.ascontiguousarray(x.T)
     for value, path in _paths(model):
-        features, k = list(path), len(path)
-        zero = np.array([path[f][2] for f in features])
+        k = len(path)
+        zero = np.array([path[f][2] for f in path])
         base += value * zero.prod()
-        if not k:
+        if not k or not value:
             continue
-        one = np.stack([(x[:, f] > path[f][0]) & (x[:, f] <= path[f][1]) for f in features], 1).astype(float)
-        # rows with the same tests met share their result
-        met, back = np.unique(one, axis=0, return_inverse=True)
-        poly = np.zeros((len(met), k + 1))
-        poly[:, 0] = 1.0
-        for j in range(k):
-            poly[:, 1:j + 2] = poly[:, 1:j + 2] * zero[j] + poly[:, :j + 1] * met[:, j:j + 1]
-            poly[:, 0] *= zero[j]
-        weights, part = _weights(k), np.zeros(met.shape)
-        for j in range(k):
-            # the polynomial without feature j, by division; from the end that is safe
-            rest, on = np.zeros((len(met), k)), met[:, j] > 0
-            rest[on, k - 1] = poly[on, k]
-            for s in range(k - 2, -1, -1):
-                rest[on, s] = poly[on, s + 1] - zero[j] * rest[on, s + 1]
-            if zero[j] > 0:
-                rest[~on] = poly[~on, :k] / zero[j]
+        code, tests = np.zeros(len(x), np.int64), []
+        for j, (f, (low, high, _)) in enumerate(path.items()):
+            meets = columns[f] <= high
+            if low > -np.inf:
+                meets &= columns[f] > low
+            if k > 62:  # more bits than a code has: every row for itself
+                tests.append(meets)
             else:
-                off = ~on
-                others = np.ones((int(off.sum()), 1))
-                for i in range(k):
-                    if i != j:
-                        others = np.concatenate([others * zero[i], np.zeros((len(others), 1))], 1) + np.concatenate([np.zeros((len(others), 1)), others * met[off, i:i + 1]], 1)
-                rest[off] = others
-            part[:, j] = (rest @ weights) * (met[:, j] - zero[j])
-        phi[:, features] += value * part[back.ravel()]
-    return phi * scale, base * scale
+                code |= meets.astype(np.int64) << j
+        if tests:
+            met, back = np.stack(tests).astype(float), np.arange(len(x))
+        else:
+            codes, back = _distinct(code, k)
+            met = ((codes >> np.arange(k)[:, None]) & 1).astype(float)
+        t, weights = _nodes(k)
+        factor = zero[:, None, None] * (1 - t)[:, None] + met[:, None, :] * t[:, None]  # features, nodes, sets
+        before, after = np.ones_like(factor), np.ones_like(factor)
+        for j in range(1, k):
+            np.multiply(before[j - 1], factor[j - 1], out=before[j])
+            np.multiply(after[k - j], factor[k - j], out=after[k - j - 1])
+        before *= after
+        part = value * np.einsum("q,jqs->js", weights, before) * (met - zero[:, None])
+        for f, own in zip(path, part):
+            phi[f] += own[back]
+    return phi.T * scale, base * scale
 
 
 def output_scale(model: dict) -> tuple[float, float]:

@@ -94,3 +94,29 @@ def test_registered_query_adds_up(spark):
     top = sorted((r["rank"], r.feature_idx, r.mean_abs) for r in found["top"].collect())
     assert [t[1] for t in top] == [f for _, f in want] and [t[2] for t in top] == pytest.approx([-m for m, _ in want])
     assert "shap_top10" in Q.REGISTRY
+
+
+def test_contributions_of_a_block_take_seconds_and_long_paths_add_up():
+    import time
+
+    from tessera.operators import trees
+    from tessera.operators.cells import Block, answered
+    from tessera.operators.explain import tree_contributions
+
+    rng = np.random.default_rng(0)
+    x = rng.normal(size=(8192, 50))
+    block = Block(("a",), x, (x[:, 0] + rng.normal(size=8192) > 0).astype(float), np.ones(8192), np.arange(8192))
+    model = answered(trees.extra_trees(50, {"n_estimators": 6, "max_depth": 12, "min_samples_leaf": 2, "max_features": "sqrt"}, 1), block)
+    t0 = time.process_time()
+    phi, base = tree_contributions(model, x, 1 / 6)
+    assert time.process_time() - t0 < 20          # 42 s when each leaf sorted the rows' tests
+    assert np.allclose(phi.sum(1) + base, trees.forest_score(model, x), atol=1e-12)
+
+    k = 70                                        # one chain of 70 features: more tests than a code has bits
+    chain = {"feature": np.full(2 * k + 1, -1, np.int32), "threshold": np.zeros(2 * k + 1), "left": np.zeros(2 * k + 1, np.int32),
+             "value": rng.random(2 * k + 1), "cover": np.ones(2 * k + 1), "roots": np.array([0])}
+    chain["feature"][:2 * k:2], chain["left"][:2 * k:2] = np.arange(k), np.arange(1, 2 * k, 2)
+    chain["cover"][::2], chain["cover"][1::2] = 1 + np.arange(k, -1, -1), 1.0
+    x = rng.normal(size=(40, k)) + 1.5
+    phi, base = tree_contributions(chain, x, 1.0)
+    assert np.allclose(phi.sum(1) + base, chain["value"][trees.leaves(chain, x)].sum(1), atol=1e-12)
