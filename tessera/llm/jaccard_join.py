@@ -14,16 +14,21 @@ its distinct shingles.
   sets that reach the threshold share a shingle in their prefixes, so only
   prefixes are indexed.  Each shingle's list is ordered by set size and cut where
   neighbours' sizes are too far apart to link; lists within one class go.  In
-  two rounds the classes of a list are compared with that of its first entry,
-  one pair of sets for a pair of classes.  What is still open is compared in
-  blocks of ``BLOCK`` entries, by class: blocks of one class never meet, and pairs
-  of blocks that the length or positional bound excludes are skipped.
+  two rounds each entry is compared with the first of its list and with the
+  ``NEAR`` entries before it in order of size, one pair of sets, the likeliest,
+  for a pair of classes: sets that link with each other become one class by
+  their neighbours, wherever in the list they stand.  What is still open is
+  compared in blocks of ``BLOCK`` entries, by class: blocks of one class never
+  meet, and pairs of blocks that the length or positional bound excludes are
+  skipped.
 * Known overlaps with a list's first set bound those of the other pairs:
   ``|x & y| <= min(|x & l|, |y & l|) + min(|x - l|, |y - l|)``.
 
 A pair that remains must pass a parity signature of ``SIGNATURE`` bits (sets that
-differ in ``d`` shingles differ in at most ``d`` bits) before its whole sets are
-compared, so whole sets move for likely links only.
+differ in ``d`` shingles differ in at most ``d`` bits) where it meets, before it
+becomes a row.  Of the pairs left between two classes the likeliest is compared
+first, and the others only if the classes stay apart, so whole sets move for few
+pairs.
 
 No link between classes is lost; classes are the connected components.  Tables
 sent to tasks have a fixed size: the counts (4 MB), bits of the ids or hashes
@@ -51,7 +56,7 @@ from tessera.llm.components import components
 
 SEP = G.separators("space")
 BLOCK = 64
-LEADERS = 8
+LEADERS, NEAR = 8, 3
 COUNTERS, PART = 1 << 20, 1 << 14
 BITS = 24
 HOT, SHARES = 2000, 16384
@@ -324,15 +329,20 @@ def _texts(own: DataFrame, nodes: DataFrame, wanted: DataFrame, words: int) -> D
     return text_nodes(rows, words).where("node = wanted").select("node", "text").dropDuplicates(["node"])
 
 
+def _spare(x, y, percent: int):
+    """Twice what a bound on the overlap, from the signatures, has beyond what a
+    link needs; a pair below 0 has no link."""
+    apart = sum(F.bit_count(x["sig"][k].bitwiseXOR(y["sig"][k])) for k in range(SIGNATURE // 64))
+    sizes = x["size"] + y["size"]
+    return sizes - apart - 2 * _needed(sizes, percent)
+
+
 def _weighed(pairs: DataFrame, signs: DataFrame, percent: int) -> DataFrame:
-    """``a, b, o, plausible``: a bound on the overlap from the signatures."""
-    left = signs.select(F.col("node").alias("a"), F.col("size").alias("na"), F.col("sig").alias("ga"))
-    right = signs.select(F.col("node").alias("b"), F.col("size").alias("nb"), F.col("sig").alias("gb"))
+    """Those of the pairs that the signatures leave open, with ``spare``."""
+    left = signs.select(F.col("node").alias("a"), F.struct("size", "sig").alias("x"))
+    right = signs.select(F.col("node").alias("b"), F.struct("size", "sig").alias("y"))
     both = pairs.join(left, "a").join(right, "b")
-    apart = F.aggregate(F.zip_with("ga", "gb", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda t, v: t + v)
-    sizes = F.col("na") + F.col("nb")
-    most = F.least(F.floor((sizes - apart) / 2), F.col("na"), F.col("nb")).cast("int")
-    return both.select("a", "b", most.alias("o"), (most >= _needed(sizes, percent)).alias("plausible"))
+    return both.select(*pairs.columns, _spare(F.col("x"), F.col("y"), percent).alias("spare")).where("spare >= 0")
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
@@ -379,18 +389,33 @@ def _open(lists: DataFrame, comps: DataFrame) -> DataFrame:
     return own.join(several.select("token", "run", "lead"), ["token", "run"])
 
 
-def _class_pairs(entries: DataFrame, percent: int) -> DataFrame:
-    """``a, b``: one pair of sets of each two classes that meet at the head of a list."""
-    far = entries.where((F.col("comp") != F.col("lead.comp")) & _possible(F.struct("size", "pos"), F.col("lead"), percent))
-    a_first = F.col("comp") > F.col("lead.comp")
-    return far.groupBy(F.least("comp", "lead.comp").alias("ca"), F.greatest("comp", "lead.comp").alias("cb")).agg(
-        F.min(F.struct(F.when(a_first, F.col("lead.node")).otherwise(F.col("node")).alias("a"),
-                       F.when(a_first, F.col("node")).otherwise(F.col("lead.node")).alias("b"))).alias("p")).select("p.a", "p.b")
+def _pair(p, q):
+    """The two nodes ``a, b`` and their classes ``ca, cb``."""
+    return [F.least(p["node"], q["node"]).alias("a"), F.greatest(p["node"], q["node"]).alias("b"),
+            F.least(p["comp"], q["comp"]).alias("ca"), F.greatest(p["comp"], q["comp"]).alias("cb")]
+
+
+def _near_pairs(entries: DataFrame, percent: int, turn: int) -> DataFrame:
+    """``a, b, ca, cb``: pairs of sets of two classes, from each entry with the head
+    of its list and with the ``NEAR`` entries before it in order of size.  Entries
+    of one size have another order in each ``turn``."""
+    by_size = Window.partitionBy("token", "run").orderBy("size", F.xxhash64("node", F.lit(turn)), "node")
+    me = F.struct("size", "node", "pos", "comp")
+    near = entries.select(me.alias("p"), F.array("lead", *[F.lag(me, k).over(by_size) for k in range(1, NEAR + 1)]).alias("others"))
+    p = F.col("p")
+    one = near.select("p", F.explode(F.filter("others", lambda q: (q["comp"] != p["comp"]) & _possible(p, q, percent))).alias("q"))
+    return one.select(*_pair(p, F.col("q"))).distinct()
+
 
+def _likeliest(pairs: DataFrame) -> DataFrame:
+    """``a, b``: one pair of sets for each two classes."""
+    return pairs.groupBy("ca", "cb").agg(F.max(F.struct("spare", "a", "b")).alias("p")).select("p.a", "p.b")
 
-def _remaining(entries: DataFrame, answers: DataFrame, percent: int) -> DataFrame:
-    """Pairs of different classes that the answers of the lists' first sets don't settle."""
-    own = entries.withColumn("first", F.col("lead.node"))
+
+def _remaining(entries: DataFrame, answers: DataFrame, signs: DataFrame, percent: int) -> DataFrame:
+    """Pairs of different classes that neither the answers of the lists' first sets
+    nor the signatures settle: ``a, b, ca, cb, spare``."""
+    own = entries.withColumn("first", F.col("lead.node")).join(signs.select("node", "sig"), "node")
     both = answers.select("a", "b", "overlap").union(answers.select("b", "a", "overlap"))
     with_first = both.groupBy(F.col("a").alias("first"), F.col("b").alias("node")).agg(F.max("overlap").alias("o"))
     own = own.join(with_first, ["first", "node"], "left")
@@ -402,7 +427,7 @@ def _remaining(entries: DataFrame, answers: DataFrame, percent: int) -> DataFram
               .groupBy("token", "run", "block").agg(
                   F.min("size").alias("lo"), F.max("size").alias("hi"), F.max(F.col("size") - F.col("pos")).alias("rest"),
                   F.min("comp").alias("c0"), F.max("comp").alias("c1"),
-                  F.collect_list(F.struct("node", "size", "pos", "comp", inside.alias("inside"), outside.alias("outside"))).alias("entries")))  # at most BLOCK
+                  F.collect_list(F.struct("node", "size", "pos", "comp", "sig", inside.alias("inside"), outside.alias("outside"))).alias("entries")))  # at most BLOCK
     x, y = blocks.alias("x"), blocks.alias("y")
     one_class = (F.col("x.c0") == F.col("y.c1")) & (F.col("x.c1") == F.col("y.c0")) & (F.col("x.c0") == F.col("x.c1"))
     met = x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.run") == F.col("y.run")) & (F.col("x.block") <= F.col("y.block")) & ~one_class
@@ -413,10 +438,19 @@ def _remaining(entries: DataFrame, answers: DataFrame, percent: int) -> DataFram
     def open_pair(q):
         p = F.col("p")
         bound = F.least(p["inside"], q["inside"]) + F.least(p["outside"], q["outside"])
-        return (p["comp"] != q["comp"]) & _possible(p, q, percent) & (bound >= _needed(p["size"] + q["size"], percent))
+        return ((p["comp"] != q["comp"]) & _possible(p, q, percent) & (bound >= _needed(p["size"] + q["size"], percent))
+                & (_spare(p, q, percent) >= 0))
 
     two = one.select("p", F.explode(F.filter("others", open_pair)).alias("q"))
-    return two.select(F.least("p.node", "q.node").alias("a"), F.greatest("p.node", "q.node").alias("b")).distinct()
+    p, q = F.col("p"), F.col("q")
+    return two.select(*_pair(p, q), _spare(p, q, percent).alias("spare")).distinct()
+
+
+def _apart(pairs: DataFrame, comps: DataFrame) -> DataFrame:
+    """The pairs of nodes whose classes still differ."""
+    ends = [comps.select(F.col("node").alias(n), F.col("comp").alias(f"_{n}")) for n in "ab"]
+    both = pairs.join(ends[0], "a", "left").join(ends[1], "b", "left")
+    return both.where(F.coalesce("_a", "a") != F.coalesce("_b", "b")).select("a", "b")
 
 
 def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, percent: int = 80) -> DataFrame:
@@ -434,18 +468,24 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     comps = components(answers.where("linked").select("a", "b"))
     lists = written(_lists(_postings(own, words, percent, _counted(scan)), percent))
 
+    def unknown(pairs: DataFrame) -> DataFrame:
+        known = answers.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+        return pairs.join(known, ["a", "b"], "left_anti")
+
     def settled(pairs: DataFrame) -> DataFrame:
-        likely = written(_weighed(pairs, signs, percent).where("plausible").select("a", "b"))
-        return written(_verified(likely, written(_texts(own, nodes, _ends(likely), words)), words, percent))
+        pairs = written(pairs)
+        return written(_verified(pairs, written(_texts(own, nodes, _ends(pairs), words)), words, percent))
 
     entries = lists
-    for _ in range(2):  # classes of a list against the class of its first entry
+    for turn in range(2):  # classes that meet near each other in a list
         entries = written(_open(entries.select("token", "node", "size", "pos", "run"), comps))
-        answers = answers.union(settled(_class_pairs(entries, percent)))
+        answers = answers.union(settled(_likeliest(_weighed(unknown(_near_pairs(entries, percent, turn)), signs, percent))))
         comps = components(answers.where("linked").select("a", "b"))
     entries = written(_open(entries.select("token", "node", "size", "pos", "run"), comps))
-    known = answers.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    more = settled(_remaining(entries, answers, percent).join(known, ["a", "b"], "left_anti"))
+    pairs = written(unknown(_remaining(entries, answers, signs, percent)))
+    answers = answers.union(settled(_likeliest(pairs)))
+    comps = components(answers.where("linked").select("a", "b"))
+    more = settled(unknown(_apart(pairs, comps)))
     comps = components(answers.union(more).where("linked").select("a", "b"))
     full = nodes.select("id", "node", "n_shingles").join(comps, "node", "left").withColumn("class", F.coalesce("comp", "node"))
     smallest = full.where("n_shingles > 0").groupBy("class").agg(F.min("id").alias("component_id"))

@@ -1,4 +1,5 @@
 import hashlib
+import random
 import re
 
 import pytest
@@ -47,6 +48,23 @@ def near(words, k):
     return " ".join(out)
 
 
+def test_near_copies_are_not_compared_pair_by_pair(spark, docs_of, monkeypatch):
+    rng, base, n = random.Random(5), [f"w{k}" for k in range(200)], 120
+    rows = []
+    for k in range(n):  # sets with 1 word changed link with all, those with 3 with hardly any other
+        words = list(base)[:200 if k else 198]  # the first of each list is a set with 3
+        for j in rng.sample(range(len(words)), 1 + k % 2 * 2 if k else 3):
+            words[j] = f"x{k}_{j}"
+        rows.append((k, " ".join(words)))
+    made, verified = [], jaccard_join._verified
+    monkeypatch.setattr(jaccard_join, "_verified", lambda pairs, *a: made.append(pairs.count()) or verified(pairs, *a))
+    first = jaccard_join._first_answers
+    monkeypatch.setattr(jaccard_join, "_first_answers", lambda *a: first(*a).where("false"))
+    out = jaccard_join.jaccard_classes(docs_of(rows)).select("id", "n_shingles", "component_id").collect()
+    assert order([tuple(r) for r in out]) == order(brute_classes(rows))
+    assert sum(made) <= 4 * n, made
+
+
 def test_classes_against_brute_force(spark):
     docs = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
     got = [tuple(r) for r in registry.QUERIES["op7_ngram_jaccard_join"](spark, SF).select("doc_id", "n_shingles", "component_id").collect()]
