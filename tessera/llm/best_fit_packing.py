@@ -54,7 +54,7 @@ def pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", capa
     def cut(batches):
         for batch in batches:
             row, piece, start, length, crc = [], [], [], [], []
-            for k, ids in enumerate(encoded((t.as_py() for t in batch.column(1)), vocabulary)):
+            for k, ids in enumerate(encoded(batch.column(1), vocabulary)):
                 ids += struct.pack("<I", end)
                 n = len(ids) // 4
                 cuts = [0, *range(n % capacity or capacity, n + 1, capacity)] if n > capacity else [0, n]

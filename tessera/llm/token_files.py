@@ -143,7 +143,7 @@ def write_tokens(docs: DataFrame, folder: str | None = None, id_col: str = "doc_
         writer = Writer(bits_for(encoder(vocabulary).size))
         for batch in batches:
             names = batch.column(0).to_pylist()
-            for name, ids in zip(names, encoded((t.as_py() for t in batch.column(1)), vocabulary)):
+            for name, ids in zip(names, encoded(batch.column(1), vocabulary)):
                 writer.add(name, np.frombuffer(ids + struct.pack("<I", end), "<u4"))
         if not writer.docs:
             return

@@ -141,6 +141,25 @@ def test_chunked_encoding_equals_whole_texts(spark):
     assert list(tokens.encoded(texts)) == enc._ids(texts)
 
 
+def test_encoding_in_any_pieces_of_an_arrow_array(monkeypatch):
+    import pyarrow as pa
+
+    parts = ["a", "Bé", " ", " ", "\n", "\t", "\x1f", "\x85", "\u2009", "\u3000", "\u2019", ".", "'ll", "12", "日", "\0", "<|endoftext|>", "word", "***"]
+    rng = np.random.default_rng(3)
+    texts = ["".join(rng.choice(parts, rng.integers(0, 12))) for _ in range(3000)] + [None, "", " ", "\n"]
+    enc = tokens.Encoder(tokens.VOCABULARY)
+    monkeypatch.setattr(tokens, "encoder", lambda file: enc)
+    whole = enc._ids([t or "" for t in texts])
+    for piece in (1, 50, 1 << 21):
+        assert list(tokens.encoded(pa.array(texts), piece=piece)) == whole
+    assert list(tokens.encoded(pa.array(texts)[7:90])) == whole[7:90] and list(tokens.encoded(pa.array([], pa.string()))) == []
+    # words at both sides of a line feed are chunks of their own, and need no pass of the whole tokenizer
+    sent, own = [], enc._ids
+    monkeypatch.setattr(enc, "_ids", lambda texts: sent.extend(texts) or own(texts))
+    assert b"".join(tokens.encoded(["Qone qtwo.\nQthree, qfour\nqfive"])) == own(["Qone qtwo.\nQthree, qfour\nqfive"])[0]
+    assert not [t for t in sent if t.strip()]
+
+
 def test_added_tokens_as_the_plain_tokenizer_has_them():
     from tokenizers import Tokenizer
 
