@@ -134,33 +134,41 @@ def fit_cells(blocks: DataFrame, fits: DataFrame, cell: Sequence[str], programs:
     n_fits = max(1, fits.count())
     small = one.repartition(min(n_fits, 4 * blocks.sparkSession.sparkContext.defaultParallelism), "fit").mapInArrow(local, "fit int, model binary")
     large = work.where("blocks > 1")
-    heads = large.where("block = 0").select("fit", "program", "params", (F.length("x") / 8 / F.col("n")).cast("int").alias("d")).collect()
+    heads = large.where("block = 0").select("fit", *cell, "program", "params", (F.length("x") / 8 / F.col("n")).cast("int").alias("d")).collect()
     if not heads:
         return small
-    return small.union(_lockstep(large, heads, programs, seed))
+    return small.union(_lockstep(blocks.where("blocks > 1"), cell, heads, programs, seed))
 
 
-def _lockstep(work: DataFrame, heads: list, programs: dict[str, Program], seed: int) -> DataFrame:
-    spark = work.sparkSession
-    running, asks, models = {}, {}, {}
+def _lockstep(blocks: DataFrame, cell: list[str], heads: list, programs: dict[str, Program], seed: int) -> DataFrame:
+    spark = blocks.sparkSession
+    running, asks, models, cells = {}, {}, {}, {}
     for h in heads:
         params = json.loads(h["params"])
         running[h["fit"]] = programs[h["program"]](_width(params, h["d"]), params, seed)
         asks[h["fit"]] = next(running[h["fit"]])
+        cells.setdefault(tuple(h[c] for c in cell), []).append(h["fit"])
     widths = {h["fit"]: _width(json.loads(h["params"]), h["d"]) for h in heads}
+    shape = T.StructType([blocks.schema[c] for c in cell]).add("fits", T.ArrayType(T.IntegerType()))
+    told = spark.createDataFrame([(*k, sorted(v)) for k, v in cells.items()], shape)
+    # told: one row for each cell.  A block goes to its task once, whatever the number of its fits,
+    # and blocks are spread over all tasks once, not read again in as few parts as their files give
+    own = blocks.join(F.broadcast(told), cell)
+    work = own.repartition(max(1, min(own.count(), 4 * spark.sparkContext.defaultParallelism))).persist()
     while asks:
-        totals = _totals(work.where(F.col("fit").isin(sorted(asks))), asks, widths)
+        totals = _totals(work.where(F.arrays_overlap("fits", F.array(*[F.lit(f) for f in sorted(asks)]))), asks, widths)
         for fit in list(asks):
             try:
                 asks[fit] = running[fit].send(totals[fit])
             except StopIteration as end:
                 del asks[fit]
                 models[fit] = packed(end.value)
+    work.unpersist()
     return spark.createDataFrame([(f, bytearray(m)) for f, m in models.items()], "fit int, model binary")
 
 
 def _totals(work: DataFrame, asks: dict[int, Ask], widths: dict[int, int]) -> dict[int, np.ndarray]:
-    """The answers of all blocks to each fit's question, in one job."""
+    """The answers of all blocks to the questions of their ``fits``, in one job."""
     spark = work.sparkSession
     sent = spark.sparkContext.broadcast(asks)
 
@@ -171,9 +179,12 @@ def _totals(work: DataFrame, asks: dict[int, Ask], widths: dict[int, int]) -> di
         sums = {}
         for batch in batches:
             for row in batch.to_pylist():
-                ask = sent.value[row["fit"]]
-                got = np.asarray(ask.of(_block(row, (row["fit"], row["block"]), widths[row["fit"]]), **ask.args), float)
-                sums[row["fit"]] = met(sums.get(row["fit"]), got, ask.least)
+                for fit in row["fits"]:
+                    ask = sent.value.get(fit)
+                    if ask is None:  # this fit has ended
+                        continue
+                    got = np.asarray(ask.of(_block(row, (fit, row["block"]), widths[fit]), **ask.args), float)
+                    sums[fit] = met(sums.get(fit), got, ask.least)
         for fit, total in sums.items():
             yield pa.RecordBatch.from_pydict({"fit": pa.array([fit], pa.int32()), "total": pa.array([total.astype("<f8").tobytes()], pa.binary())})
 

@@ -1,5 +1,7 @@
 """Logistic regression and the RBF support-vector machine as fit programs (see
 ``cells``): one question a step, loss with gradient and curvature at one point.
+Where the whole step is refused, one more question has the losses at its cuts
+under several dampings, and a third the sums at the first that descends.
 
 Objective, as in Spark ML: ``mean weighted loss + reg * penalty`` with
 ``reg = 1 / (C * sum of weights)`` and an unpenalised intercept.
@@ -23,6 +25,7 @@ import numpy as np
 from tessera.operators.cells import Ask, Block
 
 TOLERANCE, ROUND = 1e-9, 1e-6
+SCALES, DAMPINGS = [4.0 ** -k for k in range(5)], 3  # cuts of a step, and dampings of one question
 RFF_DIM = 256
 
 
@@ -48,7 +51,11 @@ def _sums(loss: np.ndarray, slope: np.ndarray, curve: np.ndarray, x: np.ndarray)
 
 
 def _logistic(block: Block, beta: np.ndarray) -> np.ndarray:
+    """Sums at a point; of several points (rows) their losses only."""
     x = _with_one(block.x)
+    if beta.ndim > 1:
+        margins = (x @ b for b in beta)
+        return np.array([(block.w * (np.logaddexp(0, m) - block.y * m)).sum() for m in margins])
     margin = x @ beta
     p = 1.0 / (1.0 + np.exp(-margin))
     loss = block.w * (np.logaddexp(0, margin) - block.y * margin)
@@ -69,12 +76,19 @@ def _mapped(block: Block, gamma: float, out: int, seed: int) -> np.ndarray:
 
 
 def _rounded_hinge(block: Block, beta: np.ndarray, width: float, gamma: float, out: int, seed: int) -> np.ndarray:
-    """max(0, 1 - m), a parabola where 1 - m is between 0 and ``width``."""
+    """max(0, 1 - m), a parabola where 1 - m is between 0 and ``width``: sums at a
+    point; of several points (rows) their losses only."""
     x = _mapped(block, gamma, out, seed)
     sign = 2 * block.y - 1
-    short = 1 - sign * (x @ beta)
-    inside = (short > 0) & (short < width)
-    loss = np.where(inside, short ** 2 / (2 * width), np.maximum(0, short - width / 2))
+
+    def losses(b):
+        short = 1 - sign * (x @ b)
+        inside = (short > 0) & (short < width)
+        return short, inside, np.where(inside, short ** 2 / (2 * width), np.maximum(0, short - width / 2))
+
+    if beta.ndim > 1:
+        return np.array([(block.w * losses(b)[2]).sum() for b in beta])
+    short, inside, loss = losses(beta)
     slope = -sign * np.clip(short / width, 0, 1)
     return _sums(block.w * loss, block.w * slope, block.w * inside / width, x)
 
@@ -114,25 +128,49 @@ def _descend(ask, d: int, reg: float, l1: bool, beta: np.ndarray, total: float,
             g, h = g + reg * np.append(b[:-1], 0), h + reg * np.diag(np.append(np.ones(d), 0))
         return sums[0] / total + penalty(b), g, h
 
-    value, g, h = read((yield ask(beta)), beta)
-    for taken in range(steps):
-        damping, scale = 1e-12, 0.0
-        while scale < 1e-3:  # a step that has to be cut so far is taken again with more damping
+    def tries(g, h, beta, value, damping):
+        """Steps under ``DAMPINGS`` dampings from ``damping`` on, with the descent that each promises (none: it ends there)."""
+        for _ in range(DAMPINGS):
             step = _direction(g, h, beta, reg, l1, damping)
             promised = g @ step + (penalty(beta + step) - penalty(beta) if l1 else 0.0)
-            if -promised <= TOLERANCE * TOLERANCE + 1e-15 * abs(value):
+            ends = -promised <= TOLERANCE * TOLERANCE + 1e-15 * abs(value)
+            yield None if ends else step, promised
+            damping *= 100
+            if ends or damping > 1e6:
+                return
+
+    value, g, h = read((yield ask(beta)), beta)
+    for taken in range(steps):
+        damping, found, first = 1e-12, None, True
+        while found is None:  # a step that has to be cut too far is taken again with more damping
+            ladder = tries(g, h, beta, value, damping)
+            step, promised = next(ladder)
+            if step is None:
                 return beta, taken, True
-            scale = 1.0
-            while scale >= 1e-3:
-                trial = beta + scale * step
+            if first:  # the whole step, with all its sums
+                first, trial = False, beta + step
                 new, new_g, new_h = read((yield ask(trial)), trial)
-                if new <= value + 1e-4 * scale * promised:
+                if new <= value + 1e-4 * promised:
+                    found = trial
                     break
-                scale /= 4
-            damping *= 100
-            if scale < 1e-3 and damping > 1e6:  # no descent left in double precision
-                return beta, taken, -promised <= 1e-9 * max(1.0, abs(value))
-        beta, value, g, h = trial, new, new_g, new_h
+                left = SCALES[1:]
+            else:
+                left = SCALES
+            rungs = [(step, promised, left), *((s, p, SCALES) for s, p in ladder)]
+            points = [(scale, p, beta + scale * s) for s, p, scales in rungs if s is not None for scale in scales]
+            for loss, (scale, p, trial) in zip((yield ask(np.array([b for _, _, b in points]))), points):
+                if loss / total + penalty(trial) <= value + 1e-4 * scale * p:
+                    found = trial
+                    new, new_g, new_h = read((yield ask(trial)), trial)
+                    break
+            else:
+                if rungs[-1][0] is None:
+                    return beta, taken, True
+                for _ in rungs:
+                    damping *= 100
+                if damping > 1e6:  # no descent left in double precision
+                    return beta, taken, -rungs[-1][1] <= 1e-9 * max(1.0, abs(value))
+        beta, value, g, h = found, new, new_g, new_h
     return beta, steps, False
 
 

@@ -213,3 +213,36 @@ def test_many_blocks_give_the_models_of_one(spark):
         got.append({(r.fit, r.repeat, r.row_id): r.score for r in scores})
     assert blocks.count() > 4 and len(got[0]) == sum(4 * (r[0] == 0) + 4 * (r[0] == 1) for r in rows)
     assert got[0] == pytest.approx(got[1], abs=1e-9)
+
+
+@pytest.mark.parametrize("c, gamma", [(1.0, 0.01), (100.0, 1.0)])
+def test_svm_asks_three_questions_a_step_at_most_where_it_descends(c, gamma):
+    """The losses at the cuts of a refused step come in one answer."""
+    b, asks = sample(400, 8, 5), 1
+    program = L.svm(8, {"C": c, "gamma": gamma, "max_iter": 10_000}, 3)
+    ask = next(program)
+    while True:
+        try:
+            ask, asks = program.send(ask.of(b, **ask.args)), asks + 1
+        except StopIteration as end:
+            model = end.value
+            break
+    assert bool(model["converged"]) and asks <= 5 * int(model["steps"])
+    # several points give the losses that each gives by itself
+    points = np.random.default_rng(1).normal(size=(3, 9))
+    assert L._logistic(b, points).tolist() == [L._logistic(b, p)[0] for p in points]
+    points = np.random.default_rng(1).normal(size=(3, 33))
+    args = {"width": 0.5, "gamma": 0.1, "out": 32, "seed": 3}
+    assert L._rounded_hinge(b, points, **args).tolist() == [L._rounded_hinge(b, p, **args)[0] for p in points]
+
+
+def test_a_block_is_sent_once_for_all_fits_of_its_cell(spark, monkeypatch):
+    b, sent, totals = sample(90, 5, 2), [], C._totals
+    rows = spark.createDataFrame([(k % 2, int(key), int(y), float(w), x.tolist()) for k, (key, y, w, x) in enumerate(zip(b.key, b.y, b.w, b.x))],
+                                 "fold int, row_id long, label int, weight double, xs array<double>")
+    blocks = C.block_table(rows, ["fold"], block_rows=15).checkpoint()
+    params = [{"C": 1.0, "penalty": "l2", "max_iter": 100}, {"C": 0.1, "penalty": "l1", "max_iter": 100}, {"C": 9.0, "penalty": "l2", "max_iter": 2}]
+    fits = spark.createDataFrame([(3 * f + k, f, "LR", json.dumps(p)) for f in range(2) for k, p in enumerate(params)], "fit int, fold int, program string, params string")
+    monkeypatch.setattr(C, "_totals", lambda work, *more: (sent.append((work.count(), work.select("fold", "block").distinct().count())), totals(work, *more))[1])
+    assert C.fit_cells(blocks, fits, ["fold"], PROGRAMS).count() == 6
+    assert sent[0] == (blocks.count(),) * 2 and all(n == m for n, m in sent)
