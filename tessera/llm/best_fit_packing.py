@@ -67,6 +67,7 @@ def pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", capa
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).take(pa.array(row, pa.int64())), pa.array(piece, pa.int32()), pa.array(start, pa.int64()),
                  pa.array(length, pa.int64()), pa.array(crc, pa.int64())], ["id", "piece", "start", "length", "ids_crc32"])
+        pa.default_memory_pool().release_unused()  # the process outlives the task, beside those of later stages
 
     return own.mapInArrow(cut, f"id {own.schema['id'].dataType.simpleString()}, piece int, start long, length long, ids_crc32 long")
 
@@ -195,13 +196,20 @@ def grouped_plan(counts: dict[int, int], capacity: int, groups: int, large: floa
     return rows
 
 
+def _plan_table(rows: list[tuple[int, int, int, int, int]]) -> pa.Table:
+    """Arrow's form: Spark takes it as it is, where a list of rows would go through
+    Python processes on the executors, which outlast the job."""
+    columns = np.array(rows, np.int64).reshape(-1, 5).T
+    return pa.Table.from_arrays([pa.array(c) for c in columns], ["_length", "_rank", "_n", "_seq", "_offset"])
+
+
 def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY,
          vocabulary: str = VOCABULARY, end: int = END) -> DataFrame:
     """``id, piece, start, length, ids_crc32, sequence_id, offset`` of each piece."""
     spark = docs.sparkSession
     cut = written(pieces(docs, id_col, text_col, capacity, vocabulary, end))
     counts = {r[0]: r[1] for r in cut.groupBy("length").count().collect()}  # at most ``capacity`` rows
-    table = spark.createDataFrame(plan(counts, capacity), "_length long, _rank long, _n long, _seq long, _offset long")
+    table = spark.createDataFrame(_plan_table(plan(counts, capacity)))
     ranked = exact_ranks(cut, ["length"], ["id", "piece", "ids_crc32"])
     here = (F.col("length") == F.col("_length")) & (F.col("rank") >= F.col("_rank")) & (F.col("rank") < F.col("_rank") + F.col("_n"))
     return ranked.join(F.broadcast(table), here).select(  # the plan's size depends on the capacity alone

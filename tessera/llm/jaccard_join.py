@@ -83,17 +83,22 @@ def _signature(shingles: np.ndarray) -> np.ndarray:
     return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
 
-def text_nodes(own: DataFrame, words: int = 5) -> DataFrame:
+def _with_nodes(batch: pa.RecordBatch, words: int) -> pa.RecordBatch:
     """Add ``node`` and ``n_shingles`` (0 and a null node without words) to rows
     whose second column is the text."""
+    node, size = np.zeros(len(batch), np.int64), np.zeros(len(batch), np.int64)
+    for row, key, s in _nodes(batch.column(1), words):
+        node[row], size[row] = key, len(s)
+    return pa.RecordBatch.from_arrays([*batch.columns, pa.array(node, mask=size == 0), pa.array(size)],
+                                      [*batch.schema.names, "node", "n_shingles"])
+
+
+def text_nodes(own: DataFrame, words: int = 5) -> DataFrame:
+    """``_with_nodes`` of all rows."""
 
     def run(batches):
         for batch in batches:
-            node, size = np.zeros(len(batch), np.int64), np.zeros(len(batch), np.int64)
-            for row, key, s in _nodes(batch.column(1), words):
-                node[row], size[row] = key, len(s)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(node, mask=size == 0), pa.array(size)],
-                                             [*batch.schema.names, "node", "n_shingles"])
+            yield _with_nodes(batch, words)
 
     types = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in own.schema)
     return own.mapInArrow(run, f"{types}, node long, n_shingles long")
@@ -312,7 +317,9 @@ def _texts(own: DataFrame, nodes: DataFrame, wanted: DataFrame, words: int) -> D
     """``node, text`` of one row of each wanted node (``node`` only).
 
     A table of bits of the wanted rows' ids goes to the tasks, so hardly any
-    other text moves.
+    other text moves.  The texts' nodes are found in the same step: a second one
+    behind the join, in the same tasks, would hold a Python process of its own
+    for each core.
     """
     one = written(nodes.join(wanted, "node", "left_semi").groupBy("node").agg(F.min("id").alias("rid")))
     spot = F.xxhash64(F.col("id").cast("string"))
@@ -322,11 +329,12 @@ def _texts(own: DataFrame, nodes: DataFrame, wanted: DataFrame, words: int) -> D
         for batch in batches:
             hit = _has_bit(sent.value, batch.column(2).to_numpy())
             if hit.any():
-                yield batch.filter(pa.array(hit)).select([0, 1])
+                yield _with_nodes(batch.filter(pa.array(hit)).select([0, 1]), words)
 
-    few = own.select("id", "text", spot.alias("spot")).mapInArrow(run, f"id {own.schema['id'].dataType.simpleString()}, text string")
-    rows = few.join(one, few["id"].eqNullSafe(F.col("rid"))).select("id", "text", F.col("node").alias("wanted"))
-    return text_nodes(rows, words).where("node = wanted").select("node", "text").dropDuplicates(["node"])
+    few = own.select("id", "text", spot.alias("spot")).mapInArrow(
+        run, f"id {own.schema['id'].dataType.simpleString()}, text string, node long, n_shingles long")
+    rows = few.join(one, (few["node"] == one["node"]) & few["id"].eqNullSafe(F.col("rid")))
+    return rows.select(one["node"], "text").dropDuplicates(["node"])
 
 
 def _spare(x, y, percent: int):

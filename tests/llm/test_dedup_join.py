@@ -99,6 +99,18 @@ def test_small_blocks_give_the_same_classes(spark, docs_of, monkeypatch):
     assert order(got) == order(brute_classes(rows))
 
 
+def test_texts_of_nodes_take_one_python_process_for_each_task(spark, docs_of):
+    rows = [(1, "a b c d e f"), (2, "A b  c d e f"), (None, "g h i j k l"), (4, "m n"), (4, "o p"), (5, None), (6, " "), (7, "q r")]
+    own = docs_of(rows).selectExpr("doc_id as id", "text")
+    nodes = jaccard_join.text_nodes(own).drop("text")
+    key = {t: k for t, k in jaccard_join.text_nodes(own).select("text", "node").collect()}
+    wanted = spark.createDataFrame([(key[t],) for t in ("a b c d e f", "g h i j k l", "m n", "o p")], "node long")
+    found = jaccard_join._texts(own, nodes, wanted, 5)
+    assert found._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+    assert sorted(map(tuple, found.collect())) == sorted((key[t], t) for t in ("a b c d e f", "g h i j k l", "m n", "o p"))
+    assert found.columns == ["node", "text"]
+
+
 def test_components(spark):
     edges = [(k, k + 1) for k in range(40)] + [(100, 90), (100, 95), (7, 7)]
     got = {r["node"]: r["comp"] for r in components.components(spark.createDataFrame(edges, "a long, b long")).collect()}

@@ -122,3 +122,10 @@ def test_packing_odd_rows(spark, docs_of):
     got = best_fit_packing.pack(docs_of(rows)).collect()
     assert sum(r["id"] == 9 for r in got) == 30 and sum(r["id"] is None for r in got) == 1 and sum(r["id"] == 1 for r in got) == 2
     assert best_fit_packing.pack(docs_of([])).count() == 0
+
+
+def test_the_plan_needs_no_python_process(spark, docs_of):
+    packed = best_fit_packing.pack(docs_of([(1, "a b c"), (2, "d"), (3, None)]))
+    assert "ExistingRDD" not in packed._jdf.queryExecution().executedPlan().toString()
+    assert {r["sequence_id"] for r in packed.collect()} == {0}
+    assert best_fit_packing.pack(docs_of([])).collect() == []
