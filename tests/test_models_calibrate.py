@@ -139,3 +139,35 @@ def test_registered_knn_searches_once_for_each_metric(spark, monkeypatch):
     monkeypatch.setattr(MD, "nearest_rows", lambda *a, **kw: asked.append(a[3]) or search(*a, **kw))
     Q.REGISTRY["knn_score"](spark, SF001)
     assert asked == ["euclidean", "manhattan"]
+
+
+@pytest.mark.parametrize("metric", ["euclidean", "manhattan"])
+def test_exact_knn_writes_each_row_once_whatever_the_blocks(spark, metric):
+    """The tasks read the training rows from one set of files; no row or list is copied for each block."""
+    import pyarrow.parquet as pq
+
+    rng = np.random.default_rng(3)
+    x = np.round(rng.normal(size=(230, 3)), 1)  # ties
+    df = spark.createDataFrame([(int(k), int(k % 2), v.tolist()) for k, v in zip(rng.permutation(230), x)], "row_id int, label int, xs array<double>")
+    files = MD.training_files(df)
+    keys = [k for f in files for k in pq.read_table(f.removeprefix("file:")).column("k").to_pylist()]
+    assert keys == list(range(230))
+    found = MD.nearest_rows(df, MD.spread(df, 50), 4, metric, block_rows=7, exclude_self=True, files=files)
+    assert "CoGroup" not in found._jdf.queryExecution().toString() and "Generate" not in found._jdf.queryExecution().toString()
+    rows = df.orderBy("row_id").collect()
+    points = np.array([r.xs for r in rows])
+    for r in found.collect():
+        d = np.sqrt(((points - r.xs) ** 2).sum(1)) if metric == "euclidean" else np.abs(points - r.xs).sum(1)
+        d[r.row_id] = np.inf
+        want = np.argsort(d, kind="stable")[:4]
+        assert [(e.ks, e.d, e.ys) for e in r.n] == [(int(k), d[k], float(k % 2)) for k in want]
+
+
+def test_exact_knn_of_odd_rows(spark):
+    shape = "row_id int, label int, xs array<double>"
+    df = spark.createDataFrame([(1, 1, [0.0]), (1, 1, [0.0]), (2, None, [1.0]), (3, 0, [9.0]), (None, 0, [9.5])], shape)
+    got = {(r.row_id, r.xs[0]): r.score for r in MD.knn_scores_exact(df, df, 1, exclude_self=True).collect()}
+    assert np.isnan(got[(1, 0.0)]) and got[(2, 1.0)] == 1.0 and got[(3, 9.0)] == 0.0 and len(got) == 4
+    assert MD.knn_scores_exact(df, df, 1).count() == 5
+    none = spark.createDataFrame([], shape)
+    assert all(np.isnan(r.score) for r in MD.knn_scores_exact(none, df, 1).collect()) and MD.knn_scores_exact(df, none, 1).count() == 0
