@@ -16,7 +16,6 @@ import json
 import time
 import uuid
 from collections.abc import Sequence
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.errors import AnalysisException
@@ -180,14 +179,6 @@ class Run:
             self._made["design"].unpersist()
             self.log("prepare", "", 0, time.time() - t0)
 
-    def _knn(self, task) -> DataFrame:
-        fit, repeat, fold, _, params = task
-        p = json.loads(params)
-        d = self.design.filter((F.col("repeat") == repeat) & (F.col("fold") == fold)).withColumn("xk", F.slice("xs", 1, int(p["mrmr_k"])))
-        scored = MD.knn_scores(d.filter("role = 'fit'"), d.filter("role != 'fit'"), int(p["n_neighbors"]), p["weights"], p["metric"], features="xk")
-        return scored.select(F.lit(fit).cast("int").alias("fit"), "repeat", "fold", "role", F.col("row_id").cast("long").alias("row_id"),
-                             F.col("label").cast("int").alias("y_true"), "score", F.lit(None).cast("boolean").alias("converged"))
-
     def scores(self, step: str, model: str, tasks: list[tuple], roles: Sequence[str]) -> None:
         """Fit and score ``tasks`` = (trial, repeat, fold) → params of one model, unless it is done."""
         path = f"{self.out}/{step}_scores/model={model}"
@@ -197,11 +188,7 @@ class Run:
         rows = [(k, repeat, fold, model, json.dumps(params)) for k, ((_, repeat, fold), params) in enumerate(tasks)]
         fits = self.spark.createDataFrame(rows, "fit int, repeat int, fold int, program string, params string")
         if model == "KNN":
-            with ThreadPoolExecutor(self.cfg.parallelism) as ex:  # one bounded matrix for each fit
-                parts = list(ex.map(self._knn, rows))
-            scored = parts[0]
-            for p in parts[1:]:
-                scored = scored.unionByName(p)
+            scored = MD.knn_cells(self.fit_blocks, self.out_blocks.where(F.col("role").isin(*roles)), fits, ["repeat", "fold"])
         else:
             models = CE.fit_cells(self.fit_blocks, fits, ["repeat", "fold"], MD.PROGRAMS, self.cfg.seed)
             models.write.mode("overwrite").parquet(f"{self.out}/{step}_models/model={model}")

@@ -118,3 +118,27 @@ def test_registered_run_has_every_model(monkeypatch):
     Q.REGISTRY["full_run"](SimpleNamespace(), "")
     assert seen[0].models == ("LR", "SVM", "RF", "ET", "GB", "KNN") and seen[0].ensemble_members == ("RF", "ET", "GB")
     assert (seen[0].n_repeats, seen[0].n_trials, seen[0].n_folds) == (2, 3, 3)
+
+
+def test_knn_of_a_run_uses_every_training_row(spark, samples, tmp_path, monkeypatch):
+    """Blocks of a few rows, and a bound on ``knn_scores`` that would show in the scores."""
+    monkeypatch.setattr(MD.knn_scores, "__defaults__", tuple(10 if d == MD.KNN_TRAIN_ROWS else d for d in MD.knn_scores.__defaults__))
+    cfg = R.RunConfig(n_repeats=1, n_trials=3, n_folds=2, models=("KNN",), ensemble_members=(), out_dir=str(tmp_path), block_rows=9)
+    run = R.Run(spark, samples, cfg)
+    run.prepare()
+    run.search()
+    design = {k: g for k, g in run.design.toPandas().groupby(["repeat", "fold"])}
+    scores, seen = spark.read.parquet(f"{run.out}/cv_scores").toPandas(), 0
+    assert run.fit_blocks.filter("blocks > 1").count() > 3
+    for (trial, repeat, fold), g in scores.groupby(["trial", "repeat", "fold"]):
+        p, own = run.params[("KNN", trial)], design[(repeat, fold)]
+        fit = own[own.role == "fit"].sort_values("row_id")
+        x, y, told = np.array([v[:p["mrmr_k"]] for v in fit.xs]), fit.label.to_numpy(float), own.set_index("row_id")
+        for row_id, score in zip(g.row_id, g.score):
+            apart = x - np.array(told.xs[row_id])[:x.shape[1]]
+            d = np.sqrt((apart ** 2).sum(1)) if p["metric"] == "euclidean" else np.abs(apart).sum(1)
+            near = np.argsort(d, kind="stable")[:p["n_neighbors"]]
+            w = np.ones(len(near)) if p["weights"] == "uniform" else 1 / d[near]
+            assert score == pytest.approx((w * y[near]).sum() / w.sum(), abs=1e-12)
+            seen += 1
+    assert seen == len(scores) > 100
