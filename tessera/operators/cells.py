@@ -6,9 +6,11 @@ blocks of about ``block_rows`` rows: matrices that numpy works on.  A model is a
 function of one block, and whether blocks are added up or take the least) and
 receives the total.  A program never sees rows.
 
-* Fits whose cell is one block are run by the task that holds the block, all in
-  one Spark job.
-* Fits whose cell has more blocks run in lockstep: in each round the questions
+* Fits whose cell is one block, or small enough to be held by a task (``whole``
+  bytes of features), are run by one task over the cell, all in one Spark job.
+  A forest is dealt into parts (``members`` of its program names the parameter
+  that counts its trees), each a task of its own.
+* Fits of larger cells run in lockstep: in each round the questions
   of all of them are answered by one job over all blocks.  Tasks add up their
   own blocks first, and their sums meet in two levels, so the number of jobs is
   the number of questions of the longest program, whatever the number of fits,
@@ -22,8 +24,9 @@ from __future__ import annotations
 
 import io
 import json
+import math
 from collections.abc import Callable, Generator, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 import numpy as np
 import pyarrow as pa
@@ -34,6 +37,9 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 BLOCK_ROWS = 8192
 SALTS = 32
+WHOLE_BYTES = 48 << 20  # features of a cell that one task may hold as a whole
+TASKS_A_CORE = 3  # tasks that forests are dealt into
+MEMBER_ROWS = 2_000_000  # rows x trees that a task grows at once
 
 
 @dataclass
@@ -51,6 +57,7 @@ class Block:
     y: np.ndarray
     w: np.ndarray
     key: np.ndarray
+    kept: dict | None = None  # what a program's answers keep from question to question, where one task answers them all
 
 
 #: a fit program takes the number of features, its parameters and a seed, and returns named arrays
@@ -98,8 +105,17 @@ def _block(row: dict, name: tuple, features: int | None) -> Block:
     return Block(name, x[:, :features] if features else x, *(np.frombuffer(row[c], k) for c, k in (("y", "<f8"), ("w", "<f8"), ("key", "<i8"))))
 
 
+def _merged(rows: list[dict], name: tuple, features: int | None) -> Block:
+    """Rows of ``block_table`` as one block."""
+    blocks = [_block(r, name, features) for r in rows]
+    if len(blocks) == 1:
+        return blocks[0]
+    return Block(name, *(np.concatenate([getattr(b, c) for b in blocks]) for c in ("x", "y", "w", "key")))
+
+
 def answered(program: Generator[Ask, np.ndarray, dict], block: Block) -> dict:
     """Run a program to its end over one block."""
+    block = replace(block, kept={})
     ask = next(program)
     while True:
         try:
@@ -112,37 +128,106 @@ def _width(params: dict, d: int) -> int:
     return min(d, int(params.get("mrmr_k", d)))
 
 
-def fit_cells(blocks: DataFrame, fits: DataFrame, cell: Sequence[str], programs: dict[str, Program], seed: int = 42) -> DataFrame:
+def in_parts(program: Program, d: int, params: dict, seed: int, block: Block, members: int | None = None) -> dict:
+    """The model of one block: ``members`` trees of a forest at once (no more than
+    ``MEMBER_ROWS`` allows), so that what the task holds is bounded."""
+    name = getattr(program, "members", None)
+    if name is None:
+        return answered(program(d, params, seed), block)
+    count, first = int(params[name]), int(params.get("first", 0))
+    step = max(1, members or MEMBER_ROWS // max(1, len(block.x)))
+    return joined([answered(program(d, {**params, name: min(step, count - lo), "first": first + lo}, seed), block) for lo in range(0, count, step)])
+
+
+def joined(models: list[dict]) -> dict:
+    """One forest of the trees of several (flat arrays, see ``trees``)."""
+    if len(models) == 1:
+        return models[0]
+    starts = np.cumsum([0, *(len(m["feature"]) for m in models)])
+    return {k: np.concatenate([m[k] + (np.where(m["feature"] >= 0, lo, 0) if k == "left" else lo if k == "roots" else 0) for m, lo in zip(models, starts)]).astype(models[0][k].dtype)
+            for k in models[0]}
+
+
+def _units(fits: list, cells: dict[tuple, tuple], cell: list[str], programs: dict[str, Program], cores: int) -> list[tuple]:
+    """``fit, part, slot, params`` of every task: the costliest first."""
+    units, parts = [], max(1, math.ceil(TASKS_A_CORE * cores / max(1, len(fits))))
+    for f in fits:
+        params, name = json.loads(f["params"]), getattr(programs[f["program"]], "members", None)
+        rows, count = cells[tuple(f[c] for c in cell)][1], int(params[name]) if name else 0
+        cost = rows * float(params.get("n_estimators", 1)) * 2.0 ** min(3, float(params.get("max_depth", 1)) / 4) * float(params.get("C", 1.0)) ** 0.1
+        ends = np.linspace(0, count, min(parts, count) + 1).astype(int) if name else [0, 0]
+        for part, (lo, hi) in enumerate(zip(ends[:-1], ends[1:])):
+            own = {**params, name: int(hi - lo), "first": int(lo)} if name else params
+            units.append((cost / (len(ends) - 1), f["fit"], part, json.dumps(own)))
+    units.sort(key=lambda u: (-u[0], u[1], u[2]))
+    return [(fit, part, slot, params) for slot, (_, fit, part, params) in enumerate(units)]
+
+
+def _dealt(units: DataFrame, n: int) -> DataFrame:
+    """``units`` with ``deal``: a number for each slot so that a shuffle by it into
+    ``n`` partitions gives every slot a partition of its own, in the order of slots."""
+    spark = units.sparkSession
+    tried = spark.range(40 * n + 100).select(F.col("id").cast("int").alias("deal"))
+    falls = tried.groupBy(F.pmod(F.hash("deal"), F.lit(n)).alias("slot")).agg(F.min("deal").alias("deal"))
+    return units.join(F.broadcast(falls), "slot", "left").withColumn("deal", F.coalesce("deal", "slot"))  # one row for each task
+
+
+def fit_cells(blocks: DataFrame, fits: DataFrame, cell: Sequence[str], programs: dict[str, Program], seed: int = 42, whole: int = 0, parted: bool = False) -> DataFrame:
     """``fit, model``: the packed model of every row of ``fits``.
 
     ``fits`` holds ``fit`` (int), the cell columns, ``program`` (a name) and
     ``params`` (JSON; ``mrmr_k`` limits the fit to so many leading features).
-    A cell without rows gives no model."""
-    cell = list(cell)
-    work = blocks.join(F.broadcast(fits.select("fit", *cell, "program", "params")), cell)  # fits: one row for each fit of the run's configuration
+    A cell without rows gives no model.  Cells of one block, or of up to ``whole``
+    bytes of features, are fitted as a whole by one task.  ``parted``: forests stay
+    in their parts, ``fit, part, members, model`` (so many trees)."""
+    cell, spark = list(cell), blocks.sparkSession
+    sizes = blocks.groupBy(*cell).agg(F.max("blocks").alias("blocks"), F.sum("n").alias("n"), F.sum(F.length("x")).alias("bytes")).collect()  # one row for each cell
+    cells = {tuple(r[c] for c in cell): (r["blocks"] == 1 or r["bytes"] <= whole, r["n"], r["bytes"] // 8 // r["n"]) for r in sizes}
+    rows = [r for r in fits.select("fit", *cell, "program", "params").collect() if tuple(r[c] for c in cell) in cells]  # one row for each fit
+    near, far = ([r for r in rows if cells[tuple(r[c] for c in cell)][0] == kind] for kind in (True, False))
+    units = _units(near, cells, cell, programs, spark.sparkContext.defaultParallelism)
+    told = spark.createDataFrame(units, "fit int, part int, slot int, params string").join(fits.select("fit", *cell, "program"), "fit")
+    n = max(1, len(units))
+    work = blocks.join(F.broadcast(_dealt(told, n)), cell).select("fit", "part", "program", "params", "deal", "block", "blocks", "n", "x", "y", "w", "key")
 
     def local(batches):
+        waiting = {}
         for batch in batches:
             for row in batch.to_pylist():
-                params = json.loads(row["params"])
-                d = len(row["x"]) // 8 // row["n"]
-                block = _block(row, (row["fit"], 0), _width(params, d))
-                model = answered(programs[row["program"]](_width(params, d), params, seed), block)
-                yield pa.RecordBatch.from_pydict({"fit": pa.array([row["fit"]], pa.int32()), "model": pa.array([packed(model)], pa.binary())})
+                own = waiting.setdefault((row["fit"], row["part"]), [])
+                own.append(row)
+                if len(own) < row["blocks"]:
+                    continue
+                params, d = json.loads(row["params"]), len(row["x"]) // 8 // row["n"]
+                width = _width(params, d)
+                block = _merged(sorted(waiting.pop((row["fit"], row["part"])), key=lambda r: r["block"]), (row["fit"], 0), width)
+                model = in_parts(programs[row["program"]], width, params, seed, block)
+                yield pa.RecordBatch.from_pydict({"fit": pa.array([row["fit"]], pa.int32()), "part": pa.array([row["part"]], pa.int32()),
+                                                  "members": pa.array([len(model["roots"]) if "roots" in model else 1], pa.int32()), "model": pa.array([packed(model)], pa.binary())})
+
+    found = work.repartition(n, "deal").mapInArrow(local, PART)
+    if far:
+        heads = [{**r.asDict(), "d": cells[tuple(r[c] for c in cell)][2]} for r in far]
+        wanted = spark.createDataFrame(sorted({tuple(r[c] for c in cell) for r in far}), T.StructType([blocks.schema[c] for c in cell]))
+        found = found.union(_lockstep(blocks.join(F.broadcast(wanted), cell), cell, heads, programs, seed))  # one row for each cell
+    if parted:
+        return found
+    if len(units) == len(near):
+        return found.select("fit", "model")
+
+    def meet(keys, table):
+        models = [unpacked(m.as_py()) for m in table.sort_by("part").column("model")]
+        return pa.table({"fit": pa.array([keys[0].as_py()], pa.int32()), "model": pa.array([packed(joined(models))], pa.binary())})
+
+    return found.groupBy("fit").applyInArrow(meet, "fit int, model binary")
+
 
-    one = work.where("blocks = 1")
-    n_fits = max(1, fits.count())
-    small = one.repartition(min(n_fits, 4 * blocks.sparkSession.sparkContext.defaultParallelism), "fit").mapInArrow(local, "fit int, model binary")
-    large = work.where("blocks > 1")
-    heads = large.where("block = 0").select("fit", *cell, "program", "params", (F.length("x") / 8 / F.col("n")).cast("int").alias("d")).collect()
-    if not heads:
-        return small
-    return small.union(_lockstep(blocks.where("blocks > 1"), cell, heads, programs, seed))
+PART = "fit int, part int, members int, model binary"
 
 
 def _lockstep(blocks: DataFrame, cell: list[str], heads: list, programs: dict[str, Program], seed: int) -> DataFrame:
     spark = blocks.sparkSession
-    running, asks, models, cells = {}, {}, {}, {}
+    running, asks, models, members, cells = {}, {}, {}, {}, {}
     for h in heads:
         params = json.loads(h["params"])
         running[h["fit"]] = programs[h["program"]](_width(params, h["d"]), params, seed)
@@ -162,9 +247,9 @@ def _lockstep(blocks: DataFrame, cell: list[str], heads: list, programs: dict[st
                 asks[fit] = running[fit].send(totals[fit])
             except StopIteration as end:
                 del asks[fit]
-                models[fit] = packed(end.value)
+                models[fit], members[fit] = packed(end.value), len(end.value["roots"]) if "roots" in end.value else 1
     work.unpersist()
-    return spark.createDataFrame([(f, bytearray(m)) for f, m in models.items()], "fit int, model binary")
+    return spark.createDataFrame([(f, 0, members[f], bytearray(m)) for f, m in models.items()], PART)
 
 
 def _totals(work: DataFrame, asks: dict[int, Ask], widths: dict[int, int]) -> dict[int, np.ndarray]:
@@ -225,11 +310,36 @@ def scored(blocks: DataFrame, work: DataFrame, score: Callable) -> DataFrame:
 
 def score_cells(blocks: DataFrame, fits: DataFrame, models: DataFrame, cell: Sequence[str], scorers: dict[str, Callable]) -> DataFrame:
     """``fit, <cell columns of blocks>, row_id, y_true, score, converged`` of every
-    row of ``blocks`` for each fit of its cell (``fits``' cell columns)."""
+    row of ``blocks`` for each fit of its cell (``fits``' cell columns).  Forests in
+    parts (``fit_cells``) score by their trees' mean: the parts' sums meet by block."""
     told = fits.select("fit", *cell, "program", "params").join(models, "fit")
+    work = blocks.join(told, list(cell))
 
     def score(row, params, block):
         model = unpacked(row["model"])
         return scorers[row["program"]](model, block.x), bool(model["converged"]) if "converged" in model else None
 
-    return scored(blocks, blocks.join(told, list(cell)), score)
+    if "part" not in models.columns:
+        return scored(blocks, work, score)
+    own = [c for c in blocks.columns if c not in ("block", "blocks", "n", "x", "y", "w", "key")]
+    names = [*own, "fit", "block", "params"]
+    shape = T.StructType([work.schema[c] for c in names] + [T.StructField(c, t) for c, t in (
+        ("n", T.LongType()), ("y", T.BinaryType()), ("key", T.BinaryType()), ("part", T.IntegerType()), ("members", T.IntegerType()), ("x", T.BinaryType()))])
+    sums, met = to_arrow_schema(shape), to_arrow_schema(T.StructType([f for f in shape if f.name not in ("part", "members")] + [T.StructField("w", T.BinaryType())]))
+
+    def part(batches):
+        for batch in batches:
+            for row in batch.to_pylist():
+                params = json.loads(row["params"])
+                b = _block(row, (row["fit"], row["block"]), _width(params, len(row["x"]) // 8 // max(1, row["n"])))
+                found = score(row, params, b)[0] * row["members"]
+                out = {c: row[c] for c in sums.names if c != "x"}
+                yield pa.RecordBatch.from_pylist([{**out, "x": found.astype("<f8").tobytes()}], schema=sums)
+
+    def meet(keys, table):
+        row = table.sort_by("part").to_pylist()
+        total = sum(np.frombuffer(r["x"], "<f8") for r in row) / sum(r["members"] for r in row)
+        return pa.Table.from_pylist([{**{c: row[0][c] for c in met.names if c in row[0]}, "x": total.tobytes(), "w": row[0]["y"]}], schema=met)
+
+    whole = work.mapInArrow(part, shape).groupBy(*names).applyInArrow(meet, T.StructType([f for f in shape if f.name not in ("part", "members")] + [T.StructField("w", T.BinaryType())]))
+    return scored(blocks, whole, lambda row, params, b: (np.frombuffer(row["x"], "<f8"), None))

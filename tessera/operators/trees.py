@@ -45,9 +45,10 @@ def sample_size(kind: str, d: int) -> int:
 class Forest:
     """Flat trees that grow at their open nodes."""
 
-    def __init__(self, trees: int):
+    def __init__(self, trees: int, first: int = 0):
+        """``first``: the number of the first tree, where these are a part of a forest."""
         self.feature, self.threshold = np.full(trees, -1, np.int32), np.zeros(trees)
-        self.left, self.tree, self.roots = np.zeros(trees, np.int32), np.arange(trees, dtype=np.int32), np.arange(trees)
+        self.left, self.tree, self.roots = np.zeros(trees, np.int32), np.arange(first, first + trees, dtype=np.int32), np.arange(trees)
         self.value, self.cover = np.zeros(trees), np.zeros(trees)
 
     def split(self, nodes: np.ndarray, feature: np.ndarray, threshold: np.ndarray) -> np.ndarray:
@@ -102,13 +103,18 @@ def boosted_score(model: dict, x: np.ndarray) -> np.ndarray:
 # ---------------------------------------------------------------- what blocks answer
 def _items(block: Block, model: dict, nodes: np.ndarray, draws: np.ndarray | None):
     """Pieces of (row, position among ``nodes``, draw weight) of the rows that lie in open nodes."""
+    if block.kept is not None:
+        row, times, counts, _ = _kept_items(block, model, nodes, draws)
+        yield row, np.repeat(np.arange(len(nodes)), counts), times
+        return
     lookup = np.full(len(model["feature"]), -1, np.int64)
     lookup[nodes] = np.arange(len(nodes))
+    first = model["tree"][0]
     trees = np.unique(model["tree"][nodes])
     step = max(1, ITEMS // max(1, 8 * len(block.x)))
     for lo in range(0, len(trees), step):
         own = trees[lo:lo + step]
-        at = lookup[leaves(model, block.x, model["roots"][own])]
+        at = lookup[leaves(model, block.x, model["roots"][own - first])]
         row, column = np.nonzero(at >= 0)
         place = at[row, column]
         times = None
@@ -119,6 +125,71 @@ def _items(block: Block, model: dict, nodes: np.ndarray, draws: np.ndarray | Non
         yield row[order], place[order], None if times is None else times[order]
 
 
+def _flat(block: Block) -> np.ndarray:
+    if "flat" not in block.kept:
+        block.kept["flat"] = np.ascontiguousarray(block.x).ravel()
+    return block.kept["flat"]
+
+
+def _kept_items(block: Block, model: dict, nodes: np.ndarray, draws: np.ndarray | None):
+    """``row, times, counts, values``: the rows that lie in ``nodes`` (ascending), node
+    after node, and how many lie in each; ``values`` keeps what was looked up of them.
+
+    Where one task answers all questions of a forest, it keeps the rows in the order
+    of their nodes and deals those of a split node to its children, so that no row
+    goes down from the root again."""
+    kept, n, d = block.kept, len(block.x), block.x.shape[1]
+    if "nodes" not in kept:
+        trees = len(model["roots"])
+        row, times, counts = np.tile(np.arange(n), trees), None, np.full(trees, n)
+        if draws is not None:
+            times = _poisson(uniform(int(draws), np.repeat(model["tree"][:trees], n), block.key[row]))
+            there = times > 0
+            counts = there.reshape(trees, n).sum(1) if n else counts
+            row, times = row[there], times[there]
+        kept.update(nodes=model["roots"], row=row, times=times, counts=counts)
+    ids, row, times, counts = (kept[k] for k in ("nodes", "row", "times", "counts"))
+    while len(ids) and (model["feature"][ids] >= 0).any():  # nodes that were asked for and not split are leaves
+        split = model["feature"][ids] >= 0
+        if not split.all():
+            use = np.repeat(split, counts)
+            ids, row, times, counts = ids[split], row[use], None if times is None else times[use], counts[split]
+        right = _flat(block).take(row * d + np.repeat(model["feature"][ids], counts)) > np.repeat(model["threshold"][ids], counts)
+        start = np.cumsum(counts) - counts
+        before = np.append(0, np.cumsum(right))  # rows that go right up to each place
+        n_right = before[start + counts] - before[start]
+        rank = before[:-1] - np.repeat(before[start], counts)
+        at = np.where(right, np.repeat(start + counts - n_right, counts) + rank, np.arange(len(row)) - rank)
+        moved = np.empty_like(row)
+        moved[at] = row
+        if times is not None:
+            drawn, times = times, np.empty_like(times)
+            times[at] = drawn
+        ids = np.stack([model["left"][ids], model["left"][ids] + 1], 1).ravel()
+        row, counts = moved, np.stack([counts - n_right, n_right], 1).ravel()
+        kept.update(nodes=ids, row=row, times=times, counts=counts)
+        kept.pop("asked", None)
+    asked = kept.get("asked")
+    if asked is None or not np.array_equal(asked[0], nodes):
+        wanted = np.isin(ids, nodes)
+        if wanted.all():
+            asked = (nodes, row, times, counts, {})
+        else:
+            use = np.repeat(wanted, counts)
+            asked = (nodes, row[use], None if times is None else times[use], counts[wanted], {})
+        kept["asked"] = asked
+    return asked[1:]
+
+
+def _plain_weights(block: Block) -> tuple[float, float] | None:
+    """The weights of the two classes, if all rows of a class weigh the same."""
+    if "weights" not in block.kept:
+        sides = [block.w[block.y <= 0.5], block.w[block.y > 0.5]]
+        same = all(not len(s) or (s == s[0]).all() for s in sides)
+        block.kept["weights"] = tuple(float(s[0]) if len(s) else 0.0 for s in sides) if same else None
+    return block.kept["weights"]
+
+
 def _poisson(u: np.ndarray) -> np.ndarray:
     """Poisson(1) numbers by inversion: how often a row is drawn with replacement."""
     return np.searchsorted(np.cumsum(np.exp(-1.0) / np.array([1, 1, 2, 6, 24, 120, 720, 5040, 40320.0])), u, side="right")
@@ -137,6 +208,13 @@ def _class_sums(block: Block, model: dict, nodes: np.ndarray, draws) -> np.ndarr
 def _ranges(block: Block, model: dict, nodes: np.ndarray, sampled: np.ndarray) -> np.ndarray:
     """Least value and least negated value of the sampled features of each node."""
     out = np.full((2, *sampled.shape), np.inf)
+    if block.kept is not None:
+        row, _, counts, values = _kept_items(block, model, nodes, None)
+        first, there, base = (np.cumsum(counts) - counts)[counts > 0], counts > 0, row * block.x.shape[1]
+        for c in range(sampled.shape[1] if len(row) else 0):
+            v = values[c] = _flat(block).take(base + np.repeat(sampled[:, c], counts))
+            out[0, there, c], out[1, there, c] = np.minimum.reduceat(v, first), -np.maximum.reduceat(v, first)
+        return out.ravel()
     for row, place, _ in _items(block, model, nodes, None):
         if len(row):
             first = np.flatnonzero(np.diff(place, prepend=-1))
@@ -151,6 +229,16 @@ def _ranges(block: Block, model: dict, nodes: np.ndarray, sampled: np.ndarray) -
 def _left_sums(block: Block, model: dict, nodes: np.ndarray, sampled: np.ndarray, threshold: np.ndarray) -> np.ndarray:
     """``w0, w1, n`` on the left of each candidate threshold."""
     out = np.zeros((3, *sampled.shape))
+    weights = None if block.kept is None else _plain_weights(block)
+    if weights is not None:
+        row, _, counts, values = _kept_items(block, model, nodes, None)
+        cell, base = 2 * np.repeat(np.arange(len(nodes)), counts) + (block.y > 0.5)[row], row * block.x.shape[1]
+        for c in range(sampled.shape[1]):
+            v = values.pop(c, None)
+            v = _flat(block).take(base + np.repeat(sampled[:, c], counts)) if v is None else v
+            n = np.bincount(cell[v <= np.repeat(threshold[:, c], counts)], minlength=2 * len(nodes)).reshape(-1, 2)
+            out[0, :, c], out[1, :, c], out[2, :, c] = n[:, 0] * weights[0], n[:, 1] * weights[1], n.sum(1)
+        return out.ravel()
     for row, place, _ in _items(block, model, nodes, None):
         positive, w = block.y[row] > 0.5, block.w[row]
         for c in range(sampled.shape[1]):
@@ -206,6 +294,17 @@ def _class_histogram(block: Block, model: dict, nodes: np.ndarray, sampled: np.n
     codes, bins = _codes(block, edges), edges.shape[1] + 1
     size = sampled.size * bins
     out = np.zeros((3, size))
+    weights = None if block.kept is None else _plain_weights(block)
+    if weights is not None:
+        row, times, counts, _ = _kept_items(block, model, nodes, draws)
+        flat, m = codes.ravel(), sampled.shape[1]
+        node, base, side = np.repeat(np.arange(len(nodes)), counts) * (m * bins), row * codes.shape[1], (block.y > 0.5)[row] * size
+        n = np.zeros(2 * size)
+        for c in range(m):
+            n += np.bincount(flat.take(base + np.repeat(sampled[:, c], counts)) + node + side + c * bins, times, 2 * size)
+        n = n.reshape(2, size)
+        out[0], out[1], out[2] = n[0] * weights[0], n[1] * weights[1], n.sum(0)
+        return out.ravel()
     for row, place, times in _items(block, model, nodes, draws):
         t = np.ones(len(row)) if times is None else times.astype(float)
         positive, w = block.y[row] > 0.5, block.w[row] * t
@@ -243,7 +342,7 @@ def _forest(d: int, params: dict, seed: int, random_thresholds: bool) -> Generat
     m = sample_size(params["max_features"], d)
     draws = None if random_thresholds else np.int64(seed + 1)
     edges = None if random_thresholds else (yield from bin_edges(d))
-    forest = Forest(trees)
+    forest = Forest(trees, int(params.get("first", 0)))
     state = lambda: {**forest.arrays(), "tree": forest.tree}
     sums = (yield Ask(_class_sums, {"model": state(), "nodes": forest.roots, "draws": draws})).reshape(-1, 3)
     nodes, order = forest.roots, np.ones(trees, np.int64)  # order: root 1, children 2k and 2k + 1
@@ -300,12 +399,18 @@ def extra_trees(d: int, params: dict, seed: int):
     return _forest(d, params, seed, True)
 
 
+extra_trees.members = "n_estimators"  # trees are independent: a part (``first``, so many) may grow by itself
+
+
 def random_forest(d: int, params: dict, seed: int):
     """M3.  Rows drawn with replacement (Poisson numbers by tree and row key) and
     the best edge of the sampled features by Gini."""
     return _forest(d, params, seed, False)
 
 
+random_forest.members = "n_estimators"
+
+
 # ---------------------------------------------------------------- boosting
 _MARGINS: OrderedDict = OrderedDict()
 

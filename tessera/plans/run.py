@@ -59,7 +59,8 @@ class RunConfig:
     ensemble_members: tuple = ENSEMBLE_MEMBERS
     seed: int = DEFAULT_SEED
     parallelism: int = 8
-    block_rows: int = CE.BLOCK_ROWS  # rows of a block; fits of larger cells run in lockstep over their blocks
+    block_rows: int = CE.BLOCK_ROWS  # rows of a block
+    whole_bytes: int = CE.WHOLE_BYTES  # features of a cell that one task may hold; fits of larger cells run in lockstep over their blocks
     mrmr_k_max: int = 100
     max_iter: int = MD.MAX_ITER  # steps of LR and SVM; the results tell which fits needed more
     group: str = "patient_id"
@@ -73,7 +74,7 @@ class RunConfig:
 
 def fingerprint(samples: DataFrame, cfg: RunConfig) -> str:
     """Names a run by its configuration and its input rows (order-free)."""
-    knobs = {k: v for k, v in vars(cfg).items() if k not in ("out_dir", "parallelism", "block_rows", "extra")}
+    knobs = {k: v for k, v in vars(cfg).items() if k not in ("out_dir", "parallelism", "block_rows", "whole_bytes", "extra")}
     rows = samples.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64(*samples.columns).cast("decimal(38,0)")).alias("h")).first()
     text = json.dumps([knobs, samples.dtypes, rows["n"], str(rows["h"])], sort_keys=True, default=list)
     return hashlib.sha256(text.encode()).hexdigest()[:16]
@@ -190,7 +191,7 @@ class Run:
         if model == "KNN":
             scored = MD.knn_cells(self.fit_blocks, self.out_blocks.where(F.col("role").isin(*roles)), fits, ["repeat", "fold"])
         else:
-            models = CE.fit_cells(self.fit_blocks, fits, ["repeat", "fold"], MD.PROGRAMS, self.cfg.seed)
+            models = CE.fit_cells(self.fit_blocks, fits, ["repeat", "fold"], MD.PROGRAMS, self.cfg.seed, self.cfg.whole_bytes, hasattr(MD.PROGRAMS[model], "members"))
             models.write.mode("overwrite").parquet(f"{self.out}/{step}_models/model={model}")
             models = self.spark.read.parquet(f"{self.out}/{step}_models/model={model}")
             scored = CE.score_cells(self.out_blocks, fits, models, ["repeat", "fold"], MD.SCORERS)
@@ -294,7 +295,7 @@ def explain_run(spark: SparkSession, samples: DataFrame, cfg: RunConfig, params:
     _, sel, design = design_rows(samples, roles, cfg)
     cc, fit = ["repeat", "fold"], F.col("role") == "fit"
     fits = spark.createDataFrame([(0, 0, -1, "ET", json.dumps(params))], "fit int, repeat int, fold int, program string, params string")
-    models = CE.fit_cells(CE.block_table(design.filter(fit), cc, block_rows=cfg.block_rows).checkpoint(), fits, cc, MD.PROGRAMS, cfg.seed).checkpoint()
+    models = CE.fit_cells(CE.block_table(design.filter(fit), cc, block_rows=cfg.block_rows).checkpoint(), fits, cc, MD.PROGRAMS, cfg.seed, cfg.whole_bytes).checkpoint()
     held = CE.block_table(design.filter(~fit), [*cc, "role"], block_rows=cfg.block_rows)
     phi = EX.contributions(held, fits, models, cc).checkpoint()
     design.unpersist()

@@ -246,3 +246,45 @@ def test_a_block_is_sent_once_for_all_fits_of_its_cell(spark, monkeypatch):
     monkeypatch.setattr(C, "_totals", lambda work, *more: (sent.append((work.count(), work.select("fold", "block").distinct().count())), totals(work, *more))[1])
     assert C.fit_cells(blocks, fits, ["fold"], PROGRAMS).count() == 6
     assert sent[0] == (blocks.count(),) * 2 and all(n == m for n, m in sent)
+
+
+@pytest.mark.parametrize("name", ["ET", "RF"])
+def test_a_forest_in_parts_is_the_forest(name, monkeypatch):
+    """Trees grown a few at a time, from rows that are kept in the order of their nodes, and by questions that start at the roots."""
+    b = sample(200, 6, 4)
+    odd = C.Block(b.name, b.x, b.y, b.w * (1 + b.key % 3), b.key)  # the rows of a class weigh differently
+    p = {"n_estimators": 7, "max_depth": 9, "min_samples_leaf": 1, "max_features": "sqrt"}
+    for block in (b, odd):
+        program, ask = PROGRAMS[name](6, p, 5), None
+        try:
+            ask = next(program)
+            while True:
+                ask = program.send(ask.of(block, **ask.args))
+        except StopIteration as end:
+            plain = end.value
+        for members in (1, 3, 7):
+            model = C.in_parts(PROGRAMS[name], 6, p, 5, block, members)
+            assert all(close(nested(model, r), nested(plain, q)) for r, q in zip(model["roots"], plain["roots"]))
+            assert model["cover"][model["roots"]] == pytest.approx(plain["cover"][plain["roots"]])
+        part = C.in_parts(PROGRAMS[name], 6, {**p, "n_estimators": 2, "first": 4}, 5, block)
+        assert all(close(nested(part, r), nested(plain, q)) for r, q in zip(part["roots"], plain["roots"][4:6]))
+    monkeypatch.setattr(T, "ASKED", 10)  # the nodes of a level in several questions
+    model = C.in_parts(PROGRAMS[name], 6, p, 5, odd)
+    assert all(close(nested(model, r), nested(plain, q)) for r, q in zip(model["roots"], plain["roots"]))
+
+
+def test_cells_that_a_task_can_hold_take_no_rounds(spark, monkeypatch):
+    b = sample(90, 5, 2)
+    rows = spark.createDataFrame([(k % 2, int(key), int(y), float(w), x.tolist()) for k, (key, y, w, x) in enumerate(zip(b.key, b.y, b.w, b.x))],
+                                 "fold int, row_id long, label int, weight double, xs array<double>")
+    blocks = C.block_table(rows, ["fold"], block_rows=15).checkpoint()
+    params = {"ET": {"n_estimators": 9, "max_depth": 3, "min_samples_leaf": 2, "max_features": "sqrt", "mrmr_k": 4}, "LR": {"C": 1.0, "penalty": "l2", "max_iter": 100}}
+    fits = spark.createDataFrame([(2 * f + k, f, m, json.dumps(params[m])) for f in range(2) for k, m in enumerate(params)], "fit int, fold int, program string, params string")
+    get = lambda models: {(r.fit, r.row_id): r.score for r in C.score_cells(blocks, fits, models, ["fold"], SCORERS).collect()}
+    far = get(C.fit_cells(blocks, fits, ["fold"], PROGRAMS).checkpoint())
+    monkeypatch.setattr(C, "_totals", lambda *a: pytest.fail("a round over the blocks"))
+    near = C.fit_cells(blocks, fits, ["fold"], PROGRAMS, whole=1 << 20).checkpoint()
+    assert near.count() == 4 and get(near) == pytest.approx(far, abs=1e-9)
+    parts = C.fit_cells(blocks, fits, ["fold"], PROGRAMS, whole=1 << 20, parted=True).checkpoint()
+    assert parts.filter("fit % 2 = 0").groupBy("fit").sum("members").collect()[0][1] == 9 and parts.filter("fit % 2 = 0").count() > 2
+    assert get(parts) == pytest.approx(get(near), abs=1e-12)
