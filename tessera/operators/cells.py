@@ -22,19 +22,25 @@ the question (nodes x features, or features squared), never rows.
 """
 from __future__ import annotations
 
+import functools
 import io
 import json
 import math
+import uuid
 from collections.abc import Callable, Generator, Sequence
 from dataclasses import dataclass, field, replace
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.dataset as pa_dataset
+import pyarrow.fs as pa_fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
+from tessera.session import ensure_checkpoint_dir
+
 BLOCK_ROWS = 8192
 SALTS = 32
 WHOLE_BYTES = 48 << 20  # features of a cell that one task may hold as a whole
@@ -308,38 +314,74 @@ def scored(blocks: DataFrame, work: DataFrame, score: Callable) -> DataFrame:
     return work.mapInArrow(run, schema)
 
 
-def score_cells(blocks: DataFrame, fits: DataFrame, models: DataFrame, cell: Sequence[str], scorers: dict[str, Callable]) -> DataFrame:
-    """``fit, <cell columns of blocks>, row_id, y_true, score, converged`` of every
-    row of ``blocks`` for each fit of its cell (``fits``' cell columns).  Forests in
-    parts (``fit_cells``) score by their trees' mean: the parts' sums meet by block."""
-    told = fits.select("fit", *cell, "program", "params").join(models, "fit")
-    work = blocks.join(told, list(cell))
+def file_batches(files: Sequence[str], rows: int, where=None):
+    """Rows of parquet files in Arrow tables of ``rows`` at most, one at a time."""
+    for file in files:
+        store, path = pa_fs.FileSystem.from_uri(file)
+        found = pa_dataset.dataset(path, filesystem=store, format="parquet")
+        for batch in found.to_batches(batch_size=rows, batch_readahead=1, fragment_readahead=1, use_threads=False, filter=where):
+            if len(batch):
+                yield pa.Table.from_batches([batch])
+
 
-    def score(row, params, block):
-        model = unpacked(row["model"])
-        return scorers[row["program"]](model, block.x), bool(model["converged"]) if "converged" in model else None
+def block_files(blocks: DataFrame) -> list[str]:
+    """The files of a table of blocks; one that is not written yet is written to the shared checkpoint folder."""
+    files = blocks.inputFiles()
+    if not files:
+        path = f"{ensure_checkpoint_dir(blocks.sparkSession).rstrip('/')}/blocks-{uuid.uuid4().hex}"
+        blocks.write.parquet(path)
+        files = blocks.sparkSession.read.schema(blocks.schema).parquet(path).inputFiles()
+    return files
 
-    if "part" not in models.columns:
-        return scored(blocks, work, score)
+
+def blocks_of(files: list[str], cell: dict):
+    """The blocks of one cell as dicts, one at a time."""
+    where = functools.reduce(lambda a, b: a & b, [pa_dataset.field(c) == v for c, v in cell.items()])
+    for table in file_batches(files, 1, where):
+        yield from table.to_pylist()
+
+
+def score_cells(blocks: DataFrame, fits: DataFrame, models: DataFrame, cell: Sequence[str], scorers: dict[str, Callable]) -> DataFrame:
+    """``fit, <cell columns of blocks>, row_id, y_true, score, converged`` of every
+    row of ``blocks`` for each fit of its cell (``fits``' cell columns).  A model, the
+    larger of the two, goes to one task, which reads the cell's blocks from their
+    files.  Forests in parts (``fit_cells``) score by their trees' mean: the parts'
+    sums meet by block."""
+    cell, files, parted = list(cell), block_files(blocks), "part" in models.columns
     own = [c for c in blocks.columns if c not in ("block", "blocks", "n", "x", "y", "w", "key")]
-    names = [*own, "fit", "block", "params"]
-    shape = T.StructType([work.schema[c] for c in names] + [T.StructField(c, t) for c, t in (
-        ("n", T.LongType()), ("y", T.BinaryType()), ("key", T.BinaryType()), ("part", T.IntegerType()), ("members", T.IntegerType()), ("x", T.BinaryType()))])
-    sums, met = to_arrow_schema(shape), to_arrow_schema(T.StructType([f for f in shape if f.name not in ("part", "members")] + [T.StructField("w", T.BinaryType())]))
+    told = models.join(F.broadcast(fits.select("fit", *cell, "program", "params")), "fit")  # fits: one row for each fit
+    tasks = min(1000, 4 * max(1, fits.count()) * (TASKS_A_CORE if parted else 1))
+    work = told.repartition(tasks, *(["fit", "part"] if parted else ["fit"]))
+    out = T.StructType([blocks.schema[c] for c in own] + [T.StructField(c, t) for c, t in (
+        ("fit", T.IntegerType()), ("row_id", T.LongType()), ("y_true", T.IntegerType()), ("score", T.DoubleType()), ("converged", T.BooleanType()))])
+    sums = T.StructType([blocks.schema[c] for c in own] + [T.StructField(c, t) for c, t in (
+        ("fit", T.IntegerType()), ("block", T.IntegerType()), ("part", T.IntegerType()), ("members", T.IntegerType()),
+        ("y", T.BinaryType()), ("key", T.BinaryType()), ("total", T.BinaryType()))])
+    arrow, arrow_sums = to_arrow_schema(out), to_arrow_schema(sums)
 
-    def part(batches):
+    def rows(of, key, y, score, flag):
+        return {**{c: [of[c]] * len(key) for c in [*own, "fit"]}, "row_id": key, "y_true": y.astype(np.int32), "score": score, "converged": [flag] * len(key)}
+
+    def run(batches):
         for batch in batches:
-            for row in batch.to_pylist():
-                params = json.loads(row["params"])
-                b = _block(row, (row["fit"], row["block"]), _width(params, len(row["x"]) // 8 // max(1, row["n"])))
-                found = score(row, params, b)[0] * row["members"]
-                out = {c: row[c] for c in sums.names if c != "x"}
-                yield pa.RecordBatch.from_pylist([{**out, "x": found.astype("<f8").tobytes()}], schema=sums)
+            for k in range(len(batch)):
+                row = batch.slice(k, 1).to_pylist()[0]
+                params, model = json.loads(row["params"]), unpacked(row["model"])
+                flag = bool(model["converged"]) if "converged" in model else None
+                for held in blocks_of(files, {c: row[c] for c in cell}):
+                    b = _block(held, (row["fit"], held["block"]), _width(params, len(held["x"]) // 8 // max(1, held["n"])))
+                    score, of = scorers[row["program"]](model, b.x), {**{c: held[c] for c in own}, "fit": row["fit"]}
+                    if not parted:
+                        yield pa.RecordBatch.from_pydict(rows(of, b.key, b.y, score, flag), schema=arrow)
+                    else:
+                        total = (score * row["members"]).astype("<f8").tobytes()
+                        yield pa.RecordBatch.from_pylist([{**of, "block": held["block"], "part": row["part"], "members": row["members"], "y": held["y"], "key": held["key"], "total": total}], schema=arrow_sums)
 
     def meet(keys, table):
-        row = table.sort_by("part").to_pylist()
-        total = sum(np.frombuffer(r["x"], "<f8") for r in row) / sum(r["members"] for r in row)
-        return pa.Table.from_pylist([{**{c: row[0][c] for c in met.names if c in row[0]}, "x": total.tobytes(), "w": row[0]["y"]}], schema=met)
+        found = table.sort_by("part").to_pylist()
+        score = sum(np.frombuffer(r["total"], "<f8") for r in found) / sum(r["members"] for r in found)
+        return pa.table(rows(found[0], np.frombuffer(found[0]["key"], "<i8"), np.frombuffer(found[0]["y"], "<f8"), score, None), schema=arrow)
 
-    whole = work.mapInArrow(part, shape).groupBy(*names).applyInArrow(meet, T.StructType([f for f in shape if f.name not in ("part", "members")] + [T.StructField("w", T.BinaryType())]))
-    return scored(blocks, whole, lambda row, params, b: (np.frombuffer(row["x"], "<f8"), None))
+    if not parted:
+        return work.mapInArrow(run, out)
+    return work.mapInArrow(run, sums).groupBy(*own, "fit", "block").applyInArrow(meet, out)

@@ -1,7 +1,9 @@
 """Logistic regression and the RBF support-vector machine as fit programs (see
 ``cells``): one question a step, loss with gradient and curvature at one point.
 Where the whole step is refused, one more question has the losses at its cuts
-under several dampings, and a third the sums at the first that descends.
+under several dampings (points on a few lines from where it stands, so that a
+block is gone through once for each line, not for each point), and a third the
+sums at the first that descends.
 
 Objective, as in Spark ML: ``mean weighted loss + reg * penalty`` with
 ``reg = 1 / (C * sum of weights)`` and an unpenalised intercept.
@@ -50,11 +52,21 @@ def _sums(loss: np.ndarray, slope: np.ndarray, curve: np.ndarray, x: np.ndarray)
     return np.concatenate([[loss.sum()], x.T @ slope, ((x[bent] * curve[bent, None]).T @ x[bent]).ravel()])
 
 
-def _logistic(block: Block, beta: np.ndarray) -> np.ndarray:
-    """Sums at a point; of several points (rows) their losses only."""
+def _margins(block: Block, x: np.ndarray, beta: np.ndarray, along: tuple | None):
+    """``x @ b`` of points: the rows of ``beta``, or, with ``along`` (directions, and
+    the direction and length of every step), where those steps from ``beta`` end."""
+    if along is None:
+        return (x @ b for b in beta)
+    directions, steps = along
+    start, lines = x @ beta, [x @ v for v in directions]
+    return (start + length * lines[k] for k, length in steps)
+
+
+def _logistic(block: Block, beta: np.ndarray, along: tuple | None = None) -> np.ndarray:
+    """Sums at a point; of several points (``_margins``) their losses only."""
     x = _with_one(block.x)
-    if beta.ndim > 1:
-        margins = (x @ b for b in beta)
+    if beta.ndim > 1 or along:
+        margins = _margins(block, x, beta, along)
         return np.array([(block.w * (np.logaddexp(0, m) - block.y * m)).sum() for m in margins])
     margin = x @ beta
     p = 1.0 / (1.0 + np.exp(-margin))
@@ -66,7 +78,12 @@ _MAPPED: OrderedDict = OrderedDict()
 
 
 def _mapped(block: Block, gamma: float, out: int, seed: int) -> np.ndarray:
-    """A block's Fourier features; those of the last few blocks are kept."""
+    """A block's Fourier features; those of the last few blocks are kept (a task that
+    answers all questions of a fit keeps those of its one block)."""
+    if block.kept is not None:
+        if "mapped" not in block.kept:
+            block.kept["mapped"] = _with_one(fourier(block.x, gamma, out, seed))
+        return block.kept["mapped"]
     name = (block.name, block.x.shape, block.key.tobytes(), block.x[:1].tobytes(), gamma, out, seed)
     if name not in _MAPPED:
         _MAPPED[name] = _with_one(fourier(block.x, gamma, out, seed))
@@ -75,20 +92,20 @@ def _mapped(block: Block, gamma: float, out: int, seed: int) -> np.ndarray:
     return _MAPPED[name]
 
 
-def _rounded_hinge(block: Block, beta: np.ndarray, width: float, gamma: float, out: int, seed: int) -> np.ndarray:
+def _rounded_hinge(block: Block, beta: np.ndarray, width: float, gamma: float, out: int, seed: int, along: tuple | None = None) -> np.ndarray:
     """max(0, 1 - m), a parabola where 1 - m is between 0 and ``width``: sums at a
-    point; of several points (rows) their losses only."""
+    point; of several points (``_margins``) their losses only."""
     x = _mapped(block, gamma, out, seed)
     sign = 2 * block.y - 1
 
-    def losses(b):
-        short = 1 - sign * (x @ b)
+    def losses(margin):
+        short = 1 - sign * margin
         inside = (short > 0) & (short < width)
         return short, inside, np.where(inside, short ** 2 / (2 * width), np.maximum(0, short - width / 2))
 
-    if beta.ndim > 1:
-        return np.array([(block.w * losses(b)[2]).sum() for b in beta])
-    short, inside, loss = losses(beta)
+    if beta.ndim > 1 or along:
+        return np.array([(block.w * losses(m)[2]).sum() for m in _margins(block, x, beta, along)])
+    short, inside, loss = losses(x @ beta)
     slope = -sign * np.clip(short / width, 0, 1)
     return _sums(block.w * loss, block.w * slope, block.w * inside / width, x)
 
@@ -157,8 +174,10 @@ def _descend(ask, d: int, reg: float, l1: bool, beta: np.ndarray, total: float,
             else:
                 left = SCALES
             rungs = [(step, promised, left), *((s, p, SCALES) for s, p in ladder)]
-            points = [(scale, p, beta + scale * s) for s, p, scales in rungs if s is not None for scale in scales]
-            for loss, (scale, p, trial) in zip((yield ask(np.array([b for _, _, b in points]))), points):
+            lines = [(s, p, scales) for s, p, scales in rungs if s is not None]
+            points = [(scale, p, beta + scale * s) for s, p, scales in lines for scale in scales]
+            along = [s for s, _, _ in lines], [(k, scale) for k, (_, _, scales) in enumerate(lines) for scale in scales]
+            for loss, (scale, p, trial) in zip((yield ask(beta, along)), points):
                 if loss / total + penalty(trial) <= value + 1e-4 * scale * p:
                     found = trial
                     new, new_g, new_h = read((yield ask(trial)), trial)
@@ -178,7 +197,7 @@ def logistic(d: int, params: dict, seed: int) -> Generator[Ask, np.ndarray, dict
     """M1."""
     total = float((yield Ask(_weight))[0])
     reg = 1.0 / (params["C"] * total)
-    beta, steps, converged = yield from _descend(lambda b: Ask(_logistic, {"beta": b}), d, reg, params["penalty"] == "l1", np.zeros(d + 1), total, int(params["max_iter"]))
+    beta, steps, converged = yield from _descend(lambda b, along=None: Ask(_logistic, {"beta": b, "along": along}), d, reg, params["penalty"] == "l1", np.zeros(d + 1), total, int(params["max_iter"]))
     return {"beta": beta, "steps": np.int64(steps), "converged": np.bool_(converged)}
 
 
@@ -188,7 +207,7 @@ def svm(d: int, params: dict, seed: int) -> Generator[Ask, np.ndarray, dict]:
     gamma, out, left = float(params["gamma"]), int(params.get("rff_dim", RFF_DIM)), int(params["max_iter"])
     beta, width, converged = np.zeros(out + 1), 1.0, False
     while left > 0:
-        ask = lambda b, width=width: Ask(_rounded_hinge, {"beta": b, "width": width, "gamma": gamma, "out": out, "seed": seed})
+        ask = lambda b, along=None, width=width: Ask(_rounded_hinge, {"beta": b, "width": width, "gamma": gamma, "out": out, "seed": seed, "along": along})
         beta, steps, converged = yield from _descend(ask, out, 1.0 / (params["C"] * total), False, beta, total, left)
         left -= max(1, steps)
         if width <= ROUND:

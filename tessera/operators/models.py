@@ -8,7 +8,6 @@ the RBF-kernel SVM, and probability/score extraction.
 """
 from __future__ import annotations
 
-import functools
 import math
 import uuid
 from collections.abc import Mapping, Sequence
@@ -17,8 +16,6 @@ from typing import Any
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import pyarrow.dataset as pa_dataset
-import pyarrow.fs as pa_fs
 from pyspark.ml.classification import (GBTClassifier, LinearSVC, LogisticRegression,
                                        RandomForestClassifier)
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -343,16 +340,6 @@ def _matrix(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
     return flat.reshape(len(column), -1) if len(column) else np.zeros((0, 0))
 
 
-def file_batches(files: Sequence[str], rows: int, where=None):
-    """Rows of parquet files in Arrow tables of ``rows`` at most, one at a time."""
-    for file in files:
-        store, path = pa_fs.FileSystem.from_uri(file)
-        found = pa_dataset.dataset(path, filesystem=store, format="parquet")
-        for batch in found.to_batches(batch_size=rows, batch_readahead=1, fragment_readahead=1, use_threads=False, filter=where):
-            if len(batch):
-                yield pa.Table.from_batches([batch])
-
-
 def training_files(train: DataFrame, features: str = "xs", label: str = "label", key: str = "row_id") -> list[str]:
     """Files of ``k, y, x`` (key, label, features) in the shared checkpoint folder, by
     key (and label) over all files, for the tasks of ``nearest_rows`` to read."""
@@ -391,7 +378,7 @@ def nearest_rows(train: DataFrame, queries: DataFrame, k: int, metric: str = "eu
 
     def pieces():
         done = 0
-        for table in file_batches(files, block_rows):
+        for table in cells.file_batches(files, block_rows):
             yield _matrix(table.column("x")), table.column("k").to_numpy(), np.arange(done, done + len(table)), table.select(["k", "y"])
             done += len(table)
 
@@ -446,16 +433,14 @@ def knn_cells(fit_blocks: DataFrame, out_blocks: DataFrame, fits: DataFrame, cel
     """M6 for many cells: the columns of ``cells.score_cells`` for each fit of
     program KNN, whose ``params`` hold ``n_neighbors``, ``weights``, ``metric`` and
     ``mrmr_k``.  Every training row of the cell votes: a task reads the cell's blocks
-    from the files of ``fit_blocks`` (a written table), one at a time, for its own
+    from the files of ``fit_blocks``, one at a time, for its own
     block of queries."""
-    files, cell = fit_blocks.inputFiles(), list(cell)
+    files, cell = cells.block_files(fit_blocks), list(cell)
 
     def pieces(row, width):
-        where = functools.reduce(lambda a, b: a & b, [pa_dataset.field(c) == row[c] for c in cell])
-        for table in file_batches(files, 1, where):
-            for own in table.to_pylist():
-                b = cells._block(own, (), width)
-                yield b.x, b.key, b.key, pa.table({"y": b.y})
+        for own in cells.blocks_of(files, {c: row[c] for c in cell}):
+            b = cells._block(own, (), width)
+            yield b.x, b.key, b.key, pa.table({"y": b.y})
 
     def score(row, params, b):
         found, d, told = search_blocks(b.x, b.key, pieces(row, b.x.shape[1]), int(params["n_neighbors"]), params["metric"])

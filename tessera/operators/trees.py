@@ -24,6 +24,7 @@ from tessera.operators.cells import Ask, Block
 BINS, FINE = 64, 2048
 ASKED = 400_000   # (node, feature) candidates of one question
 ITEMS = 2_000_000  # values that a task handles at once
+PIECE = 65_536  # values of a histogram's piece
 
 
 def uniform(seed: int, *parts) -> np.ndarray:
@@ -125,10 +126,11 @@ def _items(block: Block, model: dict, nodes: np.ndarray, draws: np.ndarray | Non
         yield row[order], place[order], None if times is None else times[order]
 
 
-def _flat(block: Block) -> np.ndarray:
+def _values(block: Block, row: np.ndarray, feature: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """``x`` at ``row`` of each node's ``feature``; columns lie together, as a node reads one."""
     if "flat" not in block.kept:
-        block.kept["flat"] = np.ascontiguousarray(block.x).ravel()
-    return block.kept["flat"]
+        block.kept["flat"] = np.ascontiguousarray(block.x.T).ravel()
+    return block.kept["flat"].take(np.repeat(feature.astype(np.int64) * len(block.x), counts) + row)
 
 
 def _kept_items(block: Block, model: dict, nodes: np.ndarray, draws: np.ndarray | None):
@@ -138,7 +140,7 @@ def _kept_items(block: Block, model: dict, nodes: np.ndarray, draws: np.ndarray
     Where one task answers all questions of a forest, it keeps the rows in the order
     of their nodes and deals those of a split node to its children, so that no row
     goes down from the root again."""
-    kept, n, d = block.kept, len(block.x), block.x.shape[1]
+    kept, n = block.kept, len(block.x)
     if "nodes" not in kept:
         trees = len(model["roots"])
         row, times, counts = np.tile(np.arange(n), trees), None, np.full(trees, n)
@@ -154,7 +156,7 @@ def _kept_items(block: Block, model: dict, nodes: np.ndarray, draws: np.ndarray
         if not split.all():
             use = np.repeat(split, counts)
             ids, row, times, counts = ids[split], row[use], None if times is None else times[use], counts[split]
-        right = _flat(block).take(row * d + np.repeat(model["feature"][ids], counts)) > np.repeat(model["threshold"][ids], counts)
+        right = _values(block, row, model["feature"][ids], counts) > np.repeat(model["threshold"][ids], counts)
         start = np.cumsum(counts) - counts
         before = np.append(0, np.cumsum(right))  # rows that go right up to each place
         n_right = before[start + counts] - before[start]
@@ -210,9 +212,9 @@ def _ranges(block: Block, model: dict, nodes: np.ndarray, sampled: np.ndarray) -
     out = np.full((2, *sampled.shape), np.inf)
     if block.kept is not None:
         row, _, counts, values = _kept_items(block, model, nodes, None)
-        first, there, base = (np.cumsum(counts) - counts)[counts > 0], counts > 0, row * block.x.shape[1]
+        first, there = (np.cumsum(counts) - counts)[counts > 0], counts > 0
         for c in range(sampled.shape[1] if len(row) else 0):
-            v = values[c] = _flat(block).take(base + np.repeat(sampled[:, c], counts))
+            v = values[c] = _values(block, row, sampled[:, c], counts)
             out[0, there, c], out[1, there, c] = np.minimum.reduceat(v, first), -np.maximum.reduceat(v, first)
         return out.ravel()
     for row, place, _ in _items(block, model, nodes, None):
@@ -232,10 +234,10 @@ def _left_sums(block: Block, model: dict, nodes: np.ndarray, sampled: np.ndarray
     weights = None if block.kept is None else _plain_weights(block)
     if weights is not None:
         row, _, counts, values = _kept_items(block, model, nodes, None)
-        cell, base = 2 * np.repeat(np.arange(len(nodes)), counts) + (block.y > 0.5)[row], row * block.x.shape[1]
+        cell = 2 * np.repeat(np.arange(len(nodes)), counts) + (block.y > 0.5)[row]
         for c in range(sampled.shape[1]):
             v = values.pop(c, None)
-            v = _flat(block).take(base + np.repeat(sampled[:, c], counts)) if v is None else v
+            v = _values(block, row, sampled[:, c], counts) if v is None else v
             n = np.bincount(cell[v <= np.repeat(threshold[:, c], counts)], minlength=2 * len(nodes)).reshape(-1, 2)
             out[0, :, c], out[1, :, c], out[2, :, c] = n[:, 0] * weights[0], n[:, 1] * weights[1], n.sum(1)
         return out.ravel()
@@ -436,6 +438,8 @@ def _stage_rows(block: Block, stage: int, seed: int, share: float) -> np.ndarray
 def _node_sums(block: Block, model: dict, tree: dict, nodes, stage, seed, share, run, edges, features: bool) -> np.ndarray:
     """Of each open node of the growing tree: rows, residuals and curvature; or
     rows and residuals by (feature, bin)."""
+    if block.kept is not None:
+        return _kept_node_sums(block, model, tree, nodes, stage, seed, share, edges, features)
     margin = _margin(block, model, run)
     p = 1.0 / (1.0 + np.exp(-margin))
     lookup = np.full(len(tree["feature"]), -1, np.int64)
@@ -451,6 +455,47 @@ def _node_sums(block: Block, model: dict, tree: dict, nodes, stage, seed, share,
     return np.concatenate([np.bincount(cell.ravel(), minlength=size), np.bincount(cell.ravel(), np.repeat(residual, d), size)]).astype(float)
 
 
+def _kept_node_sums(block: Block, model: dict, tree: dict, nodes, stage, seed, share, edges, features: bool) -> np.ndarray:
+    """``_node_sums`` where one task answers all questions of a fit: it keeps the
+    margins, the node of each row, and the bins with their places in a node's histogram."""
+    kept, d = block.kept, block.x.shape[1]
+    if kept.get("stage") != stage:
+        if "margin" not in kept:
+            kept["margin"] = np.full(len(block.x), float(model["base"]))
+        else:  # the leaves of the tree before
+            kept["margin"] = kept["margin"] + model["value"][model["roots"][-1] + kept["at"]]
+        p = 1.0 / (1.0 + np.exp(-kept["margin"]))
+        kept.update(stage=stage, at=np.zeros(len(block.x), np.int64), p=p, residual=block.y - p, drawn=np.flatnonzero(_stage_rows(block, stage, seed, share)))
+    at = kept["at"]
+    while True:
+        moves = np.flatnonzero(tree["feature"][at] >= 0)
+        if not len(moves):
+            break
+        node = at[moves]
+        at[moves] = tree["left"][node] + (block.x[moves, tree["feature"][node]] > tree["threshold"][node])
+    lookup = np.full(len(tree["feature"]), -1, np.int64)
+    lookup[nodes] = np.arange(len(nodes))
+    row = kept["drawn"]
+    place = lookup[at[row]]
+    if (place < 0).any():
+        row, place = row[place >= 0], place[place >= 0]
+    residual = kept["residual"][row]
+    if not features:
+        p = kept["p"][row]
+        return np.concatenate([np.bincount(place, v, len(nodes)) for v in (np.ones(len(row)), residual, p * (1 - p))])
+    bins = edges.shape[1] + 1
+    step = max(1, PIECE // max(1, len(block.x)))  # features at once: a piece that stays in the cache
+    if "bins" not in kept:
+        kept["bins"] = np.ascontiguousarray((_codes(block, edges) + np.arange(d) % step * bins).T)  # feature by feature
+    out = np.empty((2, len(nodes), d, bins))
+    for lo in range(0, d, step):
+        width = min(step, d - lo)
+        cell = (kept["bins"][lo:lo + width].take(row, 1) + place * (width * bins)).ravel()
+        for k, v in enumerate((None, np.tile(residual, width))):
+            out[k, :, lo:lo + width] = np.bincount(cell, v, len(nodes) * width * bins).reshape(len(nodes), width, bins)
+    return out.ravel()
+
+
 def _label_counts(block: Block) -> np.ndarray:
     return np.array([len(block.y), (block.y > 0.5).sum()], float)
 

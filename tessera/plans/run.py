@@ -5,7 +5,7 @@ Platt calibration → threshold on validation → test metrics → soft vote).
 Everything that touches rows is a batched DataFrame job over all cells.  All
 fits of a model (trials × repeats × folds) are one step: fit programs over
 blocks of rows (``operators.cells``), whose number of jobs does not depend on the
-number of fits.  A step's scores and its seconds are committed to the run's
+number of fits.  The steps of all models run at once.  A step's scores and its seconds are committed to the run's
 directory, which is named by a fingerprint of configuration and input; a
 restarted run reads its tables and skips finished steps.
 """
@@ -13,9 +13,11 @@ from __future__ import annotations
 
 import hashlib
 import json
+import threading
 import time
 import uuid
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.errors import AnalysisException
@@ -155,6 +157,7 @@ class Run:
         self.spark, self.samples, self.cfg = spark, samples, cfg
         self.out, self.attempt = _run_dir(spark, cfg, fingerprint(samples, cfg)), uuid.uuid4().hex
         self._made: dict[str, DataFrame] = {}
+        self._lock, self._ended = threading.Lock(), 0.0
 
     def log(self, step: str, model: str, fits: int, seconds: float) -> None:
         row = [(self.attempt, step, model, fits, float(seconds))]
@@ -198,7 +201,17 @@ class Run:
         named = self.spark.createDataFrame([(k, trial) for k, ((trial, _, _), _) in enumerate(tasks)], "fit int, trial int")
         out = scored.filter(F.col("role").isin(*roles)).join(F.broadcast(named), "fit")  # one row for each fit
         out.select("trial", "repeat", "fold", "role", "row_id", "y_true", "score", "converged").write.mode("overwrite").parquet(path)
-        self.log(step, model, len(tasks), time.time() - t0)
+        with self._lock:  # of steps that run at once each counts from the end of the one before, so they add up to the clock
+            now = time.time()
+            seconds, self._ended = now - max(t0, self._ended), now
+            self.log(step, model, len(tasks), seconds)
+
+    def all_scores(self, step: str, tasks: dict[str, list[tuple]], roles: Sequence[str]) -> None:
+        """``scores`` of all models (their ``tasks``) at once: while the last fits of one
+        model run, those of the next have the other cores."""
+        with ThreadPoolExecutor(self.cfg.parallelism) as ex:
+            for done in [ex.submit(self.scores, step, m, tasks[m], roles) for m in tasks]:
+                done.result()
 
     def search(self) -> DataFrame:
         """The trial table crossed with the grouped folds, scored by B1;
@@ -206,9 +219,8 @@ class Run:
         cv_macro_f1, cv_converged``.  The smaller trial number wins ties."""
         cfg = self.cfg
         self.params = {k: {**p, "max_iter": cfg.max_iter} for k, p in MD.trial_params(MD.trial_table(self.spark, cfg.models, cfg.n_trials, cfg.seed)).items()}
-        for m in cfg.models:
-            tasks = [((t, r, f), self.params[(m, t)]) for t in range(cfg.n_trials) for r in range(cfg.n_repeats) for f in range(cfg.n_folds)]
-            self.scores("cv", m, tasks, ["held"])
+        self.all_scores("cv", {m: [((t, r, f), self.params[(m, t)]) for t in range(cfg.n_trials) for r in range(cfg.n_repeats) for f in range(cfg.n_folds)]
+                               for m in cfg.models}, ["held"])
         cv = self.spark.read.parquet(f"{self.out}/cv_scores")
         # an SVM margin is taken through the logistic curve: the same order, and 0.5 where the margin is 0
         proba = F.when(F.col("model") == "SVM", 1.0 / (1.0 + F.exp(-F.col("score")))).otherwise(F.col("score"))
@@ -250,8 +262,7 @@ def run_evaluation(spark: SparkSession, samples: DataFrame, cfg: RunConfig) -> d
 
     # ---- refit on the whole training part, score validation and test
     chosen = best.collect()  # one row for each model and repeat
-    for m in cfg.models:
-        run.scores("final", m, [((r.trial, r.repeat, -1), run.params[(m, r.trial)]) for r in chosen if r.model == m], ["val", "test"])
+    run.all_scores("final", {m: [((r.trial, r.repeat, -1), run.params[(m, r.trial)]) for r in chosen if r.model == m] for m in cfg.models}, ["val", "test"])
     final = C.platt_apply(spark.read.parquet(f"{run.out}/final_scores"), platt, cell, s="score")
     t0 = time.time() - calibrated
     shape = ["model", "repeat", "role", "row_id", "y_true", "proba"]

@@ -288,3 +288,22 @@ def test_cells_that_a_task_can_hold_take_no_rounds(spark, monkeypatch):
     parts = C.fit_cells(blocks, fits, ["fold"], PROGRAMS, whole=1 << 20, parted=True).checkpoint()
     assert parts.filter("fit % 2 = 0").groupBy("fit").sum("members").collect()[0][1] == 9 and parts.filter("fit % 2 = 0").count() > 2
     assert get(parts) == pytest.approx(get(near), abs=1e-12)
+
+
+def test_losses_along_lines_are_those_of_the_points():
+    """A question about cuts of a few steps goes through a block once for each step."""
+    class Counted(np.ndarray):
+        products = 0
+
+        def __matmul__(self, other):
+            Counted.products += 1
+            return np.asarray(self) @ other
+
+    b, rng = sample(150, 5, 6), np.random.default_rng(2)
+    for of, size, args in ((L._logistic, 6, {}), (L._rounded_hinge, 33, {"width": 0.3, "gamma": 0.1, "out": 32, "seed": 3})):
+        beta, directions = rng.normal(size=size), list(rng.normal(size=(3, size)))
+        steps = [(k, 4.0 ** -j) for k in range(3) for j in range(5)]
+        want = of(b, np.array([beta + length * directions[k] for k, length in steps]), **args)
+        assert of(b, beta, along=(directions, steps), **args) == pytest.approx(want, rel=1e-12)
+    Counted.products = 0
+    assert len(list(L._margins(b, np.ones((4, 6)).view(Counted), np.ones(6), ([np.ones(6)] * 3, steps)))) == 15 and Counted.products == 4

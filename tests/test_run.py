@@ -133,9 +133,9 @@ def test_knn_of_a_run_uses_every_training_row(spark, samples, tmp_path, monkeypa
     for (trial, repeat, fold), g in scores.groupby(["trial", "repeat", "fold"]):
         p, own = run.params[("KNN", trial)], design[(repeat, fold)]
         fit = own[own.role == "fit"].sort_values("row_id")
-        x, y, told = np.array([v[:p["mrmr_k"]] for v in fit.xs]), fit.label.to_numpy(float), own.set_index("row_id")
+        x, y, told = np.array([v[:p["mrmr_k"]] for v in fit["xs"]]), fit.label.to_numpy(float), own.set_index("row_id")
         for row_id, score in zip(g.row_id, g.score):
-            apart = x - np.array(told.xs[row_id])[:x.shape[1]]
+            apart = x - np.array(told["xs"][row_id])[:x.shape[1]]
             d = np.sqrt((apart ** 2).sum(1)) if p["metric"] == "euclidean" else np.abs(apart).sum(1)
             near = np.argsort(d, kind="stable")[:p["n_neighbors"]]
             w = np.ones(len(near)) if p["weights"] == "uniform" else 1 / d[near]
