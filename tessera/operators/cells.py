@@ -308,7 +308,8 @@ def scored(blocks: DataFrame, work: DataFrame, score: Callable) -> DataFrame:
                 b = _block(row, (row["fit"], row["block"]), _width(params, len(row["x"]) // 8 // max(1, row["n"])))
                 found, flag = score(row, params, b)
                 out = {c: [row[c]] * row["n"] for c in own}
-                out.update(fit=[row["fit"]] * row["n"], row_id=b.key, y_true=b.y.astype(np.int32), score=found, converged=[flag] * row["n"])
+                known = np.nan_to_num(b.y).astype(np.int32)
+                out.update(fit=[row["fit"]] * row["n"], row_id=b.key, y_true=pa.array(known, pa.int32(), mask=np.isnan(b.y)), score=found, converged=[flag] * row["n"])
                 yield pa.RecordBatch.from_pydict(out, schema=arrow)
 
     return work.mapInArrow(run, schema)

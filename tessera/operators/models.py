@@ -422,11 +422,16 @@ def knn_scores_exact(train: DataFrame, queries: DataFrame, k: int, weights: str
 
 def knn_votes(row: np.ndarray, d: np.ndarray, y: np.ndarray, queries: int, weights: str) -> np.ndarray:
     """The vote of each query's neighbours (entries of ``search_blocks``)."""
-    w = np.ones(len(row))
+    count = np.bincount(row, minlength=queries)
+    dist, votes = np.full((queries, count.max(initial=0)), np.inf), np.zeros((queries, count.max(initial=0)))
+    column = np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)
+    dist[row, column], votes[row, column] = d, y
+    w = np.isfinite(dist).astype(float)
     if weights == "distance":
-        w = np.where((np.bincount(row, d == 0, queries) > 0)[row], d == 0, 1.0 / np.where(d == 0, 1, d))
+        zero = (dist == 0).any(1, keepdims=True)
+        w = np.where(zero, dist == 0, w / np.where(dist == 0, 1, dist))
     with np.errstate(divide="ignore", invalid="ignore"):
-        return np.bincount(row, w * y, queries) / np.bincount(row, w, queries)
+        return (w * votes).sum(1) / w.sum(1)  # summed as in ``knn_scores``
 
 
 def knn_cells(fit_blocks: DataFrame, out_blocks: DataFrame, fits: DataFrame, cell: Sequence[str]) -> DataFrame:
@@ -445,7 +450,8 @@ def knn_cells(fit_blocks: DataFrame, out_blocks: DataFrame, fits: DataFrame, cel
     def score(row, params, b):
         found, d, told = search_blocks(b.x, b.key, pieces(row, b.x.shape[1]), int(params["n_neighbors"]), params["metric"])
         y = np.zeros(0) if told is None else told.column("y").to_numpy()
-        return knn_votes(found, d, y, len(b.x), params["weights"]), None
+        votes = knn_votes(found, d, y, len(b.x), params["weights"])
+        return pa.array(votes, mask=np.isnan(votes)), None  # no vote, no score
 
     return cells.scored(out_blocks, out_blocks.join(F.broadcast(fits.select("fit", *cell, "program", "params")), cell), score)  # fits: one row for each fit
 

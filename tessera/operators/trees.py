@@ -184,9 +184,10 @@ def _kept_items(block: Block, model: dict, nodes: np.ndarray, draws: np.ndarray
 
 
 def _plain_weights(block: Block) -> tuple[float, float] | None:
-    """The weights of the two classes, if all rows of a class weigh the same."""
+    """The weights of the two classes, if all rows of a class weigh the same (rows
+    without a label stand with the negative ones here, and have a weight of their own)."""
     if "weights" not in block.kept:
-        sides = [block.w[block.y <= 0.5], block.w[block.y > 0.5]]
+        sides = [block.w[~(block.y > 0.5)], block.w[block.y > 0.5]]
         same = all(not len(s) or (s == s[0]).all() for s in sides)
         block.kept["weights"] = tuple(float(s[0]) if len(s) else 0.0 for s in sides) if same else None
     return block.kept["weights"]

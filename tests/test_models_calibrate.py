@@ -171,3 +171,15 @@ def test_exact_knn_of_odd_rows(spark):
     assert MD.knn_scores_exact(df, df, 1).count() == 5
     none = spark.createDataFrame([], shape)
     assert all(np.isnan(r.score) for r in MD.knn_scores_exact(none, df, 1).collect()) and MD.knn_scores_exact(df, none, 1).count() == 0
+
+
+def test_knn_of_cells_without_labels(spark):
+    """A vote of a row without label is no score, and a query without label has no truth."""
+    from tessera.operators import cells as C
+
+    rows = spark.createDataFrame([(0, "fit", 1, 1, [0.0]), (0, "fit", 2, None, [5.0]), (0, "held", 3, 0, [0.1]), (0, "held", 4, 1, [4.9]), (0, "held", 5, None, [0.2])],
+                                 "cell int, role string, row_id long, label int, xs array<double>").withColumn("weight", F.lit(1.0))
+    fit, held = (C.block_table(rows.filter(F.col("role") == r), c).checkpoint() for r, c in (("fit", ["cell"]), ("held", ["cell", "role"])))
+    fits = spark.createDataFrame([(0, 0, "KNN", '{"n_neighbors": 1, "weights": "distance", "metric": "euclidean", "mrmr_k": 20}')], "fit int, cell int, program string, params string")
+    got = {r.row_id: (r.y_true, r.score) for r in MD.knn_cells(fit, held, fits, ["cell"]).collect()}
+    assert got == {3: (0, 1.0), 4: (1, None), 5: (None, 1.0)}
