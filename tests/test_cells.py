@@ -311,9 +311,9 @@ def test_losses_along_lines_are_those_of_the_points():
 
 def test_rows_without_label_keep_their_own_weight():
     """They have no class weight, and are counted on the left of a threshold with the weight that they have."""
-    b, forest = sample(60, 3, 8), T.Forest(2)
+    b, forest = sample(60, 4, 8), T.Forest(2)
     none = b.key % 4 == 0
-    block = C.Block(b.name, b.x, np.where(none, np.nan, b.y), np.where(none, 1.0, b.w), b.key)
+    block = C.Block(b.name, b.x, np.where(none, np.nan, b.y), np.where(none, 1.0, 3 * b.w), b.key)
     model, sampled = {**forest.arrays(), "tree": forest.tree}, np.array([[0, 1], [2, 0]])
     want = T._left_sums(block, model, forest.roots, sampled, np.zeros((2, 2)))
     kept = C.Block(b.name, block.x, block.y, block.w, block.key, {})
